@@ -200,3 +200,25 @@ def watermark_cut(sql_body: str, end_col: str, delay_secs: int = 10) -> str:
     return (f"SELECT * FROM ({sql_body}) AS b WHERE {end_col} <= "
             f"(SELECT max(make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION})) "
             f"FROM events) - INTERVAL {delay_secs} SECOND")
+
+
+_ADAPTED_TIME = f"make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION})"
+FINAL_WM_MS = f"((SELECT max(epoch_ms({_ADAPTED_TIME})) FROM events) - 10000)"
+
+
+def released_before_watermark(sql_body: str, time_col: str) -> str:
+    """Stream oracle for ordered-release operators: rows strictly before the
+    final watermark (milliseconds), the ones the event-time timers released."""
+    return f"SELECT * FROM ({sql_body}) AS b WHERE epoch_us({time_col}) < {FINAL_WM_MS} * 1000"
+
+
+STREAM_SEGMENTS_SQL = f"""
+SELECT driver_id, status, segment_start, segment_end, pings, distance_km, duration_secs
+FROM (SELECT *, lead(segment_start) OVER (PARTITION BY driver_id ORDER BY segment_start) AS next_start
+      FROM ({SEGMENTS_SQL}) AS s) AS b
+WHERE next_start IS NOT NULL AND epoch_us(next_start) < {FINAL_WM_MS} * 1000"""
+
+STREAM_LIVE_SQL = f"""
+SELECT driver_id, latitude, longitude, h3_cell, status, speed_kmh, ts_str, event_time,
+       CASE WHEN epoch_ms(event_time) + 60000 <= {FINAL_WM_MS} THEN 'EXPIRED' ELSE 'LIVE' END AS state
+FROM ({LIVE_SQL}) AS b"""

@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 from ..operators import enrich as E
 from ..operators import windows as W
 from ..plans import batch
-from ..plans.oracle import ORACLE_SQL, watermark_cut
+from ..functions.exprs import haversine_km
+from ..operators.live import ISO_MICROS
+from ..plans.oracle import (
+    ORACLE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL, released_before_watermark, watermark_cut,
+)
 from .replay import read_output, run_replay, to_ntz
+from .stateful import live_state_stream, previous_ping_stream, segments_stream
 
 CHUNKS = 4
 
@@ -49,6 +54,43 @@ def q_stream_trip_sessions(spark, sf_dir):
     return _replay(spark, sf_dir, lambda s: W.trip_sessions_stream(E.enrich(s)), "stream-sessions")
 
 
+def derived_speed_from_previous(prev):
+    """Same column expressions as the batch ``derived_speed``."""
+    km = haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude")
+    secs = (F.col("t") - F.col("prev_t")) / F.lit(1e6)
+    speed = F.when(F.col("prev_t").isNull(), F.lit(None).cast("double")) \
+        .when(secs > 0, F.round(km / secs * 3600.0, 2)).otherwise(F.lit(0.0))
+    return prev.select("ping_id", "driver_id", "event_time",
+                       F.round(km, 6).alias("distance_km"),
+                       secs.alias("seconds_since_prev"), speed.alias("derived_speed_kmh"))
+
+
+def q_stream_derived_speed(spark, sf_dir):
+    return _replay(spark, sf_dir, lambda s: derived_speed_from_previous(previous_ping_stream(s)),
+                   "stream-speed")
+
+
+def q_stream_trip_segments(spark, sf_dir):
+    return _replay(spark, sf_dir, segments_stream, "stream-segments")
+
+
+def final_live_state(emitted):
+    """Materialise the cache: the last emitted row per driver (an EXPIRED
+    row outranks the LIVE row of the same ping)."""
+    rank = F.when(F.col("state") == "EXPIRED", 1).otherwise(0)
+    key = F.struct(F.col("event_time"), F.col("ping_id"), rank)
+    cols = ["latitude", "longitude", "h3_cell", "status", "speed_kmh", "event_time", "state"]
+    last = emitted.groupBy("driver_id").agg(F.max_by(F.struct(*cols), key).alias("s"))
+    return last.select(
+        "driver_id", "s.latitude", "s.longitude", "s.h3_cell", "s.status", "s.speed_kmh",
+        F.date_format("s.event_time", ISO_MICROS).alias("ts_str"), "s.event_time", "s.state")
+
+
+def q_stream_live_state(spark, sf_dir):
+    emitted = _replay(spark, sf_dir, lambda s: live_state_stream(E.enrich(s)), "stream-live")
+    return final_live_state(emitted)
+
+
 STREAM_QUERIES = {
     "stream_ping_scan": q_stream_ping_scan,
     "stream_anomalies": q_stream_anomalies,
@@ -56,6 +98,9 @@ STREAM_QUERIES = {
     "stream_perf_metrics": q_stream_perf_metrics,
     "stream_perf_metrics_sliding": q_stream_perf_metrics_sliding,
     "stream_trip_sessions": q_stream_trip_sessions,
+    "stream_derived_speed": q_stream_derived_speed,
+    "stream_trip_segments": q_stream_trip_segments,
+    "stream_live_state": q_stream_live_state,
 }
 
 STREAM_ORACLES = {
@@ -66,6 +111,9 @@ STREAM_ORACLES = {
                                          "metric_window + INTERVAL 1 MINUTE"),
     "stream_perf_metrics_sliding": watermark_cut(ORACLE_SQL["perf_metrics_sliding"], "window_end"),
     "stream_trip_sessions": watermark_cut(ORACLE_SQL["trip_sessions"], "trip_end"),
+    "stream_derived_speed": released_before_watermark(ORACLE_SQL["derived_speed"], "event_time"),
+    "stream_trip_segments": STREAM_SEGMENTS_SQL,
+    "stream_live_state": STREAM_LIVE_SQL,
 }
 
 __all__ = ["STREAM_QUERIES", "STREAM_ORACLES", "F"]

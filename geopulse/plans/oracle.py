@@ -53,7 +53,8 @@ def _bucket(us: int, col: str = "event_time") -> str:
     return f"make_timestamp((epoch_us({col}) // {us}) * {us})"
 
 
-ZONE_SQL = _with(f"""
+def zone_sql(source: str = "enriched", extra_ctes: str = "") -> str:
+    return _with(f"""
 SELECT {_bucket(30_000_000)} AS window_start,
        {_bucket(30_000_000)} + INTERVAL 30 SECOND AS window_end,
        h3_cell, status,
@@ -64,8 +65,11 @@ SELECT {_bucket(30_000_000)} AS window_start,
        round(min(speed_kmh), 2) AS min_speed,
        count_if(status = 'on_trip') AS on_trip_count,
        {exact_percent_sql("count_if(status = 'on_trip')", "count(*)", D)} AS on_trip_percentage
-FROM enriched WHERE event_time IS NOT NULL
-GROUP BY ALL""")
+FROM {source} WHERE event_time IS NOT NULL
+GROUP BY ALL""", extra_ctes)
+
+
+ZONE_SQL = zone_sql()
 
 _METRICS = f"""
        count(*) AS total_events,
@@ -222,3 +226,33 @@ STREAM_LIVE_SQL = f"""
 SELECT driver_id, latitude, longitude, h3_cell, status, speed_kmh, ts_str, event_time,
        CASE WHEN epoch_ms(event_time) + 60000 <= {FINAL_WM_MS} THEN 'EXPIRED' ELSE 'LIVE' END AS state
 FROM ({LIVE_SQL}) AS b"""
+
+
+def late_data_sql(order: list[int], chunks: int) -> str:
+    """Zone oracle without the chunks that arrive after a later chunk (their
+    windows are closed by then), cut at the final watermark.  Chunk bounds are
+    ``lo + i * ((hi - lo) // chunks)`` in microseconds, as the replay lands them."""
+    late = [c for i, c in enumerate(order) if any(c < d for d in order[:i])]
+    def bound(i):
+        if i == 0:
+            return None
+        if i == chunks:
+            return None
+        return f"(SELECT lo + {i} * ((hi - lo) // {chunks}) FROM span)"
+    conds = []
+    for c in late:
+        lo_b, hi_b = bound(c), bound(c + 1)
+        parts = [f"epoch_us(event_time) >= {lo_b}" if lo_b else "TRUE",
+                 f"epoch_us(event_time) < {hi_b}" if hi_b else "TRUE"]
+        conds.append("(" + " AND ".join(parts) + ")")
+    keep = "NOT (" + " OR ".join(conds) + ")" if conds else "TRUE"
+    extra = f"""
+span AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM pings),
+kept AS (SELECT * FROM enriched WHERE {keep})"""
+    return watermark_cut(zone_sql("kept", extra), "window_end")
+
+
+BRANCH_COUNTS_SQL = _with("""
+SELECT 'lake' AS branch, count(*) AS records FROM enriched
+UNION ALL SELECT 'cache' AS branch, count(DISTINCT driver_id) AS records FROM enriched
+UNION ALL SELECT 'anomalies' AS branch, count(*) AS records FROM enriched WHERE anomaly_type <> 'NORMAL'""")

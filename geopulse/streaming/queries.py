@@ -18,6 +18,9 @@ from ..operators.live import ISO_MICROS
 from ..plans.oracle import (
     ORACLE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL, released_before_watermark, watermark_cut,
 )
+from ..plans.oracle import BRANCH_COUNTS_SQL, late_data_sql
+from ..sinks.branch import start_branches
+from ..sinks.lake import read_lake
 from .replay import read_output, run_replay, to_ntz
 from .stateful import live_state_stream, previous_ping_stream, segments_stream
 
@@ -91,6 +94,42 @@ def q_stream_live_state(spark, sf_dir):
     return final_live_state(emitted)
 
 
+LATE_ORDER = [0, 2, 1, 3]
+
+
+def q_stream_late_data(spark, sf_dir):
+    """Zone occupancy with the second time chunk delivered after the third:
+    by then the watermark has passed every window of the late chunk, so its
+    rows are dropped (counted in ``numRowsDroppedByWatermark``) and the result
+    equals the batch query over the other chunks, cut at the watermark."""
+    return _replay(spark, sf_dir, lambda s: W.zone_occupancy(E.enrich(s)), "stream-late",
+                   order=LATE_ORDER)
+
+
+def q_branch_counts(spark, sf_dir):
+    """Replay the enriched stream into the three branches, then count what
+    each sink holds: lake rows, cached drivers, anomaly rows."""
+    holder = {}
+
+    def writer(stream, run):
+        queries, side = start_branches(stream, run.output, {"availableNow": True})
+        holder["side"], holder["base"] = side, run.output
+        return queries
+
+    ping_rows = batch.pings(spark, sf_dir)
+    run_replay(spark, ping_rows, E.enrich, "stream-branch", chunks=CHUNKS, writer=writer)
+    side, base = holder["side"], holder["base"]
+    schema = E.enrich(ping_rows).schema
+    lake_rows = read_lake(spark, base + "/lake", schema)
+    counts = [
+        lake_rows.select(F.lit("lake").alias("branch")),
+        side.latest_cache(spark).select(F.lit("cache").alias("branch")),
+        side.all_anomalies(spark).select(F.lit("anomalies").alias("branch")),
+    ]
+    u = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return u.groupBy("branch").agg(F.count(F.lit(1)).alias("records"))
+
+
 STREAM_QUERIES = {
     "stream_ping_scan": q_stream_ping_scan,
     "stream_anomalies": q_stream_anomalies,
@@ -101,6 +140,8 @@ STREAM_QUERIES = {
     "stream_derived_speed": q_stream_derived_speed,
     "stream_trip_segments": q_stream_trip_segments,
     "stream_live_state": q_stream_live_state,
+    "stream_late_data": q_stream_late_data,
+    "branch_counts": q_branch_counts,
 }
 
 STREAM_ORACLES = {
@@ -114,6 +155,8 @@ STREAM_ORACLES = {
     "stream_derived_speed": released_before_watermark(ORACLE_SQL["derived_speed"], "event_time"),
     "stream_trip_segments": STREAM_SEGMENTS_SQL,
     "stream_live_state": STREAM_LIVE_SQL,
+    "stream_late_data": late_data_sql(LATE_ORDER, CHUNKS),
+    "branch_counts": BRANCH_COUNTS_SQL,
 }
 
 __all__ = ["STREAM_QUERIES", "STREAM_ORACLES", "F"]

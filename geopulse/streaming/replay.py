@@ -42,21 +42,24 @@ def stream_source(spark: SparkSession, landing: str, schema: T.StructType,
 
 
 def time_chunks(pings: DataFrame, chunks: int) -> list:
-    """Chunk bounds over [min, max] of event time (one tiny aggregate)."""
-    lo, hi = pings.agg(F.min("event_time"), F.max("event_time")).first()
+    """Inner chunk bounds ``lo + i * ((hi - lo) div chunks)`` in integer
+    microseconds of event time (one tiny aggregate; exact, so an oracle can
+    recompute the same bounds)."""
+    us = F.unix_micros(F.col("event_time"))
+    lo, hi = pings.agg(F.min(us), F.max(us)).first()
     if lo is None:
         return []
-    step = (hi - lo) / chunks
+    step = (hi - lo) // chunks
     return [lo + step * i for i in range(1, chunks)]
 
 
-def land_chunk(pings: DataFrame, landing: str, lower, upper) -> None:
-    c = F.col("event_time")
+def land_chunk(pings: DataFrame, landing: str, lower: int | None, upper: int | None) -> None:
+    us = F.unix_micros(F.col("event_time"))
     cond = F.lit(True)
     if lower is not None:
-        cond = cond & (c >= F.lit(lower))
+        cond = cond & (us >= F.lit(lower))
     if upper is not None:
-        cond = cond & (c < F.lit(upper))
+        cond = cond & (us < F.lit(upper))
     pings.filter(cond).write.mode("append").parquet(landing)
 
 
@@ -89,9 +92,10 @@ def run_replay(spark: SparkSession, pings: DataFrame,
         else:
             w = (result.writeStream.format("parquet").outputMode("append")
                  .option("path", run.output).option("checkpointLocation", run.checkpoint))
-        q = w.trigger(availableNow=True).start() if hasattr(w, "trigger") else w
-        q.awaitTermination()
-        run.progress.extend(q.recentProgress)
+        started = w.trigger(availableNow=True).start() if hasattr(w, "trigger") else w
+        for q in (started if isinstance(started, list) else [started]):
+            q.awaitTermination()
+            run.progress.extend(q.recentProgress)
     return run
 
 
@@ -109,9 +113,15 @@ def to_ntz(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def dropped_by_watermark(run: ReplayRun) -> int:
+def dropped_by_watermark(run: ReplayRun, operator: int | None = 0) -> int:
+    """Rows dropped as late, summed over batches (first stateful operator by
+    default, where late input rows are filtered)."""
+    import json
     total = 0
     for p in run.progress:
-        for op in p.get("stateOperators", []) or []:
-            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+        d = p if isinstance(p, dict) else json.loads(p.json)
+        ops = d.get("stateOperators", []) or []
+        for i, op in enumerate(ops):
+            if operator is None or i == operator:
+                total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
     return total

@@ -40,7 +40,10 @@ def with_previous(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     w = Window.partitionBy("driver_id", "_b").orderBy("event_time", "ping_id")
     local = p.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in PREV_FIELDS})
     local = local.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-    joined = local.join(carry, ["driver_id", "_b"], "left")
+    # The windowed rows are already hash-partitioned and sorted by (driver,
+    # bucket): a merge join only shuffles the small carry table, and its size
+    # (drivers x buckets) never has to fit a broadcast.
+    joined = local.join(carry.hint("shuffle_merge"), ["driver_id", "_b"], "left")
     prev = {f"prev_{c}": F.when(F.col("_first"), F.col(f"carry.{c}")).otherwise(F.col(f"_lag_{c}"))
             for c in PREV_FIELDS}
     return joined.withColumns(prev).drop(*[f"_lag_{c}" for c in PREV_FIELDS], "carry", "_first")
@@ -94,7 +97,7 @@ def trip_segments(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
         "driver_id", "_b",
         F.max("_bstart").over(Window.partitionBy("driver_id").orderBy("_b")
                               .rangeBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    keyed = (p.join(carry, ["driver_id", "_b"], "left")
+    keyed = (p.join(carry.hint("shuffle_merge"), ["driver_id", "_b"], "left")
              .withColumn("_seg", F.coalesce("_run", "_carry")))
     leg = F.when(~changed, km_to_micros(
         haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude")))

@@ -113,9 +113,10 @@ def to_ntz(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def dropped_by_watermark(run: ReplayRun, operator: int | None = 0) -> int:
-    """Rows dropped as late, summed over batches (first stateful operator by
-    default, where late input rows are filtered)."""
+def dropped_by_watermark(run: ReplayRun, operator: int | None = None) -> int:
+    """Rows dropped as late, summed over batches and stateful operators (or
+    one operator by its index in the progress report).  Aggregations count
+    rows after map-side partial aggregation, not raw input rows."""
     import json
     total = 0
     for p in run.progress:

@@ -29,6 +29,19 @@ from ..functions.exprs import DEG_TO_RAD, EARTH_RADIUS_KM
 from ..schema import LIVE_TTL_SECS
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def require_rocksdb(df: DataFrame) -> None:
+    """``transformWithStateInPandas`` keeps several state variables per key
+    (column families), which only the RocksDB state store supports.  The
+    provider is a runtime SQL setting, fixed per query by its checkpoint."""
+    spark = df.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def _micros(s: pd.Series) -> np.ndarray:
     return s.astype("datetime64[us]").astype("int64").to_numpy()
 
@@ -101,6 +114,7 @@ class LiveStateProcessor(StatefulProcessor):
 def live_state_stream(enriched: DataFrame, ttl_secs: int = LIVE_TTL_SECS) -> DataFrame:
     cols = ["driver_id", "ping_id", "latitude", "longitude", "h3_cell", "status",
             "speed_kmh", "event_time"]
+    require_rocksdb(enriched)
     return (enriched.select(*cols).groupBy("driver_id")
             .transformWithStateInPandas(LiveStateProcessor(ttl_secs), LIVE_OUTPUT_SCHEMA,
                                         "Append", "EventTime"))
@@ -195,6 +209,7 @@ class PreviousPingProcessor(_OrderedRelease):
 
 def previous_ping_stream(pings: DataFrame) -> DataFrame:
     cols = ["driver_id", "ping_id", "latitude", "longitude", "status", "event_time"]
+    require_rocksdb(pings)
     return (pings.select(*cols).groupBy("driver_id")
             .transformWithStateInPandas(PreviousPingProcessor(), PREV_OUTPUT_SCHEMA,
                                         "Append", "EventTime"))
@@ -256,6 +271,7 @@ class SegmentProcessor(_OrderedRelease):
 
 def segments_stream(pings: DataFrame) -> DataFrame:
     cols = ["driver_id", "ping_id", "latitude", "longitude", "status", "event_time"]
+    require_rocksdb(pings)
     raw = (pings.select(*cols).groupBy("driver_id")
            .transformWithStateInPandas(SegmentProcessor(), SEG_OUTPUT_SCHEMA, "Append", "EventTime"))
     return raw.select(

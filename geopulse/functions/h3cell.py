@@ -1,0 +1,31 @@
+"""Exact H3 cell ids, only when the ``h3`` package is importable.
+
+The default zone key is the Column hex grid of ``exprs.hex_cell`` (no Python
+worker).  Where real H3 ids are required this Arrow-batched pandas UDF calls
+``h3.latlng_to_cell`` (the v4 name) once per row inside the batch.
+"""
+
+from __future__ import annotations
+
+try:  # optional dependency
+    import h3  # type: ignore
+except ImportError:  # pragma: no cover - depends on the image
+    h3 = None
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+AVAILABLE = h3 is not None
+
+
+def h3_cell(lat: Column | str, lon: Column | str, resolution: int = 9) -> Column:
+    if h3 is None:
+        raise ImportError("h3 is not installed; use geopulse.functions.exprs.hex_cell")
+
+    @F.pandas_udf("string")
+    def _cell(la: pd.Series, lo: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(a) or pd.isna(b) else h3.latlng_to_cell(float(a), float(b), resolution)
+                          for a, b in zip(la, lo)], dtype="object")
+
+    return _cell(F.col(lat) if isinstance(lat, str) else lat, F.col(lon) if isinstance(lon, str) else lon)

@@ -101,8 +101,9 @@ def trip_segments(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
              .withColumn("_seg", F.coalesce("_run", "_carry")))
     leg = F.when(~changed, km_to_micros(
         haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude")))
-    agg = keyed.groupBy("driver_id", "_seg").agg(
-        F.max("status").alias("status"),
+    # status is constant within a run (NULL-safe), so it can be a grouping
+    # key: the aggregate buffers stay fixed-width and Spark hash-aggregates.
+    agg = keyed.groupBy("driver_id", "_seg", "status").agg(
         F.min("event_time").alias("segment_start"),
         F.max("event_time").alias("segment_end"),
         F.count(F.lit(1)).alias("pings"),

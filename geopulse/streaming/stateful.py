@@ -132,17 +132,34 @@ PENDING_SCHEMA = T.StructType([
 
 
 class _OrderedRelease(StatefulProcessor):
-    """Buffers a driver's pings; a timer per distinct millisecond releases
-    them in order once ``t < watermark`` (ms)."""
+    """Buffers a driver's pings and releases them in order once
+    ``t < watermark`` (ms).  One event-time timer per driver is kept, at the
+    earliest unreleased ping, so timers cost O(1) per key, not one per ping."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getListState("pending", PENDING_SCHEMA)
+        self.timer = handle.getValueState("timer", "ms long")
         self.setup_state(handle)
 
     def setup_state(self, handle) -> None:  # pragma: no cover - overridden
         raise NotImplementedError
 
+    def _schedule(self, first_pending_us: int | None) -> None:
+        """Keep the single timer at the first millisecond after the earliest
+        pending ping (a timer fires once the watermark reaches it)."""
+        cur = self.timer.get()[0] if self.timer.exists() else None
+        want = None if first_pending_us is None else first_pending_us // 1000 + 1
+        if cur == want:
+            return
+        if cur is not None:
+            self.handle.deleteTimer(cur)
+        if want is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(want)
+            self.timer.update((want,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
         t = _micros(pdf["event_time"])
@@ -150,21 +167,25 @@ class _OrderedRelease(StatefulProcessor):
                        pdf["latitude"].tolist(), pdf["longitude"].tolist(),
                        pdf["status"].tolist()))
         self.pending.appendList(new)
-        for ms in sorted(set((t // 1000 + 1).tolist())):
-            self.handle.registerTimer(int(ms))
+        earliest = int(t.min())
+        cur = self.timer.get()[0] if self.timer.exists() else None
+        if cur is None or earliest // 1000 + 1 < cur:
+            self._schedule(earliest)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         rows = list(self.pending.get()) if self.pending.exists() else []
         ready = sorted((r for r in rows if r[1] < wm_us), key=lambda r: (r[1], r[0]))
-        if not ready:
-            return
         rest = [r for r in rows if r[1] >= wm_us]
         if rest:
             self.pending.put(rest)
         else:
             self.pending.clear()
+        self._schedule(min(r[1] for r in rest) if rest else None)
+        if not ready:
+            return
         out = self.release(key[0], ready)
         if out is not None and len(out):
             yield out

@@ -171,6 +171,12 @@ ORACLE_SQL: dict[str, str] = {
     "event_time_parse": _with(
         "SELECT ping_id, event_time AS from_ts_str, event_time AS from_iso, "
         "date_trunc('millisecond', event_time) AS from_millis FROM pings"),
+    "ping_encode": _with(
+        "SELECT driver_id AS key, to_json({'ping_id': ping_id, 'driver_id': driver_id, "
+        "'latitude': round(latitude, 6), 'longitude': round(longitude, 6), 'status': status, "
+        "'speed_kmh': round(speed_kmh, 2), "
+        "'timestamp': strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f'), "
+        "'trip_duration_secs': trip_duration_secs})::VARCHAR AS value FROM pings"),
     "enriched": _with(f"SELECT {ENRICHED_COLS} FROM enriched"),
     "hex_cell": _with("SELECT ping_id, latitude, longitude, h3_cell FROM enriched"),
     "anomaly_flags": _with("SELECT ping_id, speed_kmh, status, anomaly_type FROM enriched"),

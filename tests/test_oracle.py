@@ -60,7 +60,7 @@ def test_stream_key_matches_oracle(spark, con, key):
 def test_every_key_has_a_query_and_most_an_oracle():
     qs, sq = entry.queries(), entry.oracle_sql()
     assert set(sq) <= set(qs)
-    assert set(qs) - set(sq) == {"ping_encode", "ping_limit"}
+    assert set(qs) - set(sq) == {"ping_limit"}
 
 
 def test_entry_smoke(spark):

@@ -51,8 +51,11 @@ def active_drivers(pings: DataFrame, as_of: Column | None = None,
                    ttl_secs: int = ACTIVE_SET_TTL_SECS) -> DataFrame:
     """Drivers with a ping in ``(as_of - ttl, as_of]``; ``as_of`` defaults to
     the latest event time, evaluated once as a scalar subquery."""
+    t = F.col("event_time")
     if as_of is None:
+        # as_of is the latest time seen, so the upper bound holds for every row
         as_of = pings.agg(F.max("event_time")).scalar()
-    lo = F.timestamp_add("SECOND", F.lit(-ttl_secs), as_of)
-    return (pings.filter((F.col("event_time") > lo) & (F.col("event_time") <= as_of))
-            .groupBy("driver_id").agg(F.max("event_time").alias("last_seen")))
+        cond = t > F.timestamp_add("SECOND", F.lit(-ttl_secs), as_of)
+    else:
+        cond = (t > F.timestamp_add("SECOND", F.lit(-ttl_secs), as_of)) & (t <= as_of)
+    return pings.filter(cond).groupBy("driver_id").agg(F.max("event_time").alias("last_seen"))

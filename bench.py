@@ -41,7 +41,7 @@ def run_once(spark, fn, sf_dir) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="geopulse-bench")
     for fn in HEADLINE.values():
         run_once(spark, fn, sf_dir)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import haversine_km, km_to_micros, micros_to_km
 from .windows import duration_micros, floor_bucket, time_micros
 
-DEFAULT_BUCKET = "1 hour"
+DEFAULT_BUCKET = "10 minutes"
 
 ROW_FIELDS = ["latitude", "longitude", "status", "event_time", "_t", "ping_id"]
 _LAST = (2**63) - 1  # key of "the run that ends a bucket"

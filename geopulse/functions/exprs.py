@@ -83,9 +83,14 @@ HEX_KX = HEX_KY * math.cos(HEX_REF_LAT * DEG_TO_RAD)     # metres per degree lon
 HEX_SQRT3_OVER_3 = math.sqrt(3.0) / 3.0
 
 
-def hex_edge_m(resolution: int = HEX_RESOLUTION) -> float:
-    e9 = math.sqrt(2.0 * HEX_RES9_AREA_M2 / (3.0 * math.sqrt(3.0)))
-    return e9 * math.sqrt(7.0) ** (9 - resolution)
+HEX_EDGE_RES9_M = math.sqrt(2.0 * HEX_RES9_AREA_M2 / (3.0 * math.sqrt(3.0)))
+
+
+def hex_edge(resolution: ColumnOrName | int = HEX_RESOLUTION) -> Column:
+    """Edge length in metres: the res-9 edge scaled by sqrt 7 per step
+    (folded to a constant by Catalyst for a literal resolution)."""
+    res = F.lit(resolution) if isinstance(resolution, int) else _c(resolution)
+    return F.lit(HEX_EDGE_RES9_M) * F.pow(F.sqrt(F.lit(7.0)), (F.lit(9) - res).cast("double"))
 
 
 def hex_cell(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude",
@@ -95,7 +100,7 @@ def hex_cell(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude",
     Pure column arithmetic with cube rounding; the same expression is written
     in the DuckDB oracle so both engines produce the same id.
     """
-    e = hex_edge_m(resolution)
+    e = hex_edge(resolution)
     x = _c(lon) * HEX_KX
     y = _c(lat) * HEX_KY
     q = (F.lit(HEX_SQRT3_OVER_3) * x - y / 3.0) / e

@@ -10,17 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import exprs as X
 from ..schema import HEX_RESOLUTION
-from .sqltext import anomaly_sql, dbl, exact_mean_sql, exact_percent_sql, hex_sql, trip_category_sql, cents_sql
-
-
-def _hex_body() -> str:
-    # One branch per resolution; each edge is a literal derived by the rule in
-    # ``exprs.hex_edge_m`` so the SQL function equals the Column function.
-    branches = " ".join(
-        f"WHEN resolution = {res} THEN {hex_sql('lat', 'lon', 'spark', res)}" for res in range(16))
-    return f"CASE {branches} END"
+from .sqltext import (
+    anomaly_sql, cents_sql, exact_mean_sql, exact_percent_sql, hex_sql, trip_category_sql,
+)
 
 
 def register_functions(spark: SparkSession) -> None:
@@ -28,7 +21,8 @@ def register_functions(spark: SparkSession) -> None:
     ``trip_duration_category(secs)`` as temporary SQL functions."""
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION hex_index(lat DOUBLE, lon DOUBLE, "
-        f"resolution INT DEFAULT {HEX_RESOLUTION}) RETURNS STRING RETURN {_hex_body()}")
+        f"resolution INT DEFAULT {HEX_RESOLUTION}) RETURNS STRING "
+        f"RETURN {hex_sql('lat', 'lon', 'spark', 'resolution')}")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION detect_anomaly(speed_kmh DOUBLE, status STRING) "
         f"RETURNS STRING RETURN {anomaly_sql('speed_kmh', 'status')}")
@@ -79,6 +73,3 @@ def sql_zone_occupancy(spark: SparkSession, pings: DataFrame,
     spark.sql(enriched_view_sql(pings_view)).createOrReplaceTempView(enriched_view)
     return spark.sql(zone_occupancy_sql(enriched_view))
 
-
-__all__ = ["register_functions", "enriched_view_sql", "zone_occupancy_sql",
-           "sql_zone_occupancy", "dbl", "X"]

@@ -24,8 +24,8 @@ def idiv(a: str, b: str, dialect: str) -> str:
     return f"(({a}) div ({b}))" if dialect == "spark" else f"(({a}) // ({b}))"
 
 
-def hex_sql(lat: str, lon: str, dialect: str, resolution: int = HEX_RESOLUTION) -> str:
-    e = dbl(X.hex_edge_m(resolution))
+def hex_sql(lat: str, lon: str, dialect: str, resolution: int | str = HEX_RESOLUTION) -> str:
+    e = f"({dbl(X.HEX_EDGE_RES9_M)} * pow(sqrt(7e0), CAST(9 - {resolution} AS DOUBLE)))"
     x = f"({lon} * {dbl(X.HEX_KX)})"
     y = f"({lat} * {dbl(X.HEX_KY)})"
     q = f"(({dbl(X.HEX_SQRT3_OVER_3)} * {x} - {y} / 3e0) / {e})"

@@ -8,7 +8,6 @@ has none, as happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,12 +64,3 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, never reused sub-folder of the checkpoint root for one run."""
     root = checkpoint_root(spark)
     return root.rstrip("/") + f"/geopulse/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Return a local filesystem path for ``file:`` / bare paths, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else os.path.abspath(path)

@@ -84,3 +84,18 @@ def test_speed_cents_ignores_nan(spark):
     rows = [(12.31,), (float("nan"),), (None,), (-0.01,)]
     got = _one(spark, "s double", rows, X.speed_cents("s"))
     assert got == [1231, None, None, -1]
+
+
+def test_sql_functions_equal_column_functions(spark):
+    from geopulse.plans import batch
+    from geopulse.plans.sql_surface import register_functions
+    register_functions(spark)
+    p = batch.pings(spark, "/root/testdata/sf0.001")
+    p.createOrReplaceTempView("pings_t")
+    sql = spark.sql(
+        "SELECT ping_id, hex_index(latitude, longitude) AS h9, hex_index(latitude, longitude, 7) AS h7, "
+        "detect_anomaly(speed_kmh, status) AS a, trip_duration_category(trip_duration_secs) AS c "
+        "FROM pings_t")
+    col = p.select("ping_id", X.hex_cell(resolution=9).alias("h9"), X.hex_cell(resolution=7).alias("h7"),
+                   X.anomaly_type().alias("a"), X.trip_category().alias("c"))
+    assert sql.exceptAll(col).count() == 0 and col.exceptAll(sql).count() == 0

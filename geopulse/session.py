@@ -64,3 +64,4 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, never reused sub-folder of the checkpoint root for one run."""
     root = checkpoint_root(spark)
     return root.rstrip("/") + f"/geopulse/{label}-{uuid.uuid4().hex[:12]}"
+

@@ -68,13 +68,17 @@ def run_replay(spark: SparkSession, pings: DataFrame,
                label: str = "replay", chunks: int = 4,
                order: list[int] | None = None,
                writer: Callable[[DataFrame, ReplayRun], object] | None = None,
-               watermark: str | None = WATERMARK_DELAY) -> ReplayRun:
+               watermark: str | None = WATERMARK_DELAY,
+               state_partitions: int | None = None) -> ReplayRun:
     """Land ``pings`` chunk by chunk and run the streaming query after each.
 
     ``build`` maps the watermarked source stream to the result stream (parquet
     file sink, append mode).  ``writer`` replaces the sink entirely: it gets
     the result stream and the run's folders and returns a started query or a
     ``DataStreamWriter``.  ``order`` permutes chunk delivery (late data tests).
+    ``state_partitions`` (default: the context's parallelism) is the shuffle
+    partition count the stateful operators are created with; a checkpoint
+    keeps it for life, so it is set while the replay runs and then restored.
     """
     ensure_utc(spark)
     base = scratch_dir(spark, label)
@@ -83,19 +87,25 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     bounds = time_chunks(src, chunks)
     edges = [None] + bounds + [None]
     parts = [(edges[i], edges[i + 1]) for i in range(len(edges) - 1)]
-    for i in (order if order is not None else range(len(parts))):
-        land_chunk(src, run.landing, *parts[i])
-        stream = stream_source(spark, run.landing, src.schema, watermark)
-        result = build(stream) if build else stream
-        if writer is not None:
-            w = writer(result, run)
-        else:
-            w = (result.writeStream.format("parquet").outputMode("append")
-                 .option("path", run.output).option("checkpointLocation", run.checkpoint))
-        started = w.trigger(availableNow=True).start() if hasattr(w, "trigger") else w
-        for q in (started if isinstance(started, list) else [started]):
-            q.awaitTermination()
-            run.progress.extend(q.recentProgress)
+    key = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        for i in (order if order is not None else range(len(parts))):
+            land_chunk(src, run.landing, *parts[i])
+            stream = stream_source(spark, run.landing, src.schema, watermark)
+            result = build(stream) if build else stream
+            if writer is not None:
+                w = writer(result, run)
+            else:
+                w = (result.writeStream.format("parquet").outputMode("append")
+                     .option("path", run.output).option("checkpointLocation", run.checkpoint))
+            started = w.trigger(availableNow=True).start() if hasattr(w, "trigger") else w
+            for q in (started if isinstance(started, list) else [started]):
+                q.awaitTermination()
+                run.progress.extend(q.recentProgress)
+    finally:
+        spark.conf.set(key, saved)
     return run
 
 

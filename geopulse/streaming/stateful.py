@@ -16,10 +16,12 @@ state partitions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,13 +31,20 @@ from ..functions.exprs import DEG_TO_RAD, EARTH_RADIUS_KM
 from ..schema import LIVE_TTL_SECS
 
 
+# The processors travel to the Python workers by value (their code, not a
+# reference to this module), so executors and the driver-side state runner
+# need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def require_rocksdb(df: DataFrame) -> None:
-    """``transformWithStateInPandas`` keeps several state variables per key
-    (column families), which only the RocksDB state store supports.  The
-    provider is a runtime SQL setting, fixed per query by its checkpoint."""
+    """Prepare the session for ``transformWithStateInPandas``.
+
+    It keeps several state variables per key (column families), which only
+    the RocksDB state store supports; the provider is a runtime SQL setting,
+    fixed per query by its checkpoint."""
     spark = df.sparkSession
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:

@@ -133,6 +133,7 @@ def live_state_stream(enriched: DataFrame, ttl_secs: int = LIVE_TTL_SECS) -> Dat
 # Ordered release of a driver's pings
 # ---------------------------------------------------------------------------
 
+PENDING_COLUMNS = ["ping_id", "t", "latitude", "longitude", "status"]
 PENDING_SCHEMA = T.StructType([
     T.StructField("ping_id", T.LongType()), T.StructField("t", T.LongType()),
     T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()),
@@ -171,12 +172,11 @@ class _OrderedRelease(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
-        t = _micros(pdf["event_time"])
-        new = list(zip(pdf["ping_id"].astype("int64").tolist(), t.tolist(),
-                       pdf["latitude"].tolist(), pdf["longitude"].tolist(),
-                       pdf["status"].tolist()))
-        self.pending.appendList(new)
-        earliest = int(t.min())
+        new = pd.DataFrame({"ping_id": pdf["ping_id"].astype("int64"), "t": _micros(pdf["event_time"]),
+                            "latitude": pdf["latitude"], "longitude": pdf["longitude"],
+                            "status": pdf["status"]})
+        self.pending.appendList(list(new.itertuples(index=False, name=None)))
+        earliest = int(new["t"].min())
         cur = self.timer.get()[0] if self.timer.exists() else None
         if cur is None or earliest // 1000 + 1 < cur:
             self._schedule(earliest)
@@ -186,20 +186,22 @@ class _OrderedRelease(StatefulProcessor):
         self.timer.clear()
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         rows = list(self.pending.get()) if self.pending.exists() else []
-        ready = sorted((r for r in rows if r[1] < wm_us), key=lambda r: (r[1], r[0]))
-        rest = [r for r in rows if r[1] >= wm_us]
-        if rest:
-            self.pending.put(rest)
+        pend = pd.DataFrame(rows, columns=PENDING_COLUMNS)
+        due = pend["t"] < wm_us
+        ready = pend[due].sort_values(["t", "ping_id"], kind="stable").reset_index(drop=True)
+        rest = pend[~due]
+        if len(rest):
+            self.pending.put(list(rest.itertuples(index=False, name=None)))
         else:
             self.pending.clear()
-        self._schedule(min(r[1] for r in rest) if rest else None)
-        if not ready:
+        self._schedule(int(rest["t"].min()) if len(rest) else None)
+        if ready.empty:
             return
         out = self.release(key[0], ready)
         if out is not None and len(out):
             yield out
 
-    def release(self, driver: str, ready: list) -> pd.DataFrame | None:  # pragma: no cover
+    def release(self, driver: str, ready: pd.DataFrame) -> pd.DataFrame | None:  # pragma: no cover
         raise NotImplementedError
 
     def close(self) -> None:
@@ -223,17 +225,17 @@ class PreviousPingProcessor(_OrderedRelease):
 
     def release(self, driver, ready):
         prev = self.last.get() if self.last.exists() else None
-        seq = ([prev] if prev is not None else [None]) + ready
+        head = pd.DataFrame([prev if prev is not None else (None,) * len(PENDING_COLUMNS)],
+                            columns=PENDING_COLUMNS)
+        before = pd.concat([head, ready.iloc[:-1]], ignore_index=True)
         out = pd.DataFrame({
-            "ping_id": [r[0] for r in ready],
-            "driver_id": driver,
-            "event_time": _ts([r[1] for r in ready]),
-            "latitude": [r[2] for r in ready], "longitude": [r[3] for r in ready],
-            "prev_latitude": [p[2] if p is not None else None for p in seq[:-1]],
-            "prev_longitude": [p[3] if p is not None else None for p in seq[:-1]],
-            "prev_t": pd.array([p[1] if p is not None else None for p in seq[:-1]], dtype="Int64"),
-            "t": [r[1] for r in ready]})
-        self.last.update(ready[-1])
+            "ping_id": ready["ping_id"], "driver_id": driver,
+            "event_time": _ts(ready["t"]),
+            "latitude": ready["latitude"], "longitude": ready["longitude"],
+            "prev_latitude": before["latitude"].astype("float64"),
+            "prev_longitude": before["longitude"].astype("float64"),
+            "prev_t": before["t"].astype("Int64"), "t": ready["t"]})
+        self.last.update(tuple(ready.iloc[-1][PENDING_COLUMNS].tolist()))
         return out
 
 
@@ -275,28 +277,51 @@ class SegmentProcessor(_OrderedRelease):
         self.cur = handle.getValueState("current", SEG_STATE_SCHEMA)
 
     def release(self, driver, ready):
+        """Vectorised run detection over the released rows, continuing the
+        open run kept in state; every run but the last is closed."""
         cur = self.cur.get() if self.cur.exists() else None
-        closed = []
-        lat = np.array([r[2] for r in ready], dtype="float64")
-        lon = np.array([r[3] for r in ready], dtype="float64")
+        n = len(ready)
+        status = ready["status"]
+        prev_status = pd.Series([cur[4] if cur else None] + status.iloc[:-1].tolist(), dtype="object")
+        same = (status.to_numpy() == prev_status.to_numpy()) | (status.isna().to_numpy()
+                                                                 & prev_status.isna().to_numpy())
+        has_prev = np.ones(n, dtype=bool)
+        has_prev[0] = cur is not None
+        changed = ~has_prev | ~same
+        lat, lon = ready["latitude"].to_numpy("float64"), ready["longitude"].to_numpy("float64")
         plat = np.concatenate([[cur[2] if cur else np.nan], lat[:-1]])
         plon = np.concatenate([[cur[3] if cur else np.nan], lon[:-1]])
-        legs = np.rint(_haversine_np(plat, plon, lat, lon) * 1e6)
-        for i, r in enumerate(ready):
-            if cur is None or cur[4] != r[4]:
-                if cur is not None:
-                    closed.append((driver, cur[4], cur[5], cur[1], cur[6], cur[7]))
-                cur = (r[0], r[1], r[2], r[3], r[4], r[1], 1, 0)
-            else:
-                cur = (r[0], r[1], r[2], r[3], r[4], cur[5], cur[6] + 1, cur[7] + int(legs[i]))
-        self.cur.update(cur)
+        legs = np.where(changed, 0, np.rint(_haversine_np(plat, plon, lat, lon) * 1e6)).astype("int64")
+        run = np.cumsum(changed)
+        g = pd.DataFrame({"run": run, "t": ready["t"], "leg": legs, "status": status,
+                          "ping_id": ready["ping_id"], "latitude": lat, "longitude": lon})
+        runs = g.groupby("run", sort=True).agg(
+            t0=("t", "first"), t1=("t", "last"), pings=("t", "size"), dist=("leg", "sum"),
+            status=("status", "first"), last_id=("ping_id", "last"),
+            last_lat=("latitude", "last"), last_lon=("longitude", "last")).reset_index()
+        closed = []
+        if cur is not None:
+            if changed[0]:
+                closed.append((cur[4], cur[5], cur[1], cur[6], cur[7]))
+            else:  # run 0 continues the open run
+                i = runs.index[runs["run"] == 0][0]
+                runs.loc[i, "t0"] = cur[5]
+                runs.loc[i, "pings"] += cur[6]
+                runs.loc[i, "dist"] += cur[7]
+        for r in runs.iloc[:-1].itertuples(index=False):
+            closed.append((r.status, int(r.t0), int(r.t1), int(r.pings), int(r.dist)))
+        last = runs.iloc[-1]
+        st = None if pd.isna(last["status"]) else last["status"]
+        self.cur.update((int(last["last_id"]), int(last["t1"]), float(last["last_lat"]),
+                         float(last["last_lon"]), st, int(last["t0"]), int(last["pings"]),
+                         int(last["dist"])))
         if not closed:
             return None
         return pd.DataFrame({
-            "driver_id": [c[0] for c in closed], "status": [c[1] for c in closed],
-            "segment_start": _ts([c[2] for c in closed]), "segment_end": _ts([c[3] for c in closed]),
-            "pings": [c[4] for c in closed], "dist_micro": [c[5] for c in closed],
-            "t0": [c[2] for c in closed], "t1": [c[3] for c in closed]})
+            "driver_id": driver, "status": [c[0] for c in closed],
+            "segment_start": _ts([c[1] for c in closed]), "segment_end": _ts([c[2] for c in closed]),
+            "pings": [c[3] for c in closed], "dist_micro": [c[4] for c in closed],
+            "t0": [c[1] for c in closed], "t1": [c[2] for c in closed]})
 
 
 def segments_stream(pings: DataFrame) -> DataFrame:

@@ -8,9 +8,13 @@ cache and the anomaly output.
   and overwrites, so a retried batch replaces its own output instead of
   duplicating it.
 
-The cache is a versioned table: version ``b`` = latest row per driver over
-version ``b-1`` and batch ``b`` (older event times never win, so replays are
-idempotent).  An external key-value store can be plugged in with
+The cache is log-structured: each micro-batch writes only its own latest
+row per driver as a delta (O(batch), keyed by batch id); every
+``compact_every`` batches a snapshot folds the previous snapshot and the
+deltas since (a written table, which also bounds read-time lineage).  The
+current state is the latest snapshot plus later deltas, latest row per driver
+by ``(event_time, ping_id)``, so older event times never win and replays are
+idempotent.  An external key-value store can be plugged in with
 ``partition_writer``: a callable receiving an iterator of rows of one
 partition of the batch's latest-per-driver frame (one client per partition).
 """
@@ -29,31 +33,28 @@ from ..operators.live import LIVE_FIELDS, latest_per_driver
 from . import lake
 
 CACHE_COLUMNS = ["driver_id"] + LIVE_FIELDS
+CACHE_SCHEMA = ("driver_id string, latitude double, longitude double, h3_cell string, "
+                "status string, speed_kmh double, event_time timestamp, ping_id bigint")
 
 
 class CacheAndAnomalies:
-    """``foreachBatch`` body writing the cache version and the anomaly slice."""
+    """``foreachBatch`` body writing the cache delta and the anomaly slice."""
 
     def __init__(self, base: str, partition_writer: Callable[[Iterable], None] | None = None,
-                 max_lookback: int = 1000):
+                 compact_every: int = 20):
         self.base = base.rstrip("/")
         self.partition_writer = partition_writer
-        self.max_lookback = max_lookback
+        self.compact_every = compact_every
 
-    def cache_path(self, batch_id: int) -> str:
-        return f"{self.base}/cache/v={batch_id:012d}"
+    def delta_path(self, batch_id: int) -> str:
+        return f"{self.base}/cache/delta/batch={batch_id:012d}"
+
+    def snapshot_path(self, batch_id: int) -> str:
+        return f"{self.base}/cache/snapshot/v={batch_id:012d}"
 
     def anomaly_path(self, batch_id: int) -> str:
         return f"{self.base}/anomalies/batch={batch_id:012d}"
 
-    def previous_cache(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        for b in range(batch_id - 1, max(-1, batch_id - 1 - self.max_lookback), -1):
-            try:
-                return spark.read.parquet(self.cache_path(b))
-            except AnalysisException:
-                continue
-        return None
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -62,16 +63,46 @@ class CacheAndAnomalies:
             fresh = latest_per_driver(batch).select(*CACHE_COLUMNS)
             if self.partition_writer is not None:
                 fresh.foreachPartition(self.partition_writer)
-            prev = self.previous_cache(spark, batch_id)
-            merged = fresh if prev is None else latest_per_driver(prev.unionByName(fresh))
-            merged.select(*CACHE_COLUMNS).write.mode("overwrite").parquet(self.cache_path(batch_id))
+            fresh.write.mode("overwrite").parquet(self.delta_path(batch_id))
         finally:
             batch.unpersist()
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.state(spark, upto=batch_id).write.mode("overwrite").parquet(
+                self.snapshot_path(batch_id))
+
+    @staticmethod
+    def _read(spark: SparkSession, path: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            return None
+
+    def state(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        """Latest row per driver as of batch ``upto`` (default: all)."""
+        snaps = self._read(spark, f"{self.base}/cache/snapshot")
+        parts, since = [], -1
+        if snaps is not None:
+            if upto is not None:
+                snaps = snaps.filter(F.col("v") <= upto)
+            v = snaps.agg(F.max("v")).first()[0]
+            if v is not None:
+                since = v
+                parts.append(snaps.filter(F.col("v") == v).drop("v"))
+        deltas = self._read(spark, f"{self.base}/cache/delta")
+        if deltas is not None:
+            d = deltas.filter(F.col("batch") > since)
+            if upto is not None:
+                d = d.filter(F.col("batch") <= upto)
+            parts.append(d.drop("batch"))
+        if not parts:
+            return spark.createDataFrame([], CACHE_SCHEMA)
+        u = parts[0]
+        for other in parts[1:]:
+            u = u.unionByName(other)
+        return latest_per_driver(u).select(*CACHE_COLUMNS)
 
     def latest_cache(self, spark: SparkSession) -> DataFrame:
-        versions = spark.read.parquet(f"{self.base}/cache")
-        last = versions.agg(F.max("v")).scalar()
-        return versions.filter(F.col("v") == last).drop("v")
+        return self.state(spark)
 
     def all_anomalies(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.base}/anomalies").drop("batch")
@@ -79,14 +110,14 @@ class CacheAndAnomalies:
 
 def start_branches(enriched_stream: DataFrame, base: str, trigger: dict,
                    partition_writer: Callable[[Iterable], None] | None = None,
-                   records_per_object: int | None = None):
+                   records_per_object: int | None = None, compact_every: int = 20):
     """Start the lake query and the cache+anomaly query; returns both
     queries and the ``CacheAndAnomalies`` writer (for reading back)."""
     base = base.rstrip("/")
     lake_q = (lake.stream_to_lake(enriched_stream, f"{base}/lake", f"{base}/_ck_lake",
                                   records_per_object)
               .trigger(**trigger).start())
-    writer = CacheAndAnomalies(base, partition_writer)
+    writer = CacheAndAnomalies(base, partition_writer, compact_every)
     side_q = (enriched_stream.writeStream.foreachBatch(writer)
               .option("checkpointLocation", f"{base}/_ck_side")
               .trigger(**trigger).start())

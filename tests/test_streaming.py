@@ -59,3 +59,23 @@ def test_restart_no_duplicates(spark):
     back = to_ntz(read_output(spark, run))
     assert back.count() == p.count()
     assert back.select("ping_id").distinct().count() == p.count()
+
+
+def test_cache_compaction_equals_latest_state(spark):
+    from geopulse.operators import live as L
+    from geopulse.sinks.branch import start_branches
+    holder = {}
+
+    def writer(stream, run):
+        qs, side = start_branches(stream, run.output, {"availableNow": True}, compact_every=2)
+        holder["side"] = side
+        return qs
+
+    p = batch.pings(spark, SF)
+    run_replay(spark, p, E.enrich, "t-cache", chunks=5, writer=writer)
+    side = holder["side"]
+    snaps = spark.read.parquet(side.base + "/cache/snapshot")
+    assert snaps.select("v").distinct().count() >= 1
+    got = side.latest_cache(spark).select("driver_id", "ping_id")
+    want = L.latest_per_driver(E.enrich(p)).select("driver_id", "ping_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

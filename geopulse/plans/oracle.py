@@ -228,6 +228,11 @@ FROM (SELECT *, lead(segment_start) OVER (PARTITION BY driver_id ORDER BY segmen
       FROM ({SEGMENTS_SQL}) AS s) AS b
 WHERE next_start IS NOT NULL AND epoch_us(next_start) < {FINAL_WM_MS} * 1000"""
 
+STREAM_ACTIVE_SQL = _with(f"""
+SELECT driver_id, max(event_time) AS last_seen FROM pings
+GROUP BY driver_id
+HAVING epoch_ms(max(event_time)) + 300000 > {FINAL_WM_MS}""")
+
 STREAM_LIVE_SQL = f"""
 SELECT driver_id, latitude, longitude, h3_cell, status, speed_kmh, ts_str, event_time,
        CASE WHEN epoch_ms(event_time) + 60000 <= {FINAL_WM_MS} THEN 'EXPIRED' ELSE 'LIVE' END AS state

@@ -15,8 +15,10 @@ from ..operators import windows as W
 from ..plans import batch
 from ..functions.exprs import haversine_km
 from ..operators.live import ISO_MICROS
+from ..schema import ACTIVE_SET_TTL_SECS
 from ..plans.oracle import (
-    ORACLE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL, released_before_watermark, watermark_cut,
+    ORACLE_SQL, STREAM_ACTIVE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL, released_before_watermark,
+    watermark_cut,
 )
 from ..plans.oracle import BRANCH_COUNTS_SQL, late_data_sql
 from ..sinks.branch import start_branches
@@ -89,6 +91,17 @@ def final_live_state(emitted):
         F.date_format("s.event_time", ISO_MICROS).alias("ts_str"), "s.event_time", "s.state")
 
 
+def q_stream_active_drivers(spark, sf_dir):
+    """Active-driver set on a stream: the live state with a 300 s expiry;
+    drivers whose last ping has not expired at the end are active."""
+    emitted = _replay(spark, sf_dir,
+                      lambda s: live_state_stream(E.enrich(s), ttl_secs=ACTIVE_SET_TTL_SECS),
+                      "stream-active")
+    final = final_live_state(emitted)
+    return final.filter(F.col("state") == "LIVE").select(
+        "driver_id", F.col("event_time").alias("last_seen"))
+
+
 def q_stream_live_state(spark, sf_dir):
     emitted = _replay(spark, sf_dir, lambda s: live_state_stream(E.enrich(s)), "stream-live")
     return final_live_state(emitted)
@@ -140,6 +153,7 @@ STREAM_QUERIES = {
     "stream_derived_speed": q_stream_derived_speed,
     "stream_trip_segments": q_stream_trip_segments,
     "stream_live_state": q_stream_live_state,
+    "stream_active_drivers": q_stream_active_drivers,
     "stream_late_data": q_stream_late_data,
     "branch_counts": q_branch_counts,
 }
@@ -155,6 +169,7 @@ STREAM_ORACLES = {
     "stream_derived_speed": released_before_watermark(ORACLE_SQL["derived_speed"], "event_time"),
     "stream_trip_segments": STREAM_SEGMENTS_SQL,
     "stream_live_state": STREAM_LIVE_SQL,
+    "stream_active_drivers": STREAM_ACTIVE_SQL,
     "stream_late_data": late_data_sql(LATE_ORDER, CHUNKS),
     "branch_counts": BRANCH_COUNTS_SQL,
 }

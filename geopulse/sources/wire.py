@@ -95,7 +95,8 @@ def encode(pings: DataFrame, time_encoding: str = "iso") -> DataFrame:
 
 def encode_mixed(pings: DataFrame) -> DataFrame:
     """Messages whose time encoding rotates with ``ping_id`` (0 iso, 1
-    ts_str, 2 millis) — exercises every decoder branch on real rows."""
+    ts_str, 2 millis) — exercises every decoder branch on real rows.
+    ``event_time`` is kept beside ``key``/``value`` for time-ordered landing."""
     t = F.col("event_time").cast("timestamp")
     iso = F.date_format(t, ISO_MICROS)
     k = F.pmod(F.col("ping_id"), F.lit(3))
@@ -104,7 +105,8 @@ def encode_mixed(pings: DataFrame) -> DataFrame:
               F.when(k == 1, iso).alias("ts_str"),
               F.when(k == 0, iso).when(k == 2, F.unix_millis(t).cast("string")).alias("timestamp"),
               F.col("trip_duration_secs")]
-    return pings.select(F.col("driver_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    return pings.select(F.col("driver_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"),
+                        F.col("event_time"))
 
 
 def to_canonical(decoded: DataFrame) -> DataFrame:

@@ -38,6 +38,13 @@ def q_stream_ping_scan(spark, sf_dir):
     return _replay(spark, sf_dir, None, "stream-scan")
 
 
+def q_stream_json_decode(spark, sf_dir):
+    """The ingestion path on a stream: JSON messages with rotating time
+    encodings decoded by the streaming source (quarantine split off)."""
+    from ..sources import wire
+    return _replay(spark, sf_dir, wire.to_canonical, "stream-decode", wire_format=True)
+
+
 def q_stream_anomalies(spark, sf_dir):
     return _replay(spark, sf_dir, lambda s: E.anomalies(E.enrich(s)), "stream-anomalies")
 
@@ -145,6 +152,7 @@ def q_branch_counts(spark, sf_dir):
 
 STREAM_QUERIES = {
     "stream_ping_scan": q_stream_ping_scan,
+    "stream_json_decode": q_stream_json_decode,
     "stream_anomalies": q_stream_anomalies,
     "stream_zone_occupancy": q_stream_zone_occupancy,
     "stream_perf_metrics": q_stream_perf_metrics,
@@ -160,6 +168,7 @@ STREAM_QUERIES = {
 
 STREAM_ORACLES = {
     "stream_ping_scan": ORACLE_SQL["ping_scan"],
+    "stream_json_decode": ORACLE_SQL["json_decode"],
     "stream_anomalies": ORACLE_SQL["anomalies"],
     "stream_zone_occupancy": watermark_cut(ORACLE_SQL["zone_occupancy"], "window_end"),
     "stream_perf_metrics": watermark_cut(ORACLE_SQL["perf_metrics"],

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..schema import WATERMARK_DELAY
 from ..session import ensure_utc, scratch_dir
+from ..sources import files, wire
 from ..sources.events import to_stream_time
 
 
@@ -53,14 +54,19 @@ def time_chunks(pings: DataFrame, chunks: int) -> list:
     return [lo + step * i for i in range(1, chunks)]
 
 
-def land_chunk(pings: DataFrame, landing: str, lower: int | None, upper: int | None) -> None:
+def land_chunk(pings: DataFrame, landing: str, lower: int | None, upper: int | None,
+               as_text: bool = False) -> None:
     us = F.unix_micros(F.col("event_time"))
     cond = F.lit(True)
     if lower is not None:
         cond = cond & (us >= F.lit(lower))
     if upper is not None:
         cond = cond & (us < F.lit(upper))
-    pings.filter(cond).write.mode("append").parquet(landing)
+    chunk = pings.filter(cond)
+    if as_text:
+        chunk.select("value").write.mode("append").text(landing)
+    else:
+        chunk.write.mode("append").parquet(landing)
 
 
 def run_replay(spark: SparkSession, pings: DataFrame,
@@ -69,13 +75,16 @@ def run_replay(spark: SparkSession, pings: DataFrame,
                order: list[int] | None = None,
                writer: Callable[[DataFrame, ReplayRun], object] | None = None,
                watermark: str | None = WATERMARK_DELAY,
-               state_partitions: int | None = None) -> ReplayRun:
+               state_partitions: int | None = None, wire_format: bool = False) -> ReplayRun:
     """Land ``pings`` chunk by chunk and run the streaming query after each.
 
     ``build`` maps the watermarked source stream to the result stream (parquet
     file sink, append mode).  ``writer`` replaces the sink entirely: it gets
     the result stream and the run's folders and returns a started query or a
     ``DataStreamWriter``.  ``order`` permutes chunk delivery (late data tests).
+    With ``wire_format`` the chunks are landed as JSON-lines messages (time
+    encodings rotating by ping id) and read back through the streaming
+    decoder, so ``build`` sees decoded pings; the quarantine is not written.
     ``state_partitions`` (default: the context's parallelism) is the shuffle
     partition count the stateful operators are created with; a checkpoint
     keeps it for life, so it is set while the replay runs and then restored.
@@ -92,8 +101,13 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
     try:
         for i in (order if order is not None else range(len(parts))):
-            land_chunk(src, run.landing, *parts[i])
-            stream = stream_source(spark, run.landing, src.schema, watermark)
+            if wire_format:
+                land_chunk(wire.encode_mixed(src).select("value", "event_time"), run.landing,
+                           *parts[i], as_text=True)
+                stream = files.read_wire_stream(spark, run.landing, watermark or WATERMARK_DELAY)[0]
+            else:
+                land_chunk(src, run.landing, *parts[i])
+                stream = stream_source(spark, run.landing, src.schema, watermark)
             result = build(stream) if build else stream
             if writer is not None:
                 w = writer(result, run)

@@ -52,14 +52,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="geopulse-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
+        return int(spark.conf.get("spark.default.parallelism", str(fallback)))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, never reused sub-folder of the checkpoint root for one run."""
     root = checkpoint_root(spark)

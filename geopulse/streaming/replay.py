@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import WATERMARK_DELAY
-from ..session import ensure_utc, scratch_dir
+from ..session import default_parallelism, ensure_utc, scratch_dir
 from ..sources import files, wire
 from ..sources.events import to_stream_time
 
@@ -98,7 +98,7 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     parts = [(edges[i], edges[i + 1]) for i in range(len(edges) - 1)]
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, str(state_partitions or default_parallelism(spark)))
     try:
         for i in (order if order is not None else range(len(parts))):
             if wire_format:

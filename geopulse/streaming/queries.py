@@ -10,19 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.exprs import haversine_km
 from ..operators import enrich as E
 from ..operators import windows as W
-from ..plans import batch
-from ..functions.exprs import haversine_km
 from ..operators.live import ISO_MICROS
-from ..schema import ACTIVE_SET_TTL_SECS
+from ..plans import batch
 from ..plans.oracle import (
-    ORACLE_SQL, STREAM_ACTIVE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL, released_before_watermark,
-    watermark_cut,
+    BRANCH_COUNTS_SQL, ORACLE_SQL, STREAM_ACTIVE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL,
+    late_data_sql, released_before_watermark, watermark_cut,
 )
-from ..plans.oracle import BRANCH_COUNTS_SQL, late_data_sql
+from ..schema import ACTIVE_SET_TTL_SECS
 from ..sinks.branch import start_branches
 from ..sinks.lake import read_lake
+from ..sources import wire
 from .replay import read_output, run_replay, to_ntz
 from .stateful import live_state_stream, previous_ping_stream, segments_stream
 
@@ -41,7 +41,6 @@ def q_stream_ping_scan(spark, sf_dir):
 def q_stream_json_decode(spark, sf_dir):
     """The ingestion path on a stream: JSON messages with rotating time
     encodings decoded by the streaming source (quarantine split off)."""
-    from ..sources import wire
     return _replay(spark, sf_dir, wire.to_canonical, "stream-decode", wire_format=True)
 
 
@@ -182,5 +181,3 @@ STREAM_ORACLES = {
     "stream_late_data": late_data_sql(LATE_ORDER, CHUNKS),
     "branch_counts": BRANCH_COUNTS_SQL,
 }
-
-__all__ = ["STREAM_QUERIES", "STREAM_ORACLES", "F"]

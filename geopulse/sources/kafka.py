@@ -59,3 +59,12 @@ def write_pings(pings: DataFrame, bootstrap: str, topic: str, checkpoint: str,
     return (wire.encode(pings, time_encoding).writeStream.format("kafka")
             .options(**sink_options(bootstrap, topic))
             .option("checkpointLocation", checkpoint))
+
+
+def write_json(df: DataFrame, key_col: str, bootstrap: str, topic: str, checkpoint: str):
+    """Any result stream (e.g. the anomaly side output) as keyed JSON
+    messages on its own topic; returns the writer."""
+    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    return (df.select(F.col(key_col).cast("string").alias("key"), value.alias("value"))
+            .writeStream.format("kafka").options(**sink_options(bootstrap, topic))
+            .option("checkpointLocation", checkpoint))

@@ -110,3 +110,44 @@ def test_late_rows_fixture_one_file_per_batch(spark):
     out = spark.read.parquet(base + "/out")
     first_window = out.filter(F.col("window.start") == F.lit(T0).cast("timestamp"))
     assert first_window.agg(F.sum("count")).first()[0] == 4  # 3 on time + the accepted late row
+
+
+def test_failed_batch_is_rerun_without_duplicates(spark):
+    """A micro-batch that fails after writing some of its output is re-run
+    from the checkpoint on restart; batch-keyed overwrites leave no
+    duplicate anomalies and no stale cache rows."""
+    from geopulse.session import scratch_dir
+    from geopulse.sinks.branch import CacheAndAnomalies
+    from geopulse.streaming.replay import stream_source
+    from geopulse.sources.events import to_stream_time
+
+    base = scratch_dir(spark, "t-retry")
+    p = to_stream_time(batch.pings(spark, SF))
+    p.write.parquet(base + "/landing")
+    state = {"failed": False}
+
+    class FailOnce(CacheAndAnomalies):
+        def __call__(self, df, batch_id):
+            if not state["failed"]:
+                # write part of the batch's output, then die
+                E.anomalies(df).limit(3).write.mode("overwrite").parquet(self.anomaly_path(batch_id))
+                state["failed"] = True
+                raise RuntimeError("simulated executor loss")
+            super().__call__(df, batch_id)
+
+    def start(writer):
+        src = stream_source(spark, base + "/landing", p.schema)
+        return (E.enrich(src).writeStream.foreachBatch(writer)
+                .option("checkpointLocation", base + "/ck").trigger(availableNow=True).start())
+
+    q = start(FailOnce(base + "/side"))
+    try:
+        q.awaitTermination()
+    except Exception:  # noqa: BLE001 - the simulated failure
+        pass
+    assert state["failed"]
+    side = FailOnce(base + "/side")
+    start(side).awaitTermination()
+    e = E.enrich(batch.pings(spark, SF))
+    assert side.all_anomalies(spark).count() == E.anomalies(e).count()
+    assert side.latest_cache(spark).count() == e.select("driver_id").distinct().count()

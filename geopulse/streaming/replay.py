@@ -1,7 +1,8 @@
 """Replay a ping table through a streaming query (Kappa replay, T8).
 
-The table is landed as parquet in time-ordered chunks under the shared
-checkpoint folder; after each chunk the query runs with
+The table is staged once, split into time chunks, under the shared
+checkpoint folder; the chunks are then landed one at a time, and after each
+the query runs with
 ``trigger(availableNow=True)`` and resumes from its checkpoint, the way a live
 source delivers data over time (and a restart from the checkpoint is
 exercised on every chunk).  The sink is Spark's file sink, whose metadata log
@@ -54,15 +55,30 @@ def time_chunks(pings: DataFrame, chunks: int) -> list:
     return [lo + step * i for i in range(1, chunks)]
 
 
-def land_chunk(pings: DataFrame, landing: str, lower: int | None, upper: int | None,
-               as_text: bool = False) -> None:
+def chunk_id(bounds: list[int]) -> F.Column:
+    """Index of the time chunk a row falls in: the number of inner bounds at
+    or below its event time (microseconds)."""
     us = F.unix_micros(F.col("event_time"))
-    cond = F.lit(True)
-    if lower is not None:
-        cond = cond & (us >= F.lit(lower))
-    if upper is not None:
-        cond = cond & (us < F.lit(upper))
-    chunk = pings.filter(cond)
+    out = F.lit(0)
+    for b in bounds:
+        out = out + F.when(us >= F.lit(b), 1).otherwise(0)
+    return out
+
+
+def stage_chunks(pings: DataFrame, staging: str, bounds: list[int], as_text: bool = False) -> None:
+    """One pass over the input: rows written under ``_chunk=i`` folders, so
+    landing a chunk later reads only its own folder (partition pruning)."""
+    staged = pings.withColumn("_chunk", chunk_id(bounds))
+    if as_text:
+        staged = staged.select("value", "_chunk")
+    staged.write.mode("overwrite").partitionBy("_chunk").parquet(staging)
+
+
+def land_chunk(spark: SparkSession, staging: str, landing: str, i: int, as_text: bool = False) -> None:
+    try:
+        chunk = spark.read.parquet(staging).filter(F.col("_chunk") == i).drop("_chunk")
+    except Exception:  # noqa: BLE001 - nothing staged at all (empty input)
+        return
     if as_text:
         chunk.select("value").write.mode("append").text(landing)
     else:
@@ -94,19 +110,18 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     run = ReplayRun(base, base + "/landing", base + "/out", base + "/checkpoint", [])
     src = to_stream_time(pings)
     bounds = time_chunks(src, chunks)
-    edges = [None] + bounds + [None]
-    parts = [(edges[i], edges[i + 1]) for i in range(len(edges) - 1)]
+    staged_rows = wire.encode_mixed(src).select("value", "event_time") if wire_format else src
+    stage_chunks(staged_rows, base + "/staging", bounds, as_text=wire_format)
+    n_parts = len(bounds) + 1
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or default_parallelism(spark)))
     try:
-        for i in (order if order is not None else range(len(parts))):
+        for i in (order if order is not None else range(n_parts)):
+            land_chunk(spark, base + "/staging", run.landing, i, as_text=wire_format)
             if wire_format:
-                land_chunk(wire.encode_mixed(src).select("value", "event_time"), run.landing,
-                           *parts[i], as_text=True)
                 stream = files.read_wire_stream(spark, run.landing, watermark or WATERMARK_DELAY)[0]
             else:
-                land_chunk(src, run.landing, *parts[i])
                 stream = stream_source(spark, run.landing, src.schema, watermark)
             result = build(stream) if build else stream
             if writer is not None:

@@ -41,3 +41,14 @@ def test_encoded_key_is_driver(spark):
     e = wire.encode(p, "millis")
     assert e.columns == ["key", "value"]
     assert e.filter(~F.col("value").contains(F.col("key"))).count() == 0
+
+
+def test_missing_non_time_field_is_kept_with_nulls(spark):
+    from geopulse.operators import enrich as E
+    msgs = ['{"ping_id":1,"driver_id":"DRV_1","latitude":28.6,"longitude":77.2,'
+            '"status":"available","ts_str":"2026-05-17T10:00:00"}']
+    good, bad = wire.decode_with_quarantine(spark.createDataFrame([(m,) for m in msgs], "value string"))
+    assert bad.count() == 0
+    (row,) = E.enrich(good).collect()
+    assert row.speed_kmh is None and row.anomaly_type is None and row.trip_category is None
+    assert row.h3_cell.startswith("hx_")

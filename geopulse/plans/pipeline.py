@@ -33,7 +33,7 @@ OUTPUTS = {
 def start_pipeline(spark: SparkSession, pings: DataFrame, base: str,
                    trigger: dict | None = None, quarantine: DataFrame | None = None,
                    outputs: list[str] | None = None, branches: bool = True,
-                   partition_writer=None) -> dict:
+                   partition_writer=None, records_per_object: int | None = None) -> dict:
     """Start every output over ``pings`` (a watermarked stream).
 
     Results go to ``{base}/{name}`` as parquet (append mode, exactly-once via
@@ -57,7 +57,8 @@ def start_pipeline(spark: SparkSession, pings: DataFrame, base: str,
                                  .option("checkpointLocation", f"{base}/_checkpoints/quarantine")
                                  .trigger(**trigger).start())
     if branches:
-        qs, writer = start_branches(E.enrich(pings), f"{base}/branches", trigger, partition_writer)
+        qs, writer = start_branches(E.enrich(pings), f"{base}/branches", trigger, partition_writer,
+                                    records_per_object)
         started["lake"], started["cache"] = qs
         started["_cache_writer"] = writer
     return started

@@ -72,3 +72,15 @@ def test_optional_h3():
     from geopulse.functions import h3cell
     if not h3cell.AVAILABLE:
         pytest.skip("h3 not installed")
+
+
+def test_command_line_pipeline(spark):
+    """``python -m geopulse --files ... --available-now`` over wire files."""
+    from geopulse.__main__ import main
+    base = scratch_dir(spark, "t-cli")
+    wire.encode_mixed(batch.pings(spark, SF)).select("value").write.text(base + "/landing")
+    main(["--files", base + "/landing", "--out", base + "/out", "--available-now",
+          "--outputs", "zone_occupancy,anomalies"])
+    assert spark.read.parquet(base + "/out/zone_occupancy").count() > 0
+    assert spark.read.parquet(base + "/out/anomalies").count() > 0
+    assert spark.read.text(base + "/out/branches/lake").count() == 1000

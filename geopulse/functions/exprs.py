@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import (
@@ -116,6 +116,31 @@ def hex_cell(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude",
     return F.when(_c(lat).isNull() | _c(lon).isNull(), F.lit(None).cast("string")).otherwise(out)
 
 
+def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
+                  resolution: int = HEX_RESOLUTION, out: str = "h3_cell") -> DataFrame:
+    """``hex_cell`` as staged projections: each intermediate (axial q, r, s,
+    their roundings and residuals) is a column computed once.  The single
+    expression repeats them inside CASE branches, where subexpression
+    elimination does not reach (several times slower); Catalyst keeps these
+    projections apart because their expensive outputs are used more than
+    once, and whole-stage codegen fuses them.  Same ids as ``hex_cell``."""
+    e = hex_edge(resolution)
+    c = F.col
+    staged = df.withColumns({
+        "_hq": (F.lit(HEX_SQRT3_OVER_3) * (c(lon) * HEX_KX) - (c(lat) * HEX_KY) / 3.0) / e,
+        "_hr": (F.lit(2.0) * (c(lat) * HEX_KY) / 3.0) / e,
+    }).withColumn("_hs", -c("_hq") - c("_hr"))
+    staged = staged.withColumns({f"_r{k}": F.floor(c(f"_h{k}") + 0.5) for k in "qrs"})
+    staged = staged.withColumns({f"_d{k}": F.abs(c(f"_r{k}") - c(f"_h{k}")) for k in "qrs"})
+    q_fix = (c("_dq") > c("_dr")) & (c("_dq") > c("_ds"))
+    r_fix = ~q_fix & (c("_dr") > c("_ds"))
+    qi = F.when(q_fix, -c("_rr") - c("_rs")).otherwise(c("_rq")).cast("bigint")
+    ri = F.when(r_fix, -c("_rq") - c("_rs")).otherwise(c("_rr")).cast("bigint")
+    cell = F.concat(F.lit("hx_"), qi.cast("string"), F.lit("_"), ri.cast("string"))
+    temps = [f"_{a}{k}" for a in "hrd" for k in "qrs"]
+    return staged.withColumn(out, cell).drop(*temps)
+
+
 # --------------------------------------------------------------------------
 # Exact rounding of means and percentages
 # --------------------------------------------------------------------------

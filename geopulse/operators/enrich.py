@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import anomaly_type, hex_cell, trip_category
+from ..functions.exprs import anomaly_type, trip_category, with_hex_cell
 from ..schema import ANOMALY_NORMAL, HEX_RESOLUTION, PING_COLUMNS, STATUS_ON_TRIP
 
 ENRICHED_COLUMNS = PING_COLUMNS + ["h3_cell", "anomaly_type", "trip_category"]
@@ -21,8 +21,7 @@ def enrich(pings: DataFrame, resolution: int = HEX_RESOLUTION,
     ``processing_time`` is ``current_timestamp()``, constant within a query (or
     a micro-batch), so it is left out of anything compared across engines.
     """
-    out = pings.withColumns({
-        "h3_cell": hex_cell("latitude", "longitude", resolution),
+    out = with_hex_cell(pings, "latitude", "longitude", resolution).withColumns({
         "anomaly_type": anomaly_type("speed_kmh", "status"),
         "trip_category": trip_category("trip_duration_secs"),
     })

@@ -119,9 +119,12 @@ def haversine_legs(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
 def derived_speed(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Speed over the leg from the previous ping: km / seconds * 3600, 2 digits,
     0 when the interval is not positive, NULL for a driver's first ping."""
-    p = with_previous(pings, bucket)
-    km = haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude")
-    secs = (F.col("_t") - F.col("prev__t")) / F.lit(1e6)
+    # distance and interval as columns: each is used inside and outside a
+    # CASE branch, which subexpression elimination would not share
+    p = with_previous(pings, bucket).withColumns({
+        "_km": haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude"),
+        "_secs": (F.col("_t") - F.col("prev__t")) / F.lit(1e6)})
+    km, secs = F.col("_km"), F.col("_secs")
     speed = F.when(F.col("prev__t").isNull(), F.lit(None).cast("double")) \
         .when(secs > 0, F.round(km / secs * 3600.0, 2)).otherwise(F.lit(0.0))
     return p.select("ping_id", "driver_id", "event_time",

@@ -99,3 +99,14 @@ def test_sql_functions_equal_column_functions(spark):
     col = p.select("ping_id", X.hex_cell(resolution=9).alias("h9"), X.hex_cell(resolution=7).alias("h7"),
                    X.anomaly_type().alias("a"), X.trip_category().alias("c"))
     assert sql.exceptAll(col).count() == 0 and col.exceptAll(sql).count() == 0
+
+
+def test_staged_hex_equals_single_expression(spark):
+    from geopulse.plans import batch
+    p = batch.pings(spark, "/root/testdata/sf0.01").union(
+        spark.createDataFrame([(-1, "DRV_X", None, 77.2, "available", 1.0, 0, None)], batch.pings(
+            spark, "/root/testdata/sf0.001").schema))
+    for res in (9, 7, 11):
+        a = p.select("ping_id", X.hex_cell(resolution=res).alias("h"))
+        b = X.with_hex_cell(p, resolution=res, out="h").select("ping_id", "h")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

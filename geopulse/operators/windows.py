@@ -155,19 +155,11 @@ def perf_metrics_sliding(enriched: DataFrame, size: str = METRIC_WINDOW,
     pane_rows = _metric_rows(enriched, F.window("event_time", slide))
     per_pane = pane_rows.groupBy("window", "kind", "value").agg(
         F.sum("n").alias("n"), F.sum("trips").alias("trips"), F.sum("anoms").alias("anoms"))
-    # Each pane [p, p+slide) lies in the windows starting at p - k*slide, k < size/slide.
-    k = size_us // slide_us
-    offsets = F.sequence(F.lit(0), F.lit(k - 1))
-    fanned = (per_pane
-              .select("kind", "value", "n", "trips", "anoms",
-                      F.col("window.start").alias("_pane"),
-                      F.explode(offsets).alias("_k"))
-              .withColumn("_ws", F.timestamp_add(
-                  "MICROSECOND", -F.col("_k") * F.lit(slide_us), F.col("_pane")))
-              .select(F.struct(F.col("_ws").alias("start"),
-                               F.timestamp_add("MICROSECOND", F.lit(size_us), F.col("_ws"))
-                               .alias("end")).alias("window"),
-                      "kind", "value", "n", "trips", "anoms"))
+    # A pane [p, p+slide) lies in exactly the sliding windows that contain
+    # its start instant p: Spark's sliding window over p fans it out.
+    fanned = per_pane.select(
+        F.window(F.col("window.start"), size, slide).alias("window"),
+        "kind", "value", "n", "trips", "anoms")
     return _metric_select(_metric_levels(fanned), "window_start", with_end=True)
 
 

@@ -42,7 +42,11 @@ def read_pings(spark: SparkSession, bootstrap: str, topic: str, watermark: str =
     undecodable messages with a reason and can be written to its own sink.
     """
     raw = spark.readStream.format("kafka").options(**source_options(bootstrap, topic, **kw)).load()
-    good, bad = wire.decode_with_quarantine(raw.select(F.col("value").cast("string").alias("value")))
+    # Without a ping_id in the payload, (partition, offset) orders a driver's
+    # pings as they arrived (the producer keys every driver to one partition).
+    offset_id = F.shiftleft(F.col("partition").cast("bigint"), 40) + F.col("offset")
+    msgs = raw.select(F.col("value").cast("string").alias("value"), offset_id.alias("_offset_id"))
+    good, bad = wire.decode_with_quarantine(msgs, fallback_id="_offset_id")
     return good.withWatermark("event_time", watermark), bad
 
 

@@ -26,20 +26,27 @@ def _parsed(messages: DataFrame, value_col: str) -> DataFrame:
     return messages.withColumn("_m", F.from_json(F.col(value_col).cast("string"), _DECODE_SCHEMA, opts))
 
 
-def decode_with_quarantine(messages: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
+                           fallback_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split raw messages into (pings, quarantine).
 
     ``pings`` has the canonical columns plus ``trip_distance_km``; the
     duration is taken from either spelling, the time from any of the three
     encodings.  ``quarantine`` has ``raw`` and ``reason``.
+
+    Producers need not send ``ping_id`` (the tie-break between pings of a
+    driver with equal event time).  When it is absent it comes from
+    ``fallback_id`` (e.g. the source offset) or else from a 64-bit hash of the
+    message text, deterministic across replays.
     """
     p = _parsed(messages, value_col)
     m = F.col("_m")
     not_json = m.isNull() | m[CORRUPT_COL].isNotNull()
     event_time = parse_event_time(m["ts_str"], m["timestamp"])
     p = p.withColumns({"_bad": not_json, "_et": event_time})
+    fallback = F.col(fallback_id) if fallback_id else F.xxhash64(F.col(value_col).cast("string"))
     good = (p.filter(~F.col("_bad") & F.col("_et").isNotNull())
-            .select(m["ping_id"].alias("ping_id"),
+            .select(F.coalesce(m["ping_id"], fallback).alias("ping_id"),
                     m["driver_id"].alias("driver_id"),
                     m["latitude"].alias("latitude"),
                     m["longitude"].alias("longitude"),
@@ -55,8 +62,8 @@ def decode_with_quarantine(messages: DataFrame, value_col: str = "value") -> tup
     return good, bad
 
 
-def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    return decode_with_quarantine(messages, value_col)[0]
+def decode(messages: DataFrame, value_col: str = "value", fallback_id: str | None = None) -> DataFrame:
+    return decode_with_quarantine(messages, value_col, fallback_id)[0]
 
 
 def quarantine(messages: DataFrame, value_col: str = "value") -> DataFrame:

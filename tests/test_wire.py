@@ -52,3 +52,15 @@ def test_missing_non_time_field_is_kept_with_nulls(spark):
     (row,) = E.enrich(good).collect()
     assert row.speed_kmh is None and row.anomaly_type is None and row.trip_category is None
     assert row.h3_cell.startswith("hx_")
+
+
+def test_ping_id_filled_when_absent(spark):
+    msgs = ['{"driver_id":"DRV_7","latitude":28.6,"longitude":77.2,"status":"on_trip",'
+            '"speed_kmh":1.0,"timestamp":"2026-05-17T10:00:00","trip_duration_secs":0}',
+            '{"ping_id":42,"driver_id":"DRV_7","latitude":28.6,"longitude":77.2,"status":"on_trip",'
+            '"speed_kmh":1.0,"timestamp":"2026-05-17T10:00:00","trip_duration_secs":0}']
+    df = spark.createDataFrame([(m, 1000 + i) for i, m in enumerate(msgs)], "value string, off long")
+    ids = sorted(r.ping_id for r in wire.decode(df).collect())
+    assert None not in ids and 42 in ids
+    assert sorted(r.ping_id for r in wire.decode(df).collect()) == ids  # deterministic
+    assert sorted(r.ping_id for r in wire.decode(df, fallback_id="off").collect()) == [42, 1000]

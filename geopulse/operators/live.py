@@ -29,11 +29,14 @@ def latest_per_driver(enriched: DataFrame) -> DataFrame:
             .select("driver_id", *[F.col(f"s.{c}").alias(c) for c in LIVE_FIELDS]))
 
 
-def live_state(enriched: DataFrame) -> DataFrame:
-    """The cache value of every driver: position, zone, status, speed, time."""
+def live_state(enriched: DataFrame, last_update: bool = False) -> DataFrame:
+    """The cache value of every driver: position, zone, status, speed, time;
+    with ``last_update`` also the processing-time stamp of the write (a clock
+    column, left out of anything compared across engines)."""
     last = latest_per_driver(enriched)
-    return last.select("driver_id", "latitude", "longitude", "h3_cell", "status", "speed_kmh",
-                       iso_string(F.col("event_time")).alias("ts_str"), "event_time")
+    out = last.select("driver_id", "latitude", "longitude", "h3_cell", "status", "speed_kmh",
+                      iso_string(F.col("event_time")).alias("ts_str"), "event_time")
+    return out.withColumn("last_update", F.current_timestamp()) if last_update else out
 
 
 def live_state_with_expiry(enriched: DataFrame, as_of: Column | None = None,

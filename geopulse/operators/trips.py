@@ -20,7 +20,9 @@ What crosses a bucket edge is carried by **boundary rows**, not by a join:
 
 Status runs that continue across bucket edges are stitched with facts the
 summary already holds (see ``trip_segments``), so no second pass over the
-windowed pings is needed.
+windowed pings is needed.  A bucket that is itself hot is split into
+equal-time sub-buckets first (see ``_bucketed``); the bucket key is then the
+ordered pair (bucket, sub-bucket) and everything above works unchanged.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Run the live pipeline: ``python -m geopulse`` or ``spark-submit`` this file.
+"""Run the live application: ``python -m geopulse`` or ``spark-submit`` this file.
 
 Examples::
 
@@ -20,13 +20,13 @@ import sys
 if __package__ in (None, ""):  # run as a file by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from geopulse.plans.pipeline import DEFAULT_TRIGGER, OUTPUTS, await_all, start_pipeline  # noqa: E402
+from geopulse.plans.live_app import DEFAULT_TRIGGER, OUTPUTS, await_all, start_live_app  # noqa: E402
 from geopulse.schema import WATERMARK_DELAY  # noqa: E402
 from geopulse.session import RECOMMENDED_CONF  # noqa: E402
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
-    p = argparse.ArgumentParser(prog="geopulse", description="fleet telemetry pipeline")
+    p = argparse.ArgumentParser(prog="geopulse", description="fleet telemetry streaming application")
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", metavar="BOOTSTRAP", help="Kafka bootstrap servers")
     src.add_argument("--files", metavar="PATH", help="folder of JSON-lines messages")
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         from geopulse.sources import files
         pings, bad = files.read_wire_stream(spark, args.files, args.watermark)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
-    started = start_pipeline(spark, pings, args.out, trigger=trigger, quarantine=bad,
+    started = start_live_app(spark, pings, args.out, trigger=trigger, quarantine=bad,
                              outputs=[o for o in args.outputs.split(",") if o],
                              branches=not args.no_branches,
                              records_per_object=args.records_per_object)

@@ -30,7 +30,7 @@ OUTPUTS = {
 }
 
 
-def start_pipeline(spark: SparkSession, pings: DataFrame, base: str,
+def start_live_app(spark: SparkSession, pings: DataFrame, base: str,
                    trigger: dict | None = None, quarantine: DataFrame | None = None,
                    outputs: list[str] | None = None, branches: bool = True,
                    partition_writer=None, records_per_object: int | None = None) -> dict:

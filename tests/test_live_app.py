@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geopulse.operators import enrich as E
 from geopulse.operators import windows as W
 from geopulse.plans import batch
-from geopulse.plans.pipeline import await_all, start_pipeline
+from geopulse.plans.live_app import await_all, start_live_app
 from geopulse.session import scratch_dir
 from geopulse.sinks.monitor import DeliveryReport
 from geopulse.sources import files, kafka, wire
@@ -28,7 +28,7 @@ def test_pipeline_from_wire_files(spark):
     spark.streams.addListener(report)
     try:
         pings, bad = files.read_wire_stream(spark, landing)
-        started = start_pipeline(spark, pings, base + "/out", trigger={"availableNow": True},
+        started = start_live_app(spark, pings, base + "/out", trigger={"availableNow": True},
                                  quarantine=bad)
         await_all(started)
     finally:

@@ -17,8 +17,8 @@ from geopulse.sources.events import read_events
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_from_wire_files(spark):
-    base = scratch_dir(spark, "t-pipeline")
+def test_live_app_from_wire_files(spark):
+    base = scratch_dir(spark, "t-live-app")
     landing = base + "/landing"
     msgs = wire.encode_mixed(batch.pings(spark, SF)).select("value")
     foreign = read_events(spark, SF).select(F.col("props").alias("value"))
@@ -74,7 +74,7 @@ def test_optional_h3():
         pytest.skip("h3 not installed")
 
 
-def test_command_line_pipeline(spark):
+def test_command_line_live_app(spark):
     """``python -m geopulse --files ... --available-now`` over wire files."""
     from geopulse.__main__ import main
     base = scratch_dir(spark, "t-cli")

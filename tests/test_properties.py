@@ -1,5 +1,6 @@
 """Properties over real rows: input order does not matter; segments cover
 every ping once."""
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -50,3 +51,23 @@ def test_stream_equals_batch_cut_for_any_chunking(spark, chunks):
     wm = p.agg(F.max("event_time")).first()[0] - dt.timedelta(seconds=10)
     want = W.zone_occupancy(E.enrich(p)).filter(F.col("window_end") <= F.lit(wm))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("name", ["perf_metrics", "perf_metrics_sliding", "trip_sessions",
+                                  "trip_segments", "derived_speed", "live_state", "zone_counts"])
+def test_batch_results_independent_of_input_order(spark, name):
+    from geopulse.operators import enrich as E
+    from geopulse.operators import live as L
+    ops = {
+        "perf_metrics": lambda p: W.perf_metrics(E.enrich(p)),
+        "perf_metrics_sliding": lambda p: W.perf_metrics_sliding(E.enrich(p)),
+        "trip_sessions": lambda p: W.trip_sessions(E.enrich(p)),
+        "trip_segments": lambda p: TR.trip_segments(p),
+        "derived_speed": lambda p: TR.derived_speed(p),
+        "live_state": lambda p: L.live_state(E.enrich(p)),
+        "zone_counts": lambda p: E.zone_counts(E.enrich(p)),
+    }
+    p = batch.pings(spark, SF)
+    shuffled = p.repartition(7).orderBy(F.rand(11))
+    a, b = ops[name](p), ops[name](shuffled)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

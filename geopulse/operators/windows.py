@@ -142,11 +142,12 @@ def perf_metrics_sliding(enriched: DataFrame, size: str = METRIC_WINDOW,
                          slide: str = METRIC_SLIDE, panes: bool = True) -> DataFrame:
     """Fleet health per sliding window (1 min every 10 s by default).
 
-    With ``panes`` (batch), pings are first reduced per slide-sized pane and
-    distinct value, and only those partial rows are fanned out to the
-    ``size/slide`` windows that cover the pane; that replaces the per-ping
-    fan-out of a plain sliding ``window`` with a fan-out of pre-aggregated
-    rows.  ``panes=False`` is the per-ping form used on streams.
+    With ``panes`` (default, batch and stream), pings are first reduced per
+    slide-sized pane and distinct value, and only those partial rows are
+    fanned out to the ``size/slide`` windows that cover the pane; that
+    replaces the per-ping fan-out of a plain sliding ``window`` (6 copies of
+    every ping for 1 min / 10 s) with a fan-out of pre-aggregated rows.
+    ``panes=False`` is the plain per-ping form.
     """
     size_us, slide_us = duration_micros(size), duration_micros(slide)
     if not panes or size_us % slide_us != 0:
@@ -156,9 +157,11 @@ def perf_metrics_sliding(enriched: DataFrame, size: str = METRIC_WINDOW,
     per_pane = pane_rows.groupBy("window", "kind", "value").agg(
         F.sum("n").alias("n"), F.sum("trips").alias("trips"), F.sum("anoms").alias("anoms"))
     # A pane [p, p+slide) lies in exactly the sliding windows that contain
-    # its start instant p: Spark's sliding window over p fans it out.
+    # its last instant: Spark's sliding window over window_time(pane) fans it
+    # out.  window_time also carries the event-time watermark, so the same
+    # chain of three aggregations runs on a stream in append mode.
     fanned = per_pane.select(
-        F.window(F.col("window.start"), size, slide).alias("window"),
+        F.window(F.window_time("window"), size, slide).alias("window"),
         "kind", "value", "n", "trips", "anoms")
     return _metric_select(_metric_levels(fanned), "window_start", with_end=True)
 

@@ -25,7 +25,7 @@ OUTPUTS = {
     "anomalies": lambda e: E.anomalies(e, detected_at=True),
     "trip_sessions": lambda e: W.trip_sessions_stream(e),
     "perf_metrics": lambda e: W.perf_metrics(e),
-    "perf_metrics_sliding": lambda e: W.perf_metrics_sliding(e, panes=False),
+    "perf_metrics_sliding": lambda e: W.perf_metrics_sliding(e),
     "live_state": lambda e: live_state_stream(e),
 }
 

@@ -57,8 +57,7 @@ def q_stream_perf_metrics(spark, sf_dir):
 
 
 def q_stream_perf_metrics_sliding(spark, sf_dir):
-    return _replay(spark, sf_dir, lambda s: W.perf_metrics_sliding(E.enrich(s), panes=False),
-                   "stream-sliding")
+    return _replay(spark, sf_dir, lambda s: W.perf_metrics_sliding(E.enrich(s)), "stream-sliding")
 
 
 def q_stream_trip_sessions(spark, sf_dir):

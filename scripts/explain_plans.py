@@ -43,7 +43,9 @@ def main() -> None:
           "partitions, AQE on), generated by `scripts/explain_plans.py`. `cols` is the "
           "number of columns each scan reads of the 6 in `events`; `shuffles` counts "
           "exchanges (subquery plans included); `python` counts Python evaluation "
-          "nodes (none on batch paths).\n")
+          "nodes (none on batch paths). The sequence operators (haversine, derived_speed, "
+          "trip_segments) run one small counting job before this plan, the hot-bucket check; "
+          "with no hot bucket, as here, their plan has no join.\n")
     print("| key | scans | cols | shuffles | sorts | windows | joins | broadcasts | hash aggs | sort aggs | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     plans = {}

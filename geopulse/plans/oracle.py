@@ -63,7 +63,7 @@ SELECT {_bucket(30_000_000)} AS window_start,
        {exact_mean_sql(f"sum({cents_sql('speed_kmh')})", f"count({cents_sql('speed_kmh')})", D)} AS avg_speed,
        round(max(speed_kmh), 2) AS max_speed,
        round(min(speed_kmh), 2) AS min_speed,
-       count_if(status = 'on_trip') AS on_trip_count,
+       CAST(count_if(status = 'on_trip') AS BIGINT) AS on_trip_count,
        {exact_percent_sql("count_if(status = 'on_trip')", "count(*)", D)} AS on_trip_percentage
 FROM {source} WHERE event_time IS NOT NULL
 GROUP BY ALL""", extra_ctes)
@@ -75,8 +75,8 @@ _METRICS = f"""
        count(*) AS total_events,
        count(DISTINCT driver_id) AS active_drivers,
        count(DISTINCT h3_cell) AS active_zones,
-       count_if(status = 'on_trip') AS trips_count,
-       count_if(anomaly_type <> 'NORMAL') AS anomalies_count,
+       CAST(count_if(status = 'on_trip') AS BIGINT) AS trips_count,
+       CAST(count_if(anomaly_type <> 'NORMAL') AS BIGINT) AS anomalies_count,
        {exact_percent_sql("count_if(anomaly_type <> 'NORMAL')", "count(*)", D)} AS anomaly_rate_percent"""
 
 PERF_SQL = _with(f"""

@@ -44,12 +44,15 @@ def q_json_decode(spark, sf_dir):
 
 
 def q_json_quarantine(spark, sf_dir):
-    """Wire messages of every ping plus foreign JSON (the events' ``props``
-    documents) on one topic; only the foreign ones lack an event time."""
+    """Wire messages of every ping plus, on the same topic, foreign JSON (the
+    events' ``props`` documents: no event time) and non-JSON text (each
+    document with its braces turned into parentheses)."""
     ensure_utc(spark)
     msgs = wire.encode_mixed(pings(spark, sf_dir)).select("value")
-    foreign = read_events(spark, sf_dir).select(F.col("props").alias("value"))
-    return wire.quarantine(msgs.unionByName(foreign))
+    props = read_events(spark, sf_dir).select("props")
+    foreign = props.select(F.col("props").alias("value"))
+    garbled = props.select(F.translate("props", "{}", "()").alias("value"))
+    return wire.quarantine(msgs.unionByName(foreign).unionByName(garbled))
 
 
 def q_event_time_parse(spark, sf_dir):

@@ -167,7 +167,8 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT ping_id, driver_id, latitude, longitude, status, speed_kmh, trip_duration_secs, "
         "CASE WHEN ping_id % 3 = 2 THEN date_trunc('millisecond', event_time) ELSE event_time END "
         "AS event_time FROM pings"),
-    "json_quarantine": "SELECT props AS raw, 'no_event_time' AS reason FROM events",
+    "json_quarantine": ("SELECT props AS raw, 'no_event_time' AS reason FROM events UNION ALL "
+                        "SELECT translate(props, '{}', '()') AS raw, 'not_json' AS reason FROM events"),
     "event_time_parse": _with(
         "SELECT ping_id, event_time AS from_ts_str, event_time AS from_iso, "
         "date_trunc('millisecond', event_time) AS from_millis FROM pings"),

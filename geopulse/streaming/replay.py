@@ -55,20 +55,26 @@ def time_chunks(pings: DataFrame, chunks: int) -> list:
     return [lo + step * i for i in range(1, chunks)]
 
 
-def chunk_id(bounds: list[int]) -> F.Column:
+def chunk_id(bounds: list[int], swap_us: int = 0) -> F.Column:
     """Index of the time chunk a row falls in: the number of inner bounds at
-    or below its event time (microseconds)."""
+    or below its event time (microseconds).  With ``swap_us`` the bands
+    ``[b - swap, b)`` and ``[b, b + swap)`` around every bound trade chunks,
+    so later pings arrive before earlier ones (out-of-order delivery)."""
     us = F.unix_micros(F.col("event_time"))
     out = F.lit(0)
     for b in bounds:
         out = out + F.when(us >= F.lit(b), 1).otherwise(0)
+        if swap_us:
+            out = (out + F.when((us >= F.lit(b - swap_us)) & (us < F.lit(b)), 1).otherwise(0)
+                   - F.when((us >= F.lit(b)) & (us < F.lit(b + swap_us)), 1).otherwise(0))
     return out
 
 
-def stage_chunks(pings: DataFrame, staging: str, bounds: list[int], as_text: bool = False) -> None:
+def stage_chunks(pings: DataFrame, staging: str, bounds: list[int], as_text: bool = False,
+                 swap_us: int = 0) -> None:
     """One pass over the input: rows written under ``_chunk=i`` folders, so
     landing a chunk later reads only its own folder (partition pruning)."""
-    staged = pings.withColumn("_chunk", chunk_id(bounds))
+    staged = pings.withColumn("_chunk", chunk_id(bounds, swap_us))
     if as_text:
         staged = staged.select("value", "_chunk")
     staged.write.mode("overwrite").partitionBy("_chunk").parquet(staging)
@@ -91,7 +97,8 @@ def run_replay(spark: SparkSession, pings: DataFrame,
                order: list[int] | None = None,
                writer: Callable[[DataFrame, ReplayRun], object] | None = None,
                watermark: str | None = WATERMARK_DELAY,
-               state_partitions: int | None = None, wire_format: bool = False) -> ReplayRun:
+               state_partitions: int | None = None, wire_format: bool = False,
+               swap_us: int = 0) -> ReplayRun:
     """Land ``pings`` chunk by chunk and run the streaming query after each.
 
     ``build`` maps the watermarked source stream to the result stream (parquet
@@ -101,6 +108,8 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     With ``wire_format`` the chunks are landed as JSON-lines messages (time
     encodings rotating by ping id) and read back through the streaming
     decoder, so ``build`` sees decoded pings; the quarantine is not written.
+    ``swap_us`` delivers the pings around each chunk edge out of order (see
+    ``chunk_id``); keep it under half the watermark delay so nothing is late.
     ``state_partitions`` (default: the context's parallelism) is the shuffle
     partition count the stateful operators are created with; a checkpoint
     keeps it for life, so it is set while the replay runs and then restored.
@@ -111,7 +120,7 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     src = to_stream_time(pings)
     bounds = time_chunks(src, chunks)
     staged_rows = wire.encode_mixed(src).select("value", "event_time") if wire_format else src
-    stage_chunks(staged_rows, base + "/staging", bounds, as_text=wire_format)
+    stage_chunks(staged_rows, base + "/staging", bounds, as_text=wire_format, swap_us=swap_us)
     n_parts = len(bounds) + 1
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)

@@ -57,12 +57,19 @@ def test_tumbling_boundary_goes_to_next_window(spark):
     assert [r.window_start for r in z] == [T0, T0 + dt.timedelta(seconds=30)]
 
 
-def test_sliding_panes_equal_plain_sliding(spark):
+def test_sliding_methods_agree(spark):
     from geopulse.plans import batch
-    e = batch.enriched(spark, "/root/testdata/sf0.001")
-    a = W.perf_metrics_sliding(e, panes=True)
-    b = W.perf_metrics_sliding(e, panes=False)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    e = batch.enriched(spark, "/root/testdata/sf0.01")
+    plain = W.perf_metrics_sliding(e, method="plain")
+    for method in ("panes", "delta"):
+        other = W.perf_metrics_sliding(e, method=method)
+        assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0, method
+
+
+def test_prefix_sum_across_blocks(spark):
+    df = spark.range(0, 50).select((F.col("id") * 3).alias("k"), F.lit(2).cast("bigint").alias("v"))
+    got = {r.k: r.s for r in W.prefix_sum(df, "k", "v", "s", block=7).collect()}
+    assert got == {3 * i: 2 * (i + 1) for i in range(50)}
 
 
 def test_zone_counts_sum_to_metric_counts(spark):

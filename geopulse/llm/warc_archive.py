@@ -37,6 +37,8 @@ from geopulse.llm.common import written
 MAGIC = "WARC/1.0\r\n"
 #: Payloads shorter than this are always stored in full.
 REVISIT_BYTES = 1000
+#: Up to so many revisits (about 100 bytes each) go to every task; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "1970-01-01T00:00:00Z"
 
@@ -51,6 +53,9 @@ def write_archives(df: DataFrame, path: str, key: str, url: str, payload: str,
     # only the rows of repeated payloads take part; the payloads stay out of this join
     revisits = (small.join(groups, ["digest", "size"]).where(~F.col("k").eqNullSafe(F.col("target")) & F.col("target").isNotNull())
                 .select(F.col("k").alias("rk"), F.col("digest").alias("rdigest"), "target").distinct())
+    revisits = written(revisits, "warc-revisits")
+    if revisits.count() <= BROADCAST_ROWS:
+        revisits = F.broadcast(revisits)
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(url).cast("string").alias("u"), body.alias("body"))
     rows = rows.withColumn("digest", F.sha1(F.encode("body", "UTF-8")))
     rows = rows.join(revisits, F.col("k").eqNullSafe(F.col("rk")) & (F.col("digest") == F.col("rdigest")), "left")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.llm import (
-    chat_template, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, warc_archive)
+    chat_template, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_tree_lm, warc_archive)
 from geopulse.llm.common import crc_mod, table
 from geopulse.session import scratch_dir
 
@@ -67,6 +67,13 @@ def op8_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_template.read_back(chat_template.format_conversations(rows.union(forged)))
 
 
+def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_tree_lm.score_texts(documents, documents.where(crc_mod("doc_id", 5) != 1))
+    return out.select(F.col("key").alias("doc_id"), (crc_mod("key", 5) == 1).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "warc-archives")
     warc_archive.write_archives(table(spark, sf_dir, "pages"), path, "page_id", "url", "html")
@@ -81,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_decontam": op6_suffix_decontam,
     "op7_phrase_fingerprint": op7_phrase_fingerprint,
     "op8_chat_template": op8_chat_template,
+    "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_warc": op10_warc,
 }
 

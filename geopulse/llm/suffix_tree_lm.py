@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 from geopulse.llm.common import LOWER, SpanHash, text_slices, utf8, word_spans, written
 
 DEPTH, SHARE, DIVERGENCE, WEIGHT = 2, 2e-4, 1e-6, 1.0
-#: Bytes of text in a chunk, about; and in a counting slice.
-CHUNK_BYTES = 24 << 20
-_COUNT_SLICE = 16 << 20
+#: Bytes of text in a chunk, about; and keys that a task counts before it passes them on.
+CHUNK_BYTES = 16 << 20
+_COUNTED_KEYS = 2_000_000
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 #: The end token's hash; words have other ones (their lowest bit is set).
@@ -123,32 +123,46 @@ class Tree:
         return (count + back * parent) / (self.totals[length - 1][number] + back)
 
 
-def _token_counts(texts: DataFrame) -> DataFrame:
-    """(word, n): occurrences of every token."""
+def _counted(keys: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys and their counts, for runs of a bounded number of keys."""
+    held: list[np.ndarray] = []
+    for k in keys:
+        held.append(k)
+        if sum(map(len, held)) >= _COUNTED_KEYS:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held = []
+    if held:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+def _sums(texts: DataFrame, name: str, keys) -> DataFrame:
+    """(name, n): how often each of ``keys(bytes, boundaries)`` occurs in the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, bounds in text_slices(batches, "text", _COUNT_SLICE):
-            words, count = np.unique(tokens(data, bounds)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count, pa.int64())], names=["word", "n"])
+        for key, count in _counted(keys(data, bounds) for _, data, bounds in text_slices(batches, "text")):
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(count, pa.int64())], names=[name, "n"])
 
-    return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(run, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n"))
+
+
+def _token_counts(texts: DataFrame) -> DataFrame:
+    """(word, n): occurrences of every token."""
+    return _sums(texts, "word", lambda data, bounds: tokens(data, bounds)[0].view(np.int64))
 
 
 def _pair_counts(texts: DataFrame, tree: Tree, length: int) -> DataFrame:
     """(pair, n): occurrences of symbols after each candidate context of a length."""
     shared = texts.sparkSession.sparkContext.broadcast(tree)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         t = shared.value
-        for _, data, bounds in text_slices(batches, "text", _COUNT_SLICE):
-            words, row = tokens(data, bounds)
-            symbols = t.symbols(words)
-            number = t.context_numbers(symbols, row, length)
-            use = number >= 0
-            pairs, count = np.unique(number[use] * (len(t.alphabet) + 1) + symbols[use], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(count, pa.int64())], names=["pair", "n"])
+        words, row = tokens(data, bounds)
+        symbols = t.symbols(words)
+        number = t.context_numbers(symbols, row, length)
+        use = number >= 0
+        return number[use] * (len(t.alphabet) + 1) + symbols[use]
 
-    return texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return _sums(texts, "pair", keys)
 
 
 def build_tree(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH, share: float = SHARE,
@@ -233,15 +247,28 @@ def _chunked(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, int]
 
 
 def _chunk_words(texts: DataFrame) -> DataFrame:
-    """(chunk, word): each chunk's tokens, once for each slice that has them."""
+    """(chunk, word): each chunk's tokens, once for each run of a task that has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in text_slices(batches, "text", _COUNT_SLICE):
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for c, words in held.items():
+                own = np.unique(np.concatenate(words)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c, np.int32)), pa.array(own)], names=["chunk", "word"])
+            held.clear()
+
+        for rows, data, bounds in text_slices(batches, "text"):
             words, row = tokens(data, bounds)
             chunk = rows.column(1).to_numpy(zero_copy_only=False)
-            for c in np.unique(chunk):
-                own = np.unique(words[chunk[row] == c]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c, np.int32)), pa.array(own)], names=["chunk", "word"])
+            for c in np.unique(chunk).tolist():
+                held.setdefault(c, []).append(np.unique(words[chunk[row] == c]))
+            size += len(words)
+            if size >= _COUNTED_KEYS:
+                yield from passed_on()
+                size = 0
+        yield from passed_on()
 
     return texts.select("text", "chunk").mapInArrow(run, "chunk int, word long")
 

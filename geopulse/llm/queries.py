@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.llm import (
-    chat_template, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_tree_lm, warc_archive)
+    chat_template, dart_minhash, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_tree_lm, warc_archive)
 from geopulse.llm.common import crc_mod, table
 from geopulse.session import scratch_dir
 
@@ -28,6 +28,10 @@ def op1_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("decoded_text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_blocks.main_text(pages, "html", "text").select(
@@ -83,6 +87,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_bpe": op1_piece_bpe,
+    "op2_dart_minhash": op2_dart_minhash,
     "op4_html_blocks": op4_html_blocks,
     "op5_quality_qda": op5_quality_qda,
     "op6_suffix_decontam": op6_suffix_decontam,

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.llm import (
-    chat_template, dart_minhash, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_tree_lm, warc_archive)
+    chat_template, dart_minhash, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_merge,
+    suffix_tree_lm, warc_archive)
 from geopulse.llm.common import crc_mod, table
 from geopulse.session import scratch_dir
 
@@ -32,6 +33,13 @@ def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op3_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_merge.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return out.select("doc_id", (F.length("kept_bytes") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                      F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_blocks.main_text(pages, "html", "text").select(
@@ -88,6 +96,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_bpe": op1_piece_bpe,
     "op2_dart_minhash": op2_dart_minhash,
+    "op3_suffix_merge": op3_suffix_merge,
     "op4_html_blocks": op4_html_blocks,
     "op5_quality_qda": op5_quality_qda,
     "op6_suffix_decontam": op6_suffix_decontam,

@@ -183,6 +183,27 @@ def score(vectors: DataFrame, model: Discriminant | float) -> DataFrame:
     return vectors.select("key", "features").mapInArrow(run, f"key {vectors.schema['key'].dataType.simpleString()}, score double")
 
 
+def with_score(df: DataFrame, model: Discriminant | float, text: str = "text", name: str = "quality_score") -> DataFrame:
+    """``df`` with each row's score, computed from its text in place (no join)."""
+    from pyspark.sql.types import DoubleType, StructField, StructType
+
+    kept = df.drop(name)
+    schema = StructType([*kept.schema.fields, StructField(name, DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in text_slices(batches, text):
+            s = np.full(rows.num_rows, model) if isinstance(model, float) else model.score(features(data, bounds))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(s, pa.float64())], names=[*rows.schema.names, name])
+
+    return kept.mapInArrow(run, schema)
+
+
+def fit_on(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant | float:
+    """Model of the documents that have a label."""
+    known = labels.select(F.col(key).alias("key"), F.col(label).alias("label"))
+    return fit(document_features(documents, key, text).join(known, "key"))
+
+
 def quality_scores(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """(key, score) of every document, from a model fitted on the labelled ones among ``labels``.
 

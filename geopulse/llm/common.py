@@ -87,7 +87,7 @@ def seeds(n: int, seed: int) -> np.ndarray:
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(np.array([seed], np.uint64)))
 
 
-@functools.lru_cache(maxsize=8)
+@functools.lru_cache(maxsize=4)
 def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     base = int(seeds(1, seed)[0]) | 1
     inverse = pow(base, -1, 1 << 64)
@@ -103,7 +103,7 @@ class SpanHash:
     """64-bit hashes of any byte spans of ``data``, from one running sum."""
 
     def __init__(self, data: np.ndarray, seed: int = 1):
-        size = 1 << max(12, int(len(data)).bit_length())
+        size = 1 << max(12, (len(data) - 1).bit_length())
         power, self._inverse = _powers(size, seed)
         self._sum = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(seeds(256, seed + 7)[data] * power[:len(data)], out=self._sum[1:])

@@ -63,13 +63,13 @@ DEG_TO_RAD = math.pi / 180.0
 
 def haversine_km(lat1: ColumnOrName, lon1: ColumnOrName,
                  lat2: ColumnOrName, lon2: ColumnOrName) -> Column:
-    """Great-circle distance in km, R = 6371.  The root argument is clamped to
-    1 so rounding noise can never push ``asin`` out of its domain."""
+    """Great-circle distance in km, R = 6371; NULL if a coordinate is.  The root argument is
+    clamped to 1 so rounding noise can never push ``asin`` out of its domain."""
     p1, p2 = _c(lat1) * DEG_TO_RAD, _c(lat2) * DEG_TO_RAD
     l1, l2 = _c(lon1) * DEG_TO_RAD, _c(lon2) * DEG_TO_RAD
     a = (F.pow(F.sin((p2 - p1) / 2.0), 2.0)
          + F.cos(p1) * F.cos(p2) * F.pow(F.sin((l2 - l1) / 2.0), 2.0))
-    return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.asin(F.sqrt(F.least(a, F.lit(1.0)))))
+    return F.lit(EARTH_RADIUS_KM) * (F.lit(2.0) * F.asin(F.sqrt(F.when(a > 1.0, F.lit(1.0)).otherwise(a))))
 
 
 # Hexagonal grid parameters.  Not H3: a planar pointy-top hex grid over local
@@ -93,6 +93,12 @@ def hex_edge(resolution: ColumnOrName | int = HEX_RESOLUTION) -> Column:
     return F.lit(HEX_EDGE_RES9_M) * F.pow(F.sqrt(F.lit(7.0)), (F.lit(9) - res).cast("double"))
 
 
+def usable_position(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude") -> Column:
+    """Both coordinates present and in range (NaN, infinite or larger ones are not)."""
+    a, b = _c(lat), _c(lon)
+    return F.coalesce(a.between(-90.0, 90.0) & b.between(-180.0, 180.0), F.lit(False))
+
+
 def hex_cell(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude",
              resolution: int = HEX_RESOLUTION) -> Column:
     """Deterministic hexagonal zone id ``hx_{q}_{r}`` (axial coordinates).
@@ -101,8 +107,8 @@ def hex_cell(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude",
     in the DuckDB oracle so both engines produce the same id.
     """
     e = hex_edge(resolution)
-    x = _c(lon) * HEX_KX
-    y = _c(lat) * HEX_KY
+    x = F.when(usable_position(lat, lon), _c(lon)) * HEX_KX
+    y = F.when(usable_position(lat, lon), _c(lat)) * HEX_KY
     q = (F.lit(HEX_SQRT3_OVER_3) * x - y / 3.0) / e
     r = (F.lit(2.0) * y / 3.0) / e
     s = -q - r
@@ -113,7 +119,7 @@ def hex_cell(lat: ColumnOrName = "latitude", lon: ColumnOrName = "longitude",
     qi = F.when(q_fix, -rr - rs).otherwise(rq).cast("bigint")
     ri = F.when(r_fix, -rq - rs).otherwise(rr).cast("bigint")
     out = F.concat(F.lit("hx_"), qi.cast("string"), F.lit("_"), ri.cast("string"))
-    return F.when(_c(lat).isNull() | _c(lon).isNull(), F.lit(None).cast("string")).otherwise(out)
+    return F.when(usable_position(lat, lon), out)
 
 
 def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
@@ -126,9 +132,10 @@ def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
     once, and whole-stage codegen fuses them.  Same ids as ``hex_cell``."""
     e = hex_edge(resolution)
     c = F.col
+    x, y = (F.when(usable_position(lat, lon), c(v)) for v in (lon, lat))
     staged = df.withColumns({
-        "_hq": (F.lit(HEX_SQRT3_OVER_3) * (c(lon) * HEX_KX) - (c(lat) * HEX_KY) / 3.0) / e,
-        "_hr": (F.lit(2.0) * (c(lat) * HEX_KY) / 3.0) / e,
+        "_hq": (F.lit(HEX_SQRT3_OVER_3) * (x * HEX_KX) - (y * HEX_KY) / 3.0) / e,
+        "_hr": (F.lit(2.0) * (y * HEX_KY) / 3.0) / e,
     }).withColumn("_hs", -c("_hq") - c("_hr"))
     staged = staged.withColumns({f"_r{k}": F.floor(c(f"_h{k}") + 0.5) for k in "qrs"})
     staged = staged.withColumns({f"_d{k}": F.abs(c(f"_r{k}") - c(f"_h{k}")) for k in "qrs"})
@@ -136,7 +143,7 @@ def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
     r_fix = ~q_fix & (c("_dr") > c("_ds"))
     qi = F.when(q_fix, -c("_rr") - c("_rs")).otherwise(c("_rq")).cast("bigint")
     ri = F.when(r_fix, -c("_rq") - c("_rs")).otherwise(c("_rr")).cast("bigint")
-    cell = F.concat(F.lit("hx_"), qi.cast("string"), F.lit("_"), ri.cast("string"))
+    cell = F.when(usable_position(lat, lon), F.concat(F.lit("hx_"), qi.cast("string"), F.lit("_"), ri.cast("string")))
     temps = [f"_{a}{k}" for a in "hrd" for k in "qrs"]
     return staged.withColumn(out, cell).drop(*temps)
 
@@ -145,24 +152,32 @@ def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
 # Exact rounding of means and percentages
 # --------------------------------------------------------------------------
 
-def speed_cents(speed: ColumnOrName = "speed_kmh") -> Column:
-    """Speed in integer hundredths; NaN and NULL give NULL.
+#: Speeds from here on are unusable (they are quarantined when decoded).
+MAX_SPEED_KMH = 1e9
 
-    Summing integers makes the mean independent of row order and shuffle
-    layout (a double sum is not), and lets it be rounded exactly."""
+
+def finite_speed(speed: ColumnOrName = "speed_kmh") -> Column:
+    """The speed if it can be used; NULL, NaN, infinite and absurd ones give NULL,
+    so mean, maximum and minimum skip the same rows."""
     s = _c(speed)
-    return F.when(s.isNull() | F.isnan(s), F.lit(None)).otherwise(F.round(s * 100.0).cast("bigint"))
+    return F.when(F.abs(s) < MAX_SPEED_KMH, s)
+
+
+def exact_speed(speed: ColumnOrName = "speed_kmh") -> Column:
+    """Usable speed as a decimal of nine digits: its sum does not depend on row order
+    or shuffle layout (a double sum does), and the mean can be rounded once."""
+    return finite_speed(speed).cast("decimal(18,9)")
 
 
 def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def exact_mean_2dp(cents_sum: ColumnOrName, n: ColumnOrName) -> Column:
-    """``round(sum/n/100, 2)`` half away from zero, computed in integers."""
-    s, k = _c(cents_sum), _c(n)
+def exact_mean_2dp(total: ColumnOrName, n: ColumnOrName) -> Column:
+    """``round(total / n, 2)`` of a decimal sum, half away from zero, without rounding before."""
+    s, k = _c(total).cast("decimal(32,9)"), _c(n)
     sign = F.when(s < 0, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
-    return F.when(k > 0, (sign * _div(F.abs(s) * 2 + k, k * 2)) / F.lit(100.0))
+    return F.when(k > 0, (sign * _div(F.abs(s) * 200 + k, k * 2)) / F.lit(100.0))
 
 
 def exact_percent_2dp(part: ColumnOrName, total: ColumnOrName) -> Column:
@@ -184,6 +199,9 @@ def km_to_micros(km: ColumnOrName) -> Column:
 # Time
 # --------------------------------------------------------------------------
 
+MIN_MILLIS, MAX_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
 def parse_event_time(ts_str: ColumnOrName = "ts_str", timestamp: ColumnOrName = "timestamp") -> Column:
     """Event time from whichever encoding the message carries.
 
@@ -193,7 +211,9 @@ def parse_event_time(ts_str: ColumnOrName = "ts_str", timestamp: ColumnOrName =
     Unparseable values give NULL (``try_`` forms never raise under ANSI).
     """
     a, b = _c(ts_str), _c(timestamp)
-    from_millis = F.timestamp_millis(b.try_cast("bigint"))
+    millis = b.try_cast("bigint")
+    # years 1 to 9999; anything else would overflow the conversion
+    from_millis = F.timestamp_millis(F.when(millis.between(MIN_MILLIS, MAX_MILLIS), millis))
     from_b = F.when(b.rlike(r"^-?[0-9]+$"), from_millis).otherwise(F.try_to_timestamp(b))
     return F.coalesce(F.try_to_timestamp(a), from_b)
 

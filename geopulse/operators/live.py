@@ -39,6 +39,16 @@ def live_state(enriched: DataFrame, last_update: bool = False) -> DataFrame:
     return out.withColumn("last_update", F.current_timestamp()) if last_update else out
 
 
+def cache_records(enriched: DataFrame, ttl_secs: int = LIVE_TTL_SECS) -> DataFrame:
+    """What the cache stores for each driver: the key, the JSON value with its defaults
+    (the write's clock stamp is added by the writer) and the seconds to live."""
+    value = F.to_json(F.struct(
+        "driver_id", "latitude", "longitude", F.coalesce("h3_cell", F.lit("")).alias("h3_cell"), "status",
+        F.coalesce("speed_kmh", F.lit(0.0)).alias("speed_kmh"), "ts_str"))
+    return live_state(enriched).select(F.concat(F.lit("driver:"), "driver_id").alias("key"), value.alias("value"),
+                                       F.lit(ttl_secs).alias("ttl_secs"))
+
+
 def live_state_with_expiry(enriched: DataFrame, as_of: Column | None = None,
                            ttl_secs: int = LIVE_TTL_SECS) -> DataFrame:
     """Latest state plus ``state`` = ``EXPIRED`` when no ping came within
@@ -52,13 +62,13 @@ def live_state_with_expiry(enriched: DataFrame, as_of: Column | None = None,
 
 def active_drivers(pings: DataFrame, as_of: Column | None = None,
                    ttl_secs: int = ACTIVE_SET_TTL_SECS) -> DataFrame:
-    """Drivers with a ping in ``(as_of - ttl, as_of]``; ``as_of`` defaults to
-    the latest event time, evaluated once as a scalar subquery."""
+    """Drivers with a ping in ``(as_of - ttl, as_of]``; ``as_of`` defaults to the latest event
+    time.  Then the pings are read once: the latest of all is the latest of the drivers'."""
     t = F.col("event_time")
-    if as_of is None:
-        # as_of is the latest time seen, so the upper bound holds for every row
-        as_of = pings.agg(F.max("event_time")).scalar()
-        cond = t > F.timestamp_add("SECOND", F.lit(-ttl_secs), as_of)
-    else:
-        cond = (t > F.timestamp_add("SECOND", F.lit(-ttl_secs), as_of)) & (t <= as_of)
-    return pings.filter(cond).groupBy("driver_id").agg(F.max("event_time").alias("last_seen"))
+    if as_of is not None:
+        since = F.timestamp_add("SECOND", F.lit(-ttl_secs), as_of)
+        return pings.filter((t > since) & (t <= as_of)).groupBy("driver_id").agg(F.max("event_time").alias("last_seen"))
+    last = pings.groupBy("driver_id").agg(F.max("event_time").alias("last_seen"))
+    latest = last.agg(F.max("last_seen").alias("_latest"))
+    since = F.timestamp_add("SECOND", F.lit(-ttl_secs), F.col("_latest"))
+    return last.join(F.broadcast(latest), F.col("last_seen") > since).select("driver_id", "last_seen")

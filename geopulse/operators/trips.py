@@ -20,9 +20,8 @@ What crosses a bucket edge is carried by **boundary rows**, not by a join:
 
 Status runs that continue across bucket edges are stitched with facts the
 summary already holds (see ``trip_segments``), so no second pass over the
-windowed pings is needed.  A bucket that is itself hot is split into
-equal-time sub-buckets first (see ``_bucketed``); the bucket key is then the
-ordered pair (bucket, sub-bucket) and everything above works unchanged.
+windowed pings is needed.  The bucket width is a parameter; nothing about the
+data is counted while a query is built, and the plan never changes with size.
 """
 
 from __future__ import annotations
@@ -33,50 +32,21 @@ from pyspark.sql import functions as F
 from ..functions.exprs import haversine_km, km_to_micros, micros_to_km
 from .windows import duration_micros, floor_bucket, time_micros
 
-DEFAULT_BUCKET = "10 minutes"
-# A (driver, bucket) window partition should hold at most about this many
-# pings; busier buckets are split into equal-time sub-buckets.
-HOT_BUCKET_ROWS = 2_000_000
-# Upper bound on the split table's rows, and so on its broadcast size: the
-# limit is raised so that at most total / limit <= this many buckets are hot.
-MAX_SPLIT_ROWS = 200_000
-_SUB = 1 << 20  # sub-buckets per bucket in the composite bucket key
+#: Width of a (driver, bucket) window partition; the plan is the same at every size.
+DEFAULT_BUCKET = "1 minute"
 
 ROW_FIELDS = ["latitude", "longitude", "status", "event_time", "_t", "ping_id"]
 _LAST = (2**63) - 1  # key of "the run that ends a bucket"
 
 
-def _bucketed(pings: DataFrame, bucket: str, hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
-    """Pings with known event time, plus ``_t`` (epoch µs) and ``_b``, an
-    ordered composite key (bucket, sub-bucket).
-
-    Each ordered-window partition is one ``_b``.  To keep every partition
-    bounded even when one driver-bucket holds a large share of all pings, a
-    count per (driver, bucket) (partial aggregation) finds the buckets above
-    ``hot_rows``; those are split into ``ceil(n / limit)`` equal-time
-    sub-buckets.  The split table has at most ``total / limit`` rows and the
-    limit is raised until that is at most ``MAX_SPLIT_ROWS``, so it is
-    broadcast with a proven size bound; when no bucket is hot the pings are
-    not joined at all.  Rows with NULL event time cannot be ordered; the
-    decode step quarantines them before they get here."""
-    width = duration_micros(bucket)
+def _bucketed(pings: DataFrame, bucket: str) -> DataFrame:
+    """Pings with known event time, plus ``_t`` (epoch µs) and its time bucket ``_b``.
+
+    Rows with NULL event time cannot be ordered; the decode step quarantines
+    them before they get here."""
     p = pings.filter(F.col("event_time").isNotNull())
-    p = p.withColumn("_t", time_micros(p)).withColumn("_b", floor_bucket(F.col("_t"), width))
-    whole = p.withColumn("_b", F.col("_b") * _SUB)
-    if not hot_rows or pings.isStreaming:  # the check is a batch job
-        return whole
-    counts = p.groupBy("driver_id", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    total, busiest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if not total or busiest <= hot_rows:
-        return whole
-    limit = max(hot_rows, -(-total // MAX_SPLIT_ROWS))
-    split = (counts.filter(F.col("_n") > limit)
-             .select("driver_id", "_b", F.call_function("div", F.col("_n") + (limit - 1), F.lit(limit))
-                     .alias("_k")))
-    offset = F.col("_t") - F.col("_b") * width
-    sub = F.coalesce(F.call_function("div", offset * F.col("_k"), F.lit(width)), F.lit(0))
-    return (p.join(F.broadcast(split), ["driver_id", "_b"], "left")
-            .withColumn("_b", F.col("_b") * _SUB + sub).drop("_k"))
+    p = p.withColumn("_t", time_micros(p))
+    return p.withColumn("_b", floor_bucket(F.col("_t"), duration_micros(bucket)))
 
 
 def _order_key() -> Column:
@@ -130,33 +100,30 @@ def _ordered_window() -> Window:
     return Window.partitionBy("driver_id", "_b").orderBy("_t", "ping_id")
 
 
-def with_previous(pings: DataFrame, bucket: str = DEFAULT_BUCKET,
-                  hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
+def with_previous(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Pings with ``prev_*`` columns: the previous ping of the same driver
     (NULL for the driver's first ping).  One shuffle of the pings."""
-    p = _bucketed(pings, bucket, hot_rows)
+    p = _bucketed(pings, bucket)
     u = _with_markers(p, with_status=False)
     w = _ordered_window()
     out = u.withColumns({f"prev_{c}": F.lag(c).over(w) for c in ROW_FIELDS})
     return out.filter(~F.col("_marker")).drop("_marker")
 
 
-def haversine_legs(pings: DataFrame, bucket: str = DEFAULT_BUCKET,
-                   hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
+def haversine_legs(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Distance from each ping's predecessor, km rounded to 6 digits (NULL first)."""
-    p = with_previous(pings, bucket, hot_rows)
+    p = with_previous(pings, bucket)
     km = haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude")
     return p.select("ping_id", "driver_id", "event_time",
                     F.round(km, 6).alias("distance_km"))
 
 
-def derived_speed(pings: DataFrame, bucket: str = DEFAULT_BUCKET,
-                  hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
+def derived_speed(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Speed over the leg from the previous ping: km / seconds * 3600, 2 digits,
     0 when the interval is not positive, NULL for a driver's first ping."""
     # distance and interval as columns: each is used inside and outside a
     # CASE branch, which subexpression elimination would not share
-    p = with_previous(pings, bucket, hot_rows).withColumns({
+    p = with_previous(pings, bucket).withColumns({
         "_km": haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude"),
         "_secs": (F.col("_t") - F.col("prev__t")) / F.lit(1e6)})
     km, secs = F.col("_km"), F.col("_secs")
@@ -172,8 +139,7 @@ SEGMENT_COLUMNS = ["driver_id", "status", "segment_start", "segment_end", "pings
                    "distance_km", "duration_secs"]
 
 
-def trip_segments(pings: DataFrame, bucket: str = DEFAULT_BUCKET,
-                  hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
+def trip_segments(pings: DataFrame, bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Runs of equal status per driver (the available → on_trip → available
     state machine), with start, end, pings, distance and duration.
 
@@ -192,7 +158,7 @@ def trip_segments(pings: DataFrame, bucket: str = DEFAULT_BUCKET,
     continuing bucket included), in integer micro-km so the sum does not
     depend on row order.
     """
-    p = _bucketed(pings, bucket, hot_rows)
+    p = _bucketed(pings, bucket)
     u = _with_markers(p, with_status=True)
     w = _ordered_window()
     everything = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

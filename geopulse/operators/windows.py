@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import exact_mean_2dp, exact_percent_2dp, speed_cents
+from ..functions.exprs import exact_mean_2dp, exact_percent_2dp, exact_speed, finite_speed
 from ..schema import (
     ANOMALY_NORMAL, METRIC_SLIDE, METRIC_WINDOW, SESSION_GAP, STATUS_ON_TRIP, ZONE_WINDOW,
 )
@@ -65,13 +65,13 @@ def zone_occupancy(enriched: DataFrame, size: str = ZONE_WINDOW) -> DataFrame:
     same window column, counting level-1 rows as distinct drivers.
     """
     lvl1 = (enriched
-            .withColumn("_cents", speed_cents("speed_kmh"))
+            .withColumn("_exact", exact_speed("speed_kmh"))
             .groupBy(F.window("event_time", size).alias("window"), "h3_cell", "status", "driver_id")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum("_cents").alias("s"),
-                 F.count("_cents").alias("ns"),
-                 F.max("speed_kmh").alias("mx"),
-                 F.min("speed_kmh").alias("mn"),
+                 F.sum("_exact").alias("s"),
+                 F.count("_exact").alias("ns"),
+                 F.max(finite_speed()).alias("mx"),
+                 F.min(finite_speed()).alias("mn"),
                  F.count_if(F.col("status") == STATUS_ON_TRIP).alias("trips")))
     lvl2 = (lvl1.groupBy("window", "h3_cell", "status")
             .agg(F.sum("n").alias("ping_count"),
@@ -290,11 +290,11 @@ def trip_sessions(enriched: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
     gap_us = duration_micros(gap)
     p = on_trip_pings(enriched)
     t = time_micros(p)
-    pieces = (p.withColumns({"_t": t, "_cents": speed_cents("speed_kmh")})
+    pieces = (p.withColumns({"_t": t, "_exact": exact_speed("speed_kmh")})
               .withColumn("_b", floor_bucket(F.col("_t"), gap_us))
               .groupBy("driver_id", "_b", "h3_cell")
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("_cents").alias("s"),
-                   F.count("_cents").alias("ns"),
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("_exact").alias("s"),
+                   F.count("_exact").alias("ns"),
                    F.max("latitude").alias("maxlat"), F.max("longitude").alias("maxlon"),
                    F.min("latitude").alias("minlat"), F.min("longitude").alias("minlon"),
                    F.max("trip_duration_secs").alias("maxdur"),
@@ -330,10 +330,10 @@ def trip_sessions_stream(enriched: DataFrame, gap: str = SESSION_GAP) -> DataFra
     struct is dropped inside the operator (a filter on its end would be
     pushed below the aggregation and cut sessions short)."""
     gap_us = duration_micros(gap)
-    p = on_trip_pings(enriched).withColumn("_cents", speed_cents("speed_kmh"))
+    p = on_trip_pings(enriched).withColumn("_exact", exact_speed("speed_kmh"))
     agg = (p.groupBy("driver_id", F.session_window("event_time", gap).alias("session"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("_cents").alias("s"),
-                F.count("_cents").alias("ns"),
+           .agg(F.count(F.lit(1)).alias("n"), F.sum("_exact").alias("s"),
+                F.count("_exact").alias("ns"),
                 F.max("latitude").alias("maxlat"), F.max("longitude").alias("maxlon"),
                 F.min("latitude").alias("minlat"), F.min("longitude").alias("minlon"),
                 F.max("trip_duration_secs").alias("maxdur"),

@@ -44,7 +44,7 @@ def q_json_decode(spark, sf_dir):
 
 
 def q_json_quarantine(spark, sf_dir):
-    """Wire messages of every ping plus, on the same topic, foreign JSON (the
+    """Wire messages of every ping plus, on the same topic, messages that can't be used, foreign JSON (the
     events' ``props`` documents: no event time) and non-JSON text (each
     document with its braces turned into parentheses)."""
     ensure_utc(spark)
@@ -52,7 +52,12 @@ def q_json_quarantine(spark, sf_dir):
     props = read_events(spark, sf_dir).select("props")
     foreign = props.select(F.col("props").alias("value"))
     garbled = props.select(F.translate("props", "{}", "()").alias("value"))
-    return wire.quarantine(msgs.unionByName(foreign).unionByName(garbled))
+    everything = msgs.unionByName(foreign).unionByName(garbled)
+    ids = read_events(spark, sf_dir).select(F.col("event_id").cast("string").alias("id"))
+    for body, _ in wire.UNUSABLE_MESSAGES:
+        everything = everything.unionByName(ids.select(
+            F.concat(F.lit("{" + body + ', "ping_id": '), "id", F.lit("}")).alias("value")))
+    return wire.quarantine(everything)
 
 
 def q_event_time_parse(spark, sf_dir):
@@ -72,7 +77,10 @@ def q_ping_encode(spark, sf_dir):
 
 
 def q_ping_limit(spark, sf_dir):
-    return enriched(spark, sf_dir).limit(5)
+    """Five rows of the enriched pings, found again in the whole relation and counted."""
+    e = enriched(spark, sf_dir)
+    some = e.limit(5).select("ping_id")
+    return e.join(some, "ping_id", "left_semi").agg(F.count("*").alias("records"))
 
 
 # ---- enrich ---------------------------------------------------------------
@@ -147,6 +155,10 @@ def q_live_state(spark, sf_dir):
     return L.live_state(enriched(spark, sf_dir))
 
 
+def q_cache_records(spark, sf_dir):
+    return L.cache_records(enriched(spark, sf_dir))
+
+
 def q_active_drivers(spark, sf_dir):
     return L.active_drivers(pings(spark, sf_dir))
 
@@ -191,6 +203,7 @@ BATCH_QUERIES = {
     "derived_speed": q_derived_speed,
     "trip_segments": q_trip_segments,
     "live_state": q_live_state,
+    "cache_records": q_cache_records,
     "active_drivers": q_active_drivers,
     "lake_partitions": q_lake_partitions,
     "lake_roundtrip": q_lake_roundtrip,

@@ -12,14 +12,43 @@ from ..schema import HEX_RESOLUTION
 from ..sources.events import (
     CENTER_LAT, CENTER_LON, DURATION_SCALE, NEGATIVE_SPEED_EVERY, TIME_COMPRESSION,
 )
+from ..sources.wire import UNUSABLE_MESSAGES
 from .sqltext import (
-    anomaly_sql, cents_sql, dbl, exact_mean_sql, exact_percent_sql, haversine_sql, hex_sql,
-    trip_category_sql,
+    dbl, hex_sql,
 )
 
 D = "duckdb"
 ORIGIN_US = 1704067200000000  # 2024-01-01 00:00:00 UTC in microseconds
 
+# The formulas below are written for DuckDB on their own, not shared with the Spark side
+# (but for the zone id, whose grid is this library's own definition).
+
+def _mean(column: str) -> str:
+    """Two-digit mean of a column of two-digit numbers, ties away from zero, in integers."""
+    total, n = f"sum(CAST(round({column} * 100) AS HUGEINT))", f"count({column})"
+    return (f"CASE WHEN {n} = 0 THEN NULL WHEN {total} >= 0 THEN (2 * {total} + {n}) // (2 * {n}) / 100e0 "
+            f"ELSE -((2 * -{total} + {n}) // (2 * {n})) / 100e0 END")
+
+
+def _percent(condition: str) -> str:
+    part = f"CAST(count(*) FILTER ({condition}) AS HUGEINT)"
+    return f"((2 * 10000 * {part} + count(*)) // (2 * count(*))) / 100e0"
+
+
+def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """2 R asin(sqrt(sin²(dφ/2) + cos φ1 cos φ2 sin²(dλ/2))), R = 6371; NULL without a first point."""
+    rad = lambda v: f"({v} * 0.017453292519943295)"
+    a = (f"pow(sin(({rad(lat2)} - {rad(lat1)}) / 2), 2) + cos({rad(lat1)}) * cos({rad(lat2)}) "
+         f"* pow(sin(({rad(lon2)} - {rad(lon1)}) / 2), 2)")
+    missing = " OR ".join(f"{v} IS NULL" for v in (lat1, lon1, lat2, lon2))
+    return f"(CASE WHEN {missing} THEN NULL ELSE 2 * 6371 * asin(sqrt(CASE WHEN {a} > 1 THEN 1 ELSE {a} END)) END)"
+
+
+_ANOMALY = ("CASE WHEN speed_kmh < 0 THEN 'NEGATIVE_SPEED' WHEN speed_kmh > 120 AND status = 'available' "
+            "THEN 'IMPOSSIBLE_SPEED' WHEN speed_kmh IS NOT NULL THEN 'NORMAL' END")
+_CATEGORY = ("CAST(CASE WHEN trip_duration_secs = 0 THEN 0 WHEN trip_duration_secs < 300 THEN 1 "
+             "WHEN trip_duration_secs < 900 THEN 2 WHEN trip_duration_secs >= 900 THEN 3 END AS BIGINT)")
+
 PINGS_CTE = f"""
 pings AS (
     SELECT event_id AS ping_id,
@@ -35,8 +64,8 @@ pings AS (
 enriched AS (
     SELECT *,
            {hex_sql('latitude', 'longitude', D, HEX_RESOLUTION)} AS h3_cell,
-           {anomaly_sql('speed_kmh', 'status')} AS anomaly_type,
-           {trip_category_sql('trip_duration_secs')} AS trip_category
+           {_ANOMALY} AS anomaly_type,
+           {_CATEGORY} AS trip_category
     FROM pings
 )"""
 
@@ -60,11 +89,11 @@ SELECT {_bucket(30_000_000)} AS window_start,
        h3_cell, status,
        count(*) AS ping_count,
        count(DISTINCT driver_id) AS unique_drivers,
-       {exact_mean_sql(f"sum({cents_sql('speed_kmh')})", f"count({cents_sql('speed_kmh')})", D)} AS avg_speed,
+       {_mean('speed_kmh')} AS avg_speed,
        round(max(speed_kmh), 2) AS max_speed,
        round(min(speed_kmh), 2) AS min_speed,
        CAST(count_if(status = 'on_trip') AS BIGINT) AS on_trip_count,
-       {exact_percent_sql("count_if(status = 'on_trip')", "count(*)", D)} AS on_trip_percentage
+       {_percent("status = 'on_trip'")} AS on_trip_percentage
 FROM {source} WHERE event_time IS NOT NULL
 GROUP BY ALL""", extra_ctes)
 
@@ -77,7 +106,7 @@ _METRICS = f"""
        count(DISTINCT h3_cell) AS active_zones,
        CAST(count_if(status = 'on_trip') AS BIGINT) AS trips_count,
        CAST(count_if(anomaly_type <> 'NORMAL') AS BIGINT) AS anomalies_count,
-       {exact_percent_sql("count_if(anomaly_type <> 'NORMAL')", "count(*)", D)} AS anomaly_rate_percent"""
+       {_percent("anomaly_type <> 'NORMAL'")} AS anomaly_rate_percent"""
 
 PERF_SQL = _with(f"""
 SELECT {_bucket(60_000_000)} AS metric_window, {_METRICS}
@@ -95,7 +124,7 @@ SELECT driver_id,
        min(event_time) AS trip_start,
        max(event_time) + INTERVAL 5 MINUTE AS trip_end,
        count(*) AS total_pings,
-       {exact_mean_sql(f"sum({cents_sql('speed_kmh')})", f"count({cents_sql('speed_kmh')})", D)} AS avg_speed_during_trip,
+       {_mean('speed_kmh')} AS avg_speed_during_trip,
        round(max(latitude), 6) AS max_latitude,
        round(max(longitude), 6) AS max_longitude,
        round(min(latitude), 6) AS min_latitude,
@@ -121,7 +150,7 @@ lagged AS (
     WINDOW w AS (PARTITION BY driver_id ORDER BY event_time, ping_id)
 )"""
 
-HAV = haversine_sql("plat", "plon", "latitude", "longitude")
+HAV = _haversine("plat", "plon", "latitude", "longitude")
 
 HAVERSINE_SQL = _with(f"""
 SELECT ping_id, driver_id, event_time, round({HAV}, 6) AS distance_km FROM lagged""", _LAGGED)
@@ -168,7 +197,11 @@ ORACLE_SQL: dict[str, str] = {
         "CASE WHEN ping_id % 3 = 2 THEN date_trunc('millisecond', event_time) ELSE event_time END "
         "AS event_time FROM pings"),
     "json_quarantine": ("SELECT props AS raw, 'no_event_time' AS reason FROM events UNION ALL "
-                        "SELECT translate(props, '{}', '()') AS raw, 'not_json' AS reason FROM events"),
+                        "SELECT translate(props, '{}', '()') AS raw, 'not_json' AS reason FROM events UNION ALL "
+                        + " UNION ALL ".join(
+                            f"SELECT '{{' || '{body}, \"ping_id\": ' || event_id || '}}' AS raw, '{reason}' AS reason FROM events"
+                            for body, reason in UNUSABLE_MESSAGES)),
+    "ping_limit": _with("SELECT least(count(*), 5) AS records FROM enriched"),
     "event_time_parse": _with(
         "SELECT ping_id, event_time AS from_ts_str, event_time AS from_iso, "
         "date_trunc('millisecond', event_time) AS from_millis FROM pings"),
@@ -198,6 +231,9 @@ ORACLE_SQL: dict[str, str] = {
     "derived_speed": DERIVED_SPEED_SQL,
     "trip_segments": SEGMENTS_SQL,
     "live_state": LIVE_SQL,
+    "cache_records": f"""SELECT 'driver:' || driver_id AS key, to_json({{'driver_id': driver_id, 'latitude': latitude,
+        'longitude': longitude, 'h3_cell': coalesce(h3_cell, ''), 'status': status, 'speed_kmh': coalesce(speed_kmh, 0.0),
+        'ts_str': ts_str}})::VARCHAR AS value, 60 AS ttl_secs FROM ({LIVE_SQL})""",
     "active_drivers": ACTIVE_SQL,
     "lake_partitions": _with(
         f"SELECT {_LAKE_PARTS}, count(*) AS records FROM enriched GROUP BY ALL"),

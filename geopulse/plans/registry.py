@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
+from ..streaming.queries import STREAM_ORACLES, STREAM_QUERIES
 from .batch import BATCH_QUERIES
 from .oracle import ORACLE_SQL
 
 
 def all_queries() -> dict:
-    out = dict(BATCH_QUERIES)
-    try:
-        from ..streaming.queries import STREAM_QUERIES
-        out.update(STREAM_QUERIES)
-    except ImportError:  # streaming layer not built
-        pass
-    return out
+    return {**BATCH_QUERIES, **STREAM_QUERIES}
 
 
 def all_oracles() -> dict:
-    out = dict(ORACLE_SQL)
-    try:
-        from ..streaming.queries import STREAM_ORACLES
-        out.update(STREAM_ORACLES)
-    except ImportError:
-        pass
-    return out
+    return {**ORACLE_SQL, **STREAM_ORACLES}

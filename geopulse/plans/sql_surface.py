@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import HEX_RESOLUTION
 from .sqltext import (
-    anomaly_sql, cents_sql, exact_mean_sql, exact_percent_sql, hex_sql, trip_category_sql,
+    anomaly_sql, exact_mean_sql, exact_speed_sql, finite_speed_sql, exact_percent_sql, hex_sql, trip_category_sql,
 )
 
 
@@ -44,7 +44,7 @@ def enriched_view_sql(source_view: str) -> str:
 def zone_occupancy_sql(view: str, size: str = "30 seconds") -> str:
     """W1 as SQL over a view.  The distinct count is written as two levels so
     the same text is valid on a streaming view."""
-    mean = exact_mean_sql("sum(s)", "sum(ns)", "spark")
+    mean = exact_mean_sql("sum(s)", "sum(ns)")
     pct = exact_percent_sql("sum(trips)", "sum(n)", "spark")
     return f"""
         SELECT w.start AS window_start, w.end AS window_end, h3_cell, status,
@@ -55,9 +55,9 @@ def zone_occupancy_sql(view: str, size: str = "30 seconds") -> str:
                {pct} AS on_trip_percentage
         FROM (
             SELECT window(event_time, '{size}') AS w, h3_cell, status, driver_id,
-                   count(*) AS n, sum({cents_sql('speed_kmh')}) AS s,
-                   count({cents_sql('speed_kmh')}) AS ns,
-                   max(speed_kmh) AS mx, min(speed_kmh) AS mn,
+                   count(*) AS n, sum({exact_speed_sql('speed_kmh')}) AS s,
+                   count({exact_speed_sql('speed_kmh')}) AS ns,
+                   max({finite_speed_sql('speed_kmh')}) AS mx, min({finite_speed_sql('speed_kmh')}) AS mn,
                    count_if(status = 'on_trip') AS trips
             FROM {view}
             GROUP BY window(event_time, '{size}'), h3_cell, status, driver_id

@@ -56,24 +56,19 @@ def trip_category_sql(d: str) -> str:
             f"ELSE 3 END AS BIGINT)")
 
 
-def cents_sql(speed: str) -> str:
-    return (f"CASE WHEN {speed} IS NULL OR isnan({speed}) THEN NULL "
-            f"ELSE CAST(round({speed} * 100e0) AS BIGINT) END")
+def finite_speed_sql(speed: str) -> str:
+    return f"CASE WHEN abs({speed}) < {dbl(X.MAX_SPEED_KMH)} THEN {speed} END"
 
 
-def exact_mean_sql(s: str, n: str, dialect: str) -> str:
+def exact_speed_sql(speed: str) -> str:
+    return f"CAST({finite_speed_sql(speed)} AS DECIMAL(18,9))"
+
+
+def exact_mean_sql(s: str, n: str) -> str:
     return (f"CASE WHEN {n} > 0 THEN (CASE WHEN {s} < 0 THEN -1 ELSE 1 END) * "
-            f"{idiv(f'2 * abs({s}) + {n}', f'2 * {n}', dialect)} / 100e0 END")
+            f"((abs(CAST({s} AS DECIMAL(32,9))) * 200 + {n}) div ({n} * 2)) / 100e0 END")
 
 
 def exact_percent_sql(part: str, total: str, dialect: str) -> str:
     return (f"CASE WHEN {total} > 0 THEN "
             f"{idiv(f'20000 * {part} + {total}', f'2 * {total}', dialect)} / 100e0 END")
-
-
-def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    d = dbl(X.DEG_TO_RAD)
-    p1, p2, l1, l2 = (f"({v} * {d})" for v in (lat1, lat2, lon1, lon2))
-    a = (f"pow(sin(({p2} - {p1}) / 2e0), 2e0) + "
-         f"cos({p1}) * cos({p2}) * pow(sin(({l2} - {l1}) / 2e0), 2e0)")
-    return f"({dbl(X.EARTH_RADIUS_KM)} * (2e0 * asin(sqrt(least({a}, 1e0)))))"

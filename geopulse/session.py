@@ -8,6 +8,7 @@ has none, as happens in local tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,6 +60,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext on a Connect session
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="geopulse-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

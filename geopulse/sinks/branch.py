@@ -74,7 +74,9 @@ class CacheAndAnomalies:
     def _read(spark: SparkSession, path: str) -> DataFrame | None:
         try:
             return spark.read.parquet(path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet; any other failure is one
+                raise
             return None
 
     def state(self, spark: SparkSession, upto: int | None = None) -> DataFrame:

@@ -23,9 +23,10 @@ def source_options(bootstrap: str, topic: str, starting_offsets: str = "latest",
     ``starting_offsets``: ``latest`` as the reference (``scan.startup.mode =
     latest-offset``), ``earliest`` for a replay.  ``max_offsets_per_trigger``
     bounds a micro-batch (the reference flushes every 100 records).
+    Lost offsets fail the query (Spark's default); skipping them must be asked for in ``extra``.
     """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if group_id:

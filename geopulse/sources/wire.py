@@ -1,8 +1,9 @@
 """JSON wire format: decode with quarantine (S4, T1, T2) and encode.
 
-Decoding never raises: a message that is not JSON, or that has no usable
-event time, is routed to the quarantine relation with a reason instead of
-being silently nulled or dropped.  good + quarantined = input.
+Decoding never raises: a message that is not JSON, has a field of a wrong type,
+or lacks a usable event time, driver, position or speed, is routed to the
+quarantine relation with a reason instead of being silently nulled or dropped.
+good + quarantined = input.
 """
 
 from __future__ import annotations
@@ -11,12 +12,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import parse_event_time
+from ..functions.exprs import finite_speed, parse_event_time, usable_position
 from ..schema import PING_COLUMNS, WIRE_SCHEMA
 
 CORRUPT_COL = "_corrupt_record"
 REASON_NOT_JSON = "not_json"
+REASON_BAD_FIELD = "bad_field"
 REASON_NO_TIME = "no_event_time"
+REASON_NO_DRIVER = "no_driver"
+REASON_BAD_POSITION = "bad_position"
+REASON_BAD_SPEED = "bad_speed"
+
+#: Bodies of JSON messages that can't be used, each with its reason.
+UNUSABLE_MESSAGES = [
+    ('"driver_id": "D", "latitude": 1, "longitude": 1, "timestamp": "999999999999999999"', REASON_NO_TIME),
+    ('"latitude": 1, "longitude": 1, "timestamp": "1000"', REASON_NO_DRIVER),
+    ('"driver_id": "D", "latitude": 1e300, "longitude": 1, "timestamp": "1000"', REASON_BAD_POSITION),
+    ('"driver_id": "D", "longitude": 1, "timestamp": "1000"', REASON_BAD_POSITION),
+    ('"driver_id": "D", "latitude": 1, "longitude": 1, "timestamp": "1000", "speed_kmh": 1e999', REASON_BAD_SPEED),
+    ('"driver_id": "D", "latitude": "x", "longitude": 1, "timestamp": "1000"', REASON_BAD_FIELD),
+]
 
 _DECODE_SCHEMA = T.StructType(WIRE_SCHEMA.fields + [T.StructField(CORRUPT_COL, T.StringType())])
 
@@ -41,11 +56,17 @@ def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
     """
     p = _parsed(messages, value_col)
     m = F.col("_m")
-    not_json = m.isNull() | m[CORRUPT_COL].isNotNull()
-    event_time = parse_event_time(m["ts_str"], m["timestamp"])
-    p = p.withColumns({"_bad": not_json, "_et": event_time})
+    broken = m.isNull() | m[CORRUPT_COL].isNotNull()
+    speed = m["speed_kmh"]
+    p = p.withColumn("_et", parse_event_time(m["ts_str"], m["timestamp"])).withColumn(
+        "_reason", F.when(broken & F.try_parse_json(F.col(value_col).cast("string")).isNull(), REASON_NOT_JSON)
+        .when(broken, REASON_BAD_FIELD)
+        .when(F.col("_et").isNull(), REASON_NO_TIME)
+        .when(F.coalesce(m["driver_id"], F.lit("")) == "", REASON_NO_DRIVER)
+        .when(~usable_position(m["latitude"], m["longitude"]), REASON_BAD_POSITION)
+        .when(speed.isNotNull() & finite_speed(speed).isNull(), REASON_BAD_SPEED))
     fallback = F.col(fallback_id) if fallback_id else F.xxhash64(F.col(value_col).cast("string"))
-    good = (p.filter(~F.col("_bad") & F.col("_et").isNotNull())
+    good = (p.filter(F.col("_reason").isNull())
             .select(F.coalesce(m["ping_id"], fallback).alias("ping_id"),
                     m["driver_id"].alias("driver_id"),
                     m["latitude"].alias("latitude"),
@@ -55,10 +76,8 @@ def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
                     F.coalesce(m["trip_duration_secs"], m["trip_duration_sec"]).alias("trip_duration_secs"),
                     F.col("_et").alias("event_time"),
                     m["trip_distance_km"].alias("trip_distance_km")))
-    bad = (p.filter(F.col("_bad") | F.col("_et").isNull())
-           .select(F.col(value_col).cast("string").alias("raw"),
-                   F.when(F.col("_bad"), F.lit(REASON_NOT_JSON))
-                   .otherwise(F.lit(REASON_NO_TIME)).alias("reason")))
+    bad = (p.filter(F.col("_reason").isNotNull())
+           .select(F.col(value_col).cast("string").alias("raw"), F.col("_reason").alias("reason")))
     return good, bad
 
 

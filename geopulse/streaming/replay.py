@@ -71,20 +71,20 @@ def chunk_id(bounds: list[int], swap_us: int = 0) -> F.Column:
 
 
 def stage_chunks(pings: DataFrame, staging: str, bounds: list[int], as_text: bool = False,
-                 swap_us: int = 0) -> None:
-    """One pass over the input: rows written under ``_chunk=i`` folders, so
+                 swap_us: int = 0) -> T.StructType:
+    """One pass over the input (returns the staged schema): rows written under ``_chunk=i`` folders, so
     landing a chunk later reads only its own folder (partition pruning)."""
     staged = pings.withColumn("_chunk", chunk_id(bounds, swap_us))
     if as_text:
         staged = staged.select("value", "_chunk")
     staged.write.mode("overwrite").partitionBy("_chunk").parquet(staging)
+    return staged.schema
 
 
-def land_chunk(spark: SparkSession, staging: str, landing: str, i: int, as_text: bool = False) -> None:
-    try:
-        chunk = spark.read.parquet(staging).filter(F.col("_chunk") == i).drop("_chunk")
-    except Exception:  # noqa: BLE001 - nothing staged at all (empty input)
-        return
+def land_chunk(spark: SparkSession, staging: str, landing: str, i: int, schema: T.StructType,
+               as_text: bool = False) -> None:
+    """The schema makes an empty staging folder an empty chunk; a missing or unreadable one raises."""
+    chunk = spark.read.schema(schema).parquet(staging).filter(F.col("_chunk") == i).drop("_chunk")
     if as_text:
         chunk.select("value").write.mode("append").text(landing)
     else:
@@ -120,14 +120,14 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     src = to_stream_time(pings)
     bounds = time_chunks(src, chunks)
     staged_rows = wire.encode_mixed(src).select("value", "event_time") if wire_format else src
-    stage_chunks(staged_rows, base + "/staging", bounds, as_text=wire_format, swap_us=swap_us)
+    staged = stage_chunks(staged_rows, base + "/staging", bounds, as_text=wire_format, swap_us=swap_us)
     n_parts = len(bounds) + 1
     key = "spark.sql.shuffle.partitions"
     saved = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or default_parallelism(spark)))
     try:
         for i in (order if order is not None else range(n_parts)):
-            land_chunk(spark, base + "/staging", run.landing, i, as_text=wire_format)
+            land_chunk(spark, base + "/staging", run.landing, i, staged, as_text=wire_format)
             if wire_format:
                 stream = files.read_wire_stream(spark, run.landing, watermark or WATERMARK_DELAY)[0]
             else:

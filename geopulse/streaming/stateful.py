@@ -291,14 +291,17 @@ class SegmentProcessor(_OrderedRelease):
         lat, lon = ready["latitude"].to_numpy("float64"), ready["longitude"].to_numpy("float64")
         plat = np.concatenate([[cur[2] if cur else np.nan], lat[:-1]])
         plon = np.concatenate([[cur[3] if cur else np.nan], lon[:-1]])
-        legs = np.where(changed, 0, np.rint(_haversine_np(plat, plon, lat, lon) * 1e6)).astype("int64")
+        km = _haversine_np(plat, plon, lat, lon)
+        # a leg with a missing end has no length, as in the batch form
+        legs = np.rint(np.where(changed | ~np.isfinite(km), 0.0, km) * 1e6).astype("int64")
         run = np.cumsum(changed)
         g = pd.DataFrame({"run": run, "t": ready["t"], "leg": legs, "status": status,
                           "ping_id": ready["ping_id"], "latitude": lat, "longitude": lon})
         runs = g.groupby("run", sort=True).agg(
             t0=("t", "first"), t1=("t", "last"), pings=("t", "size"), dist=("leg", "sum"),
-            status=("status", "first"), last_id=("ping_id", "last"),
-            last_lat=("latitude", "last"), last_lon=("longitude", "last")).reset_index()
+            last_id=("ping_id", "last")).reset_index()
+        # the first row's own values: pandas' first and last would skip missing ones
+        runs["status"] = status.to_numpy(dtype=object)[np.flatnonzero(np.diff(run, prepend=run[0] - 1))]
         closed = []
         if cur is not None:
             if changed[0]:
@@ -312,8 +315,8 @@ class SegmentProcessor(_OrderedRelease):
             closed.append((r.status, int(r.t0), int(r.t1), int(r.pings), int(r.dist)))
         last = runs.iloc[-1]
         st = None if pd.isna(last["status"]) else last["status"]
-        self.cur.update((int(last["last_id"]), int(last["t1"]), float(last["last_lat"]),
-                         float(last["last_lon"]), st, int(last["t0"]), int(last["pings"]),
+        self.cur.update((int(last["last_id"]), int(last["t1"]), float(lat[-1]),
+                         float(lon[-1]), st, int(last["t0"]), int(last["pings"]),
                          int(last["dist"])))
         if not closed:
             return None

@@ -57,8 +57,9 @@ def test_hex_cell_size_scales_with_resolution(spark):
 
 
 def test_exact_mean_half_away_from_zero(spark):
-    rows = [(5, 2), (-5, 2), (1, 3), (-1, 3), (0, 0)]
-    got = _one(spark, "s long, n long", rows, X.exact_mean_2dp("s", "n"))
+    from decimal import Decimal
+    rows = [(Decimal(s), n) for s, n in (("0.05", 2), ("-0.05", 2), ("0.01", 3), ("-0.01", 3), ("0", 0))]
+    got = _one(spark, "s decimal(28,9), n long", rows, X.exact_mean_2dp("s", "n"))
     assert got == [0.03, -0.03, 0.0, 0.0, None]
     assert all(not (isinstance(v, float) and math.copysign(1, v) < 0 and v == 0) for v in got if v is not None)
 
@@ -80,10 +81,34 @@ def test_parse_event_time_encodings(spark):
     assert got[3] is None and got[4] is None
 
 
-def test_speed_cents_ignores_nan(spark):
-    rows = [(12.31,), (float("nan"),), (None,), (-0.01,)]
-    got = _one(spark, "s double", rows, X.speed_cents("s"))
-    assert got == [1231, None, None, -1]
+def test_unusable_speeds_are_skipped(spark):
+    rows = [(12.31,), (float("nan"),), (None,), (-0.01,), (float("inf"),), (-1e300,)]
+    got = _one(spark, "s double", rows, X.exact_speed("s"))
+    assert [None if v is None else float(v) for v in got] == [12.31, None, None, -0.01, None, None]
+
+
+def test_mean_is_rounded_once(spark):
+    """Three-digit speeds: six of 10.004 and four of 10.014 have the mean 10.008."""
+    rows = [(10.004,)] * 6 + [(10.014,)] * 4
+    df = spark.createDataFrame(rows, "s double").select(X.exact_speed("s").alias("e"))
+    assert df.selectExpr("sum(e) AS t", "count(e) AS n").select(X.exact_mean_2dp("t", "n")).first()[0] == 10.01
+
+
+def test_haversine_of_a_missing_point_is_null(spark):
+    rows = [(None, 1.0), (1.0, None), (0.0, 0.0)]
+    got = _one(spark, "a double, b double", rows, X.haversine_km("a", "b", F.lit(0.0), F.lit(0.0)))
+    assert got == [None, None, 0.0]
+
+
+def test_unusable_positions_have_no_cell(spark):
+    rows = [(1e300, 1.0), (float("nan"), 1.0), (1.0, float("inf")), (91.0, 0.0)]
+    assert _one(spark, "lat double, lon double", rows, X.hex_cell("lat", "lon")) == [None] * 4
+
+
+def test_times_out_of_range_are_null(spark):
+    rows = [("999999999999999999",), ("-999999999999999999",), ("1000",)]
+    got = _one(spark, "t string", rows, X.parse_event_time(F.lit(None).cast("string"), "t").isNull())
+    assert got == [True, True, False]
 
 
 def test_sql_functions_equal_column_functions(spark):

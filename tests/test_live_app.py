@@ -68,12 +68,6 @@ def test_kafka_source_needs_connector(spark):
         assert pings.isStreaming
 
 
-def test_optional_h3():
-    from geopulse.functions import h3cell
-    if not h3cell.AVAILABLE:
-        pytest.skip("h3 not installed")
-
-
 def test_command_line_live_app(spark):
     """``python -m geopulse --files ... --available-now`` over wire files."""
     from geopulse.__main__ import main

@@ -81,17 +81,3 @@ def test_sequences_match_oracle_for_any_bucket(spark, con, bucket):
         s = df.toPandas()
         o = con.sql(entry.oracle_sql()[key]).df()
         assert _rows(s) == _rows(o), (key, bucket)
-
-
-@pytest.mark.parametrize("hot_rows", [3, 8])
-def test_sequences_match_oracle_when_hot_buckets_split(spark, con, hot_rows):
-    """Buckets above ``hot_rows`` are split into time sub-buckets; results
-    must not change."""
-    from geopulse.operators import trips as TR
-    from geopulse.plans import batch
-    p = batch.pings(spark, SF)
-    for key, df in (("trip_segments", TR.trip_segments(p, "1 hour", hot_rows)),
-                    ("derived_speed", TR.derived_speed(p, "1 hour", hot_rows))):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan  # the split table was used
-        assert _rows(df.toPandas()) == _rows(con.sql(entry.oracle_sql()[key]).df()), (key, hot_rows)

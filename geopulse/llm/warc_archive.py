@@ -141,8 +141,8 @@ def _exits(pdf: pd.DataFrame) -> pd.DataFrame:
     exit_of: dict[int, int] = {}
     for off, succ in zip(pdf["off"].to_numpy()[::-1], pdf["succ"].to_numpy()[::-1], strict=True):
         exit_of[off] = exit_of.get(succ, succ)
-    pdf["exit"] = [exit_of[x] for x in pdf["off"]]
-    return pdf[["file", "block", "off", "exit"]]
+    return pd.DataFrame({"file": pd.Series(pdf["file"].tolist(), dtype=object), "block": pdf["block"].to_numpy(),
+                         "off": pdf["off"].to_numpy(), "exit": np.array([exit_of[x] for x in pdf["off"]], np.int64)})
 
 
 def _entered(key: tuple, nodes: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
@@ -155,7 +155,7 @@ def _entered(key: tuple, nodes: pd.DataFrame, entries: pd.DataFrame) -> pd.DataF
             seen.add(off)
             found.append(off)
             off = succ[off]
-    return pd.DataFrame({"file": [key[0]] * len(found), "block": np.full(len(found), key[1], np.int64), "off": np.array(found, np.int64)})
+    return pd.DataFrame({"file": pd.Series([key[0]] * len(found), dtype=object), "block": np.full(len(found), key[1], np.int64), "off": np.array(found, np.int64)})
 
 
 def _reach(nodes: DataFrame, starts: DataFrame, label: str) -> DataFrame:
@@ -186,8 +186,9 @@ def _join_pieces(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("off")
     head, length = int(pdf["head"].iloc[0]), int(pdf["length"].iloc[0])
     body = MAGIC.encode().join(bytes(x) for x in pdf["piece"])[head:head + length]
-    return pd.DataFrame({"file": pdf["file"].iloc[:1], "owner": pdf["owner"].iloc[:1],
-                         "joined": [hashlib.sha1(body).hexdigest() if len(body) == length else None]})
+    digest = hashlib.sha1(body).hexdigest() if len(body) == length else None
+    return pd.DataFrame({"file": pd.Series([pdf["file"].iloc[0]], dtype=object), "owner": [int(pdf["owner"].iloc[0])],
+                         "joined": pd.Series([digest], dtype=object)})
 
 
 def _joined(spark: SparkSession, path: str, placed: DataFrame, records: DataFrame) -> DataFrame:

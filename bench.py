@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_RUNS (timed runs per query, default 2; the best is kept).
+(default 8), BENCH_RUNS (timed runs per query, default 3; the best is kept).
 Each query runs to completion on a ``noop`` sink: the whole plan executes
 (scan, shuffles, aggregation, final projection) without shipping rows to the
 driver.  One untimed warm-up pass precedes the timed runs.  The same

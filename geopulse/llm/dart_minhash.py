@@ -14,8 +14,10 @@ Texts that agree in all coordinates of a band meet in a bucket.  Equal texts are
 one node from the start.  A bucket's members are compared with pivots, exactly,
 on their sets of runs: first with the member that shares the largest buckets,
 then with growing random shares of the members.  Linked texts are one component
-and never compared again, so a group of copies costs one comparison a member,
-and yet every pair of a bucket is compared unless it is connected already.
+and never compared again, so a group of copies costs one comparison a member.
+Members that the first pivot leaves apart are bounded by the runs that any other
+text has, and meet only members whose size that bound allows.  Every other pair
+of a bucket is compared unless it is connected already.
 
 Words: text between ASCII white space, A-Z lowered.  A text of fewer than five
 words, but not none, is one run.
@@ -151,7 +153,7 @@ def run_sets(texts: DataFrame) -> DataFrame:
             row, element, _ = runs(data, bounds)
             at = np.searchsorted(row, np.arange(rows.num_rows + 1))
             short = (element >> np.uint64(32)).astype(np.uint32)
-            sets = [short[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]  # sorted as the hashes are
+            sets = [np.unique(short[i:j]).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], names=["node", "runs"])
 
     return texts.select("node", "text").mapInArrow(run, "node binary, runs binary")
@@ -206,27 +208,73 @@ def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return written(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
 
 
+def partner_bounds(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(node, size, most): the size of a text's set and the largest size that a partner among ``nodes`` can have.
+
+    A partner shares at most the runs that any other text has: with i of those, a
+    similarity of s needs i >= (size + partner's size) * s / (1 + s).
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                run = np.frombuffer(batch.column(1)[i].as_py(), np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(run), batch.column(0)[i].as_py())), pa.array(run)], names=["id", "run"])
+
+    own = sets.join(nodes.select("node").distinct(), "node").withColumn("id", F.xxhash64("node"))
+    alone = (own.select("id", "runs").mapInArrow(split, "id long, run int").groupBy("run").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+             .where("id = other").groupBy("id").agg(F.count("*").alias("alone")))
+    size = (F.octet_length("runs") / 4).cast("long")
+    sized = own.select("node", "id", size.alias("size")).join(alone, "id", "left").withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
+    return sized.select("node", "size", F.floor(F.col("shared") * (1 + 1 / least) - F.col("size") + 1e-6).alias("most"))
+
+
+def _bin(size) -> F.Column:
+    return F.floor(F.log(F.greatest(size, F.lit(1.0))) / np.log(1.05))
+
+
+def _candidates(alive: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
+    """(a, b): pivots and members of their buckets with another label, of sizes that allow a similarity of ``least``."""
+    if "most" not in alive.columns:
+        pairs = alive.join(pivots.select("bucket", F.col("node").alias("p"), F.col("label").alias("p_label")), "bucket").where("label != p_label")
+    else:
+        spread = F.sequence(_bin(F.col("size") * least - 1e-6), _bin(F.least(F.col("most"), F.col("size") / least)))
+        pivots = pivots.select("bucket", F.col("node").alias("p"), F.col("label").alias("p_label"), F.col("size").alias("p_size"),
+                               F.col("most").alias("p_most"), F.explode(spread).alias("bin"))
+        pairs = alive.withColumn("bin", _bin(F.col("size"))).join(pivots, ["bucket", "bin"]).where(
+            "label != p_label and size <= p_most and p_size <= most")
+    return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+
+
+def _open_members(alive: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of the buckets that hold more than one label, with the bucket's size and best pivot."""
+    alive = alive.join(labels, "node")
+    buckets = (alive.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"),
+                                           F.max(F.struct("mass", "node")).alias("top")).where("low != high"))
+    return written(alive.join(buckets.select("bucket", "members", "top"), "bucket"), "near-alive")
+
+
 def linked_texts(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(node, label) of the nodes in ``members`` (bucket, node, mass), linked by exact similarity."""
+    """(node, label) of the nodes in ``members`` (bucket, node, mass), linked by exact similarity.
+
+    A pivot leaves its bucket once it was compared with all of it, so no pair of a
+    bucket is compared there twice; what the first round leaves gets partner bounds.
+    """
     labels = written(members.select("node").distinct().withColumn("label", F.col("node")), "near-labels")
-    alive, turn = members.withColumn("used", F.lit(False)), 0
+    alive, turn = members, 0
     while True:
-        alive = alive.join(labels, "node")
-        open_buckets = (alive.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"),
-                                                    F.max(F.when(~F.col("used"), F.struct("mass", "node"))).alias("top"))
-                        .where("low != high and top is not null"))
-        alive = written(alive.join(open_buckets.select("bucket", "size", "top"), "bucket"), "near-alive")
+        alive = _open_members(alive, labels)
         if alive.isEmpty():
             return labels
-        chance = F.abs(F.xxhash64("bucket", "node", F.lit(7)) % 1_000_000) < 1_000_000.0 * (4 ** turn) / F.col("size")
-        pivot = ~F.col("used") & ((F.col("node") == F.col("top.node")) | (chance if turn else F.lit(False)))
-        alive = alive.withColumn("pivot", pivot)
-        pivots = alive.where("pivot").select("bucket", F.col("node").alias("p"), F.col("label").alias("p_label"))
-        pairs = (alive.join(pivots, "bucket").where("label != p_label")
-                 .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-        edges = written(_verified(pairs, sets, least), "near-edges")
+        if turn == 1:
+            bounds = partner_bounds(alive, sets, least)
+            bounded = alive.select("bucket", "node", "mass").join(bounds, "node").where(F.col("most") >= F.col("size") * least - 1e-6)
+            alive = _open_members(bounded, labels)
+        chance = F.abs(F.xxhash64("bucket", "node", F.lit(7)) % 1_000_000) < 1_000_000.0 * (8 ** turn) / F.col("members")
+        pivot = (F.col("node") == F.col("top.node")) | (chance if turn else F.lit(False))
+        edges = written(_verified(_candidates(alive, alive.where(pivot), least), sets, least), "near-edges")
         labels = components(labels, edges)
-        alive = alive.select("bucket", "node", "mass", (F.col("used") | F.col("pivot")).alias("used"))
+        alive = alive.where(~pivot).drop("label", "members", "top")
         turn += 1
 
 

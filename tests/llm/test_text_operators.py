@@ -65,7 +65,7 @@ def _sets(texts):
     return out
 
 
-def test_near_classes_equal_brute_force(documents, texts):
+def _brute_classes(texts):
     sets, label = _sets(texts), {d: d for d in texts}
     pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] and
              (texts[a] == texts[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))]
@@ -75,8 +75,27 @@ def test_near_classes_equal_brute_force(documents, texts):
             label[a] = label[b] = min(label[a], label[b])
         if label == before:
             break
+    return label
+
+
+def test_near_classes_equal_brute_force(documents, texts):
     got = {r.key: r.near_class for r in dart_minhash.near_duplicates(documents).collect()}
-    assert got == label
+    assert got == _brute_classes(texts)
+
+
+def test_near_classes_of_a_group_around_the_threshold(spark):
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in rng.integers(0, 5000, 150)]
+    texts = {}
+    for d in range(160):
+        words = list(base)
+        for at in rng.integers(0, len(words), d % 9):
+            words[at] = f"w{rng.integers(0, 5000)}"
+        texts[d] = " ".join(words[:150 - 4 * (d % 13)] if d % 3 == 0 else words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    label = _brute_classes(texts)
+    assert 5 < len(set(label.values())) < 120
+    assert {r.key: r.near_class for r in dart_minhash.near_duplicates(df).collect()} == label
 
 
 def test_signatures_estimate_weighted_similarity():

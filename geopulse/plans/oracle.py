@@ -241,30 +241,10 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
-def watermark_cut(sql_body: str, end_col: str, delay_secs: int = 10) -> str:
-    """Stream oracle: the batch rows whose window closed before the final
-    watermark, ``max(event_time) - delay``."""
-    return (f"SELECT * FROM ({sql_body}) AS b WHERE {end_col} <= "
-            f"(SELECT max(make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION})) "
-            f"FROM events) - INTERVAL {delay_secs} SECOND")
-
-
 _ADAPTED_TIME = f"make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION})"
 FINAL_WM_MS = f"((SELECT max(epoch_ms({_ADAPTED_TIME})) FROM events) - 10000)"
 
 
-def released_before_watermark(sql_body: str, time_col: str) -> str:
-    """Stream oracle for ordered-release operators: rows strictly before the
-    final watermark (milliseconds), the ones the event-time timers released."""
-    return f"SELECT * FROM ({sql_body}) AS b WHERE epoch_us({time_col}) < {FINAL_WM_MS} * 1000"
-
-
-STREAM_SEGMENTS_SQL = f"""
-SELECT driver_id, status, segment_start, segment_end, pings, distance_km, duration_secs
-FROM (SELECT *, lead(segment_start) OVER (PARTITION BY driver_id ORDER BY segment_start) AS next_start
-      FROM ({SEGMENTS_SQL}) AS s) AS b
-WHERE next_start IS NOT NULL AND epoch_us(next_start) < {FINAL_WM_MS} * 1000"""
-
 STREAM_ACTIVE_SQL = _with(f"""
 SELECT driver_id, max(event_time) AS last_seen FROM pings
 GROUP BY driver_id
@@ -278,7 +258,7 @@ FROM ({LIVE_SQL}) AS b"""
 
 def late_data_sql(order: list[int], chunks: int) -> str:
     """Zone oracle without the chunks that arrive after a later chunk (their
-    windows are closed by then), cut at the final watermark.  Chunk bounds are
+    windows are closed by then).  Chunk bounds are
     ``lo + i * ((hi - lo) // chunks)`` in microseconds, as the replay lands them."""
     late = [c for i, c in enumerate(order) if any(c < d for d in order[:i])]
     def bound(i):
@@ -297,7 +277,7 @@ def late_data_sql(order: list[int], chunks: int) -> str:
     extra = f"""
 span AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM pings),
 kept AS (SELECT * FROM enriched WHERE {keep})"""
-    return watermark_cut(zone_sql("kept", extra), "window_end")
+    return zone_sql("kept", extra)
 
 
 BRANCH_COUNTS_SQL = _with("""

@@ -1,9 +1,10 @@
 """Streaming keys: each replays the whole ``events``-derived ping table
 through the streaming form of an operator and returns the sink read back.
 
-Oracles are the batch SQL cut at the final watermark,
-``max(event_time) - 10 s``: windows past it are still open when the replay
-ends (append mode emits a window once, when the watermark passes its end).
+Windowed and ordered keys flush the replay's end with markers (see ``replay``),
+so their results are whole and their oracles are the batch SQL.  Live state and
+active drivers are not flushed: what has expired by the last ping is their
+result.
 """
 
 from __future__ import annotations
@@ -16,8 +17,7 @@ from ..operators import windows as W
 from ..operators.live import ISO_MICROS
 from ..plans import batch
 from ..plans.oracle import (
-    BRANCH_COUNTS_SQL, ORACLE_SQL, STREAM_ACTIVE_SQL, STREAM_LIVE_SQL, STREAM_SEGMENTS_SQL,
-    late_data_sql, released_before_watermark, watermark_cut,
+    BRANCH_COUNTS_SQL, ORACLE_SQL, STREAM_ACTIVE_SQL, STREAM_LIVE_SQL, late_data_sql,
 )
 from ..schema import ACTIVE_SET_TTL_SECS
 from ..sinks.branch import start_branches
@@ -49,19 +49,19 @@ def q_stream_anomalies(spark, sf_dir):
 
 
 def q_stream_zone_occupancy(spark, sf_dir):
-    return _replay(spark, sf_dir, lambda s: W.zone_occupancy(E.enrich(s)), "stream-zones")
+    return _replay(spark, sf_dir, lambda s: W.zone_occupancy(E.enrich(s)), "stream-zones", flush="time")
 
 
 def q_stream_perf_metrics(spark, sf_dir):
-    return _replay(spark, sf_dir, lambda s: W.perf_metrics(E.enrich(s)), "stream-metrics")
+    return _replay(spark, sf_dir, lambda s: W.perf_metrics(E.enrich(s)), "stream-metrics", flush="time")
 
 
 def q_stream_perf_metrics_sliding(spark, sf_dir):
-    return _replay(spark, sf_dir, lambda s: W.perf_metrics_sliding(E.enrich(s)), "stream-sliding")
+    return _replay(spark, sf_dir, lambda s: W.perf_metrics_sliding(E.enrich(s)), "stream-sliding", flush="time")
 
 
 def q_stream_trip_sessions(spark, sf_dir):
-    return _replay(spark, sf_dir, lambda s: W.trip_sessions_stream(E.enrich(s)), "stream-sessions")
+    return _replay(spark, sf_dir, lambda s: W.trip_sessions_stream(E.enrich(s)), "stream-sessions", flush="time")
 
 
 def derived_speed_from_previous(prev):
@@ -77,11 +77,11 @@ def derived_speed_from_previous(prev):
 
 def q_stream_derived_speed(spark, sf_dir):
     return _replay(spark, sf_dir, lambda s: derived_speed_from_previous(previous_ping_stream(s)),
-                   "stream-speed")
+                   "stream-speed", flush="time")
 
 
 def q_stream_trip_segments(spark, sf_dir):
-    return _replay(spark, sf_dir, segments_stream, "stream-segments")
+    return _replay(spark, sf_dir, segments_stream, "stream-segments", flush="drivers")
 
 
 def final_live_state(emitted):
@@ -119,9 +119,9 @@ def q_stream_late_data(spark, sf_dir):
     """Zone occupancy with the second time chunk delivered after the third:
     by then the watermark has passed every window of the late chunk, so its
     rows are dropped (counted in ``numRowsDroppedByWatermark``) and the result
-    equals the batch query over the other chunks, cut at the watermark."""
+    equals the batch query over the other chunks."""
     return _replay(spark, sf_dir, lambda s: W.zone_occupancy(E.enrich(s)), "stream-late",
-                   order=LATE_ORDER)
+                   order=LATE_ORDER, flush="time")
 
 
 def q_branch_counts(spark, sf_dir):
@@ -168,13 +168,12 @@ STREAM_ORACLES = {
     "stream_ping_scan": ORACLE_SQL["ping_scan"],
     "stream_json_decode": ORACLE_SQL["json_decode"],
     "stream_anomalies": ORACLE_SQL["anomalies"],
-    "stream_zone_occupancy": watermark_cut(ORACLE_SQL["zone_occupancy"], "window_end"),
-    "stream_perf_metrics": watermark_cut(ORACLE_SQL["perf_metrics"],
-                                         "metric_window + INTERVAL 1 MINUTE"),
-    "stream_perf_metrics_sliding": watermark_cut(ORACLE_SQL["perf_metrics_sliding"], "window_end"),
-    "stream_trip_sessions": watermark_cut(ORACLE_SQL["trip_sessions"], "trip_end"),
-    "stream_derived_speed": released_before_watermark(ORACLE_SQL["derived_speed"], "event_time"),
-    "stream_trip_segments": STREAM_SEGMENTS_SQL,
+    "stream_zone_occupancy": ORACLE_SQL["zone_occupancy"],
+    "stream_perf_metrics": ORACLE_SQL["perf_metrics"],
+    "stream_perf_metrics_sliding": ORACLE_SQL["perf_metrics_sliding"],
+    "stream_trip_sessions": ORACLE_SQL["trip_sessions"],
+    "stream_derived_speed": ORACLE_SQL["derived_speed"],
+    "stream_trip_segments": ORACLE_SQL["trip_segments"],
     "stream_live_state": STREAM_LIVE_SQL,
     "stream_active_drivers": STREAM_ACTIVE_SQL,
     "stream_late_data": late_data_sql(LATE_ORDER, CHUNKS),

@@ -7,6 +7,10 @@ the query runs with
 source delivers data over time (and a restart from the checkpoint is
 exercised on every chunk).  The sink is Spark's file sink, whose metadata log
 makes each micro-batch visible exactly once.
+
+A bounded replay can be flushed: after the last chunk an end marker, later than
+every ping, moves the watermark past all windows, sessions and pending pings.
+Results never hold a marker.
 """
 
 from __future__ import annotations
@@ -43,16 +47,56 @@ def stream_source(spark: SparkSession, landing: str, schema: T.StructType,
     return df.withWatermark("event_time", watermark) if watermark else df
 
 
-def time_chunks(pings: DataFrame, chunks: int) -> list:
-    """Inner chunk bounds ``lo + i * ((hi - lo) div chunks)`` in integer
-    microseconds of event time (one tiny aggregate; exact, so an oracle can
-    recompute the same bounds)."""
+def time_span(pings: DataFrame) -> tuple[int, int] | None:
+    """First and last event time in integer microseconds (one tiny aggregate); None without any."""
     us = F.unix_micros(F.col("event_time"))
     lo, hi = pings.agg(F.min(us), F.max(us)).first()
-    if lo is None:
+    return None if lo is None else (lo, hi)
+
+
+def chunk_bounds(span: tuple[int, int] | None, chunks: int) -> list[int]:
+    """Inner chunk bounds ``lo + i * ((hi - lo) div chunks)`` (exact, so an oracle can recompute them)."""
+    if span is None:
         return []
-    step = (hi - lo) // chunks
-    return [lo + step * i for i in range(1, chunks)]
+    lo, hi = span
+    return [lo + (hi - lo) // chunks * i for i in range(1, chunks)]
+
+
+def time_chunks(pings: DataFrame, chunks: int) -> list[int]:
+    return chunk_bounds(time_span(pings), chunks)
+
+
+#: End markers of a flushed replay: one per driver this long after the last ping, then the one that moves
+#: the watermark.  Both are far beyond the longest window, gap and watermark delay.
+DRIVER_END_US = 3_600_000_000
+REPLAY_END_US = 86_400_000_000
+END_STATUS = "<end>"
+
+
+def land_end_markers(spark: SparkSession, src: DataFrame, landing: str, last_us: int, per_driver: bool) -> None:
+    """The markers, as pings without values; those of drivers have a status of their own."""
+
+    def markers(rows: DataFrame, driver, offset_us: int) -> DataFrame:
+        values = {"driver_id": driver, "status": F.lit(END_STATUS), "ping_id": F.lit(-1),
+                  "event_time": F.timestamp_micros(F.lit(last_us + offset_us))}
+        return rows.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in src.schema.fields))
+
+    out = markers(spark.range(1), F.lit(None), REPLAY_END_US)
+    if per_driver:
+        out = out.unionByName(markers(src.select("driver_id").distinct(), F.col("driver_id"), DRIVER_END_US))
+    out.write.mode("append").parquet(landing)
+
+
+def without_markers(stream: DataFrame, last_us: int) -> DataFrame:
+    """Rows up to ``last_us``.
+
+    Conditions on the watermarked column stay above the watermark.  The other columns
+    are made to depend on it, so that a filter of theirs cannot move below the
+    watermark either and take a marker away before it is seen.
+    """
+    t = F.col("event_time")
+    ping = t.isNull() | (t <= F.timestamp_micros(F.lit(last_us)))
+    return stream.withColumns({c: F.when(ping, F.col(c)) for c in stream.columns if c != "event_time"}).filter(ping)
 
 
 def chunk_id(bounds: list[int], swap_us: int = 0) -> F.Column:
@@ -98,7 +142,7 @@ def run_replay(spark: SparkSession, pings: DataFrame,
                writer: Callable[[DataFrame, ReplayRun], object] | None = None,
                watermark: str | None = WATERMARK_DELAY,
                state_partitions: int | None = None, wire_format: bool = False,
-               swap_us: int = 0) -> ReplayRun:
+               swap_us: int = 0, flush: str | None = None) -> ReplayRun:
     """Land ``pings`` chunk by chunk and run the streaming query after each.
 
     ``build`` maps the watermarked source stream to the result stream (parquet
@@ -113,12 +157,19 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     ``state_partitions`` (default: the context's parallelism) is the shuffle
     partition count the stateful operators are created with; a checkpoint
     keeps it for life, so it is set while the replay runs and then restored.
+    ``flush="time"`` closes whatever the last watermark leaves open;
+    ``flush="drivers"`` also shows ``build`` one last ping of status
+    ``END_STATUS`` for each driver, for operators that wait for a next ping.
     """
+    if flush and wire_format:
+        raise ValueError("end markers are pings, not messages")
     ensure_utc(spark)
     base = scratch_dir(spark, label)
     run = ReplayRun(base, base + "/landing", base + "/out", base + "/checkpoint", [])
     src = to_stream_time(pings)
-    bounds = time_chunks(src, chunks)
+    span = time_span(src)
+    bounds = chunk_bounds(span, chunks)
+    flush = flush if span else None
     staged_rows = wire.encode_mixed(src).select("value", "event_time") if wire_format else src
     staged = stage_chunks(staged_rows, base + "/staging", bounds, as_text=wire_format, swap_us=swap_us)
     n_parts = len(bounds) + 1
@@ -126,12 +177,18 @@ def run_replay(spark: SparkSession, pings: DataFrame,
     saved = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or default_parallelism(spark)))
     try:
-        for i in (order if order is not None else range(n_parts)):
-            land_chunk(spark, base + "/staging", run.landing, i, staged, as_text=wire_format)
+        steps = [*(order if order is not None else range(n_parts)), *([None] if flush else [])]
+        for i in steps:
+            if i is None:
+                land_end_markers(spark, src, run.landing, span[1], flush == "drivers")
+            else:
+                land_chunk(spark, base + "/staging", run.landing, i, staged, as_text=wire_format)
             if wire_format:
                 stream = files.read_wire_stream(spark, run.landing, watermark or WATERMARK_DELAY)[0]
             else:
                 stream = stream_source(spark, run.landing, src.schema, watermark)
+                if flush:
+                    stream = without_markers(stream, span[1] + (DRIVER_END_US if flush == "drivers" else 0))
             result = build(stream) if build else stream
             if writer is not None:
                 w = writer(result, run)

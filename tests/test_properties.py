@@ -40,16 +40,13 @@ def test_derived_speed_independent_of_bucket(spark, bucket):
 
 @settings(max_examples=2, deadline=None)
 @given(st.sampled_from([1, 3, 7]))
-def test_stream_equals_batch_cut_for_any_chunking(spark, chunks):
-    import datetime as dt
-
+def test_flushed_stream_equals_batch_for_any_chunking(spark, chunks):
     from geopulse.operators import enrich as E
     from geopulse.streaming.replay import read_output, run_replay, to_ntz
     p = batch.pings(spark, SF)
-    run = run_replay(spark, p, lambda s: W.zone_occupancy(E.enrich(s)), "t-chunks", chunks=chunks)
+    run = run_replay(spark, p, lambda s: W.zone_occupancy(E.enrich(s)), "t-chunks", chunks=chunks, flush="time")
     got = to_ntz(read_output(spark, run))
-    wm = p.agg(F.max("event_time")).first()[0] - dt.timedelta(seconds=10)
-    want = W.zone_occupancy(E.enrich(p)).filter(F.col("window_end") <= F.lit(wm))
+    want = W.zone_occupancy(E.enrich(p))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 

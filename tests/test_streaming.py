@@ -182,10 +182,31 @@ def test_out_of_order_delivery_within_watermark(spark):
         "stream_zone_occupancy": lambda s: W.zone_occupancy(E.enrich(s)),
         "stream_live_state": lambda s: live_state_stream(E.enrich(s)),
     }
+    flush = {"stream_live_state": None, "stream_trip_segments": "drivers"}
     for key, build in builds.items():
-        run = run_replay(spark, p, build, "t-ooo", chunks=4, swap_us=4_000_000)
+        run = run_replay(spark, p, build, "t-ooo", chunks=4, swap_us=4_000_000, flush=flush.get(key, "time"))
         got = to_ntz(read_output(spark, run))
         if key == "stream_live_state":
             got = Q.final_live_state(got)
         assert dropped_by_watermark(run) == 0, key
         assert _rows(got.toPandas()) == _rows(con.sql(entry.oracle_sql()[key]).df()), key
+
+
+def test_flushed_replay_holds_no_marker_and_takes_empty_tables(spark):
+    import pytest
+
+    from geopulse.streaming.replay import END_STATUS
+    from geopulse.streaming.stateful import segments_stream
+
+    rows = [(1, "a", 1.0, 2.0, "on_trip", 3.0, 4, T0), (2, "a", 1.0, 2.0, None, 3.0, 4, T0 + dt.timedelta(seconds=5)),
+            (3, None, 1.0, 2.0, "on_trip", 3.0, 4, T0)]
+    p = spark.createDataFrame(rows, SCHEMA)
+    got = to_ntz(read_output(spark, run_replay(spark, p, segments_stream, "t-flush", chunks=1, flush="drivers"))).collect()
+    assert sorted((r.driver_id or "", r.status or "", r.pings) for r in got) == [("", "on_trip", 1), ("a", "", 1), ("a", "on_trip", 1)]
+    assert all(r.status != END_STATUS for r in got)
+    seen = read_output(spark, run_replay(spark, p, None, "t-flush", chunks=1, flush="time"))
+    assert seen.count() == 3
+    empty = run_replay(spark, p.limit(0), lambda s: W.zone_occupancy(E.enrich(s)), "t-flush", flush="time")
+    assert read_output(spark, empty, W.zone_occupancy(E.enrich(p)).schema).count() == 0
+    with pytest.raises(ValueError):
+        run_replay(spark, p, None, "t-flush", flush="time", wire_format=True)

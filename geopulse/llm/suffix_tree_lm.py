@@ -1,22 +1,22 @@
 """Language-model scores from a probabilistic suffix tree.
 
 Tokens are words (A-Z lowered, ASCII white space between) and one end for each
-text.  The tree's nodes are contexts of up to ``depth`` words.  A context is a
-candidate if it makes up at least ``share`` of the training tokens, and stays if
-its next-symbol distribution diverges from its parent's (the context without its
-first word) by at least ``divergence`` nats per token of training text.  The
-alphabet is the words that frequent, and one symbol for all others; a word of
-the others has its share of that symbol by its unigram probability, so every
-distribution sums to one over all words and unseen ones.
+text.  The tree's nodes are contexts of up to ``depth`` words of the whole
+vocabulary.  A context is a candidate if it occurs at least ``least`` times in the
+training text, and stays if its next-word distribution diverges from its parent's
+(the context without its first word): the words after it must be more likely by at
+least ``divergence`` nats together.  Both are absolute, so the tree grows with the
+corpus.
 
 Distributions are smoothed by the parent's, down to the additive unigram
-distribution: its part counts as ``weight`` times the number of different symbols
+distribution: its part counts as ``weight`` times the number of different words
 seen after the context.  A token is scored in the state of the longest
 context in the tree that ends before it.
 
-The tree is bounded by 1/share contexts a level and goes to the tasks.  The
-word counts are not: they grow with the corpus and are joined to the texts by
-chunk (a range of keys), each chunk getting the counts of its own words only.
+The tree is a table, never in one place: of each word sequence (a 64-bit key) its
+last word's probability, of each kept context the share it leaves to its parent.
+Spark counts the sequences, joins them to their parents and joins the kept ones to
+the texts by chunk (a range of keys), each chunk getting its own sequences only.
 
 Defined results: null and empty texts are one end token; null keys are scored,
 training rows are chosen by the caller; without training tokens every token has
@@ -27,16 +27,16 @@ counted) each; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geopulse.llm.common import LOWER, SpanHash, text_slices, utf8, word_spans, written
 
-DEPTH, SHARE, DIVERGENCE, WEIGHT = 2, 2e-4, 1e-6, 1.0
+DEPTH, LEAST, DIVERGENCE, WEIGHT = 2, 2, 2.0, 1.0
 #: Bytes of text in a chunk, about; and keys that a task counts before it passes them on.
 CHUNK_BYTES = 16 << 20
 _COUNTED_KEYS = 2_000_000
@@ -61,66 +61,35 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, np.repeat(np.arange(rows), count + 1)
 
 
-@dataclass
-class Tree:
-    """Alphabet (sorted word hashes) and the contexts' distributions over it.
+def _xxhash64(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    h = (seed + np.uint64(0x27D4EB2F165667C5 + 8)) ^ _rotated(value * np.uint64(0xC2B2AE3D27D4EB4F), 31) * np.uint64(0x9E3779B185EBCA87)
+    h = _rotated(h, 27) * np.uint64(0x9E3779B185EBCA87) + np.uint64(0x85EBCA77C2B2AE63)
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0x165667B19E3779F9)
+    return h ^ h >> np.uint64(32)
 
-    A symbol is a word's place in the alphabet + 1; 0 is every other word.  Contexts
-    of one length are sorted keys; ``totals`` and ``kinds`` (occurrences and different
-    symbols after a context) and ``kept`` stand beside them.  ``pairs`` are sorted
-    (context number, symbol) keys with their counts.
-    """
 
-    alphabet: np.ndarray
-    root: np.ndarray  # probability of each symbol, 0 first
-    contexts: list[np.ndarray] = field(default_factory=list)
-    totals: list[np.ndarray] = field(default_factory=list)
-    kinds: list[np.ndarray] = field(default_factory=list)
-    pairs: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    kept: list[np.ndarray] = field(default_factory=list)
-
-    def symbols(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.alphabet):
-            return np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.alphabet, words), len(self.alphabet) - 1)
-        return np.where(self.alphabet[at] == words, at + 1, 0)
-
-    def context_numbers(self, symbols: np.ndarray, row: np.ndarray, length: int) -> np.ndarray:
-        """For each token the number of the candidate context of ``length`` before it, or -1."""
-        width = np.uint64(len(self.alphabet) + 1)
-        key = np.zeros(len(symbols), np.uint64)
-        able = np.ones(len(symbols), bool)
-        for back in range(length, 0, -1):
-            before = np.zeros(len(symbols), np.int64)
-            before[back:] = symbols[:-back] if back else symbols
-            able[:back] = False
-            able[back:] &= row[back:] == row[:-back]
-            able &= before > 0
-            key = key * width + before.astype(np.uint64)
-        known = self.contexts[length - 1]
-        if not len(known):
-            return np.full(len(symbols), -1)
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        return np.where(able & (known[at] == key), at, -1)
-
-    def probabilities(self, symbols: np.ndarray, row: np.ndarray, weight: float) -> np.ndarray:
-        """Probability of each token's symbol in the state of its longest kept context."""
-        p = self.root[symbols]
-        for length in range(1, len(self.kept) + 1):
-            number = self.context_numbers(symbols, row, length)
-            use = np.flatnonzero(number >= 0)
-            use = use[self.kept[length - 1][number[use]]]
-            p[use] = self.smoothed(length, number[use], symbols[use], p[use], weight)
-        return p
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def sequence_key(context: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """Key of the sequences with these keys of all words but the last and of all but the
+    first: Spark's ``xxhash64(context, parent)``.  A single word's key is its hash."""
+    return _xxhash64(parent, _xxhash64(context, np.full(len(context), 42, np.uint64)))
 
-    def smoothed(self, length: int, number: np.ndarray, symbols: np.ndarray, parent: np.ndarray, weight: float) -> np.ndarray:
-        pairs, counts = self.pairs[length - 1], self.counts[length - 1]
-        key = number.astype(np.uint64) * np.uint64(len(self.alphabet) + 1) + symbols.astype(np.uint64)
-        at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
-        count = np.where(pairs[at] == key, counts[at], 0) if len(pairs) else np.zeros(len(key))
-        back = weight * self.kinds[length - 1][number]
-        return (count + back * parent) / (self.totals[length - 1][number] + back)
+
+def sequences(words: np.ndarray, row: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, context, parent, able) of the sequence that ends at each token, for each
+    length from 2; ``able`` is where it lies in one text."""
+    key, able = words, np.ones(len(words), bool)
+    for _ in range(longest - 1):
+        context, within = np.zeros_like(key), np.zeros(len(key), bool)
+        context[1:] = key[:-1]
+        within[1:] = able[:-1] & (row[1:] == row[:-1])
+        parent, able = key, within
+        key = sequence_key(context, parent)
+        yield key, context, parent, able
 
 
 def _counted(keys: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -150,73 +119,120 @@ def _token_counts(texts: DataFrame) -> DataFrame:
     return _sums(texts, "word", lambda data, bounds: tokens(data, bounds)[0].view(np.int64))
 
 
-def _pair_counts(texts: DataFrame, tree: Tree, length: int) -> DataFrame:
-    """(pair, n): occurrences of symbols after each candidate context of a length."""
-    shared = texts.sparkSession.sparkContext.broadcast(tree)
+def _sequence_counts(texts: DataFrame, length: int) -> DataFrame:
+    """(context, parent, n): occurrences of every sequence of a length, dealt out by context."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def passed_on() -> pa.RecordBatch:
+            key, context, parent = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, first, count = np.unique(key, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(parent[first].view(np.int64)),
+                                               pa.array(count, pa.int64())], names=["context", "parent", "n"])
+
+        for _, data, bounds in text_slices(batches, "text"):
+            *_, (key, context, parent, able) = sequences(*tokens(data, bounds), length)
+            held.append((key[able], context[able], parent[able]))
+            if sum(len(h[0]) for h in held) >= _COUNTED_KEYS:
+                yield passed_on()
+                held = []
+        if held:
+            yield passed_on()
+
+    counted = texts.select("text").mapInArrow(run, "context long, parent long, n long").repartition("context")
+    return counted.groupBy("context", "parent").agg(F.sum("n").alias("n"))
+
+
+def _words(counts: DataFrame, total: int, vocabulary: int) -> DataFrame:
+    """(key, n, q): the vocabulary with its additive unigram probabilities, as the level above all contexts."""
+    return counts.select(F.col("word").alias("key"), "n", ((F.col("n") + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("q"))
 
-    def keys(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        t = shared.value
-        words, row = tokens(data, bounds)
-        symbols = t.symbols(words)
-        number = t.context_numbers(symbols, row, length)
-        use = number >= 0
-        return number[use] * (len(t.alphabet) + 1) + symbols[use]
 
-    return _sums(texts, "pair", keys)
+def _level(texts: DataFrame, above: DataFrame, length: int, least: int, divergence: float, weight: float) -> DataFrame:
+    """The sequences of a length whose context is a candidate, from the (key, n, q) of those one word shorter.
 
+    ``q`` is the last word's probability in the state of the longest kept context,
+    ``back`` what a kept context leaves to its parent (null: not kept), ``first`` marks
+    one row of each context.
+    """
+    # a context is followed by a token wherever it occurs: texts end with the end token
+    able = above.where((F.col("n") >= least) & (F.col("key") != int(END))).select(F.col("key").alias("context"), F.col("n").alias("total"))
+    own = Window.partitionBy("context")
+    rows = (_sequence_counts(texts, length).join(able, "context").withColumn("kinds", F.count("*").over(own))
+            .join(above.select(F.col("key").alias("parent"), F.col("q").alias("below")), "parent"))
+    free = F.lit(float(weight)) * F.col("kinds")
+    rows = rows.withColumn("p", (F.col("n") + free * F.col("below")) / (F.col("total") + free))
+    rows = rows.withColumn("kept", F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))).over(own) >= divergence)
+    return rows.select(
+        F.xxhash64("context", "parent").alias("key"), "context", "parent", "n", "total", "kinds",
+        F.when(F.col("kept"), F.col("p")).otherwise(F.col("below")).alias("q"),
+        F.when(F.col("kept"), free / (F.col("total") + free)).alias("back"),
+        (F.row_number().over(own.orderBy("context")) == 1).alias("first"))
+
+
+def tree_table(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH, least: int = LEAST,
+               divergence: float = DIVERGENCE, weight: float = WEIGHT) -> DataFrame:
+    """(key, kind, value) of the tree of training ``texts`` with their (word, n) ``counts``: kind 0 is
+    a word's count, 1 the log10 probability of a sequence's last word in a kept context, 2 the log10
+    share that a kept context leaves to its parent."""
+    level = _words(counts, total, vocabulary)
+    parts = [counts.select(F.col("word").alias("key"), F.lit(0).cast("byte").alias("kind"), F.col("n").cast("double").alias("value"))]
+    for length in range(2, depth + 2):
+        level = written(_level(texts, level, length, least, divergence, weight)
+                        .select("key", "context", "n", "q", "back", "first"), "lm-level")
+        kept = level.where("back is not null")
+        parts.append(kept.select("key", F.lit(1).cast("byte"), F.log10("q")))
+        parts.append(kept.where("first").select("context", F.lit(2).cast("byte"), F.log10("back")))
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionAll(part)
+    return table
+
+
+@dataclass
+class Tree:
+    """The one-word contexts of a small corpus in one process, to look at.
+
+    A symbol is a word's place in the alphabet (sorted word hashes) + 1; 0 is an unseen
+    word.  ``contexts`` are numbers of alphabet words; ``pairs`` are sorted
+    (context, symbol) keys with their counts.
+    """
+
+    alphabet: np.ndarray
+    root: np.ndarray  # probability of each symbol, 0 first
+    totals: np.ndarray
+    kinds: np.ndarray
+    kept: list[np.ndarray]
+    pairs: np.ndarray
+    counts: np.ndarray
+
+    def smoothed(self, length: int, number: np.ndarray, symbols: np.ndarray, parent: np.ndarray, weight: float) -> np.ndarray:
+        if length != 1:
+            raise ValueError("only one-word contexts are held here")
+        key = number * len(self.root) + symbols
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        count = np.where(self.pairs[at] == key, self.counts[at], 0)
+        back = weight * self.kinds[number]
+        return (count + back * parent) / (self.totals[number] + back)
 
-def build_tree(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH, share: float = SHARE,
+
+def build_tree(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, least: int = LEAST,
                divergence: float = DIVERGENCE, weight: float = WEIGHT) -> Tree:
-    """The tree of training ``texts`` with their (word, n) ``counts``."""
-    least = max(share * total, 2)
-    frequent = counts.where(F.col("n") >= least).orderBy("word").toPandas()  # at most 1/share words
-    order = np.argsort(frequent["word"].to_numpy(np.int64).view(np.uint64))
-    words = frequent["word"].to_numpy(np.int64).view(np.uint64)[order]
-    n = frequent["n"].to_numpy(float)[order]
-    bottom = total + 0.5 * (vocabulary + 1)
-    root = np.concatenate([[0.0], (n + 0.5) / bottom])
-    root[0] = max(1 - root[1:].sum(), 1e-300)
-    tree = Tree(words, root)
-    width = len(words) + 1
-    # contexts never hold the end token: nothing follows it
-    candidates = np.flatnonzero(words != END).astype(np.uint64) + np.uint64(1)
-    candidates.sort()
-    for length in range(1, depth + 1):
-        tree.contexts.append(candidates)
-        if not len(candidates):
-            tree.contexts.pop()
-            break
-        pairs = _pair_counts(texts, tree, length).toPandas()  # at most contexts x alphabet, both bounded by 1/share
-        key = pairs["pair"].to_numpy(np.int64)
-        by_key = np.argsort(key)
-        key, count = key[by_key], pairs["n"].to_numpy(float)[by_key]
-        number, symbol = key // width, key % width
-        totals = np.bincount(number, weights=count, minlength=len(candidates))
-        tree.totals.append(totals)
-        tree.kinds.append(np.bincount(number, minlength=len(candidates)).astype(float))
-        tree.pairs.append(key.astype(np.uint64))
-        tree.counts.append(count)
-        tree.kept.append(np.zeros(len(candidates), bool))
-        parent = _parent(tree, length, number, symbol, weight)
-        p = tree.smoothed(length, number, symbol, parent, weight)
-        gain = np.bincount(number, weights=count * np.log(p / parent), minlength=len(candidates)) / total
-        tree.kept[-1] = gain >= divergence
-        heavy = np.flatnonzero((count >= least) & (symbol > 0) & (np.append(words, END)[symbol - 1] != END))
-        candidates = np.sort(candidates[number[heavy]] * np.uint64(width) + symbol[heavy].astype(np.uint64))
-    return tree
-
-
-def _parent(tree: Tree, length: int, number: np.ndarray, symbol: np.ndarray, weight: float) -> np.ndarray:
-    """Probability of the symbols in the state of the context without its first word."""
-    p = tree.root[symbol]
-    width = np.uint64(len(tree.alphabet) + 1)
-    for shorter in range(1, length):
-        key = tree.contexts[length - 1][number] % width ** np.uint64(shorter)
-        known = tree.contexts[shorter - 1]
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        use = np.flatnonzero((known[at] == key) & tree.kept[shorter - 1][at])
-        p[use] = tree.smoothed(shorter, at[use], symbol[use], p[use], weight)
-    return p
+    """The :class:`Tree` of a small corpus; scoring never builds one."""
+    words = counts.toPandas()
+    alphabet = words["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(alphabet)
+    alphabet, n = alphabet[order], words["n"].to_numpy(float)[order]
+    root = np.concatenate([[0.5], n + 0.5]) / (total + 0.5 * (vocabulary + 1))
+    rows = _level(texts, _words(counts, total, vocabulary), 2, least, divergence, weight).toPandas()
+    place = lambda column: np.searchsorted(alphabet, rows[column].to_numpy(np.int64).view(np.uint64))
+    number, symbol = place("context"), place("parent") + 1
+    totals, kinds, kept = np.zeros(len(alphabet)), np.zeros(len(alphabet)), np.zeros(len(alphabet), bool)
+    totals[number], kinds[number], kept[number] = rows["total"], rows["kinds"], rows["back"].notna()
+    pairs = number * len(root) + symbol
+    by_pair = np.argsort(pairs)
+    return Tree(alphabet, root, totals, kinds, [kept], pairs[by_pair], rows["n"].to_numpy(float)[by_pair])
 
 
 def _chunked(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
@@ -246,31 +262,41 @@ def _chunked(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, int]
             .withColumn("chunk", F.col("first") + spreading).select("key", "text", "chunk")), number + 1
 
 
-def _chunk_words(texts: DataFrame) -> DataFrame:
-    """(chunk, word): each chunk's tokens, once for each run of a task that has them."""
+def _chunk_keys(texts: DataFrame, longest: int) -> DataFrame:
+    """(chunk, key): each chunk's words and sequences, once for each run of a task that has them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
         size = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
-            for c, words in held.items():
-                own = np.unique(np.concatenate(words)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c, np.int32)), pa.array(own)], names=["chunk", "word"])
+            for c, keys in held.items():
+                own = np.unique(np.concatenate(keys)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c, np.int32)), pa.array(own)], names=["chunk", "key"])
             held.clear()
 
         for rows, data, bounds in text_slices(batches, "text"):
             words, row = tokens(data, bounds)
-            chunk = rows.column(1).to_numpy(zero_copy_only=False)
-            for c in np.unique(chunk).tolist():
-                held.setdefault(c, []).append(np.unique(words[chunk[row] == c]))
-            size += len(words)
+            chunk = rows.column(1).to_numpy(zero_copy_only=False)[row]
+            keys = [(words, chunk)] + [(key[able], chunk[able]) for key, _, _, able in sequences(words, row, longest)]
+            for key, of in keys:
+                for c in np.unique(of).tolist():
+                    held.setdefault(c, []).append(np.unique(key[of == c]))
+                size += len(key)
             if size >= _COUNTED_KEYS:
                 yield from passed_on()
                 size = 0
         yield from passed_on()
 
-    return texts.select("text", "chunk").mapInArrow(run, "chunk int, word long")
+    return texts.select("text", "chunk").mapInArrow(run, "chunk int, key long")
+
+
+def _looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Value of each key among the sorted known ones, NaN for others."""
+    if not len(known):
+        return np.full(len(keys), np.nan)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, values[at], np.nan)
 
 
 _SCORES = "key long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -282,35 +308,37 @@ def score_texts(documents: DataFrame, training: DataFrame, key: str = "doc_id",
     ``base_score`` is the log10 probability under the additive unigram distribution,
     ``score`` under the tree.
     """
-    weight = settings.get("weight", WEIGHT)
-    spark = documents.sparkSession
+    depth = settings.get("depth", DEPTH)
     learned = training.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     counts = written(_token_counts(learned), "lm-counts")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = build_tree(learned, counts, total, vocabulary, **settings)
-    shared = spark.sparkContext.broadcast(tree)
+    tree = tree_table(learned, counts, total, vocabulary, **settings)
     texts, chunks = _chunked(documents, key, text)
-    words = _chunk_words(texts).distinct().join(counts, "word")
+    # a key may come from several runs of a chunk: it is looked up only
+    known_keys = _chunk_keys(texts, depth + 1).join(tree, "key")
     bottom = total + 0.5 * (vocabulary + 1)
-    other = tree.root[0]
 
     def run(group: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
-        t: Tree = shared.value
-        word = known.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(word)
-        word, n = word[order], known.column("n").to_numpy()[order]
+        keys = known.column("key").to_numpy().view(np.uint64)
+        kind, value = known.column("kind").to_numpy(), known.column("value").to_numpy()
+        tables = []
+        for k in range(3):
+            own, of = keys[kind == k], value[kind == k]
+            order = np.argsort(own)
+            tables.append((own[order], of[order]))
+        del keys, kind, value
         out = []
         for i in range(0, rows.num_rows, 512):
             part = rows.slice(i, 512).combine_chunks()
             for slice_, data, bounds in text_slices(iter(part.select(["key", "text"]).to_batches()), "text"):
                 tok, row = tokens(data, bounds)
-                at = np.minimum(np.searchsorted(word, tok), max(len(word) - 1, 0))
-                c = np.where(word[at] == tok, n[at], 0) if len(word) else np.zeros(len(tok), np.int64)
+                c = np.nan_to_num(_looked_up(tok, *tables[0]))
                 base = np.log10((c + 0.5) / bottom)
-                symbols = t.symbols(tok)
-                p = np.log10(t.probabilities(symbols, row, weight))
-                # a word outside the alphabet: its share of the common symbol
-                p = np.where(symbols == 0, p + base - np.log10(other), p)
+                p = base
+                for own, context, _, able in sequences(tok, row, depth + 1):
+                    back = np.where(able, _looked_up(context, *tables[2]), np.nan)  # NaN: not a kept context
+                    seen = _looked_up(own, *tables[1])
+                    p = np.where(np.isnan(back), p, np.where(np.isnan(seen), back + p, seen))
                 add = lambda x: np.bincount(row, weights=x, minlength=len(bounds) - 1)
                 out.append(pa.table({
                     "key": slice_.column(0), "n_tokens": add(np.ones(len(tok))).astype(np.int64), "n_known": add(c > 0).astype(np.int64),
@@ -318,5 +346,5 @@ def score_texts(documents: DataFrame, training: DataFrame, key: str = "doc_id",
         return pa.concat_tables(out) if out else pa.table({n: pa.array([], pa.int64() if k == "long" else pa.float64())
                                                            for n, k in (x.split() for x in _SCORES.split(", "))})
 
-    return (texts.repartition(chunks, "chunk").groupBy("chunk").cogroup(words.groupBy("chunk"))
+    return (texts.repartition(chunks, "chunk").groupBy("chunk").cogroup(known_keys.groupBy("chunk"))
             .applyInArrow(run, _SCORES))

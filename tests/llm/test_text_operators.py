@@ -257,6 +257,60 @@ def test_language_model_distributions_sum_to_one(spark, documents):
         assert math.isclose(p.sum(), 1, rel_tol=1e-6)
 
 
+def _tree_scores(docs, training, depth, least, divergence, weight):
+    """log10 probability of every text by the tree's definition, with dictionaries."""
+    ended = lambda t: [*t.encode().lower().split(), None]
+    after = collections.defaultdict(collections.Counter)
+    for t in map(ended, training):
+        for i, w in enumerate(t):
+            for length in range(min(depth, i) + 1):
+                after[tuple(t[i - length:i])][w] += 1
+    total, kinds = sum(after[()].values()), len(after[()])
+
+    def smoothed(context, w, below):
+        seen = after[context]
+        return (seen[w] + weight * len(seen) * below) / (sum(seen.values()) + weight * len(seen))
+
+    def probability(context, w, kept):
+        p = (after[()][w] + 0.5) / (total + 0.5 * (kinds + 1))
+        for length in range(1, len(context) + 1):
+            if context[len(context) - length:] in kept:
+                p = smoothed(context[len(context) - length:], w, p)
+        return p
+
+    kept = set()
+    for c in sorted((c for c, seen in after.items() if c and sum(seen.values()) >= least), key=len):
+        below = {w: probability(c[1:], w, kept) for w in after[c]}
+        if sum(n * math.log(smoothed(c, w, below[w]) / below[w]) for w, n in after[c].items()) >= divergence:
+            kept.add(c)
+    return kept, [sum(math.log10(probability(tuple(t[max(0, i - depth):i]), w, kept)) for i, w in enumerate(t)) for t in map(ended, docs)]
+
+
+@pytest.mark.parametrize("chunk_bytes", [16 << 20, 4000])
+def test_language_model_equals_brute_force(spark, monkeypatch, chunk_bytes):
+    """Contexts of rare words are in the tree too."""
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK_BYTES", chunk_bytes)
+    rng = random.Random(9)
+    rare = "blue heron sits red heron flies"  # four times among 45,000 tokens
+    docs = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(300)) for _ in range(200)]
+    docs = [f"{rare} {t} {rare}" if d in (3, 9) else t for d, t in enumerate(docs)] + [rare, f"x {rare}", "", "unseen words"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    for depth, least, divergence in ((2, 2, 2.0), (3, 3, 3.0)):
+        kept, want = _tree_scores(docs, docs[:150], depth, least, divergence, 1.0)
+        assert {(b"heron",), (b"blue", b"heron"), (b"red", b"heron")} <= kept
+        got = {r.key: r.score for r in suffix_tree_lm.score_texts(df, df.where("doc_id < 150"), depth=depth, least=least, divergence=divergence).collect()}
+        for d, score in enumerate(want):
+            assert math.isclose(got[d], score, rel_tol=1e-9, abs_tol=1e-9), (depth, d)
+
+
+def test_sequence_keys_equal_spark(spark):
+    values = np.array([0, 1, 2, -1, 1 << 62, -(1 << 63), 987654321987654321], np.int64)
+    rows = [(int(a), int(b)) for a in values for b in values]
+    want = [r.h for r in spark.createDataFrame(rows, "a long, b long").selectExpr("xxhash64(a, b) as h").collect()]
+    a, b = (np.array(x, np.int64).view(np.uint64) for x in zip(*rows, strict=True))
+    assert suffix_tree_lm.sequence_key(a, b).view(np.int64).tolist() == want
+
+
 def test_language_model_of_odd_rows(odd_documents):
     out = suffix_tree_lm.score_texts(odd_documents, odd_documents.where("doc_id < 3")).collect()
     assert len(out) == odd_documents.count() and all(r.n_tokens >= 1 and r.score < 0 for r in out)

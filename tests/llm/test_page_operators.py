@@ -25,6 +25,51 @@ def test_main_text_of_a_page():
         "one item", "two items", "Another long para of the text that is there to be seen and to end it all."]
 
 
+LONG = "This is the text of the article and it is long enough that all of it can be told from what stands beside it."
+MENU = "<nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav><footer><p>All rights of this page are with us and with nobody else at all.</p></footer>"
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article><p>{}</p></article></div>", "<div class='page no-header nav-open'><p>{}</p></div>",
+    "<section class=legal-news><article><p>{}</p></article></section>", "<form action=x><div><p>{}</p></div></form>",
+    "<fieldset><main><p>{}</p></main></fieldset>", "<div class=sidebar-layout><div class=banner-page><p>{}</p></div></div>",
+    "<div class=comments><main><p>{}</p></main></div>"])
+def test_containers_around_the_article_do_not_hide_it(page):
+    beside = "<div class=comments><p>I like this and I think it is a good page to read for all of us here today.</p></div>"
+    assert H.main_blocks(f"<html><body>{MENU}{page.format(LONG)}{beside}</body></html>") == [LONG]
+
+
+@pytest.mark.parametrize("container", [
+    "<div class=comments>{}</div>", "<aside><article>{}</article></aside>", "<div class=related><article class=promo>{}</article></div>",
+    "<ol class=comments><li><article class=comment>{}</article></ol>", "<form>{}</form>", "<footer><main>{}</main></footer>"])
+def test_boilerplate_beside_the_article_stays_out(container):
+    other = "<p>" + "I like this and I think it is a good page to read for all of us here today. " * 3 + "</p>"
+    assert H.main_blocks(f"<p>{LONG}</p>{container.format(other)}") == [LONG]
+    assert H.main_blocks(f"<article><p>{LONG}</p><div class=comments><article>{other}</article></div></article>") == [LONG]
+
+
+def test_links_inside_an_article_are_its_text():
+    assert H.main_blocks(f"<article><p>{LONG}</p><ul><li><a href=x>First source</a><li><a href=y>Second</a></ul></article>") == [
+        LONG, "First source", "Second"]
+
+
+@pytest.mark.parametrize("text", [
+    "我们昨天去了城里的市场，买了很多新鲜的蔬菜，然后回到家里做饭，孩子们都很高兴，因为晚饭很好吃，天气也不错，我们还在院子里散步，看到了美丽的月亮，大家都说，这样的日子很难得，希望以后常有。",
+    "昨日は家族と一緒に町の市場へ行って、新しい野菜をたくさん買いました。それから家に帰って夕食を作りました。",
+    "Мы вчера ходили на рынок в городе и купили там много свежих овощей, а потом вернулись домой и приготовили ужин.",
+    "우리는 어제 도시의 시장에 가서 신선한 채소를 많이 사고 집으로 돌아와 저녁을 만들었다. 아이들은 아주 좋아했다.",
+    "หมู่บ้าน นี้ ตั้ง อยู่ ริม แม่น้ำ และ มี ผู้คน อาศัย อยู่ มา นาน หลาย ร้อย ปี แล้ว", LONG])
+def test_running_text_without_an_article(text):
+    """By lists of function words; what no list covers stays undecided and is kept."""
+    page = f"<html><body>{MENU}<div><p>{text}</p><p>{text[:12]}</p></div></body></html>"
+    assert H.main_blocks(page) == [text, text[:12].strip()]
+
+
+def test_word_lists_are_not_running_text():
+    junk = "Sofa oak table lamp grey chair desk cup rug pot red blue bin mat vase tray"  # short words, none of them function words
+    assert H.main_blocks(f"<div><p>{LONG}</p><p>{LONG}</p></div><div><p>{junk}</p></div>") == [LONG, LONG]
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [(1, None, "u"), (2, "", "u"), (3, "a < b and c", "u"), (4, "<p", "u"), (5, "<" * 5000, "u"), (6, "<p>" * 3000 + "end", "u"), (6, PAGE, None)]
     df = spark.createDataFrame(pages, "page_id long, html string, text string")

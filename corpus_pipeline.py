@@ -25,7 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the least id, of each group of near copies."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    # written once: every scan would number the rows anew, by the splits it happens to get
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-numbered")
     keyed = numbered.select(F.struct("doc_id", "__row").alias("key"), "text")
     classes = dart_minhash.near_duplicates(keyed, "key", "text")
     first = classes.where("key.__row = near_class.__row").select("key.__row")

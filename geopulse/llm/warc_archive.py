@@ -178,7 +178,8 @@ def _reach(nodes: DataFrame, starts: DataFrame, label: str) -> DataFrame:
 def _bytes_with_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for file, block, rel, piece in _placed(batches):
         yield pa.RecordBatch.from_pydict({"file": [file], "block": pa.array([block], pa.int64()),
-                                          "rel": pa.array([rel], pa.int64()), "piece": pa.array([piece], pa.binary())})
+                                          "rel": pa.array([rel], pa.int64()), "size": pa.array([len(piece)], pa.int64()),
+                                          "piece": pa.array([piece], pa.binary())})
 
 
 def _join_pieces(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -191,17 +192,31 @@ def _join_pieces(pdf: pd.DataFrame) -> pd.DataFrame:
                          "joined": pd.Series([digest], dtype=object)})
 
 
+def _with_offsets(pieces: DataFrame) -> DataFrame:
+    """Pieces of one scan with the offset in the file of the magic before each; without a file's first piece, which has none."""
+    totals = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("total"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("file", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    return (pieces.join(bases, ["file", "block"]).withColumn("off", F.col("base") + F.col("rel") - len(MAGIC))
+            .where("off >= 0").drop("base", "size"))
+
+
 def _joined(spark: SparkSession, path: str, placed: DataFrame, records: DataFrame) -> DataFrame:
     """(file, owner, joined): digests of the kept records whose payload holds the magic."""
     kept = records.select("file", "off", F.col("off").alias("kept"), F.col("head").alias("h"), F.col("length").alias("n"),
                           F.col("sha").isNull().alias("cut"))
     upto = Window.partitionBy("file").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
     owner = F.last(F.when(F.col("kept").isNotNull(), F.struct("kept", "h", "n", "cut")), ignorenulls=True).over(upto)
-    wanted = (placed.select("file", "block", "rel", "off").join(kept, ["file", "off"], "left").withColumn("o", owner)
-              .where("o.cut").select("file", "block", "rel", "off", F.col("o.kept").alias("owner"),
+    wanted = (placed.select("file", "off").join(kept, ["file", "off"], "left").withColumn("o", owner)
+              .where("o.cut").select("file", "off", F.col("o.kept").alias("owner"),
                                      F.col("o.h").alias("head"), F.col("o.n").alias("length")))
-    lines = _lines(spark, path).mapInArrow(_bytes_with_place, "file string, block long, rel long, piece binary")
-    return (lines.join(wanted, ["file", "block", "rel"]).groupBy("file", "owner")
+    wanted = written(wanted, "warc-wanted")
+    # another scan may split the files elsewhere, so it is written once and gets offsets of its own
+    files = wanted.select("file").distinct()
+    lines = _lines(spark, path).join(F.broadcast(files), "file", "left_semi").select("value", "file", "block")
+    lines = written(lines.mapInArrow(_bytes_with_place, "file string, block long, rel long, size long, piece binary"), "warc-bytes")
+    lines = _with_offsets(lines).select("file", "off", "piece")
+    return (lines.join(wanted, ["file", "off"]).groupBy("file", "owner")
             .applyInPandas(_join_pieces, "file string, owner long, joined string"))
 
 
@@ -209,13 +224,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records of the archives below ``path``: key, url, record_type, payload_bytes,
     payload_digest (computed anew for stored payloads), refers_to, and place (file, offset)."""
     pieces = written(_lines(spark, path).mapInArrow(_candidates, _PIECES), "warc-pieces")
-    totals = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("total"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("file", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    # the first piece of a file lies before its first magic line
-    placed = (pieces.join(bases, ["file", "block"]).withColumn("off", F.col("base") + F.col("rel") - len(MAGIC))
-              .where("off >= 0").drop("base", "size")
-              .withColumn("succ", F.col("off") + len(MAGIC) + F.col("head") + F.col("length") + 4))
+    placed = _with_offsets(pieces).withColumn("succ", F.col("off") + len(MAGIC) + F.col("head") + F.col("length") + 4)
     placed = written(placed, "warc-placed")
     nodes = placed.where("head is not null").select("file", "block", "off", "succ")
     reached = _reach(nodes, nodes.where("off = 0"), "warc").join(nodes, ["file", "off"])

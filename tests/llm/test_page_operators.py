@@ -139,6 +139,26 @@ def test_archives_read_back(spark, split):
     assert sorted(((r.key, r.url, r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for r in got), key=key) == sorted(want, key=key)
 
 
+def test_archives_are_read_whole_when_a_later_scan_splits_elsewhere(spark, monkeypatch):
+    """As when executors come or go between the jobs."""
+    rows = [(i, "u", f"{i} " * 400 + "WARC/1.0\r\n" + f"{i} " * (300 + 7 * i)) for i in range(30)]
+    path = scratch_dir(spark, "t-warc-split")
+    W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2), path, "page_id", "url", "html")
+    joined = W._joined
+
+    def later(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7k")
+        return joined(*args)
+
+    monkeypatch.setattr(W, "_joined", later)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = {r.key: r.payload_digest for r in W.read_archives(spark, path).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: hashlib.sha1(t.encode()).hexdigest() for k, _, t in rows}
+
+
 def test_archives_of_an_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     path = scratch_dir(spark, "t-warc-empty")

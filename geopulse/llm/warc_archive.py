@@ -85,7 +85,9 @@ _NUMBERS = {"k": "x-row-key", "payload_size": "x-payload-length", "target": "x-r
 
 
 def _number(value: str | None) -> int | None:
-    return int(value) if value and re.fullmatch(r"-?\d{1,18}", value) else None
+    """A 64-bit integer; None for anything else."""
+    number = int(value) if value and re.fullmatch(r"-?[0-9]{1,19}", value) else None
+    return number if number is not None and -1 << 63 <= number < 1 << 63 else None
 
 
 def _parse(piece: bytes) -> dict:
@@ -96,7 +98,7 @@ def _parse(piece: bytes) -> dict:
         head = {name.lower(): value for name, value in head.items()}
         row |= {name: head.get(field) for name, field in _FIELDS.items()}
         row |= {name: _number(head.get(field)) for name, field in _NUMBERS.items()}
-        if row["length"] is not None and row["length"] >= 0:
+        if row["length"] is not None and 0 <= row["length"] < 1 << 62:  # offsets beyond stay 64-bit integers
             row["head"] = m.end()
             body = piece[m.end():m.end() + row["length"]]
             if len(body) == row["length"]:

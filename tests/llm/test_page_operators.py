@@ -159,6 +159,19 @@ def test_archives_are_read_whole_when_a_later_scan_splits_elsewhere(spark, monke
     assert got == {k: hashlib.sha1(t.encode()).hexdigest() for k, _, t in rows}
 
 
+def test_archives_keep_every_64_bit_key(spark):
+    top, bottom, big = (1 << 63) - 1, -(1 << 63), "y" * 2000
+    forged = "WARC/1.0\r\nX-Row-Key: 9223372036854775808\r\nContent-Length: 9223372036854775807\r\n\r\nx"  # a payload, not a record
+    rows = [(top, big), (bottom, big), (10**18, big), (bottom, "low"), (-(10**18), forged), (None, "none")]
+    df = spark.createDataFrame([(k, "u", t) for k, t in rows], "page_id long, url string, html string")
+    path = scratch_dir(spark, "t-warc-keys")
+    W.write_archives(df, path, "page_id", "url", "html")
+    got = {(r.key, r.record_type, r.payload_bytes, r.refers_to) for r in W.read_archives(spark, path).collect()}
+    assert got == {(top, "response", 2000, None), (bottom, "revisit", 2000, top), (10**18, "revisit", 2000, top),
+                   (bottom, "response", 3, None), (-(10**18), "response", len(forged), None), (None, "response", 4, None)}
+    assert W._number("9223372036854775808") is None and W._number("-9223372036854775809") is None
+
+
 def test_archives_of_an_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     path = scratch_dir(spark, "t-warc-empty")

@@ -1,11 +1,105 @@
 """The pipeline's stages against brute force."""
+import re
+
+import public_tokenizers
+import sentencepiece
+
 import corpus_pipeline as P
+from geopulse.llm import quality_qda
+from tests.llm.test_text_operators import _brute_classes, _removed
+
+SF = "/root/testdata/sf0.001"
+PASSAGE = "the old mill by the river stood empty for many years until a young baker came from the north and lit its oven again " * 4
 
 
 def _rows(df):
     return sorted(((r.doc_id, r.text) for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
 
 
+def _inputs(spark, path, empty):
+    """A small folder of tables with planted copies, passages and null ids."""
+    own = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
+           if r.text and 100 < len(r.text) < 2500][:60]
+    good = [t for _, t in own if len(t) > 1200]
+    item = next(r for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if len((r.text or "").split()) >= 12)
+    planted = [(9001, good[0]), (9002, good[0]), (9003, good[0].replace(" ", " odd ", 1)), (None, good[1]), (None, good[1]),
+               (9004, f"{good[2]} {PASSAGE}{good[3]}"), (9005, f"{good[4]} {PASSAGE}"), (9006, f"{good[5][:700]} {item.text} {good[5][700:]}"),
+               (9007, None), (9008, ""), (None, "alone under no id")]
+    docs = spark.createDataFrame([(d, t, "xx", "s", len(t or "")) for d, t in own + planted],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    (docs.limit(0) if empty else docs).write.parquet(f"{path}/documents.parquet")
+    for name in ("benchmark", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
+    return item.text
+
+
+def _quality(spark, docs, path):
+    frame = spark.createDataFrame(list(enumerate(t for _, t in docs)), "row long, text string")
+    learned = spark.read.parquet(f"{path}/documents.parquet")
+    labels = spark.read.parquet(f"{path}/labels.parquet").where(P.crc_mod("doc_id", 3) != 1)
+    model = quality_qda.fit_on(learned, labels)
+    vectors = quality_qda.document_features(frame, "row", "text")
+    good = {r["key"] for r in quality_qda.score(vectors, model).collect() if r["score"] >= 0.5}
+    return [d for i, d in enumerate(docs) if i in good]
+
+
+def _near(docs):
+    # the least id of a group, null before all; rows that tie are equal
+    order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))
+    label = _brute_classes({i: t or "" for i, (_, t) in enumerate(order)})
+    empty = [i for i, (_, t) in enumerate(order) if not t]  # copies of each other, with no runs to compare
+    return [d for i, d in enumerate(order) if label[i] == i and i not in empty[1:]]
+
+
+def _repeats(docs):
+    raws = [(t or "").encode() for _, t in docs]
+    return [(d, bytes(b for b, g in zip(raw, gone) if not g).decode(errors="ignore"))
+            for (d, _), raw, gone in zip(docs, raws, _removed(raws, 400))]
+
+
+def _clean(docs, items):
+    words = lambda t: re.findall(rb"[a-z0-9\x80-\xff]+", (t or "").encode().lower())
+    known = set()
+    for t in items:
+        w = words(t)
+        known |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))} if w else set()
+    hit = lambda w: any(tuple(w[i:i + n]) in known for n in {len(k) for k in known} for i in range(len(w) - n + 1))
+    return [d for d in docs if not hit(words(d[1]))]
+
+
+def test_stages_equal_brute_force(spark, tmp_path, monkeypatch):
+    item = _inputs(spark, tmp_path, False)
+    out, write = {}, P.written
+
+    def kept(df, label, *by):
+        out[label] = write(df, label, *by)
+        return out[label]
+
+    monkeypatch.setattr(P, "written", kept)
+    last = P.run(spark, str(tmp_path))
+    before = _rows(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    items = [r.text for r in spark.read.parquet(f"{tmp_path}/benchmark.parquet").collect()]
+    assert item in items
+    stages = {"quality": lambda d: _quality(spark, d, tmp_path), "near_dedup": _near, "repeat_dedup": _repeats,
+              "decontaminate": lambda d: _clean(d, items), "tokenize": lambda d: d}
+    assert list(stages) == [name for name, _ in P.STAGES]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
+    for name, brute in stages.items():
+        after = _rows(out[f"pipeline-{name}"])
+        assert after == sorted(brute(before), key=key), name
+        assert after != before or name == "tokenize", f"{name} had nothing to do"
+        before = after
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in last.collect():
+        assert [i for i in r.piece_ids if i != 2] == library.encode(r.text), r.doc_id
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    _inputs(spark, tmp_path, True)
+    out = P.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "text", "piece_ids"} <= set(out.columns)
+
+
 def test_near_dedup_when_a_later_scan_splits_elsewhere(spark, tmp_path, monkeypatch):
     """As when executors come or go between the jobs: row numbers must not change."""
     for part in range(12):

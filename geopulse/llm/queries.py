@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.llm import (
-    chat_template, dart_minhash, html_blocks, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_merge,
-    suffix_tree_lm, warc_archive)
+    chat_template, dart_minhash, html_blocks, line_dedup, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam,
+    suffix_merge, suffix_tree_lm, warc_archive)
 from geopulse.llm.common import crc_mod, table
 from geopulse.session import scratch_dir
 
@@ -93,6 +93,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_piece_bpe": op1_piece_bpe,
     "op2_dart_minhash": op2_dart_minhash,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_template": op8_chat_template,
     "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_warc": op10_warc,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 _REVISIT = """
@@ -129,4 +135,16 @@ select c as conv_id, count(*) as n_turns,
 from e group by c
 """
 
-ORACLES: dict[str, str] = {"op8_chat_template": _CHAT, "op10_warc": _REVISIT}
+_LINES = r"""
+with l as (select doc_id, t.pos, t.line, translate(trim(t.line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+           from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos from documents) t),
+c as (select k, max(doc_id) as last from l where length(k) >= 20 group by k having count(distinct doc_id) >= 3),
+j as (select l.*, c.k is not null and l.doc_id <> c.last as dropped from l left join c on l.k = c.k)
+select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not dropped), '')) as kept_sha256
+from j group by doc_id
+"""
+
+ORACLES: dict[str, str] = {"op8_chat_template": _CHAT, "op10_warc": _REVISIT, "op13_line_dedup": _LINES}

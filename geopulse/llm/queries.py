@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geopulse.llm import (
-    chat_template, dart_minhash, html_blocks, line_dedup, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam,
-    suffix_merge, suffix_tree_lm, warc_archive)
+    automaton_search, chat_template, dart_minhash, html_blocks, line_dedup, phrase_fingerprint, piece_bpe, prefix_trie, quality_qda,
+    suffix_decontam, suffix_merge, suffix_tree_lm, warc_archive)
 from geopulse.llm.common import crc_mod, table
 from geopulse.session import scratch_dir
 
@@ -93,6 +93,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = automaton_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("item").alias("item_id"), F.col("rank").cast("int").alias("rank"), F.col("key").cast("long").alias("doc_id"), "score")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_openings(turns))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -109,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_template": op8_chat_template,
     "op9_suffix_tree_lm": op9_suffix_tree_lm,
     "op10_warc": op10_warc,
+    "op11_automaton_search": op11_automaton_search,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -135,6 +147,21 @@ select c as conv_id, count(*) as n_turns,
 from e group by c
 """
 
+_SEARCH = r"""
+with d as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+tf as (select doc_id, term, count(*) as tf from d group by all),
+n as (select doc_id, count(*) as n from d group by doc_id),
+whole as (select count(*)::bigint as nn, sum(n)::bigint as ll from n),
+w as (select term, floor(1000 * ln((2 * nn + 2)::double / (2 * count(*) + 1)))::bigint as w from tf, whole group by term, nn),
+q as (select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+s as (select item_id, tf.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::bigint as score
+      from q join tf on tf.term = q.term join w on w.term = tf.term join n on n.doc_id = tf.doc_id, whole group by item_id, tf.doc_id),
+r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from s where score > 0)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 10
+"""
+
 _LINES = r"""
 with l as (select doc_id, t.pos, t.line, translate(trim(t.line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
@@ -147,4 +174,32 @@ select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped
 from j group by doc_id
 """
 
-ORACLES: dict[str, str] = {"op8_chat_template": _CHAT, "op10_warc": _REVISIT, "op13_line_dedup": _LINES}
+_TRIE = r"""
+with turns as (select conv_id as c, turn, md5(octet_length(encode(coalesce(role, '')))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+                      len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as w
+               from conversations where conv_id is not null),
+t as (select c, id, w, row_number() over (partition by c order by turn nulls first, id) as p from turns),
+h as (select c, c - c % 20 as base, xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(c::varchar, ''), lambda x: ord(x)::bigint)),
+             lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+                                        lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295::bigint) % 4 as h
+      from (select distinct c from t)),
+m as (select h.c, count(t.c) as taken from h left join t on t.c = h.base and t.p <= h.h group by h.c),
+r as (select h.c, t.p, t.id, t.w from h join t on t.c = h.base and t.p <= h.h
+      union all
+      select h.c, m.taken + t.p - h.h, t.id, t.w from t join h on t.c = h.c join m on m.c = h.c where t.p > h.h),
+s as (select c, count(*) as n, string_agg(id, '' order by p) as path, list(w order by p) as ws from r group by c),
+x as (select c, n, d, path[1:32 * d] as k, ws[d] as w
+      from (select h.c, coalesce(n, 0) as n, coalesce(path, '') as path, coalesce(ws, []) as ws, unnest(range(0, coalesce(n, 0)::bigint + 1)) as d
+            from h left join s on s.c = h.c)),
+n as (select k, d, min(c) as conv_id, count(*) as n_convs, coalesce(max(w), 0) as w,
+             sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (where n = d), '')) as ends_sha256
+      from x group by k, d),
+kids as (select k[1:32 * (d - 1)] as k, count(*) as n_children from n where d > 0 group by 1),
+f as (select n.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * w as saved, (n_children is null)::int as leaf from n left join kids on kids.k = n.k),
+sums as (select k[1:32 * i] as k, sum(leaf)::bigint as n_leaves, sum(saved)::bigint as saved_tokens
+         from (select k, leaf, saved, unnest(range(0, d + 1)) as i from f) group by 1)
+select f.conv_id, f.d as depth, up.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+from f join sums on sums.k = f.k left join n up on up.k = f.k[1:32 * (f.d - 1)] and up.d = f.d - 1
+"""
+
+ORACLES: dict[str, str] = {"op8_chat_template": _CHAT, "op10_warc": _REVISIT, "op11_automaton_search": _SEARCH, "op12_prefix_trie": _TRIE, "op13_line_dedup": _LINES}

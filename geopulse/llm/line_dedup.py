@@ -77,7 +77,8 @@ def drop_common_lines(df: DataFrame, key: str = "doc_id", text: str = "text", le
     # one struct holds the caller's columns, so that no name of this operator can clash with them
     rows = df.select(F.col(_quoted(key)).alias("id"), F.col(_quoted(text)).cast("string").alias("text"), F.struct("*").alias("row"))
     lines = written(_lines(rows.select("id", "text"), least_chars), "line-hashes")
-    common = common_lines(lines, least_documents)
+    # written, so that the join shuffles both sides and Spark can split a common line's rows
+    common = written(common_lines(lines, least_documents), "line-common")
     dropped = (lines.join(common, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("last")))
                .groupBy("id", "t1", "t2").agg(F.collect_set("at").alias("drop"))
                .withColumnsRenamed({"id": "d_id", "t1": "d1", "t2": "d2"}))

@@ -25,11 +25,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared scratch folder: cuts the lineage."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a Parquet table in the shared scratch folder: cuts the lineage.
+
+    The shuffle files of the job go as soon as the table is there, so an operator's
+    disk is that of its largest step, not the sum of all.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parallelism(spark: SparkSession) -> int:

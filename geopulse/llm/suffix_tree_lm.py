@@ -2,21 +2,29 @@
 
 Tokens are words (A-Z lowered, ASCII white space between) and one end for each
 text.  The tree's nodes are contexts of up to ``depth`` words of the whole
-vocabulary.  A context is a candidate if it occurs at least ``least`` times in the
-training text, and stays if its next-word distribution diverges from its parent's
-(the context without its first word): the words after it must be more likely by at
-least ``divergence`` nats together.  Both are absolute, so the tree grows with the
+vocabulary.  A context stores the words that follow it at least ``least`` times in
+the training text.  It stays in the tree if its next-word distribution diverges from
+its parent's (the context without its first word): its followers must be more likely
+by at least ``divergence`` nats together.  Both are absolute, so the tree grows with the
 corpus.
 
-Distributions are smoothed by the parent's, down to the additive unigram
-distribution: its part counts as ``weight`` times the number of different words
-seen after the context.  A token is scored in the state of the longest
-context in the tree that ends before it.
+A context of n occurrences gives a stored follower (count - ``discount``) / n, and
+leaves the rest to its parent, down to the additive unigram distribution.  A
+token is scored in the state of the longest context in the tree that ends before it.
 
-The tree is a table, never in one place: of each word sequence (a 64-bit key) its
-last word's probability, of each kept context the share it leaves to its parent.
-Spark counts the sequences, joins them to their parents and joins the kept ones to
-the texts by chunk (a range of keys), each chunk getting its own sequences only.
+The tree is a table, never in one place: of each word and stored sequence (a 64-bit
+key) its count, and of each kept context the sum and number of its followers.
+
+1. Spark counts the sequences of each length (one shuffle of the distinct ones of
+   bounded runs), keeps the stored ones, and tests the contexts by joins with the
+   level above.
+2. The texts are dealt to chunks.  A chunk asks for its distinct words and sequences,
+   as sorted, delta-coded keys by key range; the tree is dealt by the same ranges, and
+   what it has of the asked keys goes back to the chunk.
+3. The texts are scored beside their chunk's answers.
+
+No step holds more than one range's part of the tree or one chunk's answers; texts
+stream through.  Rows equal in key and text fall into one chunk.
 
 Defined results: null and empty texts are one end token; null keys are scored,
 training rows are chosen by the caller; without training tokens every token has
@@ -27,19 +35,20 @@ counted) each; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, text_slices, utf8, word_spans, written
+from geopulse.llm.common import LOWER, SpanHash, text_slices, word_spans, written
 
-DEPTH, LEAST, DIVERGENCE, WEIGHT = 2, 2, 2.0, 1.0
-#: Bytes of text in a chunk, about; and keys that a task counts before it passes them on.
-CHUNK_BYTES = 16 << 20
-_COUNTED_KEYS = 2_000_000
+DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 2, 2.0, 0.75
+#: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
+CHUNK_BYTES, RANGE_ENTRIES = 16 << 20, 4 << 20
+_COUNTED_KEYS = 4_000_000
+#: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
+_RANGE_BITS, _MESSAGE_KEYS = 4, 1 << 17
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 #: The end token's hash; words have other ones (their lowest bit is set).
@@ -92,259 +101,275 @@ def sequences(words: np.ndarray, row: np.ndarray, longest: int) -> Iterator[tupl
         yield key, context, parent, able
 
 
-def _counted(keys: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct keys and their counts, for runs of a bounded number of keys."""
-    held: list[np.ndarray] = []
-    for k in keys:
-        held.append(k)
-        if sum(map(len, held)) >= _COUNTED_KEYS:
-            yield np.unique(np.concatenate(held), return_counts=True)
+def _token_counts(texts: DataFrame) -> DataFrame:
+    """(word, n): occurrences of every token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (words,) in _runs((tokens(data, bounds)[0],) for _, data, bounds in text_slices(batches, "text")):
+            word, count = np.unique(words, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count, pa.int64())], names=["word", "n"])
+
+    return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _runs(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The parts' arrays joined to runs of a bounded number of keys."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for part in parts:
+        held.append(part)
+        if sum(len(h[0]) for h in held) >= _COUNTED_KEYS:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
             held = []
     if held:
-        yield np.unique(np.concatenate(held), return_counts=True)
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def _sums(texts: DataFrame, name: str, keys) -> DataFrame:
-    """(name, n): how often each of ``keys(bytes, boundaries)`` occurs in the texts."""
+def _stored_sequences(texts: DataFrame, length: int, least: int) -> DataFrame:
+    """(context, parent, n): the sequences of a length that occur at least ``least`` times."""
+
+    def of_length(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        *_, (key, context, parent, able) = sequences(*tokens(data, bounds), length)
+        return key[able], context[able], parent[able]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, count in _counted(keys(data, bounds) for _, data, bounds in text_slices(batches, "text")):
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(count, pa.int64())], names=[name, "n"])
+        for key, context, parent in _runs(of_length(data, bounds) for _, data, bounds in text_slices(batches, "text")):
+            _, first, count = np.unique(key, return_index=True, return_counts=True)
+            order = np.argsort(context[first], kind="stable")  # equal contexts side by side take less room in the shuffle
+            first, count = first[order], count[order]
+            yield pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(parent[first].view(np.int64)),
+                                              pa.array(count, pa.int64())], names=["context", "parent", "n"])
 
-    return texts.select("text").mapInArrow(run, f"{name} long, n long").groupBy(name).agg(F.sum("n").alias("n"))
+    # dealt by the whole sequence: a frequent context is spread; the tasks have added up what they could
+    counted = texts.select("text").mapInArrow(run, "context long, parent long, n long").repartition("context", "parent")
+    return counted.groupBy("context", "parent").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _token_counts(texts: DataFrame) -> DataFrame:
-    """(word, n): occurrences of every token."""
-    return _sums(texts, "word", lambda data, bounds: tokens(data, bounds)[0].view(np.int64))
+def _level(texts: DataFrame, above: DataFrame, length: int, least: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
+    """(key, context, n, p, below) of the stored sequences of a length, and (context, stored, kinds) of the kept
+    contexts, from the (key, n, q) of the sequences one word shorter.
 
+    ``p`` is the last word's probability in the context, ``below`` in its parent's state.
+    Every part and shorter end of a stored sequence occurs as often, so the joins find them all.
+    """
+    rows = written(_stored_sequences(texts, length, least), "lm-stored")
+    back = 1 - (F.col("stored") - F.lit(float(discount)) * F.col("kinds")) / F.col("total")
+    contexts = written(rows.groupBy("context").agg(F.sum("n").alias("stored"), F.count("*").alias("kinds"))
+                       .join(above.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+                       .withColumn("back", back), "lm-contexts")
+    p = (F.col("n") - F.lit(float(discount))) / F.col("total") + F.col("back") * F.col("below")
+    level = written(rows.join(contexts.select("context", "total", "back"), "context")
+                    .join(above.select(F.col("key").alias("parent"), F.col("q").alias("below")), "parent")
+                    .select(F.xxhash64("context", "parent").alias("key"), "context", "n", p.alias("p"), "below"), "lm-level")
+    gains = level.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))).alias("gain"))
+    rest = (F.col("total") - F.col("stored")) * F.log("back")  # of followers that are not stored
+    kept = written(contexts.join(gains, "context").where(F.col("gain") + rest >= divergence).select("context", "stored", "kinds"), "lm-kept")
+    return level, kept
 
-def _sequence_counts(texts: DataFrame, length: int) -> DataFrame:
-    """(context, parent, n): occurrences of every sequence of a length, dealt out by context."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+def tree_table(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH, least: int = LEAST,
+               divergence: float = DIVERGENCE, discount: float = DISCOUNT) -> DataFrame:
+    """(key, n, stored, kinds) of the tree of training ``texts`` with their (word, n) ``counts``: every word and
+    stored sequence with its count, and the sum and number of its followers if it is a kept context (else null)."""
+    above = counts.select(F.col("word").alias("key"), "n", ((F.col("n") + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("q"))
+    parts = []
+    for length in range(2, depth + 2):
+        level, kept = _level(texts, above, length, least, divergence, discount)
+        parts.append(above.select("key", "n").join(kept.withColumnRenamed("context", "key"), "key", "left"))
+        chosen = F.when(F.col("stored").isNotNull(), F.col("p")).otherwise(F.col("below"))
+        above = written(level.join(kept, "context", "left").select("key", "n", chosen.alias("q")), "lm-above")
+    none = F.lit(None).cast("long")
+    table = above.select("key", "n", none.alias("stored"), none.alias("kinds"))
+    for part in parts:
+        table = table.unionAll(part)
+    return table
 
-        def passed_on() -> pa.RecordBatch:
-            key, context, parent = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, first, count = np.unique(key, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(parent[first].view(np.int64)),
-                                               pa.array(count, pa.int64())], names=["context", "parent", "n"])
 
-        for _, data, bounds in text_slices(batches, "text"):
-            *_, (key, context, parent, able) = sequences(*tokens(data, bounds), length)
-            held.append((key[able], context[able], parent[able]))
-            if sum(len(h[0]) for h in held) >= _COUNTED_KEYS:
-                yield passed_on()
-                held = []
-        if held:
-            yield passed_on()
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, so that equal high bytes take no room once compressed."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
 
-    counted = texts.select("text").mapInArrow(run, "context long, parent long, n long").repartition("context")
-    return counted.groupBy("context", "parent").agg(F.sum("n").alias("n"))
 
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
 
-def _words(counts: DataFrame, total: int, vocabulary: int) -> DataFrame:
-    """(key, n, q): the vocabulary with its additive unigram probabilities, as the level above all contexts."""
-    return counts.select(F.col("word").alias("key"), "n", ((F.col("n") + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("q"))
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
-def _level(texts: DataFrame, above: DataFrame, length: int, least: int, divergence: float, weight: float) -> DataFrame:
-    """The sequences of a length whose context is a candidate, from the (key, n, q) of those one word shorter.
 
-    ``q`` is the last word's probability in the state of the longest kept context,
-    ``back`` what a kept context leaves to its parent (null: not kept), ``first`` marks
-    one row of each context.
-    """
-    # a context is followed by a token wherever it occurs: texts end with the end token
-    able = above.where((F.col("n") >= least) & (F.col("key") != int(END))).select(F.col("key").alias("context"), F.col("n").alias("total"))
-    own = Window.partitionBy("context")
-    rows = (_sequence_counts(texts, length).join(able, "context").withColumn("kinds", F.count("*").over(own))
-            .join(above.select(F.col("key").alias("parent"), F.col("q").alias("below")), "parent"))
-    free = F.lit(float(weight)) * F.col("kinds")
-    rows = rows.withColumn("p", (F.col("n") + free * F.col("below")) / (F.col("total") + free))
-    rows = rows.withColumn("kept", F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))).over(own) >= divergence)
-    return rows.select(
-        F.xxhash64("context", "parent").alias("key"), "context", "parent", "n", "total", "kinds",
-        F.when(F.col("kept"), F.col("p")).otherwise(F.col("below")).alias("q"),
-        F.when(F.col("kept"), free / (F.col("total") + free)).alias("back"),
-        (F.row_number().over(own.orderBy("context")) == 1).alias("first"))
+def _unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw), dtype=np.uint64)
 
 
-def tree_table(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH, least: int = LEAST,
-               divergence: float = DIVERGENCE, weight: float = WEIGHT) -> DataFrame:
-    """(key, kind, value) of the tree of training ``texts`` with their (word, n) ``counts``: kind 0 is
-    a word's count, 1 the log10 probability of a sequence's last word in a kept context, 2 the log10
-    share that a kept context leaves to its parent."""
-    level = _words(counts, total, vocabulary)
-    parts = [counts.select(F.col("word").alias("key"), F.lit(0).cast("byte").alias("kind"), F.col("n").cast("double").alias("value"))]
-    for length in range(2, depth + 2):
-        level = written(_level(texts, level, length, least, divergence, weight)
-                        .select("key", "context", "n", "q", "back", "first"), "lm-level")
-        kept = level.where("back is not null")
-        parts.append(kept.select("key", F.lit(1).cast("byte"), F.log10("q")))
-        parts.append(kept.where("first").select("context", F.lit(2).cast("byte"), F.log10("back")))
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionAll(part)
-    return table
+_MESSAGE = {"range": pa.int32(), "chunk": pa.int32(), "keys": pa.binary(), "values": pa.list_(pa.binary())}
 
 
-@dataclass
-class Tree:
-    """The one-word contexts of a small corpus in one process, to look at.
+def _messages(keys: np.ndarray, values: list[np.ndarray], chunk: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Sorted keys with their values, by key range and in bounded messages."""
+    of = (keys >> np.uint64(64 - bits)).astype(np.int32)
+    edges = np.unique(np.concatenate([np.flatnonzero(np.diff(of, prepend=-1)), np.arange(0, len(keys), _MESSAGE_KEYS), [len(keys)]]))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([of[a]], pa.int32()), pa.array([chunk], pa.int32()), pa.array([_packed_keys(keys[a:b])], pa.binary()),
+             pa.array([[_packed(v[a:b].view(np.uint64)) for v in values]], pa.list_(pa.binary()))], names=list(_MESSAGE))
 
-    A symbol is a word's place in the alphabet (sorted word hashes) + 1; 0 is an unseen
-    word.  ``contexts`` are numbers of alphabet words; ``pairs`` are sorted
-    (context, symbol) keys with their counts.
-    """
 
-    alphabet: np.ndarray
-    root: np.ndarray  # probability of each symbol, 0 first
-    totals: np.ndarray
-    kinds: np.ndarray
-    kept: list[np.ndarray]
-    pairs: np.ndarray
-    counts: np.ndarray
-
-    def smoothed(self, length: int, number: np.ndarray, symbols: np.ndarray, parent: np.ndarray, weight: float) -> np.ndarray:
-        if length != 1:
-            raise ValueError("only one-word contexts are held here")
-        key = number * len(self.root) + symbols
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        count = np.where(self.pairs[at] == key, self.counts[at], 0)
-        back = weight * self.kinds[number]
-        return (count + back * parent) / (self.totals[number] + back)
-
-
-def build_tree(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, least: int = LEAST,
-               divergence: float = DIVERGENCE, weight: float = WEIGHT) -> Tree:
-    """The :class:`Tree` of a small corpus; scoring never builds one."""
-    words = counts.toPandas()
-    alphabet = words["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(alphabet)
-    alphabet, n = alphabet[order], words["n"].to_numpy(float)[order]
-    root = np.concatenate([[0.5], n + 0.5]) / (total + 0.5 * (vocabulary + 1))
-    rows = _level(texts, _words(counts, total, vocabulary), 2, least, divergence, weight).toPandas()
-    place = lambda column: np.searchsorted(alphabet, rows[column].to_numpy(np.int64).view(np.uint64))
-    number, symbol = place("context"), place("parent") + 1
-    totals, kinds, kept = np.zeros(len(alphabet)), np.zeros(len(alphabet)), np.zeros(len(alphabet), bool)
-    totals[number], kinds[number], kept[number] = rows["total"], rows["kinds"], rows["back"].notna()
-    pairs = number * len(root) + symbol
-    by_pair = np.argsort(pairs)
-    return Tree(alphabet, root, totals, kinds, [kept], pairs[by_pair], rows["n"].to_numpy(float)[by_pair])
-
-
-def _chunked(documents: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
-    """(key, text, chunk): chunks are ranges of keys of about equal byte size."""
-    rows = documents.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    size, low, high = rows.agg(F.sum(F.octet_length("text") + 1), F.min("key"), F.max("key")).first()
-    chunks = max(1, -(-int(size or 0) // CHUNK_BYTES))
-    if chunks == 1 or low is None or high == low:
-        return rows.withColumn("chunk", F.lit(0)), 1
-    # bytes by fine, equal ranges of keys; neighbours are put together to chunks
-    fine = F.floor((F.col("key") - low) / F.lit((high - low + 1) / (chunks * 16))).cast("int")
-    weights = rows.groupBy(F.coalesce(fine, F.lit(0)).alias("fine")).agg(F.sum(F.octet_length("text") + 1).alias("bytes"), F.count("*").alias("n"))
-    spread = weights.collect()  # at most 16 rows a chunk
-    number, filled, of = 0, 0, {}
-    split: dict[int, int] = {}
-    for r in sorted(spread, key=lambda r: r["fine"]):
-        if filled and filled + r["bytes"] > CHUNK_BYTES:
-            number, filled = number + 1, 0
-        of[r["fine"]] = number
-        filled += r["bytes"]
-        if r["bytes"] > 2 * CHUNK_BYTES:  # a range that is too full is dealt out by text
-            split[r["fine"]] = -(-r["bytes"] // CHUNK_BYTES)
-            number, filled = number + split[r["fine"]], 0
-    plan = documents.sparkSession.createDataFrame([(f, c, split.get(f, 1)) for f, c in of.items()], "fine int, first int, parts int")
-    spreading = F.pmod(F.xxhash64("key", "text"), F.col("parts")).cast("int")
-    return (rows.withColumn("fine", F.coalesce(fine, F.lit(0))).join(F.broadcast(plan), "fine")
-            .withColumn("chunk", F.col("first") + spreading).select("key", "text", "chunk")), number + 1
-
-
-def _chunk_keys(texts: DataFrame, longest: int) -> DataFrame:
-    """(chunk, key): each chunk's words and sequences, once for each run of a task that has them."""
+_MESSAGE_SCHEMA = "range int, chunk int, keys binary, values array<binary>"
+
+
+def _tree_messages(tree: DataFrame, bits: int) -> DataFrame:
+    """The tree's entries by key range; their chunk is -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entries = ([c.fill_null(0).to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches)
+        for key, *values in _runs(tuple(e) for e in entries):
+            order = np.argsort(key.view(np.uint64))
+            yield from _messages(key[order].view(np.uint64), [v[order] for v in values], -1, bits)
+
+    return tree.select("key", "n", "stored", "kinds").mapInArrow(run, _MESSAGE_SCHEMA)
+
+
+def _streamed(df: DataFrame, parts: int, by: str, then: str) -> DataFrame:
+    """Rows dealt by a part number, each part's in the order of ``then``."""
+    return df.repartitionById(parts, F.col(by)).sortWithinPartitions(by, then)
+
+
+def _asked(chunked: DataFrame, longest: int, bits: int) -> DataFrame:
+    """Each chunk's distinct words and sequences by key range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        size = 0
+        now, held, size = None, [], 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
-            for c, keys in held.items():
-                own = np.unique(np.concatenate(keys)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), c, np.int32)), pa.array(own)], names=["chunk", "key"])
-            held.clear()
+            if held:
+                yield from _messages(np.unique(np.concatenate(held)), [], now, bits)
 
         for rows, data, bounds in text_slices(batches, "text"):
+            chunk = rows.column(0).to_numpy()
             words, row = tokens(data, bounds)
-            chunk = rows.column(1).to_numpy(zero_copy_only=False)[row]
-            keys = [(words, chunk)] + [(key[able], chunk[able]) for key, _, _, able in sequences(words, row, longest)]
-            for key, of in keys:
-                for c in np.unique(of).tolist():
-                    held.setdefault(c, []).append(np.unique(key[of == c]))
-                size += len(key)
-            if size >= _COUNTED_KEYS:
-                yield from passed_on()
-                size = 0
+            keys = [(words, row)] + [(key[able], row[able]) for key, _, _, able in sequences(words, row, longest)]
+            for c in dict.fromkeys(chunk.tolist()):
+                if c != now or size >= 4 * _COUNTED_KEYS:
+                    yield from passed_on()
+                    now, held, size = c, [], 0
+                for key, of in keys:
+                    held.append(np.unique(key[chunk[of] == c]))
+                    size += len(held[-1])
         yield from passed_on()
 
-    return texts.select("text", "chunk").mapInArrow(run, "chunk int, key long")
-
+    return chunked.select("chunk", "text").mapInArrow(run, _MESSAGE_SCHEMA)
 
-def _looked_up(keys: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Value of each key among the sorted known ones, NaN for others."""
-    if not len(known):
-        return np.full(len(keys), np.nan)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, values[at], np.nan)
 
+def _answers(tree: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
+    """What the tree has of each chunk's keys: a range's entries come first, then the chunks' questions."""
 
-_SCORES = "key long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-
-def score_texts(documents: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", **settings: float) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, known, held = None, None, []
+        for batch in batches:
+            out = []
+            for place, chunk, raw, values in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if place != now:
+                    now, known, held = place, None, []
+                if chunk < 0:
+                    held.append((_unpacked_keys(raw), *(_unpacked(v) for v in values)))
+                    continue
+                if known is None:
+                    columns = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.zeros(0, np.uint64)] * 4
+                    order = np.argsort(columns[0])
+                    known, held = [c[order] for c in columns], []
+                keys = _unpacked_keys(raw)
+                at = np.searchsorted(known[0], keys)
+                at = at[np.minimum(at, len(known[0]) - 1) == at] if not len(known[0]) else np.minimum(at, len(known[0]) - 1)
+                at = at[known[0][at] == keys] if len(at) else at
+                if len(at):
+                    out.append((place, chunk, _packed_keys(known[0][at]), [_packed(c[at]) for c in known[1:]]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), _MESSAGE.values(), strict=True)], names=list(_MESSAGE))
+
+    return _streamed(tree.unionAll(asked), 1 << bits, "range", "chunk").mapInArrow(run, _MESSAGE_SCHEMA)
+
+
+class _Known:
+    """A chunk's answers: count, and followers' sum and number, of its keys that the tree has."""
+
+    def __init__(self, messages: list[tuple[bytes, list[bytes]]]):
+        columns = [np.concatenate(x) for x in zip(*((_unpacked_keys(k), *map(_unpacked, v)) for k, v in messages), strict=True)]
+        order = np.argsort(columns[0]) if columns else np.zeros(0, np.int64)
+        self.keys, *self.values = [c[order] for c in columns] or [np.zeros(0, np.uint64)] * 4
+
+    def of(self, keys: np.ndarray) -> list[np.ndarray]:
+        """n, stored and kinds of each key, 0 for unknown ones."""
+        if not len(self.keys):
+            return [np.zeros(len(keys))] * 3
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = self.keys[at] == keys
+        return [np.where(there, v[at], 0).astype(float) for v in self.values]
+
+
+def _scored(known: _Known, data: np.ndarray, bounds: np.ndarray, total: int, vocabulary: int, depth: int, discount: float) -> list[np.ndarray]:
+    """n_tokens, n_known, base score and score of each row."""
+    words, row = tokens(data, bounds)
+    n, stored, kinds = known.of(words)
+    base = (n + 0.5) / (total + 0.5 * (vocabulary + 1))
+    found, p = n, base
+    shorter = [n, stored, kinds]  # of the sequence one word shorter that ends at each token
+    for key, _, _, able in sequences(words, row, depth + 1):
+        # the context is the shorter sequence that ends one token before
+        whole, used, of = ([np.concatenate([[0.0], x[:-1]]) for x in shorter])
+        kept = able & (of > 0)
+        back = 1 - (used - discount * of) / np.where(whole > 0, whole, 1)
+        shorter = known.of(key)
+        own = np.where(shorter[0] > 0, (shorter[0] - discount) / np.where(whole > 0, whole, 1), 0)
+        p = np.where(kept, own + back * p, p)
+    add = lambda x: np.bincount(row, weights=x, minlength=len(bounds) - 1)
+    return [add(np.ones(len(words))).astype(np.int64), add(found > 0).astype(np.int64), add(np.log10(base)), add(np.log10(p))]
+
+
+def score_texts(documents: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
+                least: int = LEAST, divergence: float = DIVERGENCE, discount: float = DISCOUNT) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every whole text.
 
     ``base_score`` is the log10 probability under the additive unigram distribution,
     ``score`` under the tree.
     """
-    depth = settings.get("depth", DEPTH)
     learned = training.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     counts = written(_token_counts(learned), "lm-counts")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = tree_table(learned, counts, total, vocabulary, **settings)
-    texts, chunks = _chunked(documents, key, text)
-    # a key may come from several runs of a chunk: it is looked up only
-    known_keys = _chunk_keys(texts, depth + 1).join(tree, "key")
-    bottom = total + 0.5 * (vocabulary + 1)
-
-    def run(group: tuple, rows: pa.Table, known: pa.Table) -> pa.Table:
-        keys = known.column("key").to_numpy().view(np.uint64)
-        kind, value = known.column("kind").to_numpy(), known.column("value").to_numpy()
-        tables = []
-        for k in range(3):
-            own, of = keys[kind == k], value[kind == k]
-            order = np.argsort(own)
-            tables.append((own[order], of[order]))
-        del keys, kind, value
-        out = []
-        for i in range(0, rows.num_rows, 512):
-            part = rows.slice(i, 512).combine_chunks()
-            for slice_, data, bounds in text_slices(iter(part.select(["key", "text"]).to_batches()), "text"):
-                tok, row = tokens(data, bounds)
-                c = np.nan_to_num(_looked_up(tok, *tables[0]))
-                base = np.log10((c + 0.5) / bottom)
-                p = base
-                for own, context, _, able in sequences(tok, row, depth + 1):
-                    back = np.where(able, _looked_up(context, *tables[2]), np.nan)  # NaN: not a kept context
-                    seen = _looked_up(own, *tables[1])
-                    p = np.where(np.isnan(back), p, np.where(np.isnan(seen), back + p, seen))
-                add = lambda x: np.bincount(row, weights=x, minlength=len(bounds) - 1)
-                out.append(pa.table({
-                    "key": slice_.column(0), "n_tokens": add(np.ones(len(tok))).astype(np.int64), "n_known": add(c > 0).astype(np.int64),
-                    "train_tokens": np.full(len(bounds) - 1, total, np.int64), "base_score": add(base), "score": add(p)}))
-        return pa.concat_tables(out) if out else pa.table({n: pa.array([], pa.int64() if k == "long" else pa.float64())
-                                                           for n, k in (x.split() for x in _SCORES.split(", "))})
-
-    return (texts.repartition(chunks, "chunk").groupBy("chunk").cogroup(known_keys.groupBy("chunk"))
-            .applyInArrow(run, _SCORES))
+    tree = written(tree_table(learned, counts, total, vocabulary, depth, least, divergence, discount), "lm-tree")
+    bits = max(_RANGE_BITS, (tree.count() // RANGE_ENTRIES).bit_length())
+
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = documents.select(F.col(key).alias("key"), body.alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    chunks = max(1, -(-int(size) // CHUNK_BYTES))
+    chunked = rows.select("key", "text", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int").alias("chunk"))
+    by_chunk = chunked.select("chunk", "text").repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk")
+    answers = written(_answers(_tree_messages(tree, bits), _asked(by_chunk, depth + 1, bits), bits), "lm-answers")
+
+    kind = documents.schema[key].dataType.simpleString()
+    none = lambda k: F.lit(None).cast(k)
+    beside = answers.select("chunk", F.lit(0).alias("turn"), "keys", "values", none(kind).alias("key"), none("string").alias("text")).unionAll(
+        chunked.select("chunk", F.lit(1), none("binary"), none("array<binary>"), "key", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, known = None, [], None
+        for batch in batches:
+            chunk, turn = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(chunk) | np.diff(turn)) + 1, [len(chunk)]]).tolist()
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if chunk[a] != now:
+                    now, held, known = chunk[a], [], None
+                part = batch.slice(a, b - a)
+                if turn[a] == 0:
+                    held += zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
+                    continue
+                if known is None:
+                    known, held = _Known(held), []
+                for slice_, data, bounds in text_slices(iter([part]), "text"):
+                    n, there, base, score = _scored(known, data, bounds, total, vocabulary, depth, discount)
+                    yield pa.RecordBatch.from_arrays(
+                        [slice_.column(4), pa.array(n), pa.array(there), pa.array(np.full(len(n), total, np.int64)), pa.array(base), pa.array(score)],
+                        names=["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return _streamed(beside, chunks, "chunk", "turn").mapInArrow(
+        run, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -42,7 +42,17 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
         df.write.partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that no later step reads."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parallelism(spark: SparkSession) -> int:
@@ -100,6 +110,13 @@ def seeds(n: int, seed: int) -> np.ndarray:
         return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix(np.array([seed], np.uint64)))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct numbers and the count of each (by a sort: np.unique is many times slower)."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.diff(np.append(at, len(keys)))
+
+
 @functools.lru_cache(maxsize=4)
 def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     base = int(seeds(1, seed)[0]) | 1

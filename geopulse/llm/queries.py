@@ -81,7 +81,7 @@ def op8_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = suffix_tree_lm.score_texts(documents, documents.where(crc_mod("doc_id", 5) != 1))
+    out = suffix_tree_lm.score_texts(documents, crc_mod("doc_id", 5) != 1)
     return out.select(F.col("key").alias("doc_id"), (crc_mod("key", 5) == 1).alias("held_out"), "n_tokens", "n_known",
                       "train_tokens", "base_score", "score")
 

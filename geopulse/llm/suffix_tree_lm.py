@@ -15,19 +15,20 @@ token is scored in the state of the longest context in the tree that ends before
 The tree is a table, never in one place: of each word and stored sequence (a 64-bit
 key) its count, and of each kept context the sum and number of its followers.
 
-1. Spark counts the sequences of each length (one shuffle of the distinct ones of
-   bounded runs), keeps the stored ones, and tests the contexts by joins with the
-   level above.
-2. The texts are dealt to chunks.  A chunk asks for its distinct words and sequences,
-   as sorted, delta-coded keys by key range; the tree is dealt by the same ranges, and
-   what it has of the asked keys goes back to the chunk.
+1. Spark counts the words, and the sequences of each length in turn, as the distinct
+   ones of bounded runs; it keeps the stored ones, and tests the contexts by joins with
+   the level above.
+2. The texts are dealt to chunks.  A chunk asks for its distinct words and pairs, as
+   sorted, delta-coded keys by key range; the tree is dealt by the same ranges, and what
+   it has of the asked keys goes back to the chunk.  A longer sequence is counted, and
+   asked for, only where both its shorter ends are stored.
 3. The texts are scored beside their chunk's answers.
 
 No step holds more than one range's part of the tree or one chunk's answers; texts
 stream through.  Rows equal in key and text fall into one chunk.
 
 Defined results: null and empty texts are one end token; null keys are scored,
-training rows are chosen by the caller; without training tokens every token has
+training rows are those for which the caller's condition is true; without training tokens every token has
 the uniform probability of an empty vocabulary; repeated rows are scored (and
 counted) each; extra columns are ignored.
 """
@@ -38,10 +39,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, text_slices, word_spans, written
+from geopulse.llm.common import LOWER, SpanHash, discard, distinct, text_slices, word_spans, written
 
 DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 2, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
@@ -106,7 +107,7 @@ def _token_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (words,) in _runs((tokens(data, bounds)[0],) for _, data, bounds in text_slices(batches, "text")):
-            word, count = np.unique(words, return_counts=True)
+            word, count = distinct(words)
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(count, pa.int64())], names=["word", "n"])
 
     return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -124,64 +125,66 @@ def _runs(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray,
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def _stored_sequences(texts: DataFrame, length: int, least: int) -> DataFrame:
-    """(context, parent, n): the sequences of a length that occur at least ``least`` times."""
+_COUNTS = "context long, parent long, n long"
 
-    def of_length(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        *_, (key, context, parent, able) = sequences(*tokens(data, bounds), length)
+
+def _counted(key: np.ndarray, context: np.ndarray, parent: np.ndarray) -> list[np.ndarray]:
+    """Context, parent and count of the distinct sequences, equal contexts side by side (less room in a shuffle)."""
+    order = np.argsort(key)
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    first, count = order[at], np.diff(np.append(at, len(key)))
+    by_context = np.argsort(context[first])
+    first = first[by_context]
+    return [context[first].view(np.int64), parent[first].view(np.int64), count[by_context]]
+
+
+def _pair_counts(texts: DataFrame) -> DataFrame:
+    """(context, parent, n): the pairs of adjacent tokens in the runs of each task."""
+
+    def pairs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        (key, context, parent, able), = sequences(*tokens(data, bounds), 2)
         return key[able], context[able], parent[able]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, context, parent in _runs(of_length(data, bounds) for _, data, bounds in text_slices(batches, "text")):
-            _, first, count = np.unique(key, return_index=True, return_counts=True)
-            order = np.argsort(context[first], kind="stable")  # equal contexts side by side take less room in the shuffle
-            first, count = first[order], count[order]
-            yield pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(parent[first].view(np.int64)),
-                                              pa.array(count, pa.int64())], names=["context", "parent", "n"])
+        for part in _runs(pairs(data, bounds) for _, data, bounds in text_slices(batches, "text")):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in _counted(*part)], names=["context", "parent", "n"])
 
-    # dealt by the whole sequence: a frequent context is spread; the tasks have added up what they could
-    counted = texts.select("text").mapInArrow(run, "context long, parent long, n long").repartition("context", "parent")
-    return counted.groupBy("context", "parent").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return texts.select("text").mapInArrow(run, _COUNTS)
 
 
-def _level(texts: DataFrame, above: DataFrame, length: int, least: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
-    """(key, context, n, p, below) of the stored sequences of a length, and (context, stored, kinds) of the kept
-    contexts, from the (key, n, q) of the sequences one word shorter.
+def _level(counts: DataFrame, above: DataFrame, least: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
+    """From the (context, parent, n) of a length's sequences and the (key, n, q) of those one word shorter: the
+    same (key, n, q) of the stored ones, and (context, stored, kinds) of the kept contexts.
 
-    ``p`` is the last word's probability in the context, ``below`` in its parent's state.
-    Every part and shorter end of a stored sequence occurs as often, so the joins find them all.
+    ``q`` is the last word's probability in the state of the longest kept context.
     """
-    rows = written(_stored_sequences(texts, length, least), "lm-stored")
+    # dealt by the whole sequence: a frequent context is spread; the tasks have added up what they could
+    rows = written(counts.repartition("context", "parent").groupBy("context", "parent").agg(F.sum("n").alias("n"))
+                   .where(F.col("n") >= least), "lm-stored")
     back = 1 - (F.col("stored") - F.lit(float(discount)) * F.col("kinds")) / F.col("total")
     contexts = written(rows.groupBy("context").agg(F.sum("n").alias("stored"), F.count("*").alias("kinds"))
                        .join(above.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
                        .withColumn("back", back), "lm-contexts")
+    # both shorter ends of a stored sequence occur as often, so the joins find them
     p = (F.col("n") - F.lit(float(discount))) / F.col("total") + F.col("back") * F.col("below")
     level = written(rows.join(contexts.select("context", "total", "back"), "context")
                     .join(above.select(F.col("key").alias("parent"), F.col("q").alias("below")), "parent")
                     .select(F.xxhash64("context", "parent").alias("key"), "context", "n", p.alias("p"), "below"), "lm-level")
+    discard(rows)
     gains = level.groupBy("context").agg(F.sum(F.col("n") * F.log(F.col("p") / F.col("below"))).alias("gain"))
     rest = (F.col("total") - F.col("stored")) * F.log("back")  # of followers that are not stored
     kept = written(contexts.join(gains, "context").where(F.col("gain") + rest >= divergence).select("context", "stored", "kinds"), "lm-kept")
-    return level, kept
+    chosen = F.when(F.col("stored").isNotNull(), F.col("p")).otherwise(F.col("below"))
+    stored = written(level.join(kept, "context", "left").select("key", "n", chosen.alias("q")), "lm-sequences")
+    discard(contexts, level)
+    return stored, kept
 
 
-def tree_table(texts: DataFrame, counts: DataFrame, total: int, vocabulary: int, depth: int = DEPTH, least: int = LEAST,
-               divergence: float = DIVERGENCE, discount: float = DISCOUNT) -> DataFrame:
-    """(key, n, stored, kinds) of the tree of training ``texts`` with their (word, n) ``counts``: every word and
-    stored sequence with its count, and the sum and number of its followers if it is a kept context (else null)."""
-    above = counts.select(F.col("word").alias("key"), "n", ((F.col("n") + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("q"))
-    parts = []
-    for length in range(2, depth + 2):
-        level, kept = _level(texts, above, length, least, divergence, discount)
-        parts.append(above.select("key", "n").join(kept.withColumnRenamed("context", "key"), "key", "left"))
-        chosen = F.when(F.col("stored").isNotNull(), F.col("p")).otherwise(F.col("below"))
-        above = written(level.join(kept, "context", "left").select("key", "n", chosen.alias("q")), "lm-above")
-    none = F.lit(None).cast("long")
-    table = above.select("key", "n", none.alias("stored"), none.alias("kinds"))
-    for part in parts:
-        table = table.unionAll(part)
-    return table
+def _entries(sequences_: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(key, n, stored, kinds): what the tree answers; a key can have an entry of each kind."""
+    zero = F.lit(0).cast("long")
+    return sequences_.select("key", "n", zero.alias("stored"), zero.alias("kinds")).unionAll(contexts.select("context", zero, "stored", "kinds"))
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -234,34 +237,100 @@ def _streamed(df: DataFrame, parts: int, by: str, then: str) -> DataFrame:
     return df.repartitionById(parts, F.col(by)).sortWithinPartitions(by, then)
 
 
-def _asked(chunked: DataFrame, longest: int, bits: int) -> DataFrame:
-    """Each chunk's distinct words and sequences by key range."""
+def _beside(chunked: DataFrame, answers: list[DataFrame], chunks: int, *columns: str) -> DataFrame:
+    """Each chunk's answers, then its texts, with the chosen columns of theirs at the end."""
+    kinds = {f.name: f.dataType for f in chunked.schema.fields}
+    none = lambda k: F.lit(None).cast(k)
+    rows = chunked.select("chunk", F.lit(1).alias("turn"), none("binary").alias("keys"), none("array<binary>").alias("values"), "text", *columns)
+    for own in answers:
+        rows = rows.unionAll(own.select("chunk", F.lit(0), "keys", "values", none("string"), *(none(kinds[c]) for c in columns)))
+    return _streamed(rows, chunks, "chunk", "turn")
+
+
+def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Known, pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(chunk, its answers, rows, bytes, boundaries) for each slice of the texts of :func:`_beside`."""
+    now, held, known = None, [], None
+    for batch in batches:
+        chunk, turn = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(chunk) | np.diff(turn)) + 1, [len(chunk)]]).tolist()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a == b:
+                continue
+            if chunk[a] != now:
+                now, held, known = int(chunk[a]), [], None
+            part = batch.slice(a, b - a)
+            if turn[a] == 0:
+                held += zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
+                continue
+            if known is None:
+                known, held = _Known(held), []
+            for rows, data, bounds in text_slices(iter([part]), "text"):
+                yield now, known, rows, data, bounds
+
+
+def _asked(texts: DataFrame, bits: int) -> DataFrame:
+    """Each chunk's distinct words and pairs by key range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, size = None, [], 0
-
-        def passed_on() -> Iterator[pa.RecordBatch]:
-            if held:
-                yield from _messages(np.unique(np.concatenate(held)), [], now, bits)
-
-        for rows, data, bounds in text_slices(batches, "text"):
-            chunk = rows.column(0).to_numpy()
+        now, held = None, []
+        for chunk, _, _, data, bounds in _by_chunk(batches):
+            if chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS:
+                if held:
+                    yield from _messages(distinct(np.concatenate(held))[0], [], now, bits)
+                now, held = chunk, []
             words, row = tokens(data, bounds)
-            keys = [(words, row)] + [(key[able], row[able]) for key, _, _, able in sequences(words, row, longest)]
-            for c in dict.fromkeys(chunk.tolist()):
-                if c != now or size >= 4 * _COUNTED_KEYS:
-                    yield from passed_on()
-                    now, held, size = c, [], 0
-                for key, of in keys:
-                    held.append(np.unique(key[chunk[of] == c]))
-                    size += len(held[-1])
-        yield from passed_on()
+            (key, _, _, able), = sequences(words, row, 2)
+            held.append(distinct(np.concatenate([words, key[able]]))[0])
+        if held:
+            yield from _messages(distinct(np.concatenate(held))[0], [], now, bits)
 
-    return chunked.select("chunk", "text").mapInArrow(run, _MESSAGE_SCHEMA)
+    return texts.mapInArrow(run, _MESSAGE_SCHEMA)
 
 
-def _answers(tree: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
-    """What the tree has of each chunk's keys: a range's entries come first, then the chunks' questions."""
+def _longer(texts: DataFrame, length: int, bits: int) -> DataFrame:
+    """The sequences of a length of which both shorter ends are stored, from texts beside their answers: counts of
+    the runs of texts to ``learn`` from, and what each chunk asks for (these, and their contexts); the other
+    columns are null."""
+    empty = [pa.nulls(1, k) for k in _MESSAGE.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["context", "parent", "n", *_MESSAGE]
+        now, held, counted = None, [], []
+
+        def counts() -> Iterator[pa.RecordBatch]:
+            part = _counted(*(np.concatenate(x) for x in zip(*counted, strict=True)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in part), *(pa.nulls(len(part[0]), e.type) for e in empty)], names=names)
+
+        def questions() -> Iterator[pa.RecordBatch]:
+            for message in _messages(distinct(np.concatenate(held))[0], [], now, bits):
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(3)), *message.columns], names=names)
+
+        for chunk, known, rows, data, bounds in _by_chunk(batches):
+            if held and (chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS):
+                yield from questions()
+                held = []
+            now = chunk
+            words, row = tokens(data, bounds)
+            *_, (key, context, parent, able) = sequences(words, row, length)
+            there = known.of(parent)[0] > 0
+            before = able & np.concatenate([[False], there[:-1]])  # the context is the shorter sequence one token before
+            both = before & there
+            held.append(distinct(np.concatenate([context[before], key[both]]))[0])
+            own = both & rows.column(5).to_numpy(zero_copy_only=False)[row]
+            counted.append((key[own], context[own], parent[own]))
+            if sum(len(c[0]) for c in counted) >= _COUNTED_KEYS:
+                yield from counts()
+                counted = []
+        if held:
+            yield from questions()
+        if counted:
+            yield from counts()
+
+    return texts.mapInArrow(run, f"{_COUNTS}, {_MESSAGE_SCHEMA}")
+
+
+def _answers(entries: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
+    """What the tree's entries say of each chunk's keys: a range's entries come first, then the chunks' questions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, known, held = None, None, []
@@ -271,39 +340,50 @@ def _answers(tree: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
                 if place != now:
                     now, known, held = place, None, []
                 if chunk < 0:
-                    held.append((_unpacked_keys(raw), *(_unpacked(v) for v in values)))
+                    held.append((raw, values))
                     continue
                 if known is None:
-                    columns = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.zeros(0, np.uint64)] * 4
-                    order = np.argsort(columns[0])
-                    known, held = [c[order] for c in columns], []
-                keys = _unpacked_keys(raw)
-                at = np.searchsorted(known[0], keys)
-                at = at[np.minimum(at, len(known[0]) - 1) == at] if not len(known[0]) else np.minimum(at, len(known[0]) - 1)
-                at = at[known[0][at] == keys] if len(at) else at
+                    known, held = _Known(held), []
+                at = known.places(_unpacked_keys(raw))
                 if len(at):
-                    out.append((place, chunk, _packed_keys(known[0][at]), [_packed(c[at]) for c in known[1:]]))
+                    out.append((place, chunk, _packed_keys(known.keys[at]), [_packed(v[at].view(np.uint64)) for v in known.values]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), _MESSAGE.values(), strict=True)], names=list(_MESSAGE))
 
-    return _streamed(tree.unionAll(asked), 1 << bits, "range", "chunk").mapInArrow(run, _MESSAGE_SCHEMA)
+    return _streamed(_tree_messages(entries, bits).unionAll(asked), 1 << bits, "range", "chunk").mapInArrow(run, _MESSAGE_SCHEMA)
 
 
 class _Known:
-    """A chunk's answers: count, and followers' sum and number, of its keys that the tree has."""
+    """Entries by key: count, and followers' sum and number (0: unknown)."""
 
     def __init__(self, messages: list[tuple[bytes, list[bytes]]]):
-        columns = [np.concatenate(x) for x in zip(*((_unpacked_keys(k), *map(_unpacked, v)) for k, v in messages), strict=True)]
-        order = np.argsort(columns[0]) if columns else np.zeros(0, np.int64)
-        self.keys, *self.values = [c[order] for c in columns] or [np.zeros(0, np.uint64)] * 4
-
-    def of(self, keys: np.ndarray) -> list[np.ndarray]:
-        """n, stored and kinds of each key, 0 for unknown ones."""
+        self.keys, self.values = np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * 3
+        if messages:
+            keys, *values = (np.concatenate(x) for x in zip(*((_unpacked_keys(k), *map(_unpacked, v)) for k, v in messages), strict=True))
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            # entries of one key complement each other
+            self.keys, self.values = keys[first], [np.add.reduceat(v.view(np.int64)[order], first) for v in values]
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Places of those of the sorted keys that have an entry."""
         if not len(self.keys):
-            return [np.zeros(len(keys))] * 3
+            return np.zeros(0, np.int64)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        there = self.keys[at] == keys
-        return [np.where(there, v[at], 0).astype(float) for v in self.values]
+        return at[self.keys[at] == keys]
+
+    def of(self, keys: np.ndarray) -> list[np.ndarray]:
+        """The three numbers of each key."""
+        out = [np.zeros(len(keys)) for _ in self.values]
+        if len(self.keys):
+            order = np.argsort(keys)  # in order they are found much faster
+            own = keys[order]
+            at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+            there = self.keys[at] == own
+            for result, values in zip(out, self.values, strict=True):
+                result[order[there]] = values[at[there]]
+        return out
 
 
 def _scored(known: _Known, data: np.ndarray, bounds: np.ndarray, total: int, vocabulary: int, depth: int, discount: float) -> list[np.ndarray]:
@@ -325,51 +405,53 @@ def _scored(known: _Known, data: np.ndarray, bounds: np.ndarray, total: int, voc
     return [add(np.ones(len(words))).astype(np.int64), add(found > 0).astype(np.int64), add(np.log10(base)), add(np.log10(p))]
 
 
-def score_texts(documents: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
+def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
                 least: int = LEAST, divergence: float = DIVERGENCE, discount: float = DISCOUNT) -> DataFrame:
-    """(key, n_tokens, n_known, train_tokens, base_score, score) of every whole text.
+    """(key, n_tokens, n_known, train_tokens, base_score, score) of every whole text, learned from the rows with ``learn``.
 
     ``base_score`` is the log10 probability under the additive unigram distribution,
     ``score`` under the tree.
     """
-    learned = training.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+                            F.coalesce(learn.cast("boolean"), F.lit(False)).alias("learn"))
+    learned = rows.where("learn")
     counts = written(_token_counts(learned), "lm-counts")
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    tree = written(tree_table(learned, counts, total, vocabulary, depth, least, divergence, discount), "lm-tree")
-    bits = max(_RANGE_BITS, (tree.count() // RANGE_ENTRIES).bit_length())
-
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = documents.select(F.col(key).alias("key"), body.alias("text"))
+    above = counts.select(F.col("word").alias("key"), "n", ((F.col("n") + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("q"))
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     chunks = max(1, -(-int(size) // CHUNK_BYTES))
-    chunked = rows.select("key", "text", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int").alias("chunk"))
-    by_chunk = chunked.select("chunk", "text").repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk")
-    answers = written(_answers(_tree_messages(tree, bits), _asked(by_chunk, depth + 1, bits), bits), "lm-answers")
+    chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int"))
 
+    answers: list[DataFrame] = []
+    for length in range(2, depth + 2):
+        if length == 2:
+            found = _pair_counts(learned)
+        else:
+            bits = _bits(above)
+            found = written(_longer(_beside(chunked, answers, chunks, "learn"), length, bits), "lm-longer")
+        stored, kept = _level(found.where("n is not null").select("context", "parent", "n"), above, least, divergence, discount)
+        if length == 2:
+            entries = _entries(counts.withColumnRenamed("word", "key").unionByName(stored.select("key", "n")), kept)
+            bits = _bits(entries)
+            asked = _asked(_beside(chunked, [], chunks), bits)
+        else:
+            entries = _entries(stored, kept)
+            asked = found.where("keys is not null").select(*_MESSAGE)
+        answers.append(written(_answers(entries, asked, bits), "lm-answers"))
+        above = stored.select("key", "n", "q")
     kind = documents.schema[key].dataType.simpleString()
-    none = lambda k: F.lit(None).cast(k)
-    beside = answers.select("chunk", F.lit(0).alias("turn"), "keys", "values", none(kind).alias("key"), none("string").alias("text")).unionAll(
-        chunked.select("chunk", F.lit(1), none("binary"), none("array<binary>"), "key", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, known = None, [], None
-        for batch in batches:
-            chunk, turn = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(chunk) | np.diff(turn)) + 1, [len(chunk)]]).tolist()
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if chunk[a] != now:
-                    now, held, known = chunk[a], [], None
-                part = batch.slice(a, b - a)
-                if turn[a] == 0:
-                    held += zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
-                    continue
-                if known is None:
-                    known, held = _Known(held), []
-                for slice_, data, bounds in text_slices(iter([part]), "text"):
-                    n, there, base, score = _scored(known, data, bounds, total, vocabulary, depth, discount)
-                    yield pa.RecordBatch.from_arrays(
-                        [slice_.column(4), pa.array(n), pa.array(there), pa.array(np.full(len(n), total, np.int64)), pa.array(base), pa.array(score)],
-                        names=["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for _, known, slice_, data, bounds in _by_chunk(batches):
+            n, there, base, score = _scored(known, data, bounds, total, vocabulary, depth, discount)
+            yield pa.RecordBatch.from_arrays(
+                [slice_.column(5), pa.array(n), pa.array(there), pa.array(np.full(len(n), total, np.int64)), pa.array(base), pa.array(score)],
+                names=["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return _streamed(beside, chunks, "chunk", "turn").mapInArrow(
+    return _beside(chunked, answers, chunks, "key").mapInArrow(
         run, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _bits(entries: DataFrame) -> int:
+    """Key ranges, as a power of two."""
+    return max(_RANGE_BITS, (entries.count() // RANGE_ENTRIES).bit_length())

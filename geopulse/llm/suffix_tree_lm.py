@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 
 from geopulse.llm.common import LOWER, SpanHash, discard, distinct, text_slices, word_spans, written
 
-DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 2, 2.0, 0.75
+DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
-CHUNK_BYTES, RANGE_ENTRIES = 16 << 20, 4 << 20
+CHUNK_BYTES, RANGE_ENTRIES = 32 << 20, 4 << 20
 _COUNTED_KEYS = 4_000_000
 #: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
 _RANGE_BITS, _MESSAGE_KEYS = 4, 1 << 17
@@ -423,6 +423,7 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int"))
 
     answers: list[DataFrame] = []
+    read = [counts]
     for length in range(2, depth + 2):
         if length == 2:
             found = _pair_counts(learned)
@@ -438,7 +439,11 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
             entries = _entries(stored, kept)
             asked = found.where("keys is not null").select(*_MESSAGE)
         answers.append(written(_answers(entries, asked, bits), "lm-answers"))
-        above = stored.select("key", "n", "q")
+        discard(*read, kept)
+        read, above = [stored], stored.select("key", "n", "q")
+        if length > 2:
+            discard(found)
+    discard(*read)
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, text_slices, word_spans, written
+from geopulse.llm.common import LOWER, distinct, text_slices, word_spans, written
 
 TOP = 10
 #: Bytes of item texts whose automaton is broadcast at once.
@@ -94,7 +94,7 @@ def term_counts(automaton: ahocorasick.Automaton, kinds: int, data: np.ndarray,
     flat = np.fromiter(itertools.chain.from_iterable(automaton.iter(text.tobytes().decode("latin-1"))), np.int64) if kinds else np.zeros(0, np.int64)
     # a match ends on the boundary after its term
     place = np.searchsorted(starts, flat[::2] - 1, "right") - 1
-    key, tf = np.unique(place * max(kinds, 1) + flat[1::2], return_counts=True)
+    key, tf = distinct(place * max(kinds, 1) + flat[1::2])
     return np.bincount(row, minlength=rows), key // max(kinds, 1), key % max(kinds, 1), tf
 
 
@@ -150,9 +150,12 @@ def _scored(matched: DataFrame, terms, weights, documents: int, length: int, top
                 offset = np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
                 item = own.owners[np.repeat(own.bounds[term], spread) + offset]
                 place = np.repeat(row, spread) * items + item
-                pair, which = np.unique(place, return_inverse=True)
-                score = np.zeros(len(pair), np.int64)
-                np.add.at(score, which, np.repeat(part, spread))
+                if not len(place):
+                    continue
+                order = np.argsort(place)
+                place = place[order]
+                first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+                pair, score = place[first], np.add.reduceat(np.repeat(part, spread)[order], first)
                 good = (score > 0) & (score >= bar[pair % items])
                 if not good.any():
                     continue

@@ -8,6 +8,7 @@ never on the number of rows.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Iterator
 
@@ -87,10 +88,22 @@ def row_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[i
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, boundaries) for each slice of the batches' text column."""
-    for batch in batches:
-        data, bounds = utf8(batch.column(batch.schema.get_field_index(column)))
-        for i, j in row_slices(bounds, limit):
-            yield batch.slice(i, j - i), data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
+    try:
+        for batch in batches:
+            data, bounds = utf8(batch.column(batch.schema.get_field_index(column)))
+            for i, j in row_slices(bounds, limit):
+                yield batch.slice(i, j - i), data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
+    finally:
+        release_memory()
+
+
+def release_memory() -> None:
+    """At the end of a task: a Python worker is used again, and what it keeps adds to the next stage's memory."""
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -11,13 +11,20 @@ agree in a coordinate with the probability of the texts' weighted Jaccard
 similarity.
 
 Texts that agree in all coordinates of a band meet in a bucket.  Equal texts are
-one node from the start.  A bucket's members are compared with pivots, exactly,
-on their sets of runs: first with the member that shares the largest buckets,
-then with growing random shares of the members.  Linked texts are one component
-and never compared again, so a group of copies costs one comparison a member.
-Members that the first pivot leaves apart are bounded by the runs that any other
-text has, and meet only members whose size that bound allows.  Every other pair
-of a bucket is compared unless it is connected already.
+one node from the start.  Similarity is the weighted Jaccard one, a run weighing as
+often as it occurs, in the signatures as in the exact comparison (of 32-bit
+element hashes).  Buckets are resolved in two ways:
+
+1. Each open bucket's members are compared with one pivot, the member that shares
+   the largest buckets.  Linked texts are one component and never compared again, so
+   a group of copies costs one comparison a member.  This is repeated, with
+   another pivot, as long as a round links a good part of what it compares.
+2. The members that are still apart are joined on their rarest runs: of two sets of
+   similarity s each holds one of the other's among its (1 - s) size + 1 rarest, and at
+   position k of this order a text of n runs can only meet texts of up to
+   (n - k + 1) (1 + s) / s - n runs.  Runs that no other text has come first, and
+   what a large group shares comes last, so near copies below the threshold meet
+   only where they share rare runs; no bucket is paired out.
 
 Words: text between ASCII white space, A-Z lowered.  A text of fewer than five
 words, but not none, is one run.
@@ -36,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, mix, seeds, text_slices, word_spans, written
+from geopulse.llm.common import LOWER, SpanHash, distinct, mix, seeds, text_slices, word_spans, written
 
 RUN_WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^25 > 0.9999.
@@ -145,20 +152,41 @@ def sketches(texts: DataFrame, weighted: bool = False) -> DataFrame:
     return texts.select("key", "node", "text").mapInArrow(run, f"key {kind}, node binary, bands array<long>")
 
 
-def run_sets(texts: DataFrame) -> DataFrame:
-    """(node, runs): the sorted 32-bit hashes of a text's word runs, as bytes."""
+def _elements(data: np.ndarray, bounds: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every unit of weight: the j-th occurrence of a run is an element of its own."""
+    row, element, weight = runs(data, bounds, weighted)
+    times = weight.astype(np.int64)
+    turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(row, times), np.where(turn == 0, np.repeat(element, times), mix(np.repeat(element, times) + turn.astype(np.uint64)))
+
+
+def run_sets(texts: DataFrame, weighted: bool = False) -> DataFrame:
+    """(node, runs): the sorted 32-bit hashes of a text's elements, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in text_slices(batches, "text", _SLICE):
-            row, element, _ = runs(data, bounds)
+            row, element = _elements(data, bounds, weighted)
             at = np.searchsorted(row, np.arange(rows.num_rows + 1))
             short = (element >> np.uint64(32)).astype(np.uint32)
-            sets = [np.unique(short[i:j]).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
+            sets = [distinct(short[i:j])[0].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.binary())], names=["node", "runs"])
 
     return texts.select("node", "text").mapInArrow(run, "node binary, runs binary")
 
 
+def element_rows(texts: DataFrame, weighted: bool = False) -> DataFrame:
+    """(node, size, run): each element of a text, as a 64-bit hash, with the number of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, bounds in text_slices(batches, "text", _SLICE):
+            row, element = _elements(data, bounds, weighted)
+            size = np.bincount(row, minlength=rows.num_rows)[row]
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(row)), pa.array(size, pa.int64()), pa.array(element.view(np.int64))],
+                                             names=["node", "size", "run"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, size long, run long")
+
+
 def _similar(a: bytes, b: bytes, least: float) -> bool:
     x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
     small, large = (x, y) if len(x) <= len(y) else (y, x)
@@ -208,77 +236,78 @@ def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return written(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
 
 
-def partner_bounds(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(node, size, most): the size of a text's set and the largest size that a partner among ``nodes`` can have.
-
-    A partner shares at most the runs that any other text has: with i of those, a
-    similarity of s needs i >= (size + partner's size) * s / (1 + s).
-    """
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                run = np.frombuffer(batch.column(1)[i].as_py(), np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(run), batch.column(0)[i].as_py())), pa.array(run)], names=["id", "run"])
-
-    own = sets.join(nodes.select("node").distinct(), "node").withColumn("id", F.xxhash64("node"))
-    alone = (own.select("id", "runs").mapInArrow(split, "id long, run int").groupBy("run").agg(F.min("id").alias("id"), F.max("id").alias("other"))
-             .where("id = other").groupBy("id").agg(F.count("*").alias("alone")))
-    size = (F.octet_length("runs") / 4).cast("long")
-    sized = own.select("node", "id", size.alias("size")).join(alone, "id", "left").withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
-    return sized.select("node", "size", F.floor(F.col("shared") * (1 + 1 / least) - F.col("size") + 1e-6).alias("most"))
-
-
 def _bin(size) -> F.Column:
     return F.floor(F.log(F.greatest(size, F.lit(1.0))) / np.log(1.05))
 
 
-def _candidates(alive: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
-    """(a, b): pivots and members of their buckets with another label, of sizes that allow a similarity of ``least``."""
-    if "most" not in alive.columns:
-        pairs = alive.join(pivots.select("bucket", F.col("node").alias("p"), F.col("label").alias("p_label")), "bucket").where("label != p_label")
-    else:
-        spread = F.sequence(_bin(F.col("size") * least - 1e-6), _bin(F.least(F.col("most"), F.col("size") / least)))
-        pivots = pivots.select("bucket", F.col("node").alias("p"), F.col("label").alias("p_label"), F.col("size").alias("p_size"),
-                               F.col("most").alias("p_most"), F.explode(spread).alias("bin"))
-        pairs = alive.withColumn("bin", _bin(F.col("size"))).join(pivots, ["bucket", "bin"]).where(
-            "label != p_label and size <= p_most and p_size <= most")
+def rare_pairs(elements: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """(a, b): texts of which at least one is open, with other labels, that can have a similarity of ``least``.
+
+    ``elements`` are (node, size, run), ``nodes`` (node, label, open).
+    """
+    often = elements.groupBy("run").agg(F.count("*").alias("times")).where("times > 1")
+    # a text's own runs, the rarest first; those of no other text only count as places
+    shared = written(elements.join(often, "run").groupBy("node", "size").agg(
+        F.array_sort(F.collect_list(F.struct("times", "run"))).alias("runs")), "near-rare")
+    longest = F.col("size") - F.ceil(F.col("size") * least - 1e-6) + 1
+    alone = F.col("size") - F.size("runs")
+    entries = (shared.withColumn("alone", alone).where(F.col("alone") < longest)
+               .select("node", "size", "alone", F.posexplode(F.slice("runs", 1, (longest - F.col("alone")).cast("int"))).alias("at", "of"))
+               .withColumn("most", F.floor((F.col("size") - F.col("alone") - F.col("at")) * (1 + 1 / least) - F.col("size") + 1e-6))
+               .where(F.col("most") >= F.col("size") * least - 1e-6).join(nodes, "node")
+               .select("node", "size", "most", "label", "open", F.col("of.run").alias("run"), _bin(F.col("size")).alias("own"),
+                       F.explode(F.sequence(_bin(F.col("size") * least - 1e-6), _bin(F.least(F.col("most"), F.col("size") / least)))).alias("other")))
+    entries = written(entries, "near-entries")
+    names = {"node": "p", "size": "p_size", "most": "p_most", "label": "p_label", "own": "other", "other": "own"}
+    partners = entries.drop("open").select("run", *(F.col(k).alias(v) for k, v in names.items()))
+    pairs = entries.where("open").join(partners, ["run", "own", "other"]).where(
+        "label != p_label and size <= p_most and p_size <= most")
     return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
 
 
-def _open_members(alive: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members of the buckets that hold more than one label, with the bucket's size and best pivot."""
-    alive = alive.join(labels, "node")
-    buckets = (alive.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"),
-                                           F.max(F.struct("mass", "node")).alias("top")).where("low != high"))
-    return written(alive.join(buckets.select("bucket", "members", "top"), "bucket"), "near-alive")
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of the buckets that hold more than one label, with the bucket's best pivot."""
+    labelled = members.join(labels, "node")
+    buckets = (labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                              F.max(F.struct("mass", "node", "label")).alias("top")).where("low != high"))
+    return written(labelled.join(written(buckets.select("bucket", "top"), "near-open"), "bucket"), "near-alive")
+
+
+#: Pivot rounds go on while they link this share of the pairs they compare.
+_WORTH = 0.05
 
 
-def linked_texts(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+def linked_texts(members: DataFrame, texts: DataFrame, least: float, weighted: bool) -> DataFrame:
     """(node, label) of the nodes in ``members`` (bucket, node, mass), linked by exact similarity.
 
-    A pivot leaves its bucket once it was compared with all of it, so no pair of a
-    bucket is compared there twice; what the first round leaves gets partner bounds.
+    ``texts`` are the (node, text) of the members.  A pivot leaves its bucket once it was
+    compared with all of it.
     """
+    sets = written(run_sets(texts, weighted).dropDuplicates(["node"]), "near-sets")
     labels = written(members.select("node").distinct().withColumn("label", F.col("node")), "near-labels")
-    alive, turn = members, 0
+    left = members
     while True:
-        alive = _open_members(alive, labels)
-        if alive.isEmpty():
-            return labels
-        if turn == 1:
-            bounds = partner_bounds(alive, sets, least)
-            bounded = alive.select("bucket", "node", "mass").join(bounds, "node").where(F.col("most") >= F.col("size") * least - 1e-6)
-            alive = _open_members(bounded, labels)
-        chance = F.abs(F.xxhash64("bucket", "node", F.lit(7)) % 1_000_000) < 1_000_000.0 * (8 ** turn) / F.col("members")
-        pivot = (F.col("node") == F.col("top.node")) | (chance if turn else F.lit(False))
-        edges = written(_verified(_candidates(alive, alive.where(pivot), least), sets, least), "near-edges")
+        alive = _open_members(left, labels)
+        met = (alive.where("node != top.node and label != top.label")
+               .select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct())
+        pairs = written(met, "near-pairs")
+        compared = pairs.count()
+        if not compared:
+            break
+        edges = written(_verified(pairs, sets, least), "near-edges")
+        linked = edges.count()
         labels = components(labels, edges)
-        alive = alive.where(~pivot).drop("label", "members", "top")
-        turn += 1
+        left = alive.where("node != top.node").select("bucket", "node", "mass")
+        if linked < _WORTH * compared:
+            break
+    alive = _open_members(members, labels)
+    nodes = written(alive.groupBy("node", "label").agg(F.max(F.col("label") != F.col("top.label")).alias("open")), "near-nodes")
+    elements = element_rows(texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), weighted)
+    pairs = written(rare_pairs(elements, nodes, least), "near-pairs")
+    return components(labels, written(_verified(pairs, sets, least), "near-edges"))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, weighted: bool = False) -> DataFrame:
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, weighted: bool = True) -> DataFrame:
     """(key, text_class, near_class) of every row: the least keys of the rows with an equal
     text and of the rows linked to them by texts of a similarity of at least ``least``."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -292,8 +321,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     members = written(shared.select("bucket", "node").join(mass, "node"), "near-members")
     wanted = members.select("node").distinct().join(classes.select("node", "text_class"), "node")
     texts = rows.join(wanted, (rows["node"] == wanted["node"]) & rows["key"].eqNullSafe(wanted["text_class"])).select(rows["node"], "text")
-    sets = written(run_sets(texts).dropDuplicates(["node"]), "near-sets")
-    labels = linked_texts(members, sets, least)
+    labels = linked_texts(members, texts, least, weighted)
     linked = classes.select("node", "text_class").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = linked.groupBy("label").agg(F.min("text_class").alias("near_class"))
     linked = linked.join(named, "label").select("node", "text_class", "near_class")

@@ -27,9 +27,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from geopulse.llm.common import release_memory
+
 SPACE = "▁"
-_CACHE_UNITS = 200_000
-_CACHE_PAIRS = 1_000_000
+#: What a worker remembers during a task, about 60 MB; it is forgotten at the task's end.
+_CACHE_UNITS = 100_000
+_CACHE_PAIRS = 300_000
 _LONG_UNIT = 256
 
 
@@ -67,6 +70,10 @@ class PieceModel:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces with inner white space are not supported")
         self.unit = self._unit_pattern()
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all that encoding has remembered."""
         self.splits: dict[str, tuple[str, str] | None] = {}
         self.names = {i: piece for piece, i in self.ids.items()}
         self.lone: dict[str, int] = {}  # numbers of characters outside the vocabulary
@@ -295,8 +302,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "piece
     schema = StructType(kept.schema.fields + [
         StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model(path)
+    def encoded(m: PieceModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE_ROWS):
                 rows = batch.slice(at, _SLICE_ROWS)
@@ -313,4 +319,12 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "piece
                     [*rows.columns, pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values), pa.array(texts, pa.string())],
                     names=[*rows.schema.names, ids, decoded])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model(path)
+        try:
+            yield from encoded(m, batches)
+        finally:
+            m.forget()
+            release_memory()
+
     return kept.mapInArrow(run, schema)

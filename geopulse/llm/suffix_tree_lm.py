@@ -46,8 +46,8 @@ from geopulse.llm.common import LOWER, SpanHash, discard, distinct, text_slices,
 
 DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
-CHUNK_BYTES, RANGE_ENTRIES = 32 << 20, 4 << 20
-_COUNTED_KEYS = 4_000_000
+CHUNK_BYTES, RANGE_ENTRIES = 16 << 20, 2 << 20
+_COUNTED_KEYS = 1_500_000
 #: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
 _RANGE_BITS, _MESSAGE_KEYS = 4, 1 << 17
 _WORD = np.ones(256, bool)
@@ -274,7 +274,7 @@ def _asked(texts: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for chunk, _, _, data, bounds in _by_chunk(batches):
-            if chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS:
+            if chunk != now or sum(map(len, held)) >= _COUNTED_KEYS:
                 if held:
                     yield from _messages(distinct(np.concatenate(held))[0], [], now, bits)
                 now, held = chunk, []
@@ -306,7 +306,7 @@ def _longer(texts: DataFrame, length: int, bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(3)), *message.columns], names=names)
 
         for chunk, known, rows, data, bounds in _by_chunk(batches):
-            if held and (chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS):
+            if held and (chunk != now or sum(map(len, held)) >= _COUNTED_KEYS):
                 yield from questions()
                 held = []
             now = chunk
@@ -363,8 +363,8 @@ class _Known:
             order = np.argsort(keys)
             keys = keys[order]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            # entries of one key complement each other
-            self.keys, self.values = keys[first], [np.add.reduceat(v.view(np.int64)[order], first) for v in values]
+            # entries of one key complement each other, or repeat each other if a chunk asked twice
+            self.keys, self.values = keys[first], [np.maximum.reduceat(v.view(np.int64)[order], first) for v in values]
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Places of those of the sorted keys that have an entry."""

@@ -49,7 +49,7 @@ DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 3, 2.0, 0.75
 CHUNK_BYTES, RANGE_ENTRIES = 16 << 20, 2 << 20
 _COUNTED_KEYS = 1_500_000
 #: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
-_RANGE_BITS, _MESSAGE_KEYS = 4, 1 << 17
+_RANGE_BITS, _MESSAGE_KEYS = 6, 1 << 15
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 #: The end token's hash; words have other ones (their lowest bit is set).
@@ -188,20 +188,25 @@ def _entries(sequences_: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """64-bit numbers byte by byte, so that equal high bytes take no room once compressed."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers byte by byte, without the high bytes that none of them needs."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return bytes([width]) + np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    width = raw[0]
+    out = np.zeros(((len(raw) - 1) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8, offset=1).reshape(width, -1).T
+    return out.view(np.uint64).ravel()
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
-    return _packed(np.diff(keys, prepend=np.uint64(0)))
+    """Sorted keys: the first, and the differences."""
+    return keys[:1].tobytes() + _packed(np.diff(keys))
 
 
 def _unpacked_keys(raw: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(raw), dtype=np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(raw[:8], np.uint64), _unpacked(raw[8:])]), dtype=np.uint64)
 
 
 _MESSAGE = {"range": pa.int32(), "chunk": pa.int32(), "keys": pa.binary(), "values": pa.list_(pa.binary())}
@@ -336,7 +341,8 @@ def _answers(entries: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
         now, known, held = None, None, []
         for batch in batches:
             out = []
-            for place, chunk, raw, values in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for i in range(batch.num_rows):  # one message at a time
+                place, chunk, raw, values = (batch.column(c)[i].as_py() for c in range(4))
                 if place != now:
                     now, known, held = place, None, []
                 if chunk < 0:

@@ -2,10 +2,10 @@
 
 Tokens are words (A-Z lowered, ASCII white space between) and one end for each
 text.  The tree's nodes are contexts of up to ``depth`` words of the whole
-vocabulary.  A context stores the words that follow it at least ``least`` times in
-the training text.  It stays in the tree if its next-word distribution diverges from
+vocabulary.  A context that occurs at least ``often`` times in the training text is a
+candidate; it stores the words that follow it at least ``least`` times.  It stays in the tree if its next-word distribution diverges from
 its parent's (the context without its first word): its followers must be more likely
-by at least ``divergence`` nats together.  Both are absolute, so the tree grows with the
+by at least ``divergence`` nats together.  All are absolute, so the tree grows with the
 corpus.
 
 A context of n occurrences gives a stored follower (count - ``discount``) / n, and
@@ -44,9 +44,9 @@ from pyspark.sql import functions as F
 
 from geopulse.llm.common import LOWER, SpanHash, discard, distinct, text_slices, word_spans, written
 
-DEPTH, LEAST, DIVERGENCE, DISCOUNT = 2, 3, 2.0, 0.75
+DEPTH, OFTEN, LEAST, DIVERGENCE, DISCOUNT = 2, 8, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
-CHUNK_BYTES, RANGE_ENTRIES = 16 << 20, 2 << 20
+CHUNK_BYTES, RANGE_ENTRIES = 32 << 20, 2 << 20
 _COUNTED_KEYS = 1_500_000
 #: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
 _RANGE_BITS, _MESSAGE_KEYS = 6, 1 << 15
@@ -153,7 +153,7 @@ def _pair_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, _COUNTS)
 
 
-def _level(counts: DataFrame, above: DataFrame, least: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
+def _level(counts: DataFrame, above: DataFrame, often: int, least: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
     """From the (context, parent, n) of a length's sequences and the (key, n, q) of those one word shorter: the
     same (key, n, q) of the stored ones, and (context, stored, kinds) of the kept contexts.
 
@@ -164,9 +164,9 @@ def _level(counts: DataFrame, above: DataFrame, least: int, divergence: float, d
                    .where(F.col("n") >= least), "lm-stored")
     back = 1 - (F.col("stored") - F.lit(float(discount)) * F.col("kinds")) / F.col("total")
     contexts = written(rows.groupBy("context").agg(F.sum("n").alias("stored"), F.count("*").alias("kinds"))
-                       .join(above.select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
+                       .join(above.where(F.col("n") >= often).select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
                        .withColumn("back", back), "lm-contexts")
-    # both shorter ends of a stored sequence occur as often, so the joins find them
+    # the shorter ends of a stored sequence of a candidate occur as often, so the joins find them
     p = (F.col("n") - F.lit(float(discount))) / F.col("total") + F.col("back") * F.col("below")
     level = written(rows.join(contexts.select("context", "total", "back"), "context")
                     .join(above.select(F.col("key").alias("parent"), F.col("q").alias("below")), "parent")
@@ -279,7 +279,7 @@ def _asked(texts: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for chunk, _, _, data, bounds in _by_chunk(batches):
-            if chunk != now or sum(map(len, held)) >= _COUNTED_KEYS:
+            if chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS:
                 if held:
                     yield from _messages(distinct(np.concatenate(held))[0], [], now, bits)
                 now, held = chunk, []
@@ -292,46 +292,60 @@ def _asked(texts: DataFrame, bits: int) -> DataFrame:
     return texts.mapInArrow(run, _MESSAGE_SCHEMA)
 
 
-def _longer(texts: DataFrame, length: int, bits: int) -> DataFrame:
-    """The sequences of a length of which both shorter ends are stored, from texts beside their answers: counts of
-    the runs of texts to ``learn`` from, and what each chunk asks for (these, and their contexts); the other
-    columns are null."""
-    empty = [pa.nulls(1, k) for k in _MESSAGE.values()]
+def _candidates(texts: DataFrame, length: int, often: int, schema: str, found) -> DataFrame:
+    """``found`` of each slice of texts beside their answers: it gets (chunk, keys, contexts, parents, where a token's
+    context is a candidate, where also its parent is stored, rows of these, ``learn`` of the rows); None is the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["context", "parent", "n", *_MESSAGE]
-        now, held, counted = None, [], []
-
-        def counts() -> Iterator[pa.RecordBatch]:
-            part = _counted(*(np.concatenate(x) for x in zip(*counted, strict=True)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in part), *(pa.nulls(len(part[0]), e.type) for e in empty)], names=names)
-
-        def questions() -> Iterator[pa.RecordBatch]:
-            for message in _messages(distinct(np.concatenate(held))[0], [], now, bits):
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(3)), *message.columns], names=names)
-
+        take = found()
+        next(take)
         for chunk, known, rows, data, bounds in _by_chunk(batches):
-            if held and (chunk != now or sum(map(len, held)) >= _COUNTED_KEYS):
-                yield from questions()
-                held = []
-            now = chunk
             words, row = tokens(data, bounds)
             *_, (key, context, parent, able) = sequences(words, row, length)
-            there = known.of(parent)[0] > 0
-            before = able & np.concatenate([[False], there[:-1]])  # the context is the shorter sequence one token before
-            both = before & there
-            held.append(distinct(np.concatenate([context[before], key[both]]))[0])
+            n = known.of(parent)[0]
+            before = able & np.concatenate([[False], n[:-1] >= often])  # the context is the shorter sequence one token before
+            yield from take.send((chunk, key, context, parent, before, before & (n > 0), row, rows))
+        yield from take.send(None)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _longer_counts(texts: DataFrame, length: int, often: int) -> DataFrame:
+    """(context, parent, n) of the longer sequences in runs of the texts to ``learn`` from."""
+
+    def found():
+        counted, out = [], []
+        while (given := (yield out)) is not None:
+            _, key, context, parent, _, both, row, rows = given
             own = both & rows.column(5).to_numpy(zero_copy_only=False)[row]
             counted.append((key[own], context[own], parent[own]))
+            out = []
             if sum(len(c[0]) for c in counted) >= _COUNTED_KEYS:
-                yield from counts()
-                counted = []
-        if held:
-            yield from questions()
-        if counted:
-            yield from counts()
+                out, counted = [_batch(counted)], []
+        yield [_batch(counted)] if counted else []
+
+    def _batch(counted):
+        part = _counted(*(np.concatenate(x) for x in zip(*counted, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], names=["context", "parent", "n"])
+
+    return _candidates(texts, length, often, _COUNTS, found)
+
+
+def _longer_asked(texts: DataFrame, length: int, often: int, bits: int) -> DataFrame:
+    """Each chunk's longer sequences and their contexts by key range."""
 
-    return texts.mapInArrow(run, f"{_COUNTS}, {_MESSAGE_SCHEMA}")
+    def found():
+        now, held, out = None, [], []
+        while (given := (yield out)) is not None:
+            chunk, key, context, _, before, both, _, _ = given
+            out = []
+            if held and (chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS):
+                out, held = list(_messages(distinct(np.concatenate(held))[0], [], now, bits)), []
+            now = chunk
+            held.append(distinct(np.concatenate([context[before], key[both]]))[0])
+        yield list(_messages(distinct(np.concatenate(held))[0], [], now, bits)) if held else []
+
+    return _candidates(texts, length, often, _MESSAGE_SCHEMA, found)
 
 
 def _answers(entries: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
@@ -412,7 +426,7 @@ def _scored(known: _Known, data: np.ndarray, bounds: np.ndarray, total: int, voc
 
 
 def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
-                least: int = LEAST, divergence: float = DIVERGENCE, discount: float = DISCOUNT) -> DataFrame:
+                often: int = OFTEN, least: int = LEAST, divergence: float = DIVERGENCE, discount: float = DISCOUNT) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every whole text, learned from the rows with ``learn``.
 
     ``base_score`` is the log10 probability under the additive unigram distribution,
@@ -431,24 +445,17 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
     answers: list[DataFrame] = []
     read = [counts]
     for length in range(2, depth + 2):
+        beside = _beside(chunked, answers, chunks, "learn")
+        found = _pair_counts(learned) if length == 2 else _longer_counts(beside, length, often)
+        stored, kept = _level(found, above, often, least, divergence, discount)
+        entries = _entries(stored, kept)
         if length == 2:
-            found = _pair_counts(learned)
-        else:
-            bits = _bits(above)
-            found = written(_longer(_beside(chunked, answers, chunks, "learn"), length, bits), "lm-longer")
-        stored, kept = _level(found.where("n is not null").select("context", "parent", "n"), above, least, divergence, discount)
-        if length == 2:
-            entries = _entries(counts.withColumnRenamed("word", "key").unionByName(stored.select("key", "n")), kept)
-            bits = _bits(entries)
-            asked = _asked(_beside(chunked, [], chunks), bits)
-        else:
-            entries = _entries(stored, kept)
-            asked = found.where("keys is not null").select(*_MESSAGE)
+            entries = entries.unionAll(_entries(counts.withColumnRenamed("word", "key"), kept.limit(0)))
+        bits = _bits(entries)
+        asked = _asked(beside, bits) if length == 2 else _longer_asked(beside, length, often, bits)
         answers.append(written(_answers(entries, asked, bits), "lm-answers"))
         discard(*read, kept)
         read, above = [stored], stored.select("key", "n", "q")
-        if length > 2:
-            discard(found)
     discard(*read)
     kind = documents.schema[key].dataType.simpleString()
 

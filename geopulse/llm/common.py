@@ -8,6 +8,7 @@ never on the number of rows.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 from collections.abc import Iterator
@@ -26,7 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written: shuffle files go with the job, and Python gets small batches of rows (texts can be long).
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
+@contextlib.contextmanager
+def _settings(conf, values: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for the time of a job; they are put back."""
+    before = {k: conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
@@ -37,12 +52,8 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _settings(spark.conf, _WRITING):
         df.write.partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.scratch_path = path
     return table

@@ -42,11 +42,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, discard, distinct, text_slices, word_spans, written
+from geopulse.llm.common import LOWER, SpanHash, discard, distinct, release_memory, text_slices, word_spans, written
 
 DEPTH, OFTEN, LEAST, DIVERGENCE, DISCOUNT = 2, 8, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
-CHUNK_BYTES, RANGE_ENTRIES = 32 << 20, 2 << 20
+CHUNK_BYTES, RANGE_ENTRIES = 24 << 20, 2 << 20
 _COUNTED_KEYS = 1_500_000
 #: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
 _RANGE_BITS, _MESSAGE_KEYS = 6, 1 << 15
@@ -263,6 +263,7 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Known,
                 continue
             if chunk[a] != now:
                 now, held, known = int(chunk[a]), [], None
+                release_memory()
             part = batch.slice(a, b - a)
             if turn[a] == 0:
                 held += zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
@@ -466,8 +467,8 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
                 [slice_.column(5), pa.array(n), pa.array(there), pa.array(np.full(len(n), total, np.int64)), pa.array(base), pa.array(score)],
                 names=["key", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return _beside(chunked, answers, chunks, "key").mapInArrow(
-        run, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return written(_beside(chunked, answers, chunks, "key").mapInArrow(
+        run, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
 
 
 def _bits(entries: DataFrame) -> int:

@@ -58,7 +58,9 @@ pings AS (
            CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 'on_trip' ELSE 'available' END AS status,
            CASE WHEN event_id % {NEGATIVE_SPEED_EVERY} = 0 THEN -value ELSE value END AS speed_kmh,
            CAST(json_extract(props, '$.k') AS INTEGER) * {DURATION_SCALE} AS trip_duration_secs,
-           make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION}) AS event_time
+           make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION}) AS event_time,
+           strftime(make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {TIME_COMPRESSION}), '%Y-%m-%dT%H:%M:%S.%f') AS ts_str,
+           abs(value) * (CAST(json_extract(props, '$.k') AS INTEGER) * {DURATION_SCALE}) / 3600e0 AS trip_distance_km
     FROM events
 ),
 enriched AS (
@@ -69,7 +71,7 @@ enriched AS (
     FROM pings
 )"""
 
-PING_COLS = "ping_id, driver_id, latitude, longitude, status, speed_kmh, trip_duration_secs, event_time"
+PING_COLS = "ping_id, driver_id, latitude, longitude, status, speed_kmh, trip_duration_secs, event_time, ts_str, trip_distance_km"
 ENRICHED_COLS = PING_COLS + ", h3_cell, anomaly_type, trip_category"
 
 
@@ -195,7 +197,8 @@ ORACLE_SQL: dict[str, str] = {
     "json_decode": _with(
         "SELECT ping_id, driver_id, latitude, longitude, status, speed_kmh, trip_duration_secs, "
         "CASE WHEN ping_id % 3 = 2 THEN date_trunc('millisecond', event_time) ELSE event_time END "
-        "AS event_time FROM pings"),
+        "AS event_time, CASE WHEN ping_id % 3 = 2 THEN CAST(epoch_us(event_time) // 1000 AS VARCHAR) ELSE ts_str END AS ts_str, "
+        "trip_distance_km FROM pings"),
     "json_quarantine": ("SELECT props AS raw, 'no_event_time' AS reason FROM events UNION ALL "
                         "SELECT translate(props, '{}', '()') AS raw, 'not_json' AS reason FROM events UNION ALL "
                         + " UNION ALL ".join(

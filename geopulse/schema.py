@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Canonical ping (FIXTURES §3).  ``ping_id`` is the tie-break for rows of a
+# Canonical ping (FIXTURES §3).  ``ts_str`` is the time as the message wrote it.  ``ping_id`` is the tie-break for rows of a
 # driver that share an event time.
 PING_COLUMNS = [
     "ping_id", "driver_id", "latitude", "longitude", "status", "speed_kmh",
-    "trip_duration_secs", "event_time",
+    "trip_duration_secs", "event_time", "ts_str", "trip_distance_km",
 ]
 
 PING_SCHEMA = T.StructType([
@@ -20,6 +20,8 @@ PING_SCHEMA = T.StructType([
     T.StructField("speed_kmh", T.DoubleType()),
     T.StructField("trip_duration_secs", T.IntegerType()),
     T.StructField("event_time", T.TimestampType()),
+    T.StructField("ts_str", T.StringType()),
+    T.StructField("trip_distance_km", T.DoubleType()),
 ])
 
 # Wire format of one JSON message.  Every time encoding the producers use is

@@ -58,6 +58,9 @@ def events_to_pings(events: DataFrame) -> DataFrame:
         speed.alias("speed_kmh"),
         duration.alias("trip_duration_secs"),
         compressed_time(F.col("ts")).alias("event_time"),
+        F.date_format(compressed_time(F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts_str"),
+        # as a payload would report it: the speed over the trip so far
+        (F.abs("value") * duration / F.lit(3600.0)).alias("trip_distance_km"),
     )
 
 

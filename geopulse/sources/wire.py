@@ -45,7 +45,7 @@ def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
                            fallback_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Split raw messages into (pings, quarantine).
 
-    ``pings`` has the canonical columns plus ``trip_distance_km``; the
+    ``pings`` has the canonical columns; the
     duration is taken from either spelling, the time from any of the three
     encodings.  ``quarantine`` has ``raw`` and ``reason``.
 
@@ -75,6 +75,7 @@ def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
                     m["speed_kmh"].alias("speed_kmh"),
                     F.coalesce(m["trip_duration_secs"], m["trip_duration_sec"]).alias("trip_duration_secs"),
                     F.col("_et").alias("event_time"),
+                    F.coalesce(m["ts_str"], m["timestamp"]).alias("ts_str"),
                     m["trip_distance_km"].alias("trip_distance_km")))
     bad = (p.filter(F.col("_reason").isNotNull())
            .select(F.col(value_col).cast("string").alias("raw"), F.col("_reason").alias("reason")))
@@ -130,7 +131,7 @@ def encode_mixed(pings: DataFrame) -> DataFrame:
               F.col("latitude"), F.col("longitude"), F.col("status"), F.col("speed_kmh"),
               F.when(k == 1, iso).alias("ts_str"),
               F.when(k == 0, iso).when(k == 2, F.unix_millis(t).cast("string")).alias("timestamp"),
-              F.col("trip_duration_secs")]
+              F.col("trip_duration_secs"), F.col("trip_distance_km")]
     return pings.select(F.col("driver_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"),
                         F.col("event_time"))
 

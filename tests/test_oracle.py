@@ -57,10 +57,11 @@ def test_stream_key_matches_oracle(spark, con, key):
     assert _rows(s) == _rows(o)
 
 
-def test_every_key_has_a_query_and_most_an_oracle():
+def test_every_survey_key_has_a_query_and_an_oracle():
+    from geopulse.plans.registry import all_oracles, all_queries
+    assert set(all_queries()) == set(all_oracles())
     qs, sq = entry.queries(), entry.oracle_sql()
-    assert set(sq) <= set(qs)
-    assert set(qs) - set(sq) == {"ping_limit"}
+    assert set(all_queries()) <= set(qs) and set(sq) <= set(qs)
 
 
 def test_entry_smoke(spark):

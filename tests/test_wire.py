@@ -29,10 +29,10 @@ def test_decode_time_encodings_and_quarantine(spark):
 def test_encode_decode_identity(spark):
     p = batch.pings(spark, "/root/testdata/sf0.001").withColumns({
         "latitude": F.round("latitude", 6), "longitude": F.round("longitude", 6),
-        "speed_kmh": F.round("speed_kmh", 2)})
+        "speed_kmh": F.round("speed_kmh", 2)}).drop("trip_distance_km")  # the producer does not send it
     for enc in ("iso", "ts_str"):
         back = wire.to_canonical(wire.decode(wire.encode(p, enc))).withColumn(
-            "event_time", F.col("event_time").cast("timestamp_ntz"))
+            "event_time", F.col("event_time").cast("timestamp_ntz")).drop("trip_distance_km")
         assert back.exceptAll(p).count() == 0 and p.exceptAll(back).count() == 0
 
 

@@ -40,6 +40,10 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--outputs", default=",".join(OUTPUTS), help="comma-separated subset")
     p.add_argument("--no-branches", action="store_true", help="skip lake and cache branches")
     p.add_argument("--records-per-object", type=int, default=None)
+    p.add_argument("--max-files-per-trigger", type=int, default=None, help="with --files: files of a micro-batch")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None, help="with --kafka: messages of a micro-batch")
+    p.add_argument("--no-late-rows", action="store_true", help="don't keep pings behind the watermark")
+    p.add_argument("--console", action="store_true", help="also print the zone windows")
     return p.parse_args(argv)
 
 
@@ -53,16 +57,17 @@ def main(argv: list[str] | None = None) -> None:
     spark = b.getOrCreate()
     if args.kafka:
         from geopulse.sources import kafka
-        pings, bad = kafka.read_pings(spark, args.kafka, args.topic, args.watermark,
-                                      starting_offsets=args.starting_offsets)
+        messages = kafka.read_messages(spark, args.kafka, args.topic, starting_offsets=args.starting_offsets,
+                                       max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
         from geopulse.sources import files
-        pings, bad = files.read_wire_stream(spark, args.files, args.watermark)
+        messages = files.read_message_stream(spark, args.files, args.max_files_per_trigger)
     trigger = {"availableNow": True} if args.available_now else {"processingTime": args.trigger}
-    started = start_live_app(spark, pings, args.out, trigger=trigger, quarantine=bad,
+    started = start_live_app(spark, messages, args.out, trigger=trigger,
                              outputs=[o for o in args.outputs.split(",") if o],
-                             branches=not args.no_branches,
-                             records_per_object=args.records_per_object)
+                             branches=not args.no_branches, records_per_object=args.records_per_object,
+                             fallback_id="_offset_id" if args.kafka else None, watermark=args.watermark,
+                             late_rows=not args.no_late_rows, print_zones=args.console)
     await_all(started)
 
 

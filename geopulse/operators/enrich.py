@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import anomaly_type, trip_category, with_hex_cell
-from ..schema import ANOMALY_NORMAL, HEX_RESOLUTION, PING_COLUMNS, STATUS_ON_TRIP
+from ..schema import ANOMALY_NORMAL, HEX_RESOLUTION, PING_COLUMNS
 
 ENRICHED_COLUMNS = PING_COLUMNS + ["h3_cell", "anomaly_type", "trip_category"]
 
@@ -30,11 +30,6 @@ def enrich(pings: DataFrame, resolution: int = HEX_RESOLUTION,
     return out
 
 
-def on_trip(pings: DataFrame) -> DataFrame:
-    """Equality filter ``status = 'on_trip'`` (pushed to the scan when possible)."""
-    return pings.filter(F.col("status") == STATUS_ON_TRIP)
-
-
 def anomalies(enriched: DataFrame, detected_at: bool = False) -> DataFrame:
     """Side output of pings whose anomaly type is not ``NORMAL`` (NULL dropped)."""
     out = (enriched.filter(F.col("anomaly_type") != ANOMALY_NORMAL)

@@ -39,14 +39,16 @@ def live_state(enriched: DataFrame, last_update: bool = False) -> DataFrame:
     return out.withColumn("last_update", F.current_timestamp()) if last_update else out
 
 
-def cache_records(enriched: DataFrame, ttl_secs: int = LIVE_TTL_SECS) -> DataFrame:
+def cache_records(enriched: DataFrame, ttl_secs: int = LIVE_TTL_SECS, versioned: bool = False) -> DataFrame:
     """What the cache stores for each driver: the key, the JSON value with its defaults
-    (the write's clock stamp is added by the writer) and the seconds to live."""
+    (the write's clock stamp is added by the writer) and the seconds to live; with
+    ``versioned`` also the event time and ping id that tell newer records from older."""
     value = F.to_json(F.struct(
         "driver_id", "latitude", "longitude", F.coalesce("h3_cell", F.lit("")).alias("h3_cell"), "status",
         F.coalesce("speed_kmh", F.lit(0.0)).alias("speed_kmh"), "ts_str"))
-    return live_state(enriched).select(F.concat(F.lit("driver:"), "driver_id").alias("key"), value.alias("value"),
-                                       F.lit(ttl_secs).alias("ttl_secs"))
+    last = latest_per_driver(enriched).withColumn("ts_str", iso_string(F.col("event_time")))
+    return last.select(F.concat(F.lit("driver:"), "driver_id").alias("key"), value.alias("value"), F.lit(ttl_secs).alias("ttl_secs"),
+                       *(["event_time", "ping_id"] if versioned else []))
 
 
 def live_state_with_expiry(enriched: DataFrame, as_of: Column | None = None,

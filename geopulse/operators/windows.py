@@ -258,7 +258,7 @@ def perf_metrics_sliding(enriched: DataFrame, size: str = METRIC_WINDOW,
 # Trip sessions
 # --------------------------------------------------------------------------
 
-def _session_select(agg: DataFrame, gap_us: int) -> DataFrame:
+def session_columns(agg: DataFrame, gap_us: int) -> DataFrame:
     return agg.select(
         "driver_id",
         F.col("tmin").alias("trip_start"),
@@ -319,27 +319,7 @@ def trip_sessions(enriched: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
         F.min("minlat").alias("minlat"), F.min("minlon").alias("minlon"),
         F.max("maxdur").alias("maxdur"), F.min("tmin").alias("tmin"), F.max("tmax").alias("tmax"),
         F.count("h3_cell").alias("cells"))
-    return _session_select(sessions, gap_us)
-
-
-def trip_sessions_stream(enriched: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
-    """Streaming form: Spark's ``session_window`` in append mode.
-
-    The session is unknown until it closes, so zones are counted with
-    ``size(collect_set)`` — bounded by the zones of one trip.  The window
-    struct is dropped inside the operator (a filter on its end would be
-    pushed below the aggregation and cut sessions short)."""
-    gap_us = duration_micros(gap)
-    p = on_trip_pings(enriched).withColumn("_exact", exact_speed("speed_kmh"))
-    agg = (p.groupBy("driver_id", F.session_window("event_time", gap).alias("session"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("_exact").alias("s"),
-                F.count("_exact").alias("ns"),
-                F.max("latitude").alias("maxlat"), F.max("longitude").alias("maxlon"),
-                F.min("latitude").alias("minlat"), F.min("longitude").alias("minlon"),
-                F.max("trip_duration_secs").alias("maxdur"),
-                F.min("event_time").alias("tmin"), F.max("event_time").alias("tmax"),
-                F.size(F.collect_set("h3_cell")).alias("cells")))
-    return _session_select(agg, gap_us)
+    return session_columns(sessions, gap_us)
 
 
 def on_trip_pings(pings: DataFrame) -> DataFrame:

@@ -102,7 +102,7 @@ def q_trip_category(spark, sf_dir):
 
 
 def q_on_trip_pings(spark, sf_dir):
-    return E.on_trip(pings(spark, sf_dir))
+    return W.on_trip_pings(pings(spark, sf_dir))
 
 
 def q_anomalies(spark, sf_dir):

@@ -2,10 +2,10 @@
 
 Equivalent of the reference's job script with all five queries and both
 sinks actually started (its anomaly, trip and metric queries were declared
-but never executed, and its sinks never called).  Each output is its own
-streaming query with its own checkpoint, so a failed or restarted query
-resumes exactly where it stopped; the enriched projection is shared code,
-recomputed per query from the source (cheap, column expressions only).
+but never executed, and its sinks never called).  One query decodes the raw messages
+into a durable log; every output is a query of its own over that log, with its own
+checkpoint, so a failed or restarted one resumes exactly where it stopped and no raw
+message is read or decoded twice.
 """
 
 from __future__ import annotations
@@ -14,8 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import enrich as E
 from ..operators import windows as W
+from ..schema import ACTIVE_SET_TTL_SECS, WATERMARK_DELAY
 from ..sinks.branch import start_branches
-from ..streaming.stateful import live_state_stream
+from ..sinks.monitor import DeliveryReport, console, counted
+from ..sources import decoded
+from ..streaming.late import keep_late_rows
+from ..streaming.stateful import (
+    derived_speed_from_previous, live_state_stream, previous_ping_stream, segments_stream, trip_sessions_stream,
+)
 
 # Fixed value of the reference: checkpoint (and trigger) interval.
 DEFAULT_TRIGGER = {"processingTime": "60 seconds"}
@@ -23,42 +29,62 @@ DEFAULT_TRIGGER = {"processingTime": "60 seconds"}
 OUTPUTS = {
     "zone_occupancy": lambda e: W.zone_occupancy(e),
     "anomalies": lambda e: E.anomalies(e, detected_at=True),
-    "trip_sessions": lambda e: W.trip_sessions_stream(e),
+    "trip_sessions": lambda e: trip_sessions_stream(e),
     "perf_metrics": lambda e: W.perf_metrics(e),
     "perf_metrics_sliding": lambda e: W.perf_metrics_sliding(e),
     "live_state": lambda e: live_state_stream(e),
+    "active_drivers": lambda e: live_state_stream(e, ACTIVE_SET_TTL_SECS),
+    "derived_speed": lambda e: derived_speed_from_previous(previous_ping_stream(e)),
+    "trip_segments": lambda e: segments_stream(e),
 }
 
 
-def start_live_app(spark: SparkSession, pings: DataFrame, base: str,
-                   trigger: dict | None = None, quarantine: DataFrame | None = None,
-                   outputs: list[str] | None = None, branches: bool = True,
-                   partition_writer=None, records_per_object: int | None = None) -> dict:
-    """Start every output over ``pings`` (a watermarked stream).
+def start_live_app(spark: SparkSession, messages: DataFrame, base: str,
+                   trigger: dict | None = None, outputs: list[str] | None = None, branches: bool = True,
+                   store=None, records_per_object: int | None = None, fallback_id: str | None = None,
+                   watermark: str = WATERMARK_DELAY, late_rows: bool = True, print_zones: bool = False) -> dict:
+    """Start every output over raw ``messages`` (a stream with ``value``).
 
-    Results go to ``{base}/{name}`` as parquet (append mode, exactly-once via
-    the file sink log); the lake, cache and anomaly branches to
-    ``{base}/branches``; undecodable messages to ``{base}/quarantine``.
-    Returns ``{name: StreamingQuery}``.
+    The decoded log is ``{base}/log``.  Results go to ``{base}/{name}`` as parquet (append
+    mode, exactly-once via the file sink log), pings behind the watermark to
+    ``{base}/late``, undecodable messages to ``{base}/quarantine``; the lake, cache and
+    anomaly branches to ``{base}/branches`` (``store``: another cache than the table there).
+    With ``print_zones`` the zone windows are also shown on the console.
+    Returns ``{name: StreamingQuery}``, and the delivery report as ``_report``.
+
+    With an ``availableNow`` trigger the log is complete before the outputs start.
     """
     trigger = trigger or DEFAULT_TRIGGER
     base = base.rstrip("/")
+    checkpoint = lambda name: f"{base}/_checkpoints/{name}"
+    report = DeliveryReport()
+    spark.streams.addListener(report)
+    log = f"{base}/log"
+    decoded.prepare_log(spark, log)
+    decode = decoded.decode_to_log(messages, log, checkpoint("decode"), fallback_id).trigger(**trigger).start()
+    started = {"decode": decode, "_report": report}
+    if "availableNow" in trigger:
+        decode.awaitTermination()
+    pings, quarantine = decoded.read_log(spark, log, watermark)
     enriched = E.enrich(pings, processing_time=True)
-    started = {}
-    for name in outputs or list(OUTPUTS):
-        started[name] = (OUTPUTS[name](enriched).writeStream.format("parquet")
+
+    def start(name: str, result: DataFrame) -> None:
+        started[name] = (counted(result).writeStream.format("parquet")
                          .queryName(f"geopulse_{name}").outputMode("append")
                          .option("path", f"{base}/{name}")
-                         .option("checkpointLocation", f"{base}/_checkpoints/{name}")
+                         .option("checkpointLocation", checkpoint(name))
                          .trigger(**trigger).start())
-    if quarantine is not None:
-        started["quarantine"] = (quarantine.writeStream.format("parquet").outputMode("append")
-                                 .option("path", f"{base}/quarantine")
-                                 .option("checkpointLocation", f"{base}/_checkpoints/quarantine")
-                                 .trigger(**trigger).start())
+
+    for name in outputs or list(OUTPUTS):
+        start(name, OUTPUTS[name](enriched))
+    start("quarantine", quarantine)
+    if late_rows:
+        started["late"] = keep_late_rows(pings, f"{base}/late", checkpoint("late")).queryName("geopulse_late").trigger(**trigger).start()
+    if print_zones:
+        started["console"] = (console(W.zone_occupancy(enriched)).queryName("geopulse_console")
+                              .option("checkpointLocation", checkpoint("console")).trigger(**trigger).start())
     if branches:
-        qs, writer = start_branches(E.enrich(pings), f"{base}/branches", trigger, partition_writer,
-                                    records_per_object)
+        qs, writer = start_branches(E.enrich(pings), f"{base}/branches", trigger, store, records_per_object)
         started["lake"], started["cache"] = qs
         started["_cache_writer"] = writer
     return started

@@ -248,39 +248,46 @@ _ADAPTED_TIME = f"make_timestamp({ORIGIN_US} + (epoch_us(ts) - {ORIGIN_US}) // {
 FINAL_WM_MS = f"((SELECT max(epoch_ms({_ADAPTED_TIME})) FROM events) - 10000)"
 
 
-STREAM_ACTIVE_SQL = _with(f"""
-SELECT driver_id, max(event_time) AS last_seen FROM pings
-GROUP BY driver_id
-HAVING epoch_ms(max(event_time)) + 300000 > {FINAL_WM_MS}""")
-
 STREAM_LIVE_SQL = f"""
 SELECT driver_id, latitude, longitude, h3_cell, status, speed_kmh, ts_str, event_time,
        CASE WHEN epoch_ms(event_time) + 60000 <= {FINAL_WM_MS} THEN 'EXPIRED' ELSE 'LIVE' END AS state
 FROM ({LIVE_SQL}) AS b"""
 
 
-def late_data_sql(order: list[int], chunks: int) -> str:
-    """Zone oracle without the chunks that arrive after a later chunk (their
-    windows are closed by then).  Chunk bounds are
+_SPAN = "span AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM pings)"
+
+
+def _late_condition(order: list[int], chunks: int) -> str:
+    """The chunks that arrive after a later one.  Chunk bounds are
     ``lo + i * ((hi - lo) // chunks)`` in microseconds, as the replay lands them."""
     late = [c for i, c in enumerate(order) if any(c < d for d in order[:i])]
-    def bound(i):
-        if i == 0:
-            return None
-        if i == chunks:
-            return None
-        return f"(SELECT lo + {i} * ((hi - lo) // {chunks}) FROM span)"
+
+    def bound(i: int) -> str | None:
+        return f"(SELECT lo + {i} * ((hi - lo) // {chunks}) FROM span)" if 0 < i < chunks else None
+
     conds = []
     for c in late:
         lo_b, hi_b = bound(c), bound(c + 1)
         parts = [f"epoch_us(event_time) >= {lo_b}" if lo_b else "TRUE",
                  f"epoch_us(event_time) < {hi_b}" if hi_b else "TRUE"]
         conds.append("(" + " AND ".join(parts) + ")")
-    keep = "NOT (" + " OR ".join(conds) + ")" if conds else "TRUE"
-    extra = f"""
-span AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM pings),
-kept AS (SELECT * FROM enriched WHERE {keep})"""
-    return zone_sql("kept", extra)
+    return "(" + " OR ".join(conds or ["FALSE"]) + ")"
+
+
+def late_data_sql(order: list[int], chunks: int) -> str:
+    """Zone oracle without the late chunks (their windows are closed by then)."""
+    return zone_sql("kept", f"{_SPAN}, kept AS (SELECT * FROM enriched WHERE NOT {_late_condition(order, chunks)})")
+
+
+def late_rows_sql(order: list[int], chunks: int) -> str:
+    return _with(f"SELECT {PING_COLS} FROM pings WHERE {_late_condition(order, chunks)}", _SPAN)
+
+
+def delivery_sql(order: list[int], chunks: int) -> str:
+    """Every event is a ping message and a foreign one without an event time."""
+    counts = {"read": "2 * count(*)", "decoded": "count(*)", "quarantined": "count(*)", "written": "count(*)",
+              "late": f"CAST(count_if({_late_condition(order, chunks)}) AS BIGINT)"}
+    return _with(" UNION ALL ".join(f"SELECT '{k}' AS metric, {v} AS records FROM pings" for k, v in counts.items()), _SPAN)
 
 
 BRANCH_COUNTS_SQL = _with("""

@@ -48,6 +48,18 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def isolated_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of the same application with settings of its own.
+
+    It starts with those of ``spark``, which keeps its own: what a streaming query needs
+    (partition count, state store) does not change what other queries run under."""
+    child = spark.newSession()
+    for k, v in {**dict(spark.conf.getAll), **settings}.items():
+        if child.conf.isModifiable(k):
+            child.conf.set(k, v)
+    return child
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -4,123 +4,55 @@ cache and the anomaly output.
 * Lake: its own query on Spark's JSON file sink (exactly-once through the
   sink's metadata log).
 * Cache and anomalies: one ``foreachBatch`` query; the micro-batch is
-  persisted once and written to both.  Every write is keyed by the batch id
-  and overwrites, so a retried batch replaces its own output instead of
-  duplicating it.
-
-The cache is log-structured: each micro-batch writes only its own latest
-row per driver as a delta (O(batch), keyed by batch id); every
-``compact_every`` batches a snapshot folds the previous snapshot and the
-deltas since (a written table, which also bounds read-time lineage).  The
-current state is the latest snapshot plus later deltas, latest row per driver
-by ``(event_time, ping_id)``, so older event times never win and replays are
-idempotent.  An external key-value store can be plugged in with
-``partition_writer``: a callable receiving an iterator of rows of one
-partition of the batch's latest-per-driver frame (one client per partition).
+  persisted once and written to both.  Anomalies are keyed by the batch id and
+  overwritten; the cache gets versioned records (see ``sinks.cache``).  So a batch that
+  is run again changes nothing, and an older one never wins over a newer one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.enrich import anomalies
-from ..operators.live import LIVE_FIELDS, latest_per_driver
 from . import lake
-
-CACHE_COLUMNS = ["driver_id"] + LIVE_FIELDS
-CACHE_SCHEMA = ("driver_id string, latitude double, longitude double, h3_cell string, "
-                "status string, speed_kmh double, event_time timestamp, ping_id bigint")
+from .cache import KeyedTable, versioned_records
 
 
 class CacheAndAnomalies:
-    """``foreachBatch`` body writing the cache delta and the anomaly slice."""
+    """``foreachBatch`` body writing the anomaly slice and the cache records.
 
-    def __init__(self, base: str, partition_writer: Callable[[Iterable], None] | None = None,
-                 compact_every: int = 20):
-        self.base = base.rstrip("/")
-        self.partition_writer = partition_writer
-        self.compact_every = compact_every
-
-    def delta_path(self, batch_id: int) -> str:
-        return f"{self.base}/cache/delta/batch={batch_id:012d}"
+    ``store`` has ``upsert(records, batch_id)``; the default is a table under ``base``."""
 
-    def snapshot_path(self, batch_id: int) -> str:
-        return f"{self.base}/cache/snapshot/v={batch_id:012d}"
+    def __init__(self, base: str, store=None):
+        self.base = base.rstrip("/")
+        self.store = store or KeyedTable(f"{self.base}/cache")
 
     def anomaly_path(self, batch_id: int) -> str:
         return f"{self.base}/anomalies/batch={batch_id:012d}"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             anomalies(batch).write.mode("overwrite").parquet(self.anomaly_path(batch_id))
-            fresh = latest_per_driver(batch).select(*CACHE_COLUMNS)
-            if self.partition_writer is not None:
-                fresh.foreachPartition(self.partition_writer)
-            fresh.write.mode("overwrite").parquet(self.delta_path(batch_id))
+            self.store.upsert(versioned_records(batch), batch_id)
         finally:
             batch.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.state(spark, upto=batch_id).write.mode("overwrite").parquet(
-                self.snapshot_path(batch_id))
-
-    @staticmethod
-    def _read(spark: SparkSession, path: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":  # nothing written yet; any other failure is one
-                raise
-            return None
-
-    def state(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """Latest row per driver as of batch ``upto`` (default: all)."""
-        snaps = self._read(spark, f"{self.base}/cache/snapshot")
-        parts, since = [], -1
-        if snaps is not None:
-            if upto is not None:
-                snaps = snaps.filter(F.col("v") <= upto)
-            v = snaps.agg(F.max("v")).first()[0]
-            if v is not None:
-                since = v
-                parts.append(snaps.filter(F.col("v") == v).drop("v"))
-        deltas = self._read(spark, f"{self.base}/cache/delta")
-        if deltas is not None:
-            d = deltas.filter(F.col("batch") > since)
-            if upto is not None:
-                d = d.filter(F.col("batch") <= upto)
-            parts.append(d.drop("batch"))
-        if not parts:
-            return spark.createDataFrame([], CACHE_SCHEMA)
-        u = parts[0]
-        for other in parts[1:]:
-            u = u.unionByName(other)
-        return latest_per_driver(u).select(*CACHE_COLUMNS)
-
-    def latest_cache(self, spark: SparkSession) -> DataFrame:
-        return self.state(spark)
 
     def all_anomalies(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.base}/anomalies").drop("batch")
 
 
-def start_branches(enriched_stream: DataFrame, base: str, trigger: dict,
-                   partition_writer: Callable[[Iterable], None] | None = None,
-                   records_per_object: int | None = None, compact_every: int = 20):
+def start_branches(enriched_stream: DataFrame, base: str, trigger: dict, store=None,
+                   records_per_object: int | None = None):
     """Start the lake query and the cache+anomaly query; returns both
     queries and the ``CacheAndAnomalies`` writer (for reading back)."""
     base = base.rstrip("/")
     lake_q = (lake.stream_to_lake(enriched_stream, f"{base}/lake", f"{base}/_ck_lake",
                                   records_per_object)
-              .trigger(**trigger).start())
-    writer = CacheAndAnomalies(base, partition_writer, compact_every)
-    side_q = (enriched_stream.writeStream.foreachBatch(writer)
+              .queryName("geopulse_lake").trigger(**trigger).start())
+    writer = CacheAndAnomalies(base, store)
+    side_q = (enriched_stream.writeStream.foreachBatch(writer).queryName("geopulse_cache")
               .option("checkpointLocation", f"{base}/_ck_side")
               .trigger(**trigger).start())
     return [lake_q, side_q], writer

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter, deque
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 
@@ -12,28 +15,43 @@ def console(df: DataFrame, num_rows: int = 20, truncate: bool = False):
             .option("truncate", str(truncate).lower()))
 
 
+def counted(df: DataFrame, name: str = "output") -> DataFrame:
+    """The rows that pass here, observed as ``written`` with each batch (sinks don't count them)."""
+    return df.observe(name, F.count("*").alias("written"))
+
+
 class DeliveryReport(StreamingQueryListener):
-    """Collects per-batch delivery facts for every query of the session:
-    rows read, rows written by the sink, rows dropped as late, and failures.
+    """What was delivered, from the observed metrics of every query of a session.
+
+    Totals are kept for each query and metric: ``read``, ``decoded`` and ``quarantined`` of the
+    decoding query, ``written`` of outputs, ``input_rows`` and ``dropped_late`` of all.  Of the
+    batches only the last ``keep`` are remembered, so the report does not grow with time.
     Register with ``spark.streams.addListener(DeliveryReport())``."""
 
-    def __init__(self):
-        self.batches: list[dict] = []
-        self.failures: list[dict] = []
+    def __init__(self, keep: int = 100):
+        self.batches: deque[dict] = deque(maxlen=keep)
+        self.failures: deque[dict] = deque(maxlen=keep)
+        self.totals: Counter[tuple[str, str]] = Counter()
+
+    def record(self, progress) -> None:
+        """Add a batch's progress report."""
+        metrics = {"input_rows": progress.numInputRows,
+                   "dropped_late": sum(int(op.numRowsDroppedByWatermark or 0) for op in progress.stateOperators or [])}
+        for row in (progress.observedMetrics or {}).values():
+            metrics.update({k: int(v or 0) for k, v in row.asDict().items()})
+        name = progress.name or str(progress.id)
+        self.batches.append({"query": name, "batch": progress.batchId, **metrics})
+        for k, v in metrics.items():
+            self.totals[name, k] += v
+
+    def total(self, metric: str, query: str | None = None) -> int:
+        return sum(v for (q, k), v in self.totals.items() if k == metric and query in (None, q))
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        p = event.progress
-        dropped = sum(int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-                      for op in (p.stateOperators or []))
-        self.batches.append({
-            "query": p.name or str(p.id), "batch": p.batchId,
-            "input_rows": p.numInputRows,
-            "sink_rows": getattr(p.sink, "numOutputRows", -1),
-            "dropped_late": dropped,
-        })
+        self.record(event.progress)
 
     def onQueryIdle(self, event) -> None:
         pass

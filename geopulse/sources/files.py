@@ -9,13 +9,18 @@ from ..schema import PING_SCHEMA, WATERMARK_DELAY
 from . import wire
 
 
-def read_wire_stream(spark: SparkSession, path: str, watermark: str = WATERMARK_DELAY,
-                     max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Stream (pings, quarantine) from a folder of JSON-lines messages."""
+def read_message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of raw messages (``value``) from a folder of JSON lines."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    good, bad = wire.decode_with_quarantine(r.load(path))
+    return r.load(path)
+
+
+def read_wire_stream(spark: SparkSession, path: str, watermark: str = WATERMARK_DELAY,
+                     max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stream (pings, quarantine) from a folder of JSON-lines messages."""
+    good, bad = wire.decode_with_quarantine(read_message_stream(spark, path, max_files_per_trigger))
     return good.withWatermark("event_time", watermark), bad
 
 

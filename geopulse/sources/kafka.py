@@ -35,6 +35,16 @@ def source_options(bootstrap: str, topic: str, starting_offsets: str = "latest",
     return opts
 
 
+def read_messages(spark: SparkSession, bootstrap: str, topic: str, **kw) -> DataFrame:
+    """Streaming raw messages (``value``, ``_offset_id``) of a topic.
+
+    Without a ping_id in the payload, (partition, offset) orders a driver's
+    pings as they arrived (the producer keys every driver to one partition)."""
+    raw = spark.readStream.format("kafka").options(**source_options(bootstrap, topic, **kw)).load()
+    offset_id = F.shiftleft(F.col("partition").cast("bigint"), 40) + F.col("offset")
+    return raw.select(F.col("value").cast("string").alias("value"), offset_id.alias("_offset_id"))
+
+
 def read_pings(spark: SparkSession, bootstrap: str, topic: str, watermark: str = WATERMARK_DELAY,
                **kw) -> tuple[DataFrame, DataFrame]:
     """Streaming (pings, quarantine) decoded from a Kafka topic.
@@ -42,12 +52,7 @@ def read_pings(spark: SparkSession, bootstrap: str, topic: str, watermark: str =
     The pings carry the event-time watermark; the quarantine stream holds
     undecodable messages with a reason and can be written to its own sink.
     """
-    raw = spark.readStream.format("kafka").options(**source_options(bootstrap, topic, **kw)).load()
-    # Without a ping_id in the payload, (partition, offset) orders a driver's
-    # pings as they arrived (the producer keys every driver to one partition).
-    offset_id = F.shiftleft(F.col("partition").cast("bigint"), 40) + F.col("offset")
-    msgs = raw.select(F.col("value").cast("string").alias("value"), offset_id.alias("_offset_id"))
-    good, bad = wire.decode_with_quarantine(msgs, fallback_id="_offset_id")
+    good, bad = wire.decode_with_quarantine(read_messages(spark, bootstrap, topic, **kw), fallback_id="_offset_id")
     return good.withWatermark("event_time", watermark), bad
 
 
@@ -64,12 +69,3 @@ def write_pings(pings: DataFrame, bootstrap: str, topic: str, checkpoint: str,
     return (wire.encode(pings, time_encoding).writeStream.format("kafka")
             .options(**sink_options(bootstrap, topic))
             .option("checkpointLocation", checkpoint))
-
-
-def write_json(df: DataFrame, key_col: str, bootstrap: str, topic: str, checkpoint: str):
-    """Any result stream (e.g. the anomaly side output) as keyed JSON
-    messages on its own topic; returns the writer."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
-    return (df.select(F.col(key_col).cast("string").alias("key"), value.alias("value"))
-            .writeStream.format("kafka").options(**sink_options(bootstrap, topic))
-            .option("checkpointLocation", checkpoint))

@@ -41,13 +41,12 @@ def _parsed(messages: DataFrame, value_col: str) -> DataFrame:
     return messages.withColumn("_m", F.from_json(F.col(value_col).cast("string"), _DECODE_SCHEMA, opts))
 
 
-def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
-                           fallback_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Split raw messages into (pings, quarantine).
+def decode_all(messages: DataFrame, value_col: str = "value", fallback_id: str | None = None) -> DataFrame:
+    """One row for each raw message: the canonical ping columns, ``raw`` and ``reason``.
 
-    ``pings`` has the canonical columns; the
-    duration is taken from either spelling, the time from any of the three
-    encodings.  ``quarantine`` has ``raw`` and ``reason``.
+    A usable message has a ping and no reason, any other one its text and the reason.
+    The duration is taken from either spelling, the time from any of the three
+    encodings.
 
     Producers need not send ``ping_id`` (the tie-break between pings of a
     driver with equal event time).  When it is absent it comes from
@@ -56,30 +55,31 @@ def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
     """
     p = _parsed(messages, value_col)
     m = F.col("_m")
+    raw = F.col(value_col).cast("string")
     broken = m.isNull() | m[CORRUPT_COL].isNotNull()
     speed = m["speed_kmh"]
     p = p.withColumn("_et", parse_event_time(m["ts_str"], m["timestamp"])).withColumn(
-        "_reason", F.when(broken & F.try_parse_json(F.col(value_col).cast("string")).isNull(), REASON_NOT_JSON)
+        "_reason", F.when(broken & F.try_parse_json(raw).isNull(), REASON_NOT_JSON)
         .when(broken, REASON_BAD_FIELD)
         .when(F.col("_et").isNull(), REASON_NO_TIME)
         .when(F.coalesce(m["driver_id"], F.lit("")) == "", REASON_NO_DRIVER)
         .when(~usable_position(m["latitude"], m["longitude"]), REASON_BAD_POSITION)
         .when(speed.isNotNull() & finite_speed(speed).isNull(), REASON_BAD_SPEED))
-    fallback = F.col(fallback_id) if fallback_id else F.xxhash64(F.col(value_col).cast("string"))
-    good = (p.filter(F.col("_reason").isNull())
-            .select(F.coalesce(m["ping_id"], fallback).alias("ping_id"),
-                    m["driver_id"].alias("driver_id"),
-                    m["latitude"].alias("latitude"),
-                    m["longitude"].alias("longitude"),
-                    m["status"].alias("status"),
-                    m["speed_kmh"].alias("speed_kmh"),
-                    F.coalesce(m["trip_duration_secs"], m["trip_duration_sec"]).alias("trip_duration_secs"),
-                    F.col("_et").alias("event_time"),
-                    F.coalesce(m["ts_str"], m["timestamp"]).alias("ts_str"),
-                    m["trip_distance_km"].alias("trip_distance_km")))
-    bad = (p.filter(F.col("_reason").isNotNull())
-           .select(F.col(value_col).cast("string").alias("raw"), F.col("_reason").alias("reason")))
-    return good, bad
+    fallback = F.col(fallback_id) if fallback_id else F.xxhash64(raw)
+    values = {"ping_id": F.coalesce(m["ping_id"], fallback), "event_time": F.col("_et"),
+              "trip_duration_secs": F.coalesce(m["trip_duration_secs"], m["trip_duration_sec"]),
+              "ts_str": F.coalesce(m["ts_str"], m["timestamp"])}
+    good = F.col("_reason").isNull()
+    return p.select(*(F.when(good, values[c] if c in values else m[c]).alias(c) for c in PING_COLUMNS),
+                    F.when(~good, raw).alias("raw"), F.col("_reason").alias("reason"))
+
+
+def decode_with_quarantine(messages: DataFrame, value_col: str = "value",
+                           fallback_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split raw messages into (pings, quarantine): the canonical columns, and ``raw`` with ``reason``."""
+    rows = decode_all(messages, value_col, fallback_id)
+    good = rows.filter(F.col("reason").isNull()).select(*PING_COLUMNS)
+    return good, rows.filter(F.col("reason").isNotNull()).select("raw", "reason")
 
 
 def decode(messages: DataFrame, value_col: str = "value", fallback_id: str | None = None) -> DataFrame:

@@ -5,30 +5,36 @@
   came for the TTL.
 * ``PreviousPingProcessor`` (F2) and ``SegmentProcessor`` (F3/F4): rows of a
   key arrive unordered within and across micro-batches, so they are buffered
-  in list state and released in ``(event_time, ping_id)`` order once the
-  watermark has passed them; anything older than the watermark is dropped by
+  by time bucket and released in ``(event_time, ping_id)`` order once the
+  watermark has passed the bucket; anything older than the watermark is dropped by
   Spark as late, so released order is final.
+* ``SessionProcessor`` (W4): trip sessions with one state row each and their zones
+  as map entries, so a session's row does not grow with its length.
 
-State per key is one row plus the not-yet-final rows of that driver (those
-within the watermark delay).  Keys are the drivers, spread by hash over the
-state partitions.
+Input is read frame by frame and state is kept in pieces of bounded size: no step
+holds a driver's whole batch or backlog in one frame.  Keys are the drivers, spread
+by hash over the state partitions.
 """
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.exprs import DEG_TO_RAD, EARTH_RADIUS_KM
-from ..schema import LIVE_TTL_SECS
+from ..functions.exprs import DEG_TO_RAD, EARTH_RADIUS_KM, exact_speed, haversine_km
+from ..operators.windows import duration_micros, on_trip_pings, session_columns
+from ..schema import LIVE_TTL_SECS, SESSION_GAP
 
 
 # The processors travel to the Python workers by value (their code, not a
@@ -96,11 +102,15 @@ class LiveStateProcessor(StatefulProcessor):
             "event_time": _ts([st[1]]), "state": [state]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.assign(_t=_micros(pdf["event_time"])).sort_values(["_t", "ping_id"])
-        top = pdf.iloc[-1]
-        cand = (int(top["ping_id"]), int(top["_t"]), top["latitude"], top["longitude"],
-                top["h3_cell"], top["status"], top["speed_kmh"])
+        cand = None
+        for pdf in rows:
+            t, ids = _micros(pdf["event_time"]), pdf["ping_id"].to_numpy("int64")
+            i = int(np.lexsort((ids, t))[-1])
+            if cand is None or (int(t[i]), int(ids[i])) > (cand[1], cand[0]):
+                top = pdf.iloc[i]
+                cand = (int(ids[i]), int(t[i]), top["latitude"], top["longitude"], top["h3_cell"], top["status"], top["speed_kmh"])
+        if cand is None:
+            return
         old = self.last.get() if self.last.exists() else None
         if old is not None and (old[1], old[0]) >= (cand[1], cand[0]):
             return
@@ -140,66 +150,80 @@ PENDING_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
 ])
 
+#: Width of a pending bucket, and rows of a stored part and of a released frame.
+RELEASE_BUCKET_US, RELEASE_ROWS = 10_000_000, 4096
+
+
+_STORED_SCHEMA = pa.schema([("ping_id", pa.int64()), ("t", pa.int64()), ("latitude", pa.float64()),
+                            ("longitude", pa.float64()), ("status", pa.string())])
+
 
 class _OrderedRelease(StatefulProcessor):
-    """Buffers a driver's pings and releases them in order once
-    ``t < watermark`` (ms).  One event-time timer per driver is kept, at the
-    earliest unreleased ping, so timers cost O(1) per key, not one per ping."""
+    """Buffers a driver's pings and releases them in order.
+
+    Pending pings are kept by time bucket, in sorted parts of at most ``RELEASE_ROWS``
+    rows.  Each bucket has a timer at its end: when the watermark gets there, no ping of
+    the bucket can come any more, and its parts are merged and released in frames.  Timers
+    fire in order of their time, so buckets do; a firing reads its own bucket only."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING_SCHEMA)
-        self.timer = handle.getValueState("timer", "ms long")
+        self.parts = handle.getMapState("parts", "bucket long", "n long")
+        self.rows = handle.getMapState("rows", "bucket long, part long", "data binary")
         self.setup_state(handle)
 
     def setup_state(self, handle) -> None:  # pragma: no cover - overridden
         raise NotImplementedError
 
-    def _schedule(self, first_pending_us: int | None) -> None:
-        """Keep the single timer at the first millisecond after the earliest
-        pending ping (a timer fires once the watermark reaches it)."""
-        cur = self.timer.get()[0] if self.timer.exists() else None
-        want = None if first_pending_us is None else first_pending_us // 1000 + 1
-        if cur == want:
-            return
-        if cur is not None:
-            self.handle.deleteTimer(cur)
-        if want is None:
-            self.timer.clear()
-        else:
-            self.handle.registerTimer(want)
-            self.timer.update((want,))
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        new = pd.DataFrame({"ping_id": pdf["ping_id"].astype("int64"), "t": _micros(pdf["event_time"]),
-                            "latitude": pdf["latitude"], "longitude": pdf["longitude"],
-                            "status": pdf["status"]})
-        self.pending.appendList(list(new.itertuples(index=False, name=None)))
-        earliest = int(new["t"].min())
-        cur = self.timer.get()[0] if self.timer.exists() else None
-        if cur is None or earliest // 1000 + 1 < cur:
-            self._schedule(earliest)
+        for pdf in rows:
+            new = pd.DataFrame({"ping_id": pdf["ping_id"].astype("int64"), "t": _micros(pdf["event_time"]),
+                                "latitude": pdf["latitude"].astype("float64"), "longitude": pdf["longitude"].astype("float64"),
+                                "status": pdf["status"]}).sort_values(["t", "ping_id"], kind="stable")
+            bucket = (new["t"] // RELEASE_BUCKET_US).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+            for i, j in zip(edges[:-1], edges[1:]):
+                if i == j:
+                    continue
+                b = int(bucket[i])
+                n = self.parts.getValue((b,))[0] if self.parts.containsKey((b,)) else 0
+                if not n:
+                    self.handle.registerTimer((b + 1) * RELEASE_BUCKET_US // 1000)
+                for at in range(int(i), int(j), RELEASE_ROWS):
+                    frame = new.iloc[at:min(at + RELEASE_ROWS, int(j))]
+                    data = pa.RecordBatch.from_pandas(frame, schema=_STORED_SCHEMA, preserve_index=False).serialize().to_pybytes()
+                    self.rows.updateValue((b, n), (data,))
+                    n += 1
+                self.parts.updateValue((b,), (n,))
         return iter([])
 
+    def _part(self, bucket: int, part: int) -> pd.DataFrame:
+        data = bytes(self.rows.getValue((bucket, part))[0])
+        return pa.ipc.read_record_batch(pa.py_buffer(data), _STORED_SCHEMA).to_pandas()
+
+    def _ordered(self, bucket: int, n: int) -> Iterator[pd.DataFrame]:
+        """The bucket's pings in order, in frames of at most ``RELEASE_ROWS``."""
+        if n == 1:
+            yield self._part(bucket, 0)
+            return
+        parts = [list(self._part(bucket, i)[["t", "ping_id", "latitude", "longitude", "status"]].itertuples(index=False, name=None))
+                 for i in range(n)]
+        merged = heapq.merge(*parts, key=lambda r: (r[0], r[1]))
+        while frame := list(itertools.islice(merged, RELEASE_ROWS)):
+            yield pd.DataFrame(frame, columns=["t", "ping_id", "latitude", "longitude", "status"])[PENDING_COLUMNS]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = list(self.pending.get()) if self.pending.exists() else []
-        pend = pd.DataFrame(rows, columns=PENDING_COLUMNS)
-        due = pend["t"] < wm_us
-        ready = pend[due].sort_values(["t", "ping_id"], kind="stable").reset_index(drop=True)
-        rest = pend[~due]
-        if len(rest):
-            self.pending.put(list(rest.itertuples(index=False, name=None)))
-        else:
-            self.pending.clear()
-        self._schedule(int(rest["t"].min()) if len(rest) else None)
-        if ready.empty:
+        bucket = expiredTimerInfo.getExpiryTimeInMs() * 1000 // RELEASE_BUCKET_US - 1
+        if not self.parts.containsKey((bucket,)):
             return
-        out = self.release(key[0], ready)
-        if out is not None and len(out):
-            yield out
+        n = self.parts.getValue((bucket,))[0]
+        for ready in self._ordered(bucket, n):
+            out = self.release(key[0], ready)
+            if out is not None and len(out):
+                yield out
+        for i in range(n):
+            self.rows.removeKey((bucket, i))
+        self.parts.removeKey((bucket,))
 
     def release(self, driver: str, ready: pd.DataFrame) -> pd.DataFrame | None:  # pragma: no cover
         raise NotImplementedError
@@ -336,3 +360,133 @@ def segments_stream(pings: DataFrame) -> DataFrame:
         "driver_id", "status", "segment_start", "segment_end", "pings",
         (F.col("dist_micro") / F.lit(1e6)).alias("distance_km"),
         ((F.col("t1") - F.col("t0")) / F.lit(1e6)).alias("duration_secs"))
+
+
+def derived_speed_from_previous(prev: DataFrame) -> DataFrame:
+    """Same column expressions as the batch ``derived_speed``."""
+    km = haversine_km("prev_latitude", "prev_longitude", "latitude", "longitude")
+    secs = (F.col("t") - F.col("prev_t")) / F.lit(1e6)
+    speed = F.when(F.col("prev_t").isNull(), F.lit(None).cast("double")) \
+        .when(secs > 0, F.round(km / secs * 3600.0, 2)).otherwise(F.lit(0.0))
+    return prev.select("ping_id", "driver_id", "event_time",
+                       F.round(km, 6).alias("distance_km"),
+                       secs.alias("seconds_since_prev"), speed.alias("derived_speed_kmh"))
+
+
+# ---------------------------------------------------------------------------
+# Trip sessions
+# ---------------------------------------------------------------------------
+
+#: An open session: its first and last time, counts, the speed total in 10^-9 km/h (as text: it can
+#: outgrow 64 bits), the bounding box, the longest duration and the number of zones.
+_SESSION_STATE = ("first long, last long, n long, total string, ns long, maxlat double, maxlon double, "
+                  "minlat double, minlon double, maxdur int, cells long")
+SESSION_OUTPUT_SCHEMA = T.StructType([
+    T.StructField("driver_id", T.StringType()), T.StructField("tmin", T.TimestampType()), T.StructField("tmax", T.TimestampType()),
+    T.StructField("n", T.LongType()), T.StructField("total", T.StringType()), T.StructField("ns", T.LongType()),
+    T.StructField("maxlat", T.DoubleType()), T.StructField("maxlon", T.DoubleType()),
+    T.StructField("minlat", T.DoubleType()), T.StructField("minlon", T.DoubleType()),
+    T.StructField("maxdur", T.IntegerType()), T.StructField("cells", T.LongType()),
+])
+_NANO = 10**9
+
+
+def _either(pick, *values):
+    """``pick`` of the values that are there."""
+    there = [v for v in values if v is not None and v == v]
+    return pick(there) if there else None
+
+
+class SessionProcessor(StatefulProcessor):
+    """Sessions of a driver's pings: a ping within the gap of a session joins it, and
+    sessions that a ping brings together become one.
+
+    Open sessions are map entries (a driver has few: those the watermark has not passed),
+    their zones are map entries of their own.  A session closes when the watermark reaches
+    its last ping plus the gap; a timer is registered there each time the last ping moves,
+    and one that finds its session extended does nothing."""
+
+    def __init__(self, gap_us: int):
+        self.gap_us = gap_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sessions = handle.getMapState("sessions", "id long", _SESSION_STATE)
+        self.zones = handle.getMapState("zones", "id long, cell string", "seen boolean")
+
+    def _closes(self, last: int) -> int:
+        """First millisecond at which a session with this last ping is over."""
+        return -(-(last + self.gap_us) // 1000)
+
+    def _joined(self, a: tuple, b: tuple) -> tuple:
+        return (min(a[0], b[0]), max(a[1], b[1]), a[2] + b[2], str(int(a[3]) + int(b[3])), a[4] + b[4],
+                _either(max, a[5], b[5]), _either(max, a[6], b[6]), _either(min, a[7], b[7]), _either(min, a[8], b[8]),
+                _either(max, a[9], b[9]), a[10] + b[10])
+
+    def _add(self, piece: tuple, cells: list[str]) -> None:
+        """A run of pings without a gap in it joins the sessions it touches."""
+        touched = sorted(((k[0], tuple(v)) for k, v in self.sessions.iterator()
+                          if v[1] >= piece[0] - self.gap_us and v[0] <= piece[1] + self.gap_us), key=lambda s: -s[1][10])
+        sid = touched[0][0] if touched else piece[0]
+        while not touched and self.sessions.containsKey((sid,)):  # the first time of a session that has moved on
+            sid -= 1
+        for other, row in touched:
+            piece = self._joined(piece, row)
+            if other == sid:
+                continue
+            for _, cell in [k for k, _ in self.zones.iterator() if k[0] == other]:  # the smaller session's zones move
+                self.zones.removeKey((other, cell))
+                if self.zones.containsKey((sid, cell)):
+                    piece = (*piece[:10], piece[10] - 1)
+                else:
+                    self.zones.updateValue((sid, cell), (True,))
+            self.sessions.removeKey((other,))
+        for cell in cells:
+            if not self.zones.containsKey((sid, cell)):
+                self.zones.updateValue((sid, cell), (True,))
+                piece = (*piece[:10], piece[10] + 1)
+        self.sessions.updateValue((sid,), piece)
+        self.handle.registerTimer(self._closes(piece[1]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            pdf = pdf.assign(t=_micros(pdf["event_time"])).sort_values("t", kind="stable")
+            t = pdf["t"].to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(t) > self.gap_us) + 1, [len(t)]])
+            for i, j in zip(edges[:-1], edges[1:]):
+                part = pdf.iloc[int(i):int(j)]
+                if not len(part):
+                    continue
+                speeds = part["nano_speed"].dropna()
+                ends = [None if pd.isna(v) else v for v in (part["latitude"].max(), part["longitude"].max(), part["latitude"].min(),
+                                                             part["longitude"].min(), part["trip_duration_secs"].max())]
+                piece = (int(t[i]), int(t[j - 1]), len(part), str(sum(map(int, speeds))), len(speeds),
+                         *map(lambda v: None if v is None else float(v), ends[:4]), None if ends[4] is None else int(ends[4]), 0)
+                self._add(piece, part["h3_cell"].dropna().unique().tolist())
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        for (sid,), s in [(k, tuple(v)) for k, v in self.sessions.iterator() if self._closes(v[1]) <= now]:
+            self.sessions.removeKey((sid,))
+            for k in [k for k, _ in self.zones.iterator() if k[0] == sid]:
+                self.zones.removeKey(k)
+            sign, total = ("-" if int(s[3]) < 0 else ""), abs(int(s[3]))
+            yield pd.DataFrame({
+                "driver_id": [key[0]], "tmin": _ts([s[0]]), "tmax": _ts([s[1]]), "n": [s[2]],
+                "total": [f"{sign}{total // _NANO}.{total % _NANO:09d}"], "ns": [s[4]], "maxlat": [s[5]], "maxlon": [s[6]],
+                "minlat": [s[7]], "minlon": [s[8]], "maxdur": pd.array([s[9]], "Int32"), "cells": [s[10]]})
+
+    def close(self) -> None:
+        pass
+
+
+def trip_sessions_stream(enriched: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
+    """Streaming form of ``trip_sessions``: one row for each session, once it is over."""
+    gap_us = duration_micros(gap)
+    nano = (exact_speed("speed_kmh") * F.lit(_NANO)).cast("bigint")
+    require_rocksdb(enriched)
+    closed = (on_trip_pings(enriched).select("driver_id", "event_time", "latitude", "longitude", "h3_cell", "trip_duration_secs",
+                                             nano.alias("nano_speed"))
+              .groupBy("driver_id").transformWithStateInPandas(SessionProcessor(gap_us), SESSION_OUTPUT_SCHEMA, "Append", "EventTime"))
+    return session_columns(closed.withColumn("s", F.col("total").cast("decimal(32,9)")), gap_us)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, discard, distinct, release_memory, text_slices, word_spans, written
+from geopulse.llm.common import LOWER, SpanHash, discard, distinct, release_memory, row_slices, text_slices, utf8, word_spans, written
 
 DEPTH, OFTEN, LEAST, DIVERGENCE, DISCOUNT = 2, 8, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
@@ -270,8 +270,10 @@ def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Known,
                 continue
             if known is None:
                 known, held = _Known(held), []
-            for rows, data, bounds in text_slices(iter([part]), "text"):
-                yield now, known, rows, data, bounds
+            data, bounds = utf8(part.column(4))
+            for i, j in row_slices(bounds):
+                yield now, known, part.slice(i, j - i), data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i]
+    release_memory()
 
 
 def _asked(texts: DataFrame, bits: int) -> DataFrame:
@@ -303,7 +305,7 @@ def _candidates(texts: DataFrame, length: int, often: int, schema: str, found) -
         for chunk, known, rows, data, bounds in _by_chunk(batches):
             words, row = tokens(data, bounds)
             *_, (key, context, parent, able) = sequences(words, row, length)
-            n = known.of(parent)[0]
+            n, = known.of(parent, 1)
             before = able & np.concatenate([[False], n[:-1] >= often])  # the context is the shorter sequence one token before
             yield from take.send((chunk, key, context, parent, before, before & (n > 0), row, rows))
         yield from take.send(None)
@@ -394,16 +396,17 @@ class _Known:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return at[self.keys[at] == keys]
 
-    def of(self, keys: np.ndarray) -> list[np.ndarray]:
-        """The three numbers of each key."""
-        out = [np.zeros(len(keys)) for _ in self.values]
-        if len(self.keys):
+    def of(self, keys: np.ndarray, columns: int = 3) -> list[np.ndarray]:
+        """The first of the three numbers of each key."""
+        out = [np.zeros(len(keys)) for _ in range(columns)]
+        if len(self.keys) and len(keys):
             order = np.argsort(keys)  # in order they are found much faster
             own = keys[order]
             at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
-            there = self.keys[at] == own
-            for result, values in zip(out, self.values, strict=True):
-                result[order[there]] = values[at[there]]
+            there = np.flatnonzero(self.keys[at] == own)
+            order, at = order[there], at[there]
+            for result, values in zip(out, self.values):
+                result[order] = values[at]
         return out
 
 
@@ -414,14 +417,18 @@ def _scored(known: _Known, data: np.ndarray, bounds: np.ndarray, total: int, voc
     base = (n + 0.5) / (total + 0.5 * (vocabulary + 1))
     found, p = n, base
     shorter = [n, stored, kinds]  # of the sequence one word shorter that ends at each token
-    for key, _, _, able in sequences(words, row, depth + 1):
+    for length, (key, _, _, able) in enumerate(sequences(words, row, depth + 1), 2):
         # the context is the shorter sequence that ends one token before
         whole, used, of = ([np.concatenate([[0.0], x[:-1]]) for x in shorter])
-        kept = able & (of > 0)
-        back = 1 - (used - discount * of) / np.where(whole > 0, whole, 1)
-        shorter = known.of(key)
-        own = np.where(shorter[0] > 0, (shorter[0] - discount) / np.where(whole > 0, whole, 1), 0)
-        p = np.where(kept, own + back * p, p)
+        at = np.flatnonzero(able & (of > 0))
+        if length > depth:  # the longest are no contexts: only where one is kept they are looked up
+            n, = known.of(key[at], 1)
+        else:
+            shorter = known.of(key)
+            n = shorter[0][at]
+        own = np.where(n > 0, (n - discount) / whole[at], 0)
+        p = p.copy()
+        p[at] = own + (1 - (used[at] - discount * of[at]) / whole[at]) * p[at]
     add = lambda x: np.bincount(row, weights=x, minlength=len(bounds) - 1)
     return [add(np.ones(len(words))).astype(np.int64), add(found > 0).astype(np.int64), add(np.log10(base)), add(np.log10(p))]
 

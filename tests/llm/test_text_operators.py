@@ -9,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from geopulse.llm import (
     dart_minhash, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_merge, suffix_tree_lm)
@@ -229,8 +230,7 @@ def test_neighbours_and_edits(odd_documents, odd_texts):
 # ---- 9: language model
 
 def test_language_model(documents, texts):
-    training = documents.where("doc_id % 5 != 1")
-    rows = {r.key: r for r in suffix_tree_lm.score_texts(documents, training).collect()}
+    rows = {r.key: r for r in suffix_tree_lm.score_texts(documents, F.col("doc_id") % 5 != 1).collect()}
     count = collections.Counter()
     tokens = {d: [*bytes(c + 32 if 65 <= c <= 90 else c for c in t.encode()).split(), None] for d, t in texts.items()}
     for d, t in tokens.items():
@@ -246,19 +246,8 @@ def test_language_model(documents, texts):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_language_model_distributions_sum_to_one(spark, documents):
-    learned = documents.select("text")
-    counts = suffix_tree_lm._token_counts(learned).cache()
-    total, kinds = counts.selectExpr("sum(n)", "count(*)").first()
-    tree = suffix_tree_lm.build_tree(learned, counts, total, kinds)
-    every = np.arange(len(tree.alphabet) + 1)
-    for number in np.flatnonzero(tree.kept[0])[:20]:
-        p = tree.smoothed(1, np.full(len(every), number), every, tree.root[every], suffix_tree_lm.WEIGHT)
-        assert math.isclose(p.sum(), 1, rel_tol=1e-6)
-
-
-def _tree_scores(docs, training, depth, least, divergence, weight):
-    """log10 probability of every text by the tree's definition, with dictionaries."""
+def _tree(training, depth, often, least, divergence, discount):
+    """The tree by its definition, with dictionaries: kept contexts, and a token's probability after some words."""
     ended = lambda t: [*t.encode().lower().split(), None]
     after = collections.defaultdict(collections.Counter)
     for t in map(ended, training):
@@ -266,24 +255,36 @@ def _tree_scores(docs, training, depth, least, divergence, weight):
             for length in range(min(depth, i) + 1):
                 after[tuple(t[i - length:i])][w] += 1
     total, kinds = sum(after[()].values()), len(after[()])
+    stored = {c: {w: n for w, n in seen.items() if n >= least} for c, seen in after.items() if sum(seen.values()) >= often}
+    kept = set()
 
     def smoothed(context, w, below):
-        seen = after[context]
-        return (seen[w] + weight * len(seen) * below) / (sum(seen.values()) + weight * len(seen))
+        n = sum(after[context].values())
+        back = 1 - sum(k - discount for k in stored[context].values()) / n
+        return max(stored[context].get(w, 0) - discount, 0) / n + back * below, back
 
-    def probability(context, w, kept):
+    def probability(context, w):
         p = (after[()][w] + 0.5) / (total + 0.5 * (kinds + 1))
         for length in range(1, len(context) + 1):
             if context[len(context) - length:] in kept:
-                p = smoothed(context[len(context) - length:], w, p)
+                p = smoothed(context[len(context) - length:], w, p)[0]
         return p
 
-    kept = set()
-    for c in sorted((c for c, seen in after.items() if c and sum(seen.values()) >= least), key=len):
-        below = {w: probability(c[1:], w, kept) for w in after[c]}
-        if sum(n * math.log(smoothed(c, w, below[w]) / below[w]) for w, n in after[c].items()) >= divergence:
+    for c in sorted((c for c in stored if c and stored[c]), key=len):
+        below = {w: probability(c[1:], w) for w in stored[c]}
+        rest = sum(after[c].values()) - sum(stored[c].values())
+        gain = sum(n * math.log(smoothed(c, w, below[w])[0] / below[w]) for w, n in stored[c].items())
+        if gain + rest * math.log(smoothed(c, None, 0)[1]) >= divergence:
             kept.add(c)
-    return kept, [sum(math.log10(probability(tuple(t[max(0, i - depth):i]), w, kept)) for i, w in enumerate(t)) for t in map(ended, docs)]
+    score = lambda t: sum(math.log10(probability(tuple(t[max(0, i - depth):i]), w)) for i, w in enumerate(t))
+    return kept, after, probability, lambda docs: [score(t) for t in map(ended, docs)]
+
+
+def test_language_model_distributions_sum_to_one(texts):
+    """Over the vocabulary and one unseen word, after any context."""
+    kept, after, probability, _ = _tree(list(texts.values())[:60], 2, 8, 3, 2.0, 0.75)
+    for c in sorted(kept, key=str)[:20]:
+        assert math.isclose(sum(probability(c, w) for w in [*after[()], b"-"]), 1, rel_tol=1e-9)
 
 
 @pytest.mark.parametrize("chunk_bytes", [16 << 20, 4000])
@@ -295,14 +296,31 @@ def test_language_model_equals_brute_force(spark, monkeypatch, chunk_bytes):
     docs = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(300)) for _ in range(200)]
     docs = [f"{rare} {t} {rare}" if d in (3, 9) else t for d, t in enumerate(docs)] + [rare, f"x {rare}", "", "unseen words"]
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
-    for depth, least, divergence in ((2, 2, 2.0), (3, 3, 3.0)):
-        kept, want = _tree_scores(docs, docs[:150], depth, least, divergence, 1.0)
-        assert {(b"heron",), (b"blue", b"heron"), (b"red", b"heron")} <= kept
-        got = {r.key: r.score for r in suffix_tree_lm.score_texts(df, df.where("doc_id < 150"), depth=depth, least=least, divergence=divergence).collect()}
-        for d, score in enumerate(want):
+    for depth, often, least, divergence in ((2, 4, 2, 2.0), (3, 2, 2, 3.0), (2, 8, 3, 2.0)):
+        kept, _, _, scores = _tree(docs[:150], depth, often, least, divergence, 0.75)
+        if often <= 4:
+            assert {(b"heron",), (b"blue", b"heron"), (b"red", b"heron")} <= kept
+        got = {r.key: r.score for r in suffix_tree_lm.score_texts(
+            df, F.col("doc_id") < 150, depth=depth, often=often, least=least, divergence=divergence).collect()}
+        for d, score in enumerate(scores(docs)):
             assert math.isclose(got[d], score, rel_tol=1e-9, abs_tol=1e-9), (depth, d)
 
 
+def test_language_model_of_distant_equal_and_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK_BYTES", 200)
+    rows = [(k, "the same words in a row again and again") for k in (-(1 << 63), (1 << 63) - 1, None, None, 5, 5)] * 3
+    out = suffix_tree_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).collect()
+    assert len(out) == len(rows) and len({r.score for r in out}) == 1
+    assert sorted(str(r.key) for r in out) == sorted(str(k) for k, _ in rows)
+
+
+def test_language_model_messages():
+    rng = np.random.default_rng(3)
+    for keys in (np.array([7], np.uint64), np.array([0, 1, 1 << 63], np.uint64), np.unique(rng.integers(0, 1 << 64, 5000, np.uint64))):
+        assert (suffix_tree_lm._unpacked_keys(suffix_tree_lm._packed_keys(keys)) == keys).all()
+        assert (suffix_tree_lm._unpacked(suffix_tree_lm._packed(keys)) == keys).all()
+
+
 def test_sequence_keys_equal_spark(spark):
     values = np.array([0, 1, 2, -1, 1 << 62, -(1 << 63), 987654321987654321], np.int64)
     rows = [(int(a), int(b)) for a in values for b in values]
@@ -312,9 +330,10 @@ def test_sequence_keys_equal_spark(spark):
 
 
 def test_language_model_of_odd_rows(odd_documents):
-    out = suffix_tree_lm.score_texts(odd_documents, odd_documents.where("doc_id < 3")).collect()
+    out = suffix_tree_lm.score_texts(odd_documents, F.col("doc_id") < 3).collect()
     assert len(out) == odd_documents.count() and all(r.n_tokens >= 1 and r.score < 0 for r in out)
-    assert all(r.train_tokens == 0 for r in suffix_tree_lm.score_texts(odd_documents, odd_documents.limit(0)).collect())
+    assert all(r.train_tokens == 0 for r in suffix_tree_lm.score_texts(odd_documents, F.lit(False)).collect())
+    assert suffix_tree_lm.score_texts(odd_documents.limit(0), F.lit(True)).count() == 0
 
 
 def test_digest_of_edited_text(documents):

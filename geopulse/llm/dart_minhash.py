@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, distinct, mix, seeds, text_slices, word_spans, written
+from geopulse.llm.common import LOWER, SpanHash, discard, distinct, mix, seeds, text_slices, word_spans, written
 
 RUN_WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^25 > 0.9999.
@@ -221,19 +221,23 @@ def components(labels: DataFrame, edges: DataFrame) -> DataFrame:
              .join(labels.withColumnsRenamed({"node": "b", "label": "v"}), "b").where("u != v").select("u", "v"))
     links = written(links.union(links.select("v", "u")).distinct(), "near-links")
     if links.isEmpty():
+        discard(links)
         return labels
-    now = written(links.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")), "near-roots")
+    held = now = written(links.select(F.col("u").alias("node")).distinct().withColumn("label", F.col("node")), "near-roots")
     while True:
         least = (links.join(now.withColumnsRenamed({"node": "v", "label": "near"}), "v").groupBy("u").agg(F.min("near").alias("near")))
         step = now.join(least.withColumnRenamed("u", "node"), "node", "left").select(
             "node", "label", F.least("label", "near").alias("next"))
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("further"))
         step = written(step.join(jump, "next", "left").select("node", "label", F.least("next", "further").alias("next")), "near-step")
-        now = step.select("node", F.col("next").alias("label"))
+        discard(held)
+        held, now = step, step.select("node", F.col("next").alias("label"))
         if step.where("next != label").isEmpty():
             break
     roots = now.select(F.col("label").alias("root"), F.col("node").alias("label"))
-    return written(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
+    renamed = written(labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "near-labels")
+    discard(links, held, labels)
+    return renamed
 
 
 def _bin(size) -> F.Column:
@@ -262,7 +266,9 @@ def rare_pairs(elements: DataFrame, nodes: DataFrame, least: float) -> DataFrame
     partners = entries.drop("open").select("run", *(F.col(k).alias(v) for k, v in names.items()))
     pairs = entries.where("open").join(partners, ["run", "own", "other"]).where(
         "label != p_label and size <= p_most and p_size <= most")
-    return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    pairs = written(pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct(), "near-pairs")
+    discard(shared, entries)
+    return pairs
 
 
 def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -270,7 +276,10 @@ def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = members.join(labels, "node")
     buckets = (labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                               F.max(F.struct("mass", "node", "label")).alias("top")).where("low != high"))
-    return written(labelled.join(written(buckets.select("bucket", "top"), "near-open"), "bucket"), "near-alive")
+    buckets = written(buckets.select("bucket", "top"), "near-open")
+    alive = written(labelled.join(buckets, "bucket"), "near-alive")
+    discard(buckets)
+    return alive
 
 
 #: Pivot rounds go on while they link this share of the pairs they compare.
@@ -285,26 +294,36 @@ def linked_texts(members: DataFrame, texts: DataFrame, least: float, weighted: b
     """
     sets = written(run_sets(texts, weighted).dropDuplicates(["node"]), "near-sets")
     labels = written(members.select("node").distinct().withColumn("label", F.col("node")), "near-labels")
-    left = members
+    left, held = members, []
     while True:
         alive = _open_members(left, labels)
+        discard(*held)
+        held = [alive]
         met = (alive.where("node != top.node and label != top.label")
                .select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct())
         pairs = written(met, "near-pairs")
         compared = pairs.count()
+        left = alive.where("node != top.node").select("bucket", "node", "mass")
         if not compared:
             break
         edges = written(_verified(pairs, sets, least), "near-edges")
         linked = edges.count()
         labels = components(labels, edges)
-        left = alive.where("node != top.node").select("bucket", "node", "mass")
+        discard(pairs, edges)
         if linked < _WORTH * compared:
             break
-    alive = _open_members(members, labels)
+    # buckets that still hold more than one label beside their pivots
+    alive = _open_members(left, labels)
+    discard(*held)
     nodes = written(alive.groupBy("node", "label").agg(F.max(F.col("label") != F.col("top.label")).alias("open")), "near-nodes")
     elements = element_rows(texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), weighted)
-    pairs = written(rare_pairs(elements, nodes, least), "near-pairs")
-    return components(labels, written(_verified(pairs, sets, least), "near-edges"))
+    discard(alive)
+    pairs = rare_pairs(elements, nodes, least)
+    edges = written(_verified(pairs, sets, least), "near-edges")
+    discard(pairs, nodes, sets)
+    labels = components(labels, edges)
+    discard(edges)
+    return labels
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY, weighted: bool = True) -> DataFrame:
@@ -319,6 +338,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", leas
     shared = written(buckets.join(sizes, "bucket"), "near-buckets")
     mass = shared.groupBy("node").agg(F.sum("size").alias("mass"))
     members = written(shared.select("bucket", "node").join(mass, "node"), "near-members")
+    discard(shared)
     wanted = members.select("node").distinct().join(classes.select("node", "text_class"), "node")
     texts = rows.join(wanted, (rows["node"] == wanted["node"]) & rows["key"].eqNullSafe(wanted["text_class"])).select(rows["node"], "text")
     labels = linked_texts(members, texts, least, weighted)

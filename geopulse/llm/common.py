@@ -67,6 +67,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def quoted(name: str) -> str:
+    """A column name as :func:`F.col` takes it, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

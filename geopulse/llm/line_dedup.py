@@ -30,7 +30,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import written
+from geopulse.llm.common import quoted, written
 
 LEAST_CHARS, LEAST_DOCUMENTS = 20, 3
 _SPACE = " \t\n\x0b\x0c\r"
@@ -73,9 +73,9 @@ def common_lines(lines: DataFrame, least_documents: int) -> DataFrame:
 def drop_common_lines(df: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS,
                       least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
     """``df`` with the remaining ``text``, and ``n_lines`` (before) and ``n_dropped``."""
-    kept = [F.col(f"row.{_quoted(c)}").alias(c) for c in df.columns if c not in (text, "n_lines", "n_dropped")]
+    kept = [F.col(f"row.{quoted(c)}").alias(c) for c in df.columns if c not in (text, "n_lines", "n_dropped")]
     # one struct holds the caller's columns, so that no name of this operator can clash with them
-    rows = df.select(F.col(_quoted(key)).alias("id"), F.col(_quoted(text)).cast("string").alias("text"), F.struct("*").alias("row"))
+    rows = df.select(F.col(quoted(key)).alias("id"), F.col(quoted(text)).cast("string").alias("text"), F.struct("*").alias("row"))
     lines = written(_lines(rows.select("id", "text"), least_chars), "line-hashes")
     # written, so that the join shuffles both sides and Spark can split a common line's rows
     common = written(common_lines(lines, least_documents), "line-common")
@@ -92,7 +92,3 @@ def drop_common_lines(df: DataFrame, key: str = "doc_id", text: str = "text", le
     return joined.withColumn("parts", parts).select(
         *kept, left.alias(text), F.size("parts").cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

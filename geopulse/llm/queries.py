@@ -37,7 +37,8 @@ def op3_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_merge.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return out.select("doc_id", (F.length("kept_bytes") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
-                      F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"))
+                      F.size("removed_spans").cast("long").alias("n_spans"), F.sha2("kept_bytes", 256).alias("kept_sha256"),
+                      (removed > 0).alias("repeats"))
 
 
 def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,25 +8,28 @@ so a repeated string is found where its anchor's suffixes meet:
 
 1. Anchors are counted by a hash of the bytes that every string with this anchor
    shares; anchors that occur once are done.
-2. Of anchors with equal surroundings (all strings that can hold them) one stays;
-   if it stood for several, all its strings are repeated.
-3. The suffixes of the remaining different surroundings are sorted in runs by
+2. Anchors with equal surroundings (all strings that can hold them) become one entry
+   with a count.  A class of one such entry needs no order: all its strings are repeated.
+3. The suffixes of the other classes' entries are sorted in runs by
    the tasks that read the texts, front-coded (length shared with the suffix
-   before, and the rest), exchanged by hash, and merged by a loser tree that
+   before, and the rest), exchanged by class, and merged by a loser tree that
    keeps, for each loser, the length it shares with the winner, and never looks
    at those bytes again.  The merge yields the sorted suffixes and the length
    each shares with its neighbour.
-4. A string at a given distance before the anchor is repeated if two suffixes
-   share what it has after the anchor (a run of the merged order) and what it
-   has before (a run of the order of the reversed prefixes).
+4. A string at a given distance before the anchor is repeated if entries of two
+   anchors or more share what it has after the anchor (a run of the merged order) and
+   what it has before (a run of the order of the reversed prefixes).
 
-A class of surroundings too large for one task is counted string by string with
-an aggregation instead, which gives the same result.
+A class too large for one task is divided by its strings, down to single ones, and
+these are counted by an aggregation: the same result, from the same class.
+
+Rows are told apart by a 128-bit digest of their key and text, so rows without keys or
+with equal ones are.
 
 Matches never cross rows.  Defined results: null texts are empty; texts shorter
 than ``length`` keep all; repeated rows are copies of each other; an empty table
-gives an empty one; other columns pass through, columns named like results are
-replaced.
+gives an empty one; other columns pass through whatever their names, columns named
+like results are replaced.
 """
 
 from __future__ import annotations
@@ -35,10 +38,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import SpanHash, text_slices, written
+from geopulse.llm.common import SpanHash, discard, distinct, quoted, text_slices, written
 
 LENGTH, WINDOW = 400, 200
 _GRAM = 16
@@ -62,21 +65,25 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int, window: int) -> t
         width *= 2
     if width < window:
         least = np.minimum(least[:len(least) - (window - width)], least[window - width:])
-    at = np.unique((least[np.concatenate(starts)] & low).astype(np.int64))
+    at = distinct((least[np.concatenate(starts)] & low).astype(np.int64))[0]
     return at, np.searchsorted(bounds, at, "right") - 1
 
 
-_ROW = "key string, tag int"
-_ANCHOR = f"{_ROW}, at int, before int, after int, shared long, whole long"
+_ANCHOR = "id binary, at int, before int, after int, shared long, whole long"
+
+
+def _row_id(key: Column, text: Column) -> Column:
+    """128 bits of a row's key (null or not) and text."""
+    return F.unhex(F.md5(F.concat_ws(":", key.isNull().cast("string"), F.octet_length(key).cast("string"), key, text).cast("binary")))
 
 
 def _identified(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    return df.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.hash(body).alias("tag"), body.alias("text"))
+    return df.select(_row_id(F.col(key).cast("string"), body).alias("id"), body.alias("text"))
 
 
 def find_anchors(rows: DataFrame, length: int, window: int) -> DataFrame:
-    """Anchors of (key, tag, text) with the bytes of their surroundings before and after them,
+    """Anchors of (id, text) with the bytes of their surroundings before and after them,
     a hash of the bytes shared by all strings with the anchor, and one of the surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +97,7 @@ def find_anchors(rows: DataFrame, length: int, window: int) -> DataFrame:
             whole = SpanHash(data, 47).of(at - before, at + after) + before.astype(np.uint64)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(1).take(take), pa.array((at - bounds[row]).astype(np.int32)),
+                [part.column(0).take(take), pa.array((at - bounds[row]).astype(np.int32)),
                  pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))],
                 names=[x.split()[0] for x in _ANCHOR.split(", ")])
 
@@ -171,9 +178,10 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[int,
             node //= 2
 
 
-def repeated_distances(suffixes: list[tuple[bytes, int]], prefixes: list[bytes], length: int, window: int) -> list[list[tuple[int, int]]]:
-    """For merged (suffix, shared length) and the prefixes before them: the spans around
-    each anchor, relative to it, that are covered by strings found twice."""
+def repeated_distances(suffixes: list[tuple[bytes, int]], prefixes: list[bytes], length: int, window: int,
+                       counts: list[int] | None = None) -> list[list[tuple[int, int]]]:
+    """For merged (suffix, shared length), the prefixes before them and the number of anchors each
+    stands for: the spans around the anchors, relative to them, that are covered by strings found twice."""
     n = len(suffixes)
     after = np.array([len(s) for s, _ in suffixes])
     shared = np.array([x for _, x in suffixes])
@@ -184,15 +192,19 @@ def repeated_distances(suffixes: list[tuple[bytes, int]], prefixes: list[bytes],
     shared_back = np.array([0] + [common_length(turned[a], turned[b], 0) for a, b in zip(order, order[1:])])
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
+    weight = np.ones(n, np.int64) if counts is None else np.array(counts)
     repeated = np.zeros((n, window), bool)
     for distance in range(window):
         able = np.flatnonzero((after >= length - distance) & (before >= distance))
-        if len(able) < 2:
+        if not len(able):
             continue
         forward = np.cumsum(shared < length - distance)
         back = np.cumsum(shared_back < distance)[rank]
-        _, which, count = np.unique(forward[able] * np.int64(n + 1) + back[able], return_inverse=True, return_counts=True)
-        repeated[able, distance] = count[which] > 1
+        pair = forward[able] * np.int64(n + 1) + back[able]
+        by_pair = np.argsort(pair)
+        first = np.flatnonzero(np.concatenate([[True], np.diff(pair[by_pair]) > 0]))
+        count = np.add.reduceat(weight[able[by_pair]], first)
+        repeated[able[by_pair], distance] = np.repeat(count, np.diff(np.append(first, len(able)))) > 1
     return [_spans(r, length) for r in repeated]
 
 
@@ -205,8 +217,8 @@ _FOUND = "shared long, whole long, spans array<struct<lo:int,hi:int>>"
 
 
 def _surroundings(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(shared, whole, bucket, before, bytes) of the wanted anchors, read from their texts."""
-    anchors_of = wanted.groupBy("key", "tag").agg(F.collect_set(F.struct("shared", "whole", "bucket", "at", "before", "after")).alias("anchors"))
+    """(shared, whole, bucket, before, n, bytes) of the wanted anchors, read from their texts."""
+    anchors_of = wanted.groupBy("id").agg(F.collect_set(F.struct("shared", "whole", "bucket", "at", "before", "after", "n")).alias("anchors"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,33 +226,34 @@ def _surroundings(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 raw = text.as_py()
                 part = pa.RecordBatch.from_struct_array(found.values)
                 pieces = [raw[a - b:a + c] for a, b, c in zip(*(part.column(i).to_pylist() for i in (3, 4, 5)), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(4), pa.array(pieces, pa.binary())],
-                                                 names=["shared", "whole", "bucket", "before", "bytes"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(4), part.column(6), pa.array(pieces, pa.binary())],
+                                                 names=["shared", "whole", "bucket", "before", "n", "bytes"])
 
-    return rows.join(anchors_of, ["key", "tag"]).select("text", "anchors").mapInArrow(
-        run, "shared long, whole long, bucket int, before int, bytes binary")
+    # rows with equal ids are equal: any one of them has the bytes
+    return rows.join(anchors_of, "id").dropDuplicates(["id"]).select("text", "anchors").mapInArrow(
+        run, "shared long, whole long, bucket int, before int, n long, bytes binary")
 
 
 def _runs(surroundings: DataFrame) -> DataFrame:
     """Front-coded sorted runs, one for each bucket and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[bytes, bytes, int, int]]] = {}
+        held: dict[int, list[tuple[bytes, bytes, int, int, int]]] = {}
         size = 0
 
         def passed_on() -> Iterator[pa.RecordBatch]:
             for bucket, own in held.items():
                 own.sort()
-                shared, rests = front_coded([s for s, _, _, _ in own])
+                shared, rests = front_coded([s for s, *_ in own])
                 yield pa.RecordBatch.from_pydict({
                     "bucket": pa.array([bucket], pa.int32()), "lengths": pa.array([shared], pa.list_(pa.int32())),
-                    "rests": pa.array([rests], pa.list_(pa.binary())), "prefixes": pa.array([[p for _, p, _, _ in own]], pa.list_(pa.binary())),
-                    "shared": pa.array([[a for _, _, a, _ in own]], pa.list_(pa.int64())), "whole": pa.array([[b for _, _, _, b in own]], pa.list_(pa.int64()))})
+                    "rests": pa.array([rests], pa.list_(pa.binary())), "prefixes": pa.array([[p for _, p, *_ in own]], pa.list_(pa.binary())),
+                    **{name: pa.array([[x[i] for x in own]], pa.list_(pa.int64())) for i, name in ((2, "shared"), (3, "whole"), (4, "n"))}})
             held.clear()
 
         for batch in batches:
-            for a, b, bucket, before, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault(bucket, []).append((raw[before:], raw[:before], a, b))
+            for a, b, bucket, before, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.setdefault(bucket, []).append((raw[before:], raw[:before], a, b, n))
                 size += len(raw)
             if size >= MERGE_BYTES:
                 yield from passed_on()
@@ -248,7 +261,7 @@ def _runs(surroundings: DataFrame) -> DataFrame:
         yield from passed_on()
 
     return surroundings.mapInArrow(run, "bucket int, lengths array<int>, rests array<binary>, prefixes array<binary>, "
-                                        "shared array<long>, whole array<long>")
+                                        "shared array<long>, whole array<long>, n array<long>")
 
 
 def _merged(runs: DataFrame, length: int, window: int) -> DataFrame:
@@ -257,7 +270,8 @@ def _merged(runs: DataFrame, length: int, window: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         merged = [(r, i, s, n) for r, i, s, n in merge_runs([(x["lengths"], x["rests"]) for x in rows])]
-        spans = repeated_distances([(s, n) for _, _, s, n in merged], [rows[r]["prefixes"][i] for r, i, _, _ in merged], length, window)
+        spans = repeated_distances([(s, n) for _, _, s, n in merged], [rows[r]["prefixes"][i] for r, i, _, _ in merged], length, window,
+                                   [rows[r]["n"][i] for r, i, _, _ in merged])
         kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
         found = [([{"lo": a, "hi": b} for a, b in x], rows[r]["shared"][i], rows[r]["whole"][i])
                  for x, (r, i, _, _) in zip(spans, merged, strict=True) if x]
@@ -271,7 +285,7 @@ def _counted(surroundings: DataFrame, length: int, window: int) -> DataFrame:
     """As :func:`_merged`, from counts of every string's hashes: for classes of any size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in text_slices((b.set_column(4, "bytes", b.column(4).cast(pa.large_binary()).view(pa.large_string())) for b in batches), "bytes", 1 << 18):
+        for part, data, bounds in text_slices((b.set_column(5, "bytes", b.column(5).cast(pa.large_binary()).view(pa.large_string())) for b in batches), "bytes", 1 << 18):
             before = part.column(3).to_numpy()
             strings = np.maximum(np.diff(bounds) - length + 1, 0)
             row = np.repeat(np.arange(len(strings)), strings)
@@ -281,43 +295,46 @@ def _counted(surroundings: DataFrame, length: int, window: int) -> DataFrame:
             start, row, distance = start[ok], row[ok], distance[ok]
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(1).take(take), pa.array(distance),
+                [part.column(0).take(take), part.column(1).take(take), part.column(4).take(take), pa.array(distance),
                  pa.array(SpanHash(data, 53).of(start, start + length).view(np.int64)), pa.array(SpanHash(data, 59).of(start, start + length).view(np.int64))],
-                names=["shared", "whole", "distance", "one", "two"])
+                names=["shared", "whole", "n", "distance", "one", "two"])
 
-    strings = surroundings.mapInArrow(run, "shared long, whole long, distance int, one long, two long")
+    strings = surroundings.mapInArrow(run, "shared long, whole long, n long, distance int, one long, two long")
     keys = ["shared", "distance", "one", "two"]
-    # the strings of one class and distance: of each more than one surroundings has, all are covered
-    twice = strings.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    # the strings of one class and distance: of each that more than one anchor has, all are covered
+    twice = written(strings.groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 1").drop("n"), "repeats-twice")
     covered = F.collect_set(F.struct((-F.col("distance")).alias("lo"), (F.lit(length) - F.col("distance")).alias("hi")))
     return strings.join(twice, keys, "left_semi").groupBy("shared", "whole").agg(covered.alias("spans"))
 
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, window: int = WINDOW,
                    merge_bytes: int = MERGE_BYTES) -> DataFrame:
-    """(key, tag, spans): covered byte spans of the rows that have some, not yet united."""
+    """(id, spans): covered byte spans of the rows that have some, not yet united; ``id`` as in :func:`_row_id`."""
     rows = _identified(df, key, text)
     found = find_anchors(rows, length, window)
-    often = found.groupBy("shared").agg(F.count("*").alias("n")).where("n > 1").select("shared")
+    # tables are written before a join on a hash that can be frequent: so both sides are shuffled for it,
+    # and Spark can split the rows of one hash
+    often = written(found.groupBy("shared").agg(F.count("*").alias("n")).where("n > 1").select("shared"), "repeats-often")
     repeated = written(found.join(often, "shared"), "repeats-anchors")
-    place = F.struct("key", "tag", "at", "before", "after")
-    different = written(repeated.groupBy("shared", "whole").agg(F.count("*").alias("n"), F.min(place).alias("place")), "repeats-different")
-    classes = different.groupBy("shared").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    total = different.join(classes, "shared").agg(F.count("*")).first()[0]
+    place = F.struct("id", "at", "before", "after")
+    entries = written(repeated.groupBy("shared", "whole").agg(F.count("*").alias("n"), F.min(place).alias("place")), "repeats-entries")
+    classes = written(entries.groupBy("shared").agg(F.count("*").alias("kinds")), "repeats-classes")
+    mixed = entries.join(classes.where("kinds > 1"), "shared")
+    total = mixed.agg(F.count("*")).first()[0]
     buckets = max(1, -(-total * (length + window) // merge_bytes))
-    wanted = different.join(classes, "shared").select(
-        "shared", "whole", F.pmod(F.hash("shared"), F.lit(buckets)).alias("bucket"), "place.*",
+    wanted = mixed.select(
+        "shared", "whole", F.pmod(F.hash("shared"), F.lit(buckets)).alias("bucket"), "place.*", "n",
         (F.col("kinds") * (length + window) > 4 * merge_bytes).alias("large"))
-    around = _surroundings(rows, wanted.where("not large"))
-    spans = _merged(_runs(around), length, window)
+    spans = _merged(_runs(_surroundings(rows, wanted.where("not large"))), length, window)
     if not classes.where(F.col("kinds") * (length + window) > 4 * merge_bytes).isEmpty():
         spans = spans.union(_counted(_surroundings(rows, wanted.where("large")), length, window))
-    alone = written(spans, "repeats-spans")
-    whole = different.where("n > 1").select("shared", "whole", F.array(F.struct((-F.col("place.before")).alias("lo"), F.col("place.after").alias("hi"))).alias("spans"))
-    each = alone.join(whole, ["shared", "whole"], "left_anti").union(whole)
+    whole = entries.join(classes.where("kinds = 1"), "shared").select(
+        "shared", "whole", F.array(F.struct((-F.col("place.before")).alias("lo"), F.col("place.after").alias("hi"))).alias("spans"))
+    each = written(spans.unionByName(whole), "repeats-spans")
+    discard(often, entries, classes)
     shifted = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("at")).alias("lo"), (s["hi"] + F.col("at")).alias("hi")))
-    return (repeated.join(each, ["shared", "whole"]).select("key", "tag", F.explode(shifted).alias("span"))
-            .groupBy("key", "tag").agg(F.collect_set("span").alias("spans")))
+    return (repeated.join(each, ["shared", "whole"]).select("id", F.explode(shifted).alias("span"))
+            .groupBy("id").agg(F.collect_set("span").alias("spans")))
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -338,30 +355,28 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    spans = repeated_spans(df, key, text, length, window, merge_bytes).select(
-        F.col("key").alias("__key"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans"))
+    spans = written(repeated_spans(df, key, text, length, window, merge_bytes), "repeats-of-rows")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    plain = df.drop("kept_bytes", "removed_spans").withColumn(text, body)
-    joined = plain.join(spans, (F.coalesce(F.col(key).cast("string"), F.lit("")) == F.col("__key")) & (F.hash(F.col(text)) == F.col("__tag")),
-                        "left").drop("__key", "__tag")
-    kept = [f for f in plain.schema.fields if f.name != text]
+    kept = [f for f in df.schema.fields if f.name not in (text, "kept_bytes", "removed_spans")]
+    # the caller's columns travel as a struct, so that no name can clash with those used here
+    rows = df.select(F.struct(*(F.col(quoted(f.name)) for f in kept), F.lit(0).alias("kept_bytes")).alias("row"),
+                     body.alias("text"), _row_id(F.col(key).cast("string"), body).alias("id"))
+    joined = rows.join(spans, "id", "left").select("row", "text", "spans")
     result = StructType.fromDDL("kept_bytes binary, removed_spans array<struct<start:int,end:int>>")
-    schema = StructType(kept + result.fields)
+    schema = StructType([joined.schema["row"], *result.fields])
     kinds = {f.name: f.type for f in to_arrow_schema(result)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                column = lambda n: batch.column(batch.schema.get_field_index(n))  # noqa: E731, B023
                 left, removed = [], []
-                for raw, found in zip(column(text).cast(pa.binary()).to_pylist(), column("__spans").to_pylist(), strict=True):
+                for raw, found in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                     runs = united([(s["lo"], s["hi"]) for s in found or []])
                     edges = [0, *(x for r in runs for x in r), len(raw)]
                     left.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     removed.append([{"start": a, "end": b} for a, b in runs])
-                names = [f.name for f in kept]
-                yield pa.RecordBatch.from_arrays([*(column(n) for n in names), pa.array(left, kinds["kept_bytes"]), pa.array(removed, kinds["removed_spans"])],
-                                                 names=[*names, "kept_bytes", "removed_spans"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, kinds["kept_bytes"]), pa.array(removed, kinds["removed_spans"])],
+                                                 names=["row", "kept_bytes", "removed_spans"])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).select(*(F.col("row").getField(f.name).alias(f.name) for f in kept), "kept_bytes", "removed_spans")

@@ -163,6 +163,25 @@ def test_merge_never_loses_order():
         assert shared == suffix_merge.common_length(a, b, 0)
 
 
+def test_rows_without_keys_or_with_equal_ones_stay_apart(spark):
+    """Unique texts beside copies under the same key (none, or one): only the copies go."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    unique = [" ".join(word() for _ in range(20)) for _ in range(6)]
+    copy = " ".join(word() for _ in range(20))
+    for key in (None, 7):
+        rows = [(key, t, 1, "x", 2.0) for t in [*unique, copy, copy]]
+        df = spark.createDataFrame(rows, "doc_id long, text string, id int, row string, `spans.a` double")
+        out = suffix_merge.remove_repeats(df, length=40, window=16).collect()
+        assert sorted(r.kept_bytes.decode() for r in out) == sorted([*unique, "", ""])
+        assert all(r.id == 1 and r.row == "x" and r["spans.a"] == 2.0 for r in out)
+
+
+def test_row_ids_tell_null_from_text(spark):
+    df = spark.createDataFrame([(None, "a"), ("", "a"), ("null", "a"), ("1", "2:a"), ("12", ":a")], "k string, t string")
+    assert df.select(suffix_merge._row_id(F.col("k"), F.col("t")).alias("id")).distinct().count() == 5
+
+
 def test_repeats_of_odd_rows(odd_documents):
     out = {r.doc_id: r for r in suffix_merge.remove_repeats(odd_documents).collect()}
     assert out[5].kept_bytes == b"" and out[9].kept_bytes == b""  # a period repeats itself

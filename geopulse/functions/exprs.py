@@ -132,10 +132,11 @@ def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
     once, and whole-stage codegen fuses them.  Same ids as ``hex_cell``."""
     e = hex_edge(resolution)
     c = F.col
-    x, y = (F.when(usable_position(lat, lon), c(v)) for v in (lon, lat))
-    staged = df.withColumns({
-        "_hq": (F.lit(HEX_SQRT3_OVER_3) * (x * HEX_KX) - (y * HEX_KY) / 3.0) / e,
-        "_hr": (F.lit(2.0) * (y * HEX_KY) / 3.0) / e,
+    # the range test is made once: an unusable position has no y, and so no cell
+    staged = df.withColumn("_hy", F.when(usable_position(lat, lon), c(lat) * HEX_KY))
+    staged = staged.withColumns({
+        "_hq": (F.lit(HEX_SQRT3_OVER_3) * (c(lon) * HEX_KX) - c("_hy") / 3.0) / e,
+        "_hr": (F.lit(2.0) * c("_hy") / 3.0) / e,
     }).withColumn("_hs", -c("_hq") - c("_hr"))
     staged = staged.withColumns({f"_r{k}": F.floor(c(f"_h{k}") + 0.5) for k in "qrs"})
     staged = staged.withColumns({f"_d{k}": F.abs(c(f"_r{k}") - c(f"_h{k}")) for k in "qrs"})
@@ -143,8 +144,8 @@ def with_hex_cell(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
     r_fix = ~q_fix & (c("_dr") > c("_ds"))
     qi = F.when(q_fix, -c("_rr") - c("_rs")).otherwise(c("_rq")).cast("bigint")
     ri = F.when(r_fix, -c("_rq") - c("_rs")).otherwise(c("_rr")).cast("bigint")
-    cell = F.when(usable_position(lat, lon), F.concat(F.lit("hx_"), qi.cast("string"), F.lit("_"), ri.cast("string")))
-    temps = [f"_{a}{k}" for a in "hrd" for k in "qrs"]
+    cell = F.concat(F.lit("hx_"), qi.cast("string"), F.lit("_"), ri.cast("string"))
+    temps = ["_hy", *(f"_{a}{k}" for a in "hrd" for k in "qrs")]
     return staged.withColumn(out, cell).drop(*temps)
 
 

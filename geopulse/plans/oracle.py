@@ -8,20 +8,15 @@ formulations the Spark operators are checked against.
 
 from __future__ import annotations
 
-from ..schema import HEX_RESOLUTION
 from ..sources.events import (
     CENTER_LAT, CENTER_LON, DURATION_SCALE, NEGATIVE_SPEED_EVERY, TIME_COMPRESSION,
 )
 from ..sources.wire import UNUSABLE_MESSAGES
-from .sqltext import (
-    dbl, hex_sql,
-)
+from .sqltext import dbl
 
-D = "duckdb"
 ORIGIN_US = 1704067200000000  # 2024-01-01 00:00:00 UTC in microseconds
 
-# The formulas below are written for DuckDB on their own, not shared with the Spark side
-# (but for the zone id, whose grid is this library's own definition).
+# The formulas below are written for DuckDB on their own, not shared with the Spark side.
 
 def _mean(column: str) -> str:
     """Two-digit mean of a column of two-digit numbers, ties away from zero, in integers."""
@@ -49,6 +44,8 @@ _ANOMALY = ("CASE WHEN speed_kmh < 0 THEN 'NEGATIVE_SPEED' WHEN speed_kmh > 120
 _CATEGORY = ("CAST(CASE WHEN trip_duration_secs = 0 THEN 0 WHEN trip_duration_secs < 300 THEN 1 "
              "WHEN trip_duration_secs < 900 THEN 2 WHEN trip_duration_secs >= 900 THEN 3 END AS BIGINT)")
 
+PING_COLS = "ping_id, driver_id, latitude, longitude, status, speed_kmh, trip_duration_secs, event_time, ts_str, trip_distance_km"
+
 PINGS_CTE = f"""
 pings AS (
     SELECT event_id AS ping_id,
@@ -63,15 +60,23 @@ pings AS (
            abs(value) * (CAST(json_extract(props, '$.k') AS INTEGER) * {DURATION_SCALE}) / 3600e0 AS trip_distance_km
     FROM events
 ),
+axial AS (  -- fractional axial coordinates in edges of a hexagon of 105,332.513 m2, around latitude 28.6139
+    SELECT *, (sqrt(3) * metres_x - metres_y) / (3 * edge) AS q, 2 * metres_y / (3 * edge) AS r
+    FROM (SELECT *, longitude * 6371000 * radians(1) * cos(radians(28.6139e0)) AS metres_x, latitude * 6371000 * radians(1) AS metres_y,
+                 sqrt(105332.513e0 * 2 / (3 * sqrt(3))) AS edge
+          FROM pings)
+),
 enriched AS (
-    SELECT *,
-           {hex_sql('latitude', 'longitude', D, HEX_RESOLUTION)} AS h3_cell,
+    SELECT {PING_COLS},
+           -- the nearest centre: round both, then move the one that was rounded further by what is left over
+           CASE WHEN latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180 THEN 'hx_'
+                || CAST(round(q) + CASE WHEN abs(q - round(q)) >= abs(r - round(r)) THEN round(q - round(q) + (r - round(r)) / 2) ELSE 0 END AS BIGINT) || '_'
+                || CAST(round(r) + CASE WHEN abs(q - round(q)) < abs(r - round(r)) THEN round(r - round(r) + (q - round(q)) / 2) ELSE 0 END AS BIGINT) END AS h3_cell,
            {_ANOMALY} AS anomaly_type,
            {_CATEGORY} AS trip_category
-    FROM pings
+    FROM axial
 )"""
 
-PING_COLS = "ping_id, driver_id, latitude, longitude, status, speed_kmh, trip_duration_secs, event_time, ts_str, trip_distance_km"
 ENRICHED_COLS = PING_COLS + ", h3_cell, anomaly_type, trip_category"
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import HEX_RESOLUTION
 from .sqltext import (
-    anomaly_sql, exact_mean_sql, exact_speed_sql, finite_speed_sql, exact_percent_sql, hex_sql, trip_category_sql,
+    anomaly_sql, exact_mean_sql, exact_speed_sql, finite_speed_sql, exact_percent_sql, hex_lateral, hex_sql, trip_category_sql,
 )
 
 
@@ -22,7 +22,7 @@ def register_functions(spark: SparkSession) -> None:
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION hex_index(lat DOUBLE, lon DOUBLE, "
         f"resolution INT DEFAULT {HEX_RESOLUTION}) RETURNS STRING "
-        f"RETURN {hex_sql('lat', 'lon', 'spark', 'resolution')}")
+        f"RETURN {hex_sql('lat', 'lon', 'resolution')}")
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION detect_anomaly(speed_kmh DOUBLE, status STRING) "
         f"RETURNS STRING RETURN {anomaly_sql('speed_kmh', 'status')}")
@@ -32,20 +32,22 @@ def register_functions(spark: SparkSession) -> None:
 
 
 def enriched_view_sql(source_view: str) -> str:
+    """The enriched relation over a view; the zone is written as LATERAL stages, which Spark keeps
+    as projections (inside ``hex_index`` it would repeat the intermediates)."""
     return f"""
         SELECT ping_id, driver_id, latitude, longitude, status, speed_kmh,
                trip_duration_secs, event_time,
-               hex_index(latitude, longitude, {HEX_RESOLUTION}) AS h3_cell,
+               hex_cell AS h3_cell,
                detect_anomaly(speed_kmh, status) AS anomaly_type,
                trip_duration_category(trip_duration_secs) AS trip_category
-        FROM {source_view}"""
+        FROM {source_view}, {hex_lateral('latitude', 'longitude', HEX_RESOLUTION)}"""
 
 
 def zone_occupancy_sql(view: str, size: str = "30 seconds") -> str:
     """W1 as SQL over a view.  The distinct count is written as two levels so
     the same text is valid on a streaming view."""
     mean = exact_mean_sql("sum(s)", "sum(ns)")
-    pct = exact_percent_sql("sum(trips)", "sum(n)", "spark")
+    pct = exact_percent_sql("sum(trips)", "sum(n)")
     return f"""
         SELECT w.start AS window_start, w.end AS window_end, h3_cell, status,
                sum(n) AS ping_count, count(driver_id) AS unique_drivers,

@@ -35,11 +35,13 @@ def write_lake(df: DataFrame, path: str, records_per_object: int | None = None,
                mode: str = "append") -> None:
     """Write rows as JSON lines under event-time partitions.
 
-    No repartition by the partition columns: that would send one busy hour
-    to one task.  Each task writes its own slice of every hour it holds;
-    ``records_per_object`` (the reference batches 100) bounds file size.
+    The rows are rebalanced by the partition columns: an hour's rows come together, so an
+    hour has as many files as its size needs, not one of every task; a busy hour is split
+    by its size and small ones share a task (adaptive execution's
+    ``advisoryPartitionSizeInBytes``).  ``records_per_object`` (the reference batches
+    100) bounds the records of a file.
     """
-    w = with_partitions(df).write.mode(mode).partitionBy(*PARTITION_COLUMNS).options(**TIME_FORMATS)
+    w = with_partitions(df).hint("rebalance", *PARTITION_COLUMNS).write.mode(mode).partitionBy(*PARTITION_COLUMNS).options(**TIME_FORMATS)
     if records_per_object:
         w = w.option("maxRecordsPerFile", records_per_object)
     w.json(path)

@@ -131,7 +131,7 @@ def encode_mixed(pings: DataFrame) -> DataFrame:
               F.col("latitude"), F.col("longitude"), F.col("status"), F.col("speed_kmh"),
               F.when(k == 1, iso).alias("ts_str"),
               F.when(k == 0, iso).when(k == 2, F.unix_millis(t).cast("string")).alias("timestamp"),
-              F.col("trip_duration_secs"), F.col("trip_distance_km")]
+              F.col("trip_duration_secs"), *(F.col(c) for c in pings.columns if c == "trip_distance_km")]
     return pings.select(F.col("driver_id").alias("key"), F.to_json(F.struct(*fields)).alias("value"),
                         F.col("event_time"))
 

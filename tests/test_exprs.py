@@ -129,9 +129,28 @@ def test_sql_functions_equal_column_functions(spark):
 def test_staged_hex_equals_single_expression(spark):
     from geopulse.plans import batch
     p = batch.pings(spark, "/root/testdata/sf0.01").union(
-        spark.createDataFrame([(-1, "DRV_X", None, 77.2, "available", 1.0, 0, None)], batch.pings(
+        spark.createDataFrame([(-1, "DRV_X", None, 77.2, "available", 1.0, 0, None, None, None)], batch.pings(
             spark, "/root/testdata/sf0.001").schema))
     for res in (9, 7, 11):
         a = p.select("ping_id", X.hex_cell(resolution=res).alias("h"))
         b = X.with_hex_cell(p, resolution=res, out="h").select("ping_id", "h")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sql_forms_of_the_zone_agree_with_the_column_form(spark):
+    from geopulse.plans.sql_surface import enriched_view_sql, register_functions
+    from geopulse.functions.exprs import hex_cell
+    odd = [(28.6, 77.2), (float("nan"), 77.2), (28.6, float("inf")), (float("-inf"), 1.0), (200.0, 1.0), (1e300, 1.0), (1.0, -1e300),
+           (None, 1.0), (1.0, None), (90.0, 180.0), (-90.0, -180.0), (28.61, -77.3)]
+    register_functions(spark)
+    rows = [(i, "d", a, b, "on_trip", 1.0, 5, None) for i, (a, b) in enumerate(odd)]
+    df = spark.createDataFrame(rows, "ping_id int, driver_id string, latitude double, longitude double, status string, speed_kmh double, "
+                                     "trip_duration_secs int, event_time timestamp")
+    df.createOrReplaceTempView("odd_pings")
+    want = {r.ping_id: r.cell for r in df.select("ping_id", hex_cell().alias("cell")).collect()}
+    scalar = {r.ping_id: r.cell for r in spark.sql("SELECT ping_id, hex_index(latitude, longitude) AS cell FROM odd_pings").collect()}
+    staged = {r.ping_id: r.h3_cell for r in spark.sql(enriched_view_sql("odd_pings")).collect()}
+    assert scalar == want == staged
+    assert sum(v is None for v in want.values()) == 8
+    plan = spark.sql(enriched_view_sql("odd_pings"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Project") > 3 and "Join" not in plan  # stages of their own, no join

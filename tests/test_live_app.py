@@ -10,7 +10,6 @@ from geopulse.operators import windows as W
 from geopulse.plans import batch
 from geopulse.plans.live_app import await_all, start_live_app
 from geopulse.session import scratch_dir
-from geopulse.sinks.monitor import DeliveryReport
 from geopulse.sources import files, kafka, wire
 from geopulse.sources.events import read_events
 
@@ -24,18 +23,21 @@ def test_live_app_from_wire_files(spark):
     foreign = read_events(spark, SF).select(F.col("props").alias("value"))
     msgs.unionByName(foreign).write.text(landing)
 
-    report = DeliveryReport()
-    spark.streams.addListener(report)
+    messages = files.read_message_stream(spark, landing)
+    started = start_live_app(spark, messages, base + "/out", trigger={"availableNow": True}, print_zones=True)
+    report = started["_report"]
     try:
-        pings, bad = files.read_wire_stream(spark, landing)
-        started = start_live_app(spark, pings, base + "/out", trigger={"availableNow": True},
-                                 quarantine=bad)
         await_all(started)
     finally:
         time.sleep(1)
         spark.streams.removeListener(report)
 
     good_b, bad_b = files.read_wire_batch(spark, landing)
+    # each message was read and decoded once, however many outputs there are
+    total = msgs.count() + foreign.count()
+    assert report.total("read") == report.total("input_rows", "geopulse_decode") == total
+    assert (report.total("decoded"), report.total("quarantined")) == (good_b.count(), bad_b.count())
+    assert report.total("written", "geopulse_quarantine") == bad_b.count() and len(report.batches) <= 100
     assert spark.read.parquet(base + "/out/quarantine").count() == bad_b.count() == foreign.count()
     # zone windows: stream = batch cut at the final watermark
     cut = good_b.agg(F.max("event_time")).first()[0]
@@ -44,11 +46,13 @@ def test_live_app_from_wire_files(spark):
     expected = W.zone_occupancy(E.enrich(good_b)).filter(F.col("window_end") <= F.lit(wm))
     got = spark.read.parquet(base + "/out/zone_occupancy")
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-    for name in ("anomalies", "trip_sessions", "perf_metrics", "perf_metrics_sliding", "live_state"):
+    for name in ("anomalies", "trip_sessions", "perf_metrics", "perf_metrics_sliding", "live_state", "active_drivers",
+                 "derived_speed", "trip_segments"):
         assert spark.read.parquet(f"{base}/out/{name}").count() > 0, name
     lake_rows = spark.read.text(base + "/out/branches/lake").count()
     assert lake_rows == good_b.count()
-    assert any(b["input_rows"] > 0 for b in report.batches)
+    assert spark.read.parquet(base + "/out/anomalies").where("detected_at is null").count() == 0
+    assert spark.read.parquet(base + "/out/late/rows").count() == 0
 
 
 def test_kafka_options():
@@ -74,7 +78,7 @@ def test_command_line_live_app(spark):
     base = scratch_dir(spark, "t-cli")
     wire.encode_mixed(batch.pings(spark, SF)).select("value").write.text(base + "/landing")
     main(["--files", base + "/landing", "--out", base + "/out", "--available-now",
-          "--outputs", "zone_occupancy,anomalies"])
+          "--outputs", "zone_occupancy,anomalies", "--max-files-per-trigger", "1"])
     assert spark.read.parquet(base + "/out/zone_occupancy").count() > 0
     assert spark.read.parquet(base + "/out/anomalies").count() > 0
     assert spark.read.text(base + "/out/branches/lake").count() == 1000

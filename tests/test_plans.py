@@ -54,6 +54,36 @@ def test_shuffle_counts(spark):
     assert "SortMergeJoin" not in counts["derived_speed"][0]
 
 
+def test_sliding_metrics_read_the_pings_once(spark):
+    df = W.perf_metrics_sliding(E.enrich(_stored_pings(spark)))
+    df.collect()
+    plan = _plan(df)
+    final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_lake_files_follow_the_size_of_an_hour(spark):
+    """As many files as an hour's size needs, not one of each of the 24 tasks: several of a busy hour (and
+    of hours that share its shuffle partition), one of the others."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    e = batch.enriched(spark, SF)
+    busy = e.where(F.hour("event_time") == 2)
+    for _ in range(6):
+        busy = busy.unionByName(busy)
+    rows = e.where(F.hour("event_time") != 2).unionByName(busy).repartition(24)
+    path = scratch_dir(spark, "t-lake-files")
+    spark.conf.set(key, "128k")
+    try:
+        lake.write_lake(rows, path)
+    finally:
+        spark.conf.set(key, before)
+    files = {r[0]: r[1] for r in spark.read.text(path).groupBy(F.regexp_extract(F.input_file_name(), "hour=([0-9]+)", 1))
+             .agg(F.count_distinct(F.input_file_name())).collect()}
+    busy_files = files.pop("02")
+    assert 2 < busy_files < 24 and max(files.values()) <= busy_files and list(files.values()).count(1) >= 2
+
+
 def test_records_per_object(spark):
     path = scratch_dir(spark, "t-lake-objects")
     e = batch.enriched(spark, SF)

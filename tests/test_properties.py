@@ -71,28 +71,22 @@ def test_batch_results_independent_of_input_order(spark, name):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 40),
-                          st.sampled_from(["d", "z"])), min_size=1, max_size=60))
-def test_sliding_distinct_equals_brute_force(spark, seen):
-    """Coverage events + blockwise running sum == distinct values per window
-    counted directly (windows of 6 panes; block edges are covered by the
-    prefix_sum tests)."""
-    from geopulse.operators import windows as Wn
-    rows = [(v if kind == "d" else None, v if kind == "z" else None, p) for v, p, kind in seen]
-    x = spark.createDataFrame(rows, "driver_id string, h3_cell string, _p long")
-    panes = sorted({p for _, _, p in rows})
-    windows = spark.createDataFrame([(w,) for w in sorted({p - i for p in panes for i in range(6)})], "_w long")
-    got = {r["_w"]: (r["active_drivers"] or 0, r["active_zones"] or 0) for r in
-           Wn._sliding_distinct(x, {"driver_id": "active_drivers", "h3_cell": "active_zones"}, 6, windows)
-           .collect()}
-    for w in {r[0] for r in windows.collect()}:
-        inside = [r for r in rows if w <= r[2] <= w + 5]
-        want = (len({r[0] for r in inside if r[0] is not None}), len({r[1] for r in inside if r[1] is not None}))
-        assert got.get(w, (0, 0)) == want, w
-
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 400_000), st.sampled_from(["z", "y", None]),
+                          st.booleans()), min_size=1, max_size=60))
+def test_sliding_metrics_equal_brute_force(spark, seen):
+    """Sums of changes along the windows == counts and distinct values of each window counted directly."""
+    import datetime as dt
 
-def test_prefix_sum_by_group(spark):
     from geopulse.operators import windows as Wn
-    df = spark.createDataFrame([(g, k, 1) for g in ("x", "y") for k in range(0, 30, 2)], "g string, k long, v long")
-    got = {(r.g, r.k): r.s for r in Wn.prefix_sum(df, "k", "v", "s", by=["g"], block=4).collect()}
-    assert got == {(g, k): k // 2 + 1 for g in ("x", "y") for k in range(0, 30, 2)}
+    t0 = dt.datetime(2026, 5, 17)
+    rows = [(d, z, "on_trip" if trip else "available", "NORMAL", t0 + dt.timedelta(milliseconds=ms)) for d, ms, z, trip in seen]
+    x = spark.createDataFrame(rows, "driver_id string, h3_cell string, status string, anomaly_type string, event_time timestamp_ntz")
+    got = {(r.window_start - t0).total_seconds(): (r.total_events, r.active_drivers, r.active_zones, r.trips_count)
+           for r in Wn.perf_metrics_sliding(x).collect()}
+    want = {}
+    for start in range(-60, 410, 10):
+        inside = [r for r in seen if start * 1000 <= r[1] < (start + 60) * 1000]
+        if inside:
+            want[start] = (len(inside), len({d for d, *_ in inside} - {None}), len({z for _, _, z, _ in inside} - {None}),
+                           sum(trip for *_, trip in inside))
+    assert got == want

@@ -54,7 +54,7 @@ def _near(docs):
 def _repeats(docs):
     raws = [(t or "").encode() for _, t in docs]
     return [(d, bytes(b for b, g in zip(raw, gone) if not g).decode(errors="ignore"))
-            for (d, _), raw, gone in zip(docs, raws, _removed(raws, 400))]
+            for (d, _), raw, gone in zip(docs, raws, _removed(raws, P.PASSAGE_BYTES))]
 
 
 def _clean(docs, items):

@@ -83,36 +83,35 @@ def test_keyed_table_takes_batches_in_any_order_and_again(spark):
     assert 0 < alive < table.read(spark).count()  # the others' 60 seconds are over
 
 
-class _FileStore:
-    """A key-value store in a folder: one file for each key, written only by a newer version."""
-
-    def __init__(self, folder):
-        self.folder = folder
-
-    def put_if_newer(self, key, value, ttl_secs, version, batch_id):
-        import json
-        import os
-        path = os.path.join(self.folder, key.replace(":", "_"))
-        if os.path.exists(path):
-            with open(path) as f:
-                if tuple(json.load(f)["version"]) >= version:
-                    return
-        with open(path, "w") as f:
-            json.dump({"key": key, "value": value, "ttl": ttl_secs, "version": version}, f)
-
-    def close(self):
-        pass
-
-
 def test_external_store_gets_versioned_records(spark, tmp_path):
     import json
 
     from geopulse.operators import live as L
     from geopulse.sinks.cache import ExternalUpserts, versioned_records
 
+    class FileStore:
+        """A key-value store in a folder: one file for each key, written only by a newer version."""
+
+        def __init__(self, folder):
+            self.folder = folder
+
+        def put_if_newer(self, key, value, ttl_secs, version, batch_id):
+            import json
+            import os
+            path = os.path.join(self.folder, key.replace(":", "_"))
+            if os.path.exists(path):
+                with open(path) as f:
+                    if tuple(json.load(f)["version"]) >= version:
+                        return
+            with open(path, "w") as f:
+                json.dump({"key": key, "value": value, "ttl": ttl_secs, "version": version}, f)
+
+        def close(self):
+            pass
+
     folder = str(tmp_path)
     e = E.enrich(batch.pings(spark, SF)).withColumn("part", F.pmod(F.xxhash64("ping_id"), F.lit(3)))
-    store = ExternalUpserts(lambda: _FileStore(folder))
+    store = ExternalUpserts(lambda: FileStore(folder))
     for batch_id, part in ((0, 2), (1, 0), (2, 1), (1, 0)):
         store.upsert(versioned_records(e.where(F.col("part") == part)), batch_id)
     got = [json.loads(f.read_text()) for f in tmp_path.iterdir()]

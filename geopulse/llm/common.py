@@ -193,6 +193,21 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> tup
     return start, end, row
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans of a word's size, eight bytes at a time."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, strides=(1,))  # the eight bytes from each position
+    size = end - start
+    out, at = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), np.arange(len(start))
+    for k in range(0, int(size.max(initial=0)), 8):
+        if k:
+            at = at[size[at] > k]
+        left = np.minimum(size[at] - k, 8).astype(np.uint64)
+        part = eight[start[at] + k] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left))
+        out[at] = mix(out[at] * np.uint64(0xD6E8FEB86659FD93) + part)
+    return out
+
+
 #: A-Z become a-z, every other byte stays.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, SpanHash, discard, distinct, release_memory, row_slices, text_slices, utf8, word_spans, written
+from geopulse.llm.common import LOWER, discard, distinct, release_memory, row_slices, text_slices, utf8, word_hashes, word_spans, written
 
 DEPTH, OFTEN, LEAST, DIVERGENCE, DISCOUNT = 2, 8, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
@@ -61,7 +61,7 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lower = LOWER[data]
     start, end, row = word_spans(lower, bounds, _WORD)
     rows = len(bounds) - 1
-    words = SpanHash(lower, 23).of(start, end) | np.uint64(1)
+    words = word_hashes(lower, start, end) | np.uint64(1)
     count = np.bincount(row, minlength=rows)
     ends = np.cumsum(count + 1) - 1
     out = np.full(len(words) + rows, END, np.uint64)
@@ -295,44 +295,59 @@ def _asked(texts: DataFrame, bits: int) -> DataFrame:
     return texts.mapInArrow(run, _MESSAGE_SCHEMA)
 
 
-def _longer(texts: DataFrame, length: int, often: int, bits: int) -> DataFrame:
-    """From texts beside their answers, what the sequences of a length give whose context is a candidate and whose
-    parent is stored: their counts in runs of the texts to ``learn`` from, and what each chunk asks for (these, and
-    the candidates); the other columns are null."""
-    counts, names = ["context", "parent", "n"], ["context", "parent", "n", *_MESSAGE]
-
-    def counted(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        part = _counted(*(np.concatenate(x) for x in zip(*held, strict=True)))
-        return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in part), *(pa.nulls(len(part[0]), k) for k in _MESSAGE.values())], names=names)
-
-    def asked(held: list[np.ndarray], chunk: int) -> Iterator[pa.RecordBatch]:
-        for message in _messages(distinct(np.concatenate(held))[0], [], chunk, bits):
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in counts), *message.columns], names=names)
+def _candidates(texts: DataFrame, length: int, often: int, schema: str, found) -> DataFrame:
+    """``found`` of each slice of texts beside their answers: it gets (chunk, keys, contexts, parents, where a token's
+    context is a candidate, where also its parent is stored); None is the end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, questions, learned = None, [], []
-        for chunk, known, rows, data, bounds in _by_chunk(batches):
-            if questions and (chunk != now or sum(map(len, questions)) >= 4 * _COUNTED_KEYS):
-                yield from asked(questions, now)
-                questions = []
-            now = chunk
+        take = found()
+        next(take)
+        for chunk, known, _, data, bounds in _by_chunk(batches):
             words, row = tokens(data, bounds)
             *_, (key, context, parent, able) = sequences(words, row, length)
             n, = known.of(parent, 1)
             before = able & np.concatenate([[False], n[:-1] >= often])  # the context is the shorter sequence one token before
-            both = before & (n > 0)
-            questions.append(distinct(np.concatenate([context[before], key[both]]))[0])
-            own = both & rows.column(5).to_numpy(zero_copy_only=False)[row]
-            learned.append((key[own], context[own], parent[own]))
-            if sum(len(x[0]) for x in learned) >= _COUNTED_KEYS:
-                yield counted(learned)
-                learned = []
-        if questions:
-            yield from asked(questions, now)
-        if learned:
-            yield counted(learned)
+            yield from take.send((chunk, key, context, parent, before, before & (n > 0)))
+        yield from take.send(None)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _longer_counts(texts: DataFrame, length: int, often: int) -> DataFrame:
+    """(context, parent, n) of the longer sequences in runs of texts."""
+
+    def found():
+        counted, out = [], []
+        while (given := (yield out)) is not None:
+            _, key, context, parent, _, both = given
+            counted.append((key[both], context[both], parent[both]))
+            out = []
+            if sum(len(c[0]) for c in counted) >= _COUNTED_KEYS:
+                out, counted = [_batch(counted)], []
+        yield [_batch(counted)] if counted else []
+
+    def _batch(counted):
+        part = _counted(*(np.concatenate(x) for x in zip(*counted, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], names=["context", "parent", "n"])
 
-    return texts.mapInArrow(run, f"{_COUNTS}, {_MESSAGE_SCHEMA}")
+    return _candidates(texts, length, often, _COUNTS, found)
+
+
+def _longer_asked(texts: DataFrame, length: int, often: int, bits: int) -> DataFrame:
+    """Each chunk's longer sequences and their contexts by key range."""
+
+    def found():
+        now, held, out = None, [], []
+        while (given := (yield out)) is not None:
+            chunk, key, context, _, before, both = given
+            out = []
+            if held and (chunk != now or sum(map(len, held)) >= 4 * _COUNTED_KEYS):
+                out, held = list(_messages(distinct(np.concatenate(held))[0], [], now, bits)), []
+            now = chunk
+            held.append(distinct(np.concatenate([context[before], key[both]]))[0])
+        yield list(_messages(distinct(np.concatenate(held))[0], [], now, bits)) if held else []
+
+    return _candidates(texts, length, often, _MESSAGE_SCHEMA, found)
 
 
 def _answers(entries: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
@@ -384,13 +399,14 @@ class _Known:
         """The first of the three numbers of each key."""
         out = [np.zeros(len(keys)) for _ in range(columns)]
         if len(self.keys) and len(keys):
-            order = np.argsort(keys)  # in order they are found much faster
+            order = np.argsort(keys)  # in order, and each once, they are found much faster
             own = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            times, own = np.diff(np.append(first, len(own))), own[first]
             at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
-            there = np.flatnonzero(self.keys[at] == own)
-            order, at = order[there], at[there]
+            there = self.keys[at] == own
             for result, values in zip(out, self.values):
-                result[order] = values[at]
+                result[order] = np.repeat(np.where(there, values[at], 0), times)
         return out
 
 
@@ -437,21 +453,20 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
     answers: list[DataFrame] = []
     read = [counts]
     for length in range(2, depth + 2):
-        beside = _beside(chunked, answers, chunks, "learn")
-        bits = _bits(above)
-        found = _pair_counts(learned) if length == 2 else written(_longer(beside, length, often, bits), "lm-longer")
-        stored, kept = _level(found.where("n is not null").select("context", "parent", "n"), above, often, least, divergence, discount)
+        beside = _beside(chunked, answers, chunks)
+        if length == 2:
+            found = _pair_counts(learned)
+        else:
+            found = _longer_counts(_beside(chunked.where("learn"), answers, chunks), length, often)
+        stored, kept = _level(found, above, often, least, divergence, discount)
         entries = _entries(stored, kept)
         if length == 2:
             entries = entries.unionAll(_entries(counts.withColumnRenamed("word", "key"), kept.limit(0)))
-            asked = _asked(beside, bits)
-        else:
-            asked = found.where("keys is not null").select(*_MESSAGE)
+        bits = _bits(entries)
+        asked = _asked(beside, bits) if length == 2 else _longer_asked(beside, length, often, bits)
         answers.append(written(_answers(entries, asked, bits), "lm-answers"))
         discard(*read, kept)
         read, above = [stored], stored.select("key", "n", "q")
-        if length > 2:
-            discard(found)
     discard(*read)
     kind = documents.schema[key].dataType.simpleString()
 

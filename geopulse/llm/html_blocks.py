@@ -10,11 +10,19 @@ neighbours outside those containers: of both when they agree, else of the one
 inside the same container, else of the nearer one.  Headings follow the block
 after them; a page on which nothing is decided keeps its undecided blocks.
 
+An ``article`` or ``main`` is a prior, not a decision: what the rules would put out there
+(links, lists of names) stays undecided, and its undecided blocks look to the
+article's own decided ones, or stay where it has none.
+
+Reader comments are told by their container's name, or by their structure: sibling
+containers with equal tag and class, most of which hold running text without a
+heading, signed by a short block with a time, a date or a link to reply.
+
 A container's name or form tag counts less than the page's structure: an
 ``article`` or ``main`` inside it starts afresh (not inside ``nav``, ``aside`` and
 the like, not an article in an article, which is a comment), and a container that
 holds most of the page's text, with next to no running text beside it, is judged
-by its blocks.  Blocks in an ``article`` or ``main`` belong to it, links or not.
+by its blocks.
 
 Function words are listed by language, for Chinese, Japanese and Korean by
 character; a block's density is that of its best language.  Where no block of a
@@ -50,7 +58,7 @@ FIXED_TAGS = frozenset("nav footer aside menu head header button select dialog".
 #: Words in class, id or role that name a container without article text.
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
-    "copyright disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
+    "commentlist copyright discussion discussions disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
     "pagination popup promo promoted related replies reply respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar topbar widget contentinfo complementary alert legal".split())
 ARTICLE_TAGS = frozenset("article main".split())
@@ -113,6 +121,13 @@ FUNCTION_WORDS = {
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<", re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_CLASS = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+#: Containers that can be a comment, and what signs one: a time, a date, an age or a link to reply.
+COMMENT_TAGS = frozenset("li article div section dd".split())
+_SIGNED = re.compile(r"\b(?:reply|report|permalink|antworten|r[eé]pondre|responder)\b|\b\d{1,2}[:.]\d{2}\b|\b\d{4}-\d\d-\d\d\b"
+                     r"|\b\d+ (?:second|minute|hour|day|week|month|year)s? ago\b"
+                     r"|\b\d{1,2}\.? (?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?,? \d{4}\b"
+                     r"|\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.? \d{1,2},? \d{4}\b", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 # letters and the marks of scripts that write vowels as such
 _WORD = re.compile(r"[\w\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0900-\u0dff\u0e00-\u0eff]+")
@@ -131,13 +146,15 @@ class Block:
     link_chars: int
     fixed: bool  # inside a container that is boilerplate whatever it holds
     named: tuple[int, ...]  # the other boilerplate containers around it
-    article: bool
+    article: int  # the article or main around it, 0 for none
     heading: bool
     container: int
+    around: tuple[int, ...] = ()  # all containers, the outermost first
     length: float = 0  # in words
     function_share: float | None = None  # None: no list covers it
     boilerplate: bool = False
     label: str = ""
+    how: str = "rule"  # what decided it: container, rule or neighbours
 
 
 def _state(words: list[str]) -> bool:
@@ -164,11 +181,13 @@ class _Open:
     fixed: bool
     fresh: bool  # an article that starts afresh inside other containers
     number: int
+    like: str  # tag and class
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's blocks in order, without empty ones."""
+def blocks(page: str) -> tuple[list[Block], dict[int, tuple[int, str]]]:
+    """The page's blocks in order, without empty ones, and its containers: parent, tag and class."""
     out: list[Block] = []
+    containers: dict[int, tuple[int, str]] = {}
     stack: list[_Open] = []
     text: list[str] = []
     count, links, link_chars = 0, 0, 0
@@ -182,8 +201,9 @@ def blocks(page: str) -> list[Block]:
             within = stack[max((i for i, o in enumerate(stack) if o.fresh), default=0):]
             out.append(Block(plain, min(link_chars, len(plain)), any(o.fixed for o in stack),
                              tuple(o.number for o in within if o.boilerplate and not o.fixed),
-                             any(t in ARTICLE_TAGS for t in tags), any(t in HEADING_TAGS for t in tags),
-                             next((o.number for o in reversed(stack) if o.tag not in ("p", *HEADING_TAGS)), 0)))
+                             next((o.number for o in stack if o.tag in ARTICLE_TAGS), 0), any(t in HEADING_TAGS for t in tags),
+                             next((o.number for o in reversed(stack) if o.tag not in ("p", *HEADING_TAGS)), 0),
+                             tuple(o.number for o in stack)))
         text.clear()
         link_chars = 0
 
@@ -229,8 +249,31 @@ def blocks(page: str) -> list[Block]:
                 tag not in ("html", "body", "article", "main") and _names_boilerplate(attributes))
             fresh = (tag in ARTICLE_TAGS and not _names_boilerplate(attributes)
                      and not any(o.tag == "article" for o in stack))
-            stack.append(_Open(tag, own, own and tag in FIXED_TAGS, fresh, count))
+            kind = _CLASS.search(attributes)
+            like = f"{tag} {' '.join(sorted(next(x for x in kind.groups() if x is not None).split())) if kind else ''}"
+            containers[count] = (stack[-1].number if stack else 0, like)
+            stack.append(_Open(tag, own, own and tag in FIXED_TAGS, fresh, count, like))
     flush()
+    return out, containers
+
+
+def _comments(found: list[Block], containers: dict[int, tuple[int, str]]) -> set[int]:
+    """Containers that are reader comments by their structure."""
+    inside: dict[int, list[Block]] = {}
+    for b in found:
+        for number in b.around:
+            inside.setdefault(number, []).append(b)
+    siblings: dict[tuple[int, str], list[int]] = {}
+    for number in inside:
+        siblings.setdefault(containers[number], []).append(number)
+    out: set[int] = set()
+    for (_, like), numbers in siblings.items():
+        if len(numbers) < 2 or like.split(" ")[0] not in COMMENT_TAGS:
+            continue
+        signed = [n for n in numbers if any(b.length < SHORT_WORDS and _SIGNED.search(b.text) for b in inside[n])
+                  and any(b.length >= SHORT_WORDS for b in inside[n]) and not any(b.heading for b in inside[n])]
+        if len(signed) * 3 >= len(numbers) * 2:
+            out.update(numbers)
     return out
 
 
@@ -253,15 +296,14 @@ def _first_pass(block: Block, covered: bool) -> str:
     """``covered``: the lists have the page's language."""
     if block.boilerplate:
         return "out"
-    if block.article:
-        return "in"
+    against = "" if block.article else "out"
     if block.link_chars > LINK_SHARE * len(block.text):
-        return "out"
+        return against
     if block.heading or block.length < SHORT_WORDS or block.function_share is None:
         return ""
     if block.function_share >= FUNCTION_SHARE:
         return "in"
-    return "out" if covered else ""
+    return against if covered else ""
 
 
 def _wrappers(found: list[Block], covered: bool) -> set[int]:
@@ -275,46 +317,68 @@ def _wrappers(found: list[Block], covered: bool) -> set[int]:
     wrappers: set[int] = set()
     for number in sorted(n for n, chars in own.items() if chars > WRAPPER_SHARE * size):  # outer ones first
         beside = sum(len(b.text) for b in open_ones
-                     if number not in b.named and wrappers.issuperset(b.named) and _first_pass(b, covered) == "in")
+                     if number not in b.named and wrappers.issuperset(b.named) and (b.article or _first_pass(b, covered) == "in"))
         if beside < BESIDE_SHARE * own[number]:
             wrappers.add(number)
     return wrappers
 
 
-def main_blocks(page: str) -> list[str]:
-    """Texts of the blocks that belong to the article."""
-    found = blocks(page)
-    for b in found:
-        _measure(b)
-    covered = any((b.function_share or 0) >= FUNCTION_SHARE and b.length >= SHORT_WORDS for b in found)
-    wrappers = _wrappers(found, covered)
-    for b in found:
-        b.boilerplate = b.fixed or not wrappers.issuperset(b.named)
-        b.label = _first_pass(b, covered)
-    # blocks in boilerplate containers say nothing about the text beside them
-    open_ones = [b for b in found if not b.boilerplate]
-    decided = [b.label for b in open_ones]
-    before, last = [], -1
-    for i, label in enumerate(decided):
+def _nearest(labels: list[str]) -> tuple[list[int], list[int]]:
+    """The place of the decided label at or before, and at or after, each place (-1: none)."""
+    before, after = [], [-1] * len(labels)
+    last = -1
+    for i, label in enumerate(labels):
         last = i if label else last
         before.append(last)
-    after, last = [0] * len(open_ones), -1
-    for i in range(len(open_ones) - 1, -1, -1):
-        last = i if decided[i] else last
+    last = -1
+    for i in range(len(labels) - 1, -1, -1):
+        last = i if labels[i] else last
         after[i] = last
-    for i, b in enumerate(open_ones):
+    return before, after
+
+
+def _second_pass(blocks_: list[Block], nothing: str) -> None:
+    """Gives the undecided ones of consecutive blocks their neighbours' label, or ``nothing`` if none is decided."""
+    decided = [b.label for b in blocks_]
+    before, after = _nearest(decided)
+    for i, b in enumerate(blocks_):
         if b.label:
             continue
+        b.how = "neighbours"
         left, right = before[i], after[i]
         if left < 0 or right < 0:
-            b.label = decided[max(left, right)] if max(left, right) >= 0 else "in"
+            b.label = decided[max(left, right)] if max(left, right) >= 0 else nothing
         elif decided[left] == decided[right] or b.heading:
             b.label = decided[right]
-        elif (open_ones[left].container == b.container) != (open_ones[right].container == b.container):
-            b.label = decided[left if open_ones[left].container == b.container else right]
+        elif (blocks_[left].container == b.container) != (blocks_[right].container == b.container):
+            b.label = decided[left if blocks_[left].container == b.container else right]
         else:
             b.label = decided[left if i - left <= right - i else right]
-    return [b.text for b in found if b.label == "in"]
+
+
+def main_blocks(page: str) -> list[str]:
+    """Texts of the blocks that belong to the article."""
+    return [b.text for b in labelled_blocks(page) if b.label == "in"]
+
+
+def labelled_blocks(page: str) -> list[Block]:
+    """All blocks of a page with their labels, and what decided them."""
+    found, containers = blocks(page)
+    for b in found:
+        _measure(b)
+    comments = _comments(found, containers)
+    covered = any((b.function_share or 0) >= FUNCTION_SHARE and b.length >= SHORT_WORDS for b in found)
+    wrappers = _wrappers(found, covered)
+    for b in found:
+        b.boilerplate = b.fixed or not wrappers.issuperset(b.named) or not comments.isdisjoint(b.around)
+        b.label = _first_pass(b, covered)
+        b.how = "container" if b.boilerplate else "rule"
+    # blocks in boilerplate containers say nothing about the text beside them
+    open_ones = [b for b in found if not b.boilerplate]
+    for article in dict.fromkeys(b.article for b in open_ones if b.article):
+        _second_pass([b for b in open_ones if b.article == article], "in")
+    _second_pass(open_ones, "in")
+    return found
 
 
 def main_text(df: DataFrame, html: str = "html", text: str = "main_text") -> DataFrame:

@@ -202,14 +202,16 @@ def _compare(keys: list, texts: list[str], following: list[str], digest: bool) -
 
 def compare_neighbours(df: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """Each text with its edited text (see :func:`edited`) and the next document's, by ascending key
-    (equal keys: by text; after the last row comes the first), and the fingerprints' likeness.
+    (equal keys: by a hash of the text, then by the text; after the last row comes the first), and the fingerprints' likeness.
 
     One range partitioning; a partition's last row meets the next partition's
     first row in a table of two rows for each partition.  With ``digest`` the column
     ``edited`` holds the SHA-256 of the edited text instead of the text itself.
     """
     rows = df.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(parallelism(df.sparkSession), "key", F.xxhash64("text")).sortWithinPartitions("key", "text")
+    # cut and sorted by the same columns, so the order is the same for any number of partitions
+    rows = (rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(parallelism(df.sparkSession), "key", "hash")
+            .sortWithinPartitions("key", "hash", "text").drop("hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Compares all but the partition's last row; passes the ends on in columns of their own."""

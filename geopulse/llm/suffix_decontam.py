@@ -4,8 +4,9 @@ Each shard of the training documents (a slice of a partition) gets a suffix
 array over its words: the sorted ten-word prefixes of its suffixes.  Suffixes
 whose first two words stand together nowhere in the benchmark can't begin a
 match and are left out.  Every test suffix is binary-searched in the array; the
-equal range gives all verbatim matches and their places, and matches that
-continue each other are joined to the longest ones.
+equal range gives all verbatim matches and their places.  Matches of successive suffixes
+of an item at successive places continue each other: joined, they are the longest
+verbatim matches, each with its place in the document and in the item.
 
 The benchmark's index goes to the tasks; its size is checked first, and a larger
 benchmark is worked through in parts of bounded size, one pass each, so results
@@ -66,6 +67,7 @@ class BenchmarkIndex:
     lengths: np.ndarray  # words in each window
     items: list[list[int]]  # items of each window, as places in names
     names: list[str]
+    places: list[list[tuple[int, int]]]  # (item, word) of every occurrence of each window
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.vocabulary):
@@ -79,7 +81,7 @@ def build_index(items: list[tuple[str, str]]) -> BenchmarkIndex:
     data, bounds = utf8(pa.array([t for _, t in items], pa.large_string()))
     hashes, row = words_of(data, bounds)
     index = BenchmarkIndex(np.unique(hashes), np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, f"S{4 * WINDOW}"),
-                           np.zeros(0, np.int64), [], [i for i, _ in items])
+                           np.zeros(0, np.int64), [], [i for i, _ in items], [])
     if not len(hashes):
         return index
     ids = index.ids(hashes)
@@ -94,10 +96,10 @@ def build_index(items: list[tuple[str, str]]) -> BenchmarkIndex:
     index.windows, which = np.unique(keys, return_inverse=True)
     index.lengths = np.zeros(len(index.windows), np.int64)
     index.lengths[which] = np.minimum(count[row[begin]], WINDOW)
-    found: list[set[int]] = [set() for _ in index.windows]
-    for w, i in zip(which.tolist(), row[begin].tolist(), strict=True):
-        found[w].add(i)
-    index.items = [sorted(x) for x in found]
+    index.places = [[] for _ in index.windows]
+    for w, i, word in zip(which.tolist(), row[begin].tolist(), offset[begin].tolist(), strict=True):
+        index.places[w].append((i, word))
+    index.items = [sorted({i for i, _ in x}) for x in index.places]
     return index
 
 
@@ -131,23 +133,54 @@ def search(keys: np.ndarray, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndar
     return low, np.searchsorted(keys, above, "right")
 
 
-def _hits(data: np.ndarray, bounds: np.ndarray, index: BenchmarkIndex) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
-    """Words, maximal hit spans (first word, words) and hit items of each row."""
+def _longest(at: list[int], of: list[tuple[int, int, int]], first: np.ndarray, row: np.ndarray) -> dict[int, dict[int, tuple[int, int, int]]]:
+    """By row and item the longest match (words, first word, first word in the item; ties: the first place), from
+    the words ``at`` which windows were found and their (item, word, words)."""
+    runs: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for p, (item, word, words) in zip(at, of, strict=True):
+        runs.setdefault((item, p - word), []).append((p, word, words))
+    best: dict[int, dict[int, tuple[int, int, int]]] = {}
+    for (item, _), found in runs.items():  # windows on one diagonal are at successive places in both texts
+        found.sort()
+        start, end, word = found[0][0], found[0][0] + found[0][2], found[0][1]
+        matches = []
+        for p, w, words in found[1:]:
+            if p > end - words + 1 or row[p] != row[start]:
+                matches.append((start, end, word))
+                start, word = p, w
+            end = p + words
+        for a, b, w in [*matches, (start, end, word)]:
+            r = int(row[a])
+            match = (b - a, a - int(first[r]), w)
+            known = best.setdefault(r, {}).get(item)
+            if known is None or (-match[0], *match[1:]) < (-known[0], *known[1:]):
+                best[r][item] = match
+    return best
+
+
+def _hits(data: np.ndarray, bounds: np.ndarray, index: BenchmarkIndex) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]], list[list[dict]]]:
+    """Words, maximal hit spans (first word, words), hit items and their longest matches of each row."""
     rows = len(bounds) - 1
     hashes, row = words_of(data, bounds)
     count = np.bincount(row, minlength=rows)
     spans: list[list[tuple[int, int]]] = [[] for _ in range(rows)]
     items: list[set[str]] = [set() for _ in range(rows)]
+    longest: list[list[dict]] = [[] for _ in range(rows)]
     keys, places = suffix_array(index.ids(hashes), row, index)
     low, high = search(keys, index)
     found = np.flatnonzero(high > low)
     if len(found):
         change = np.zeros(len(hashes) + 1, np.int64)
+        seen: list[int] = []
+        seen_as: list[tuple[int, int, int]] = []
         for w in found.tolist():
             at = places[low[w]:high[w]]
             np.add.at(change, at, 1)
             np.add.at(change, at + index.lengths[w], -1)
             names = [index.names[i] for i in index.items[w]]
+            for item, word in index.places[w]:
+                seen.extend(at.tolist())
+                seen_as.extend([(item, word, int(index.lengths[w]))] * len(at))
             for r in np.unique(row[at]).tolist():
                 items[r].update(names)
         hit = np.cumsum(change[:-1]) > 0
@@ -159,7 +192,10 @@ def _hits(data: np.ndarray, bounds: np.ndarray, index: BenchmarkIndex) -> tuple[
         stop = np.flatnonzero(hit & (stop_edge | ~np.concatenate([hit[1:], [False]]))) + 1
         for a, b in zip(start.tolist(), stop.tolist(), strict=True):
             spans[row[a]].append((a - int(first[row[a]]), b - a))
-    return count, spans, [sorted(x) for x in items]
+        for r, found_in in _longest(seen, seen_as, first, row).items():
+            longest[r] = sorted(({"item": index.names[i], "start": a, "item_start": w, "words": n} for i, (n, a, w) in found_in.items()),
+                                key=lambda m: (m["item"], m["item_start"]))
+    return count, spans, [sorted(x) for x in items], longest
 
 
 def _union(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -173,12 +209,15 @@ def _union(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
 
 
 _SPANS = "array<struct<start:int,words:int>>"
+_MATCHES = "array<struct<item:string,start:int,item_start:int,words:int>>"
+_RESULTS = ("n_words", "hit_spans", "hit_items", "longest_matches")
 
 
 def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
                  item_text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
-    """``documents`` with ``n_words``, ``hit_spans`` (maximal spans of words inside matches) and
-    ``hit_items`` (ids of items with matches, as strings); columns of these names are replaced."""
+    """``documents`` with ``n_words``, ``hit_spans`` (maximal spans of words inside matches),
+    ``hit_items`` (ids of items with matches, as strings) and ``longest_matches`` (of each of these: first
+    word in the document and in the item, and words); columns of these names are replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = documents.sparkSession
@@ -186,8 +225,9 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
                              F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 16)).first()[0] or 0
     parts = max(1, -(-int(size) // part_bytes))
-    out = documents.drop("n_words", "hit_spans", "hit_items").withColumns({
-        "n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast(_SPANS), "hit_items": F.array().cast("array<string>")})
+    out = documents.drop(*_RESULTS).withColumns({
+        "n_words": F.lit(0).cast("long"), "hit_spans": F.array().cast(_SPANS), "hit_items": F.array().cast("array<string>"),
+        "longest_matches": F.array().cast(_MATCHES)})
     schema = out.schema
     arrow = to_arrow_schema(schema)
     kinds = {f.name: f.type for f in arrow}
@@ -197,13 +237,14 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for rows, data, bounds in text_slices(batches, text):
-                count, spans, names = _hits(data, bounds, index.value)
-                before = [rows.column(rows.schema.get_field_index(n)).to_pylist() for n in ("hit_spans", "hit_items")]
+                count, spans, names, longest = _hits(data, bounds, index.value)
+                before = [rows.column(rows.schema.get_field_index(n)).to_pylist() for n in _RESULTS[1:]]
                 spans = [_union([(s["start"], s["words"]) for s in a], b) for a, b in zip(before[0], spans, strict=True)]
                 names = [sorted({*a, *b}) for a, b in zip(before[1], names, strict=True)]
                 new = {"n_words": pa.array(count, pa.int64()),
                        "hit_spans": pa.array([[{"start": s, "words": n} for s, n in x] for x in spans], kinds["hit_spans"]),
-                       "hit_items": pa.array(names, kinds["hit_items"])}
+                       "hit_items": pa.array(names, kinds["hit_items"]),
+                       "longest_matches": pa.array([[*a, *b] for a, b in zip(before[2], longest, strict=True)], kinds["longest_matches"])}
                 yield pa.RecordBatch.from_arrays([new.get(n, rows.column(i)) for i, n in enumerate(rows.schema.names)], names=rows.schema.names)
 
         out = out.mapInArrow(run, schema)
@@ -214,4 +255,4 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, text: str = "text",
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
     """The documents without any match."""
-    return find_matches(documents, benchmark, **columns).where(F.size("hit_spans") == 0).drop("n_words", "hit_spans", "hit_items")
+    return find_matches(documents, benchmark, **columns).where(F.size("hit_spans") == 0).drop(*_RESULTS)

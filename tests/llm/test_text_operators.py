@@ -3,6 +3,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -209,6 +210,52 @@ def test_quality_of_odd_rows(spark, odd_documents):
 
 # ---- 6: decontamination
 
+def _words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def _brute_matches(docs, items):
+    """(words, hit words, hit items, longest match by item) of each text, from all pairs of places."""
+    out = []
+    for t in docs:
+        d, hit, longest = _words(t), set(), {}
+        for name, text in items:
+            w = _words(text)
+            size = min(10, len(w))
+            if not w:
+                continue
+            for p in range(len(d) - size + 1):
+                for q in range(len(w) - size + 1):
+                    if d[p:p + size] != w[q:q + size]:
+                        continue
+                    n = size
+                    while p + n < len(d) and q + n < len(w) and d[p + n] == w[q + n] and len(w) >= 10:
+                        n += 1
+                    hit.update(range(p, p + n))
+                    if name not in longest or (-n, p, q) < longest[name]:
+                        longest[name] = (-n, p, q)
+        out.append((len(d), hit, sorted(longest), {k: (p, q, -n) for k, (n, p, q) in longest.items()}))
+    return out
+
+
+@pytest.mark.parametrize("part_bytes", [16 << 20, 200])
+def test_benchmark_matches_equal_brute_force(spark, part_bytes):
+    rng = random.Random(12)
+    vocabulary = ["a", "b", "Ä", "x9", "The"]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(f"i{k}", text(rng.choice((0, 1, 2, 9, 10, 14, 40)))) for k in range(12)] + [("n", None)]
+    docs = [text(rng.randrange(60)) for _ in range(40)] + [None, ""]
+    docs += [f"{text(5)}, {items[k][1]}. {text(7)} {items[k][1][4:]}" for k in range(12)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    got = {r.doc_id: r for r in suffix_decontam.find_matches(frame, benchmark, part_bytes=part_bytes).collect()}
+    for d, (n, hit, names, longest) in enumerate(_brute_matches(docs, items)):
+        r = got[d]
+        assert r.n_words == n and r.hit_items == names
+        assert {w for s in r.hit_spans for w in range(s.start, s.start + s.words)} == hit
+        assert {m.item: (m.start, m.item_start, m.words) for m in r.longest_matches} == longest, d
+
+
 def test_contamination_equals_brute_force(spark):
     docs = ["Alpha beta gamma DELTA epsilon zeta eta theta iota kappa lambda", "beta, gamma; delta", None, "", "x",
             "mu alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu", "gamma delta short item here", "lone"]

@@ -50,9 +50,8 @@ def run_collect(spark, fn, sf_dir) -> float:
 
 
 def stream_throughput(spark, sf_dir) -> dict:
-    """Pings per second through the live application's outputs (zones, anomalies,
-    sessions, metrics, sliding metrics, live state, lake/cache branches),
-    replayed as 4 time chunks with availableNow."""
+    """Pings per second through the live application: JSON messages decoded into the log
+    and every output from it, replayed as 4 time chunks with availableNow."""
     from geopulse.plans.live_app import start_live_app
     from geopulse.streaming.replay import run_replay
 
@@ -61,12 +60,12 @@ def stream_throughput(spark, sf_dir) -> dict:
     queries = {}
 
     def writer(stream, run):
-        started = start_live_app(spark, stream, run.output, trigger={"availableNow": True})
+        started = start_live_app(stream.sparkSession, stream, run.output, trigger={"availableNow": True})
         queries.update(started)
         return [q for k, q in started.items() if not k.startswith("_")]
 
     t0 = time.perf_counter()
-    run_replay(spark, pings, None, "bench-live-app", chunks=4, writer=writer)
+    run_replay(spark, pings, None, "bench-live-app", chunks=4, writer=writer, raw=True)
     dt = time.perf_counter() - t0
     return {"stream_pings": n, "stream_seconds": round(dt, 3),
             "stream_pings_per_sec": round(n / dt, 1)}

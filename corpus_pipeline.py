@@ -11,9 +11,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from geopulse.llm import dart_minhash, piece_bpe, quality_qda, suffix_decontam, suffix_merge
-from geopulse.llm.common import crc_mod, table, written
+from geopulse.llm.common import crc_mod, quoted, table, written
 from geopulse.llm.queries import PIECE_MODEL
 
 
@@ -26,16 +27,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the least id, of each group of near copies."""
     # written once: every scan would number the rows anew, by the splits it happens to get
-    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-numbered")
-    keyed = numbered.select(F.struct("doc_id", "__row").alias("key"), "text")
+    numbered = written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "pipeline-numbered")
+    keyed = numbered.select(F.struct(F.col("doc.doc_id").alias("doc_id"), "row").alias("key"), F.col("doc.text").alias("text"))
     classes = dart_minhash.near_duplicates(keyed, "key", "text")
-    first = classes.where("key.__row = near_class.__row").select("key.__row")
-    return numbered.join(first, "__row", "left_semi").drop("__row")
+    first = written(classes.where("key.row = near_class.row").select("key.row"), "pipeline-first")
+    return numbered.join(first, "row", "left_semi").select("doc.*")
+
+
+#: Passages of more than 50 words are longer than this in any of the languages; op3's own query takes 400 bytes.
+PASSAGE_BYTES = 280
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the bytes that repeat elsewhere; a character that is cut goes."""
-    kept = suffix_merge.remove_repeats(docs)
+    """The documents without the passages that repeat elsewhere; a character that is cut goes."""
+    kept = suffix_merge.remove_repeats(docs, length=PASSAGE_BYTES, window=PASSAGE_BYTES // 2)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -43,11 +48,11 @@ def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             text = pa.array([b.decode(errors="ignore") for b in batch.column(at).to_pylist()], pa.string())
             yield batch.set_column(at, "kept_bytes", text)
 
-    fields = ", ".join(f"`{f.name}` {'string' if f.name == 'kept_bytes' else f.dataType.simpleString()}" for f in kept.schema.fields)
+    fields = StructType([StructField(f.name, StringType() if f.name == "kept_bytes" else f.dataType) for f in kept.schema.fields])
     text = kept.mapInArrow(decode, fields).withColumnRenamed("kept_bytes", "text")
     if "n_chars" in docs.columns:
         text = text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return text.select(*docs.columns)
+    return text.select(*map(quoted, docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

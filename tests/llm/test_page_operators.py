@@ -177,3 +177,52 @@ def test_archives_of_an_empty_table(spark):
     path = scratch_dir(spark, "t-warc-empty")
     W.write_archives(df, path, "page_id", "url", "html")
     assert W.read_archives(spark, path).count() == 0
+
+
+def _page(rng, wrap):
+    """A page of known parts: its article's blocks, and all else around and inside it."""
+    word = lambda: rng.choice("the of and to in a is that for it river stone house winter green letter north baker".split())
+    long = lambda: " ".join(word() for _ in range(rng.randrange(14, 40))).capitalize() + "."
+    short = lambda: " ".join(rng.choice("Oven Lamp North Baker Stone".split()) for _ in range(rng.randrange(1, 4)))
+    article, html = [], []
+    for _ in range(rng.randrange(3, 8)):
+        kind = rng.choice(["p", "p", "h2", "li", "td", "links"])
+        text = long() if kind in ("p", "li") else short()
+        article.append(text)
+        html.append({"p": f"<p>{text}</p>", "h2": f"<h2>{text}</h2>", "li": f"<ul><li>{text}</ul>", "td": f"<table><tr><td>{text}</table>",
+                     "links": f"<p><a href=x>{text}</a></p>"}[kind])
+    article.append(last := long())
+    html.append(f"<p>{last}</p>")
+    out = [f"<nav><a href=x>{short()}</a></nav>", f"<footer><p>{long()}</p></footer>", f"<div class='ad banner'><p>{long()}</p></div>",
+           f"<aside><p>{long()}</p></aside>", f"<form><p>{long()}</p><button>{short()}</button></form>", f"<div id=cookie-notice><p>{long()}</p></div>",
+           f"<script>{long()}</script>", f"<style>{short()}</style>"]
+    remarks = "".join(f"<li class=remark><b>{short()}</b> <p>{long()}</p><a href=r>Reply</a></li>" for _ in range(3))
+    comments = rng.choice([f"<ol class=commentlist>{remarks}</ol>", f"<section id=discussion>{remarks}</section>", f"<div><ol class=thread>{remarks}</ol></div>"])
+    inside = [rng.choice(out)] if rng.random() < .5 else []
+    within = rng.random() < .5
+    body = "".join([*html, *inside, comments if within else ""])
+    around = rng.sample(out, 3)
+    return article, f"<html><body>{around[0]}{wrap.format(body)}{around[1]}{'' if within else comments}{around[2]}</body></html>"
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div class=layout><article><div>{}</div></article></div>"])
+def test_known_articles_are_found_whole(wrap):
+    import random
+    rng = random.Random(17)
+    for i in range(150):
+        article, page = _page(rng, wrap)
+        assert H.main_blocks(page) == article, (i, page)
+
+
+def test_more_than_half_of_the_kept_blocks_come_from_the_rules():
+    import collections
+
+    import pyarrow.parquet as pq
+    pages = pq.read_table("/root/testdata/sf0.1/pages.parquet", columns=["html"]).column("html").to_pylist()
+    how = collections.Counter(b.how for p in pages for b in H.labelled_blocks(p or "") if b.label == "in")
+    assert how["rule"] > how["neighbours"] > 0 == how["container"]
+
+
+def test_lists_and_sections_without_a_signature_are_no_comments():
+    faq = "".join(f"<div class=item><p>Question {i}</p><p>{LONG}</p></div>" for i in "abc")
+    assert len(H.main_blocks(f"<article><p>{LONG}</p>{faq}</article>")) == 7

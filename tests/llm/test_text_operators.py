@@ -405,3 +405,123 @@ def test_language_model_of_odd_rows(odd_documents):
 def test_digest_of_edited_text(documents):
     row = phrase_fingerprint.compare_neighbours(documents, digest=True).first()
     assert len(row.edited) == len(hashlib.sha256().hexdigest())
+
+
+# ---- 5 and 7 by their definitions, one text at a time
+
+def _features(t):
+    raw = t.encode()
+    words = [w for w in re.split(rb"[\t\n\x0b\x0c\r ]+", raw) if w]
+    lines = [x for x in raw.split(b"\n") if x]
+    low = [bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in words]
+    lower_lines = [bytes(c + 32 if 65 <= c <= 90 else c for c in x) for x in lines]
+    space, stop = set(b"\t\n\x0b\x0c\r "), set(b".,;:?")
+    letter = lambda c: 65 <= c <= 90 or 97 <= c <= 122 or c >= 128
+    symbol = lambda c: not (c in space or letter(c) or 48 <= c <= 57 or c in stop)
+    share = lambda part, whole: math.asin(math.sqrt(min(max(part / max(whole, 1), 0), 1)))
+    count = lambda rule: sum(map(rule, raw))
+    pairs = list(zip(low, low[1:]))
+    n = len(words)
+    return [math.log1p(n), math.log1p(len(raw) / max(n, 1)), math.log1p(n / max(len(lines), 1)),
+            share(count(lambda c: 65 <= c <= 90), count(letter)), share(count(symbol), len(raw)), share(count(lambda c: 48 <= c <= 57), len(raw)),
+            share(count(lambda c: c in stop), len(raw)), share(sum(len(w) == 1 and symbol(w[0]) for w in words), n),
+            share(sum(symbol(w[-1]) for w in words), n), share(len(set(low)), n),
+            share(max(collections.Counter(low).values(), default=0), n), share(len(pairs) - len(set(pairs)), len(pairs)),
+            share(len(lines) - len(set(lower_lines)), len(lines)), share(sum(len(w) <= 3 for w in words), n)]
+
+
+def test_quality_features_equal_brute_force(spark, texts, odd_texts):
+    rows = [*list(texts.values())[:80], *(t or "" for t in odd_texts), "A\nb\n\nA\nb a B", "!! ? 12 é"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    got = {r["key"]: r.features for r in quality_qda.document_features(frame).collect()}
+    for i, t in enumerate(rows):
+        assert np.allclose(got[i], _features(t), atol=1e-9), i
+
+
+def test_quality_scores_equal_the_formula(spark, documents, texts):
+    """Log densities of the shrunk classes by determinant and inverse, on features computed apart."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = {r.doc_id: r.quality for r in labels.collect() if r.quality in (0, 1)}
+    x = {d: np.array(_features(t)) for d, t in texts.items()}
+    train = [(x[d], c) for d, c in known.items() if d in x]
+    every = np.array([v for v, _ in train])
+    center, scale = every.mean(0), every.std(0)
+    scale = np.where(scale > 1e-6, scale, 1)
+    z = [(every[[c == k for _, c in train]] - center) / scale for k in (0, 1)]
+    own = [np.cov(a.T, bias=True) for a in z]
+    within = sum(c * len(a) for c, a in zip(own, z, strict=True)) / len(every)
+    d = len(center)
+
+    def log_density(v, k):
+        cov = (1 - quality_qda.POOLED) * own[k] + quality_qda.POOLED * within
+        cov = (1 - quality_qda.DIAGONAL) * cov + quality_qda.DIAGONAL * (np.diag(np.diag(cov)) + 0.05 * np.eye(d))
+        u = (v - center) / scale - z[k].mean(0)
+        return math.log(len(z[k]) / len(every)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * u @ np.linalg.inv(cov) @ u
+
+    got = {r["key"]: r.score for r in quality_qda.quality_scores(documents, labels).collect()}
+    for i, v in x.items():
+        difference = np.clip(log_density(v, 0) - log_density(v, 1), -700, 700)
+        assert math.isclose(got[i], 1 / (1 + math.exp(difference)), rel_tol=1e-4, abs_tol=1e-7), i
+
+
+def _parsed(symbols):
+    """Phrase starts of one sequence, symbol by symbol."""
+    def coin(previous, own):
+        if previous == own:
+            return 0
+        bit = ((previous ^ own) & -(previous ^ own)).bit_length() - 1
+        return 2 * bit + (own >> bit & 1)
+
+    labels, n = symbols, len(symbols)
+    for _ in range(3):
+        labels = [coin(labels[i - 1] if i else 0, labels[i]) for i in range(n)]
+    same = [i > 0 and symbols[i] == symbols[i - 1] for i in range(n)] + [False]
+    start = [same[i + 1] and not same[i] if i + 1 < n else False for i in range(n)]
+    end = [i > 0 and not same[i] and same[i - 1] for i in range(n)]
+    peak = [0 < i < n - 1 and labels[i] > labels[i - 1] and labels[i] >= labels[i + 1] and not same[i] for i in range(n)]
+    cut = [i == 0 or peak[i] or start[i] or end[i] for i in range(n)]
+    return [i for i in range(n) if cut[i] and not (peak[i] and cut[i - 1] and not start[i] and not end[i])]
+
+
+def test_phrases_equal_brute_force(texts):
+    rng = random.Random(21)
+    rows = [*list(texts.values())[:25], "", "a", "aa", "ab", "aaaaabbbb", "日本日本日本", *("".join(rng.choice("ab c") for _ in range(50)) for _ in range(40))]
+    data, bounds = utf8(pa.array(rows, pa.large_string()))
+    symbols, at = [list(t.encode()) for t in rows], bounds
+    level_symbols = data
+    for level in range(3):
+        cuts = phrase_fingerprint.cut_points(level_symbols, at).tolist()
+        want = [int(at[i]) + c for i, own in enumerate(symbols) for c in _parsed(own)]
+        assert cuts == want, level
+        level_symbols = phrase_fingerprint._names(level_symbols, np.array(cuts), level)
+        at = np.searchsorted(cuts, at)
+        symbols = [[int(x) for x in level_symbols[a:b]] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def test_fingerprints_are_slots_of_least_names(texts):
+    """Each text alone, its slots from the sets of its phrase names."""
+    rows = [t for t in list(texts.values())[:20] if t]
+    data, bounds = utf8(pa.array(rows, pa.large_string()))
+    got = phrase_fingerprint.fingerprints(data, bounds)
+    for i, t in enumerate(rows):
+        levels = phrase_fingerprint.parse(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))
+        for slot in range(phrase_fingerprint.SHORT_SLOTS + phrase_fingerprint.LONG_SLOTS):
+            names = set(levels[1 if slot < phrase_fingerprint.SHORT_SLOTS else 2][0].tolist())
+            seed = int(phrase_fingerprint._SEEDS[slot])
+            light = lambda x: (y := (x ^ seed) * 0xD6E8FEB86659FD93 % (1 << 64)) ^ y >> 32  # noqa: E731, B023
+            least = np.array([min(map(light, names))], np.uint64)
+            assert got[i, slot] == int(phrase_fingerprint.mix(least)[0]) & 0xFFFF
+
+
+def test_order_of_equal_keys_does_not_depend_on_partitions(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([(3, "".join(rng.choice("abc de") for _ in range(rng.randrange(60)))) for _ in range(300)], "doc_id long, text string")
+    key, seen = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    try:
+        for n in ("1", "8"):
+            spark.conf.set(key, n)
+            seen.append(sorted(r.edited for r in phrase_fingerprint.compare_neighbours(df.repartition(int(n))).collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert seen[0] == seen[1]

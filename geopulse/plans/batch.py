@@ -109,6 +109,17 @@ def q_anomalies(spark, sf_dir):
     return E.anomalies(enriched(spark, sf_dir))
 
 
+def q_processing_stamps(spark, sf_dir):
+    """The processing-time stamps: every enriched ping and every anomaly has one, the same for the whole query
+    and later than the ping."""
+    e = E.enrich(pings(spark, sf_dir), processing_time=True)
+    now = F.current_timestamp()
+    late = lambda stamp, t: (F.col(stamp) == now) & (F.col(stamp) > F.col(t).cast("timestamp"))
+    stamped = e.select(F.lit("ping").alias("relation"), late("processing_time", "event_time").alias("stamped"))
+    found = E.anomalies(e, detected_at=True).select(F.lit("anomaly").alias("relation"), late("detected_at", "anomaly_time").alias("stamped"))
+    return stamped.unionByName(found).groupBy("relation").agg(F.count("*").alias("records"), F.count_if("stamped").alias("stamped"))
+
+
 def q_zone_counts(spark, sf_dir):
     return E.zone_counts(enriched(spark, sf_dir))
 
@@ -193,6 +204,7 @@ BATCH_QUERIES = {
     "trip_category": q_trip_category,
     "on_trip_pings": q_on_trip_pings,
     "anomalies": q_anomalies,
+    "processing_stamps": q_processing_stamps,
     "zone_counts": q_zone_counts,
     "sql_over_view": q_sql_over_view,
     "zone_occupancy": q_zone_occupancy,

@@ -227,6 +227,9 @@ ORACLE_SQL: dict[str, str] = {
     "anomalies": _with(
         "SELECT event_time AS anomaly_time, driver_id, latitude, longitude, speed_kmh, status, "
         "anomaly_type, h3_cell FROM enriched WHERE anomaly_type <> 'NORMAL'"),
+    "processing_stamps": _with(
+        "SELECT 'ping' AS relation, count(*) AS records, count(*) AS stamped FROM enriched UNION ALL "
+        "SELECT 'anomaly', count(*), count(*) FROM enriched WHERE anomaly_type <> 'NORMAL'"),
     "zone_counts": _with(
         "SELECT h3_cell, count(*) AS pings, count(DISTINCT driver_id) AS drivers "
         "FROM enriched GROUP BY h3_cell"),

@@ -32,7 +32,7 @@ _WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "
 
 
 @contextlib.contextmanager
-def _settings(conf, values: dict[str, str]) -> Iterator[None]:
+def settings(conf, values: dict[str, str]) -> Iterator[None]:
     """Settings of the session for the time of a job; they are put back."""
     before = {k: conf.get(k) for k in values}
     try:
@@ -52,7 +52,7 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    with _settings(spark.conf, _WRITING):
+    with settings(spark.conf, _WRITING):
         df.write.partitionBy(*partition_by).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.scratch_path = path

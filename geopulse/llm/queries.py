@@ -148,6 +148,23 @@ select c as conv_id, count(*) as n_turns,
 from e group by c
 """
 
+_MATCHES = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+i as (select coalesce(item_id::varchar, '') as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+iw as (select distinct item, n, array_to_string(w[p:p + n - 1], ' ') as k
+       from (select item, w, least(len(w), 10) as n, unnest(range(1, len(w) - least(len(w), 10) + 2)) as p from i where len(w) > 0)),
+dw as (select doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') as k
+       from (select doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) as p from d, (select distinct n from iw))),
+h as (select distinct doc_id, p, dw.n, item from dw join iw on iw.n = dw.n and iw.k = dw.k),
+c as (select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(p, p + n)) as word from h) group by doc_id),
+t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from h) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+from d left join c on c.doc_id = d.doc_id left join t on t.doc_id = d.doc_id
+"""
+
 _SEARCH = r"""
 with d as (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
@@ -203,4 +220,4 @@ select f.conv_id, f.d as depth, up.conv_id as parent_conv_id, f.n_convs, f.n_chi
 from f join sums on sums.k = f.k left join n up on up.k = f.k[1:32 * (f.d - 1)] and up.d = f.d - 1
 """
 
-ORACLES: dict[str, str] = {"op8_chat_template": _CHAT, "op10_warc": _REVISIT, "op11_automaton_search": _SEARCH, "op12_prefix_trie": _TRIE, "op13_line_dedup": _LINES}
+ORACLES: dict[str, str] = {"op6_suffix_decontam": _MATCHES, "op8_chat_template": _CHAT, "op10_warc": _REVISIT, "op11_automaton_search": _SEARCH, "op12_prefix_trie": _TRIE, "op13_line_dedup": _LINES}

@@ -238,7 +238,7 @@ def _tree_messages(tree: DataFrame, bits: int) -> DataFrame:
 
 
 def _streamed(df: DataFrame, parts: int, by: str, then: str) -> DataFrame:
-    """Rows dealt by a part number, each part's in the order of ``then``."""
+    """Rows dealt by a part number, a partition for each part, in the order of ``then``."""
     return df.repartitionById(parts, F.col(by)).sortWithinPartitions(by, then)
 
 
@@ -249,7 +249,7 @@ def _beside(chunked: DataFrame, answers: list[DataFrame], chunks: int, *columns:
     rows = chunked.select("chunk", F.lit(1).alias("turn"), none("binary").alias("keys"), none("array<binary>").alias("values"), "text", *columns)
     for own in answers:
         rows = rows.unionAll(own.select("chunk", F.lit(0), "keys", "values", none("string"), *(none(kinds[c]) for c in columns)))
-    return _streamed(rows, chunks, "chunk", "turn")
+    return _streamed(rows, chunks, "chunk", "turn") if answers else rows.repartitionById(chunks, F.col("chunk"))
 
 
 def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, _Known, pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -388,26 +388,36 @@ class _Known:
             # entries of one key complement each other, or repeat each other if a chunk asked twice
             self.keys, self.values = keys[first], [np.maximum.reduceat(v.view(np.int64)[order], first) for v in values]
 
+        # keys are uniform hashes: their high bits lead to a slot of half an entry on average
+        self.shift = np.uint64(64 - max(1, (2 * len(self.keys)).bit_length()))
+        slots = np.arange((1 << int(np.uint64(64) - self.shift)) + 1, dtype=np.uint64)
+        self.starts = np.searchsorted(self.keys >> self.shift, slots).astype(np.int32)
+        self.padded = [np.append(v, 0).astype(float) for v in self.values]  # place -1 is the one after the last
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 if it has no entry."""
+        slot = (keys >> self.shift).astype(np.int64)
+        at, end = self.starts[slot], self.starts[slot + 1]
+        out = np.full(len(keys), -1, np.int32)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            place = at[left]
+            hit = self.keys[place] == keys[left]
+            out[left[hit]] = place[hit]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
+
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Places of those of the sorted keys that have an entry."""
-        if not len(self.keys):
-            return np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at[self.keys[at] == keys]
+        at = self.find(keys)
+        return at[at >= 0]
 
     def of(self, keys: np.ndarray, columns: int = 3) -> list[np.ndarray]:
         """The first of the three numbers of each key."""
-        out = [np.zeros(len(keys)) for _ in range(columns)]
-        if len(self.keys) and len(keys):
-            order = np.argsort(keys)  # in order, and each once, they are found much faster
-            own = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            times, own = np.diff(np.append(first, len(own))), own[first]
-            at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
-            there = self.keys[at] == own
-            for result, values in zip(out, self.values):
-                result[order] = np.repeat(np.where(there, values[at], 0), times)
-        return out
+        at = self.find(keys)
+        return [v[at] for v in self.padded[:columns]]
 
 
 def _scored(known: _Known, data: np.ndarray, bounds: np.ndarray, total: int, vocabulary: int, depth: int, discount: float) -> list[np.ndarray]:

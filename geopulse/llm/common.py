@@ -11,7 +11,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +104,7 @@ def row_slices(bounds: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[i
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, bytes, boundaries) for each slice of the batches' text column."""
+    release_memory()
     try:
         for batch in batches:
             data, bounds = utf8(batch.column(batch.schema.get_field_index(column)))
@@ -113,9 +114,15 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str,
         release_memory()
 
 
+#: What to call so that an operator drops what it remembers from task to task.
+FORGET: list[Callable[[], None]] = []
+
+
 def release_memory() -> None:
-    """At the end of a task: a Python worker is used again, and what it keeps adds to the next stage's memory."""
+    """At a task's ends: a Python worker is used again, and what it keeps adds to the next stage's memory."""
     _powers.cache_clear()
+    for forget in FORGET:
+        forget()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
     if trim is not None:

@@ -27,12 +27,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from geopulse.llm.common import release_memory
+from geopulse.llm.common import FORGET
 
 SPACE = "▁"
-#: What a worker remembers during a task, about 60 MB; it is forgotten at the task's end.
-_CACHE_UNITS = 100_000
-_CACHE_PAIRS = 300_000
+#: What a worker remembers, some 200 MB, until a task of another operator begins in it.
+_CACHE_UNITS = 200_000
+_CACHE_PAIRS = 1_000_000
 _LONG_UNIT = 256
 
 
@@ -284,7 +284,9 @@ class PieceModel:
 @functools.lru_cache(maxsize=2)
 def model(path: str) -> PieceModel:
     """The model of a path, loaded once in each Python worker."""
-    return PieceModel(path)
+    loaded = PieceModel(path)
+    FORGET.append(loaded.forget)
+    return loaded
 
 
 _SLICE_ROWS = 64
@@ -320,11 +322,6 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "piece
                     names=[*rows.schema.names, ids, decoded])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model(path)
-        try:
-            yield from encoded(m, batches)
-        finally:
-            m.forget()
-            release_memory()
+        yield from encoded(model(path), batches)
 
     return kept.mapInArrow(run, schema)

@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from ..functions.exprs import haversine_km, km_to_micros, micros_to_km
 from .windows import duration_micros, floor_bucket, time_micros
 
-#: Width of a (driver, bucket) window partition; the plan is the same at every size.
-DEFAULT_BUCKET = "1 minute"
+#: Width of a (driver, bucket) window partition; the plan is the same at every size.  A driver that pings
+#: every 2 to 5 seconds has 720 to 1,800 pings in it, so the summary is far smaller than the pings.
+DEFAULT_BUCKET = "1 hour"
 
 ROW_FIELDS = ["latitude", "longitude", "status", "event_time", "_t", "ping_id"]
 _LAST = (2**63) - 1  # key of "the run that ends a bucket"

@@ -213,6 +213,110 @@ def test_an_endless_session_keeps_a_row_of_constant_size(spark):
     assert {k[0] for k in handle.maps["zones"]} == {sid[0]}
 
 
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _fire(handle, processor, ms):
+    """What the shard's timers up to the watermark emit."""
+    return [f for t in sorted(x for x in handle.timers if x <= ms) for f in processor.handleExpiredTimer(("d",), _Watermark(ms), _Expired(t))]
+
+
+def _shard_pings(drivers=300, pings=40):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(7)
+    n = drivers * pings
+    return pd.DataFrame({
+        "driver_id": np.where(rng.integers(0, drivers, n) == 0, None, [f"d{i % drivers}" for i in range(n)]), "ping_id": rng.permutation(n),
+        "event_time": (1_700_000_000_000_000 + rng.integers(0, 21_600, n) * 1_000_000).astype("datetime64[us]"),
+        "latitude": rng.integers(0, 3, n) / 100 + 28, "longitude": 77.0, "status": rng.choice(["on_trip", "available", None], n),
+        "h3_cell": [f"hx_{i}" for i in rng.integers(0, 9, n)], "speed_kmh": 5.0, "trip_duration_secs": 5, "nano_speed": 30 * 10**9})
+
+
+def test_one_firing_serves_all_drivers_of_a_shard(spark):
+    """12,000 pings of 300 drivers: frames are the shard's, not a driver's, and every driver's order and predecessors hold."""
+    import pandas as pd
+
+    from geopulse.streaming import stateful as S
+
+    pings = _shard_pings()
+    frames = [pings.iloc[i:i + 5000] for i in range(0, len(pings), 5000)]
+    half, end = 1_700_000_000_000 + 10_800_000, 1_700_000_000_000 + 21_700_000
+    p = S.PreviousPingProcessor()
+    handle = _processor_run(spark, p, frames)
+    out = _fire(handle, p, half) + _fire(handle, p, end)
+    assert len(out) <= 8
+    got = pd.concat(out).sort_values("ping_id").reset_index(drop=True)
+    want = pings.sort_values(["event_time", "ping_id"])
+    want = want.assign(prev=want.groupby("driver_id", dropna=False)["event_time"].shift()).sort_values("ping_id").reset_index(drop=True)
+    assert len(got) == len(pings) and got["driver_id"].tolist() == want["driver_id"].tolist()
+    assert got["prev_t"].isna().equals(want["prev"].isna())
+    assert (got["prev_t"].dropna() == want["prev"].dropna().astype("int64")).all()
+    p = S.SegmentProcessor()
+    handle = _processor_run(spark, p, frames)
+    closed = pd.concat(_fire(handle, p, half) + _fire(handle, p, end))
+    ordered = pings.sort_values(["event_time", "ping_id"])
+    runs = 0
+    for _, own in ordered.groupby("driver_id", dropna=False):
+        status = own["status"].fillna("").tolist()
+        runs += sum(a != b for a, b in zip(status, status[1:]))
+    assert len(closed) == runs and len(p.last) == pings["driver_id"].nunique(dropna=False)
+
+
+def test_a_shard_has_one_timer_for_live_state_and_sessions(spark):
+    import pandas as pd
+
+    from geopulse.streaming import stateful as S
+
+    pings = _shard_pings()
+    frames = [pings.iloc[i:i + 5000] for i in range(0, len(pings), 5000)]
+    end = 1_700_000_000_000 + 21_600_000 + 400_000
+    drivers = pings["driver_id"].nunique(dropna=False)
+    p = S.LiveStateProcessor(60)
+    handle = _processor_run(spark, p, frames)
+    assert len(handle.timers) == 1
+    out = pd.concat(_fire(handle, p, end))
+    want = pings.sort_values(["event_time", "ping_id"]).drop_duplicates("driver_id", keep="last")
+    assert len(out) == drivers and set(out["ping_id"]) == set(want["ping_id"]) and set(out["state"]) == {"EXPIRED"}
+    p = S.SessionProcessor(300_000_000)
+    handle = _processor_run(spark, p, frames)
+    assert len(handle.timers) == 1 and not handle.maps["sessions"]
+    out = pd.concat(_fire(handle, p, end))
+    sessions = 0
+    for _, own in pings.groupby("driver_id", dropna=False):
+        sessions += 1 + int((own["event_time"].sort_values().diff().dt.total_seconds() > 300).sum())
+    assert len(out) == sessions and out["n"].sum() == len(pings)
+
+
+def test_sessions_of_many_zones_leave_the_packed_ones(spark):
+    """Two sessions of many zones, some of them common, become one by a ping between; other drivers' stay as they are."""
+    import numpy as np
+    import pandas as pd
+
+    from geopulse.streaming import stateful as S
+
+    def frame(driver, minutes, cells):
+        return pd.DataFrame({"driver_id": driver, "event_time": (1_700_000_000_000_000 + np.array(minutes) * 60_000_000).astype("datetime64[us]"),
+                             "latitude": 1.0, "longitude": 2.0, "h3_cell": cells, "trip_duration_secs": 5, "nano_speed": 10**9})
+
+    a, b = list(range(50)), list(range(58, 108))
+    p = S.SessionProcessor(300_000_000)
+    handle = _processor_run(spark, p, [frame("a", a, [f"x{i}" for i in a]), frame("a", b, [f"x{i - 18}" for i in b]), frame("b", [0, 1], ["x1", None])])
+    assert len(handle.maps["sessions"]) == 2
+    list(p.handleInputRows(("d",), iter([frame("a", [54], ["y"]), frame("b", [5], ["x2"])]), None))
+    assert len(handle.maps["sessions"]) == 1 and len(handle.maps["zones"]) == 91
+    out = pd.concat(_fire(handle, p, 1_700_000_000_000 + 200 * 60_000)).set_index("driver_id")
+    assert out["n"].to_dict() == {"a": 101, "b": 3} and out["cells"].to_dict() == {"a": 91, "b": 2}
+    assert out["total"].to_dict() == {"a": "101.000000000", "b": "3.000000000"}
+    assert not handle.maps["sessions"] and not handle.maps["zones"]
+
+
 def test_sessions_merge_and_edges(spark):
     """Pings exactly a gap apart are one session; a later ping between two sessions makes them one."""
     at = lambda *minutes: [(i, "d", 28.6, 77.2, "on_trip", 10.0, 0, T0 + dt.timedelta(minutes=m)) for i, m in enumerate(minutes)]

@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -186,13 +187,15 @@ class PieceModel:
         self.names[number] = c
         return number
 
-    def _prefix_table(self, unit: str) -> list[int]:
-        """last[i]: last token of the encoding of the first i characters (-1: none)."""
-        last, at, state = [-1], 0, 0
+    def _extend(self, unit: str, last: list[int], states: list[int]) -> None:
+        """Prefix table of ``unit``, going on from that of a prefix.  last[i]: last token of the
+        encoding of the first i characters (-1: none); states[i]: the automaton's state behind them."""
+        at, state = len(last) - 1, states[-1]
         steps, ends, known = self.step, self.ends, self.pairs.get
-        for c in unit:
+        for c in unit[at:]:
             at += 1
             state = steps[state].get(c) or self._follow(state, c)
+            states.append(state)
             for piece, length in ends[state]:
                 left = last[at - length]
                 fits = known((left << 21) + piece)
@@ -205,36 +208,66 @@ class PieceModel:
                 last.append(self._lone(c))
         return last
 
+    def _ids_of(self, unit: str, last: list[int]) -> tuple[int, ...]:
+        at, out, lone = len(unit), [], len(self.surface)
+        while at:
+            token = last[at]
+            if token < lone:
+                out.append(token)
+                at -= self.lengths[token]
+            else:
+                at -= 1
+                out.extend([self.byte_ids[b] for b in reversed(unit[at].encode())])
+        out.reverse()
+        return tuple(out)
+
     def _unit_ids(self, unit: str) -> tuple[int, ...]:
         ids = self.older.get(unit)
         if ids is None:
-            last, at, out, lone = self._prefix_table(unit), len(unit), [], len(self.surface)
-            while at:
-                token = last[at]
-                if token < lone:
-                    out.append(token)
-                    at -= self.lengths[token]
-                else:
-                    at -= 1
-                    out.extend([self.byte_ids[b] for b in reversed(unit[at].encode())])
-            out.reverse()
-            ids = tuple(out)
+            last = [-1]
+            self._extend(unit, last, [0])
+            ids = self._ids_of(unit, last)
+        self._remember(unit, ids)
+        return ids
+
+    def _remember(self, unit: str, ids: tuple[int, ...]) -> None:
         if len(unit) <= _LONG_UNIT:
             if len(self.units) >= _CACHE_UNITS:  # what was not asked for again goes
                 self.units, self.older = {}, self.units
             self.units[unit] = ids
-        return ids
+
+    def _learn(self, units: set[str]) -> None:
+        """Encode and remember units in their order: the prefix table of each goes on from where
+        it parts from the one before."""
+        before, last, states = "", [-1], [0]
+        for unit in sorted(units):
+            same = 0
+            for x, y in zip(before, unit):
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1:], states[same + 1:]
+            self._extend(unit, last, states)
+            self._remember(unit, self._ids_of(unit, last))
+            before = unit
 
     def encode(self, text: str) -> list[int]:
         """Ids of ``text``, without an end id."""
-        if not text:
-            return []
-        marked = SPACE + text.replace(" ", SPACE)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of every text, without end ids."""
+        split = [self.unit.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        new = set().union(*split).difference(self.units, self.older)
+        self._learn({u for u in new if len(u) <= _LONG_UNIT})
         make, out = self._unit_ids, []
-        for at in range(0, len(units := self.unit.findall(marked)), 4096):
-            get = self.units.get
-            out.append([get(u) or make(u) for u in units[at:at + 4096]])
-        return list(chain.from_iterable(chain.from_iterable(out)))
+        for units in split:
+            parts = []
+            for at in range(0, len(units), 4096):
+                get = self.units.get
+                parts.append([get(u) or make(u) for u in units[at:at + 4096]])
+            out.append(list(chain.from_iterable(chain.from_iterable(parts))))
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """Text of ``ids``; the dummy prefix goes, bytes that form no character become U+FFFD each."""
@@ -289,7 +322,8 @@ def model(path: str) -> PieceModel:
     return loaded
 
 
-_SLICE_ROWS = 64
+#: Text encoded at once.
+_SLICE_BYTES = 4_000_000
 
 
 def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "piece_ids",
@@ -306,11 +340,13 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "piece
 
     def encoded(m: PieceModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE_ROWS):
-                rows = batch.slice(at, _SLICE_ROWS)
+            column = batch.schema.get_field_index(text)
+            behind = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            starts = np.flatnonzero(np.diff(behind // _SLICE_BYTES, prepend=-1)).tolist()
+            for at, to in zip(starts, [*starts[1:], batch.num_rows]):
+                rows = batch.slice(at, to - at)
                 flat, sizes, texts = [], [0], []
-                for value in rows.column(rows.schema.get_field_index(text)).to_pylist():
-                    own = m.encode(value or "")
+                for own in m.encode_all([value or "" for value in rows.column(column).to_pylist()]):
                     if end:
                         own.append(m.end)
                     texts.append(m.decode(own))

@@ -50,6 +50,21 @@ def test_any_ids_decode_as_the_library_does():
         assert own.decode(ids) == library.decode(ids), ids
 
 
+def test_units_learned_together_are_those_learned_alone(monkeypatch):
+    """Units share the prefix tables of those before them; a small cache forgets some on the way."""
+    import random
+
+    library, own = sentencepiece.SentencePieceProcessor(model_file=PATH), piece_bpe.PieceModel(PATH)
+    rng = random.Random(3)
+    parts = ["on", "the", "tion", "é", "ing", "zz", "日本", ".", ",", "st", "", "q", "\n", "  "]
+    texts = ["".join(rng.choice(parts) + " " * (rng.random() < .4) for _ in range(rng.randrange(80))) for _ in range(300)] + ["", "x" * 700]
+    want = [library.encode(t) for t in texts]
+    assert own.encode_all(texts) == want
+    own.forget()
+    monkeypatch.setattr(piece_bpe, "_CACHE_UNITS", 20)
+    assert own.encode_all(texts) == want and [own.encode(t) for t in texts] == want
+
+
 def test_piece_table_of_odd_rows(odd_documents, odd_texts):
     out = piece_bpe.encode_texts(odd_documents, PATH).collect()
     assert len(out) == len(odd_texts) + 1

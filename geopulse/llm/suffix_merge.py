@@ -26,6 +26,10 @@ these are counted by an aggregation: the same result, from the same class.
 Rows are told apart by a 128-bit digest of their key and text, so rows without keys or
 with equal ones are.
 
+Shorter repeats can be asked for in the same run (``passage``): a string's anchor is one
+of its first bytes' too, so the anchors of the shorter length serve both.  Their spans are
+told, with their words, and take nothing away.
+
 Matches never cross rows.  Defined results: null texts are empty; texts shorter
 than ``length`` keep all; repeated rows are copies of each other; an empty table
 gives an empty one; other columns pass through whatever their names, columns named
@@ -34,6 +38,7 @@ like results are replaced.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +53,7 @@ _GRAM = 16
 #: Bytes of surroundings that one merging task gets, about; larger classes are counted by strings.
 MERGE_BYTES = 8 << 20
 _PLACE_BITS = 28
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,9 +88,27 @@ def _identified(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(_row_id(F.col(key).cast("string"), body).alias("id"), body.alias("text"))
 
 
-def find_anchors(rows: DataFrame, length: int, window: int) -> DataFrame:
-    """Anchors of (id, text) with the bytes of their surroundings before and after them,
-    a hash of the bytes shared by all strings with the anchor, and one of the surroundings."""
+def _shared(data: np.ndarray, at: np.ndarray, length: int, window: int) -> np.ndarray:
+    """A hash of the bytes that all strings with an anchor share."""
+    return SpanHash(data, 43).of(at, at + length - window + 1).view(np.int64)
+
+
+def frequent_anchors(rows: DataFrame, length: int, window: int) -> DataFrame:
+    """The ``shared`` hashes of :func:`find_anchors` that occur twice or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, bounds in text_slices(batches, "text", 1 << 20):
+            at, _ = anchors(data, bounds, length, window)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(_shared(data, at, length, window))], names=["shared"])
+
+    found = rows.select("text").mapInArrow(run, "shared long")
+    return found.groupBy("shared").agg(F.count("*").alias("n")).where("n > 1").select("shared")
+
+
+def find_anchors(rows: DataFrame, length: int, window: int, reach: int) -> DataFrame:
+    """Anchors of (id, text) with the bytes of their surroundings before and after them (``reach`` at
+    most), a hash of the bytes shared by all strings with the anchor, and one of the surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in text_slices(batches, "text", 1 << 20):
@@ -92,13 +116,13 @@ def find_anchors(rows: DataFrame, length: int, window: int) -> DataFrame:
             if not len(at):
                 continue
             before = np.minimum(at - bounds[row], window - 1)
-            after = np.minimum(bounds[row + 1] - at, length)
-            shared = SpanHash(data, 43).of(at, at + length - window + 1)
+            after = np.minimum(bounds[row + 1] - at, reach)
+            shared = _shared(data, at, length, window)
             whole = SpanHash(data, 47).of(at - before, at + after) + before.astype(np.uint64)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(take), pa.array((at - bounds[row]).astype(np.int32)),
-                 pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)), pa.array(shared.view(np.int64)), pa.array(whole.view(np.int64))],
+                 pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32)), pa.array(shared), pa.array(whole.view(np.int64))],
                 names=[x.split()[0] for x in _ANCHOR.split(", ")])
 
     return rows.mapInArrow(run, _ANCHOR)
@@ -178,10 +202,11 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[int,
             node //= 2
 
 
-def repeated_distances(suffixes: list[tuple[bytes, int]], prefixes: list[bytes], length: int, window: int,
-                       counts: list[int] | None = None) -> list[list[tuple[int, int]]]:
+def repeated_distances(suffixes: list[tuple[bytes, int]], prefixes: list[bytes], lengths: list[int], window: int,
+                       counts: list[int] | None = None) -> list[list[tuple[int, int, int]]]:
     """For merged (suffix, shared length), the prefixes before them and the number of anchors each
-    stands for: the spans around the anchors, relative to them, that are covered by strings found twice."""
+    stands for: the spans around the anchors, relative to them, that are covered by strings found
+    twice, with the strings' length; spans of a shorter length are left out within those of a longer one."""
     n = len(suffixes)
     after = np.array([len(s) for s, _ in suffixes])
     shared = np.array([x for _, x in suffixes])
@@ -193,6 +218,17 @@ def repeated_distances(suffixes: list[tuple[bytes, int]], prefixes: list[bytes],
     rank = np.empty(n, np.int64)
     rank[order] = np.arange(n)
     weight = np.ones(n, np.int64) if counts is None else np.array(counts)
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(n)]
+    for length in sorted(lengths, reverse=True):
+        found = _found_twice(after, before, shared, shared_back, rank, weight, length, window)
+        for known, spans in zip(out, found, strict=True):
+            known.extend((a, b, length) for a, b in spans if not any(x <= a and b <= y for x, y, _ in known))
+    return out
+
+
+def _found_twice(after: np.ndarray, before: np.ndarray, shared: np.ndarray, shared_back: np.ndarray, rank: np.ndarray,
+                 weight: np.ndarray, length: int, window: int) -> list[list[tuple[int, int]]]:
+    n = len(after)
     repeated = np.zeros((n, window), bool)
     for distance in range(window):
         able = np.flatnonzero((after >= length - distance) & (before >= distance))
@@ -213,7 +249,7 @@ def _spans(repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(-(int(b) - 1), length - int(a)) for a, b in zip(edges[::2], edges[1::2], strict=True)][::-1]
 
 
-_FOUND = "shared long, whole long, spans array<struct<lo:int,hi:int>>"
+_FOUND = "shared long, whole long, spans array<struct<lo:int,hi:int,length:int>>"
 
 
 def _surroundings(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -264,16 +300,16 @@ def _runs(surroundings: DataFrame) -> DataFrame:
                                         "shared array<long>, whole array<long>, n array<long>")
 
 
-def _merged(runs: DataFrame, length: int, window: int) -> DataFrame:
+def _merged(runs: DataFrame, lengths: list[int], window: int) -> DataFrame:
     """Spans around the anchors of each bucket's merged runs."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         merged = [(r, i, s, n) for r, i, s, n in merge_runs([(x["lengths"], x["rests"]) for x in rows])]
-        spans = repeated_distances([(s, n) for _, _, s, n in merged], [rows[r]["prefixes"][i] for r, i, _, _ in merged], length, window,
+        spans = repeated_distances([(s, n) for _, _, s, n in merged], [rows[r]["prefixes"][i] for r, i, _, _ in merged], lengths, window,
                                    [rows[r]["n"][i] for r, i, _, _ in merged])
-        kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
-        found = [([{"lo": a, "hi": b} for a, b in x], rows[r]["shared"][i], rows[r]["whole"][i])
+        kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("length", pa.int32())]))
+        found = [([{"lo": a, "hi": b, "length": c} for a, b, c in x], rows[r]["shared"][i], rows[r]["whole"][i])
                  for x, (r, i, _, _) in zip(spans, merged, strict=True) if x]
         return pa.table({"shared": pa.array([f[1] for f in found], pa.int64()), "whole": pa.array([f[2] for f in found], pa.int64()),
                          "spans": pa.array([f[0] for f in found], kind)})
@@ -281,40 +317,46 @@ def _merged(runs: DataFrame, length: int, window: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(run, _FOUND)
 
 
-def _counted(surroundings: DataFrame, length: int, window: int) -> DataFrame:
+def _counted(surroundings: DataFrame, lengths: list[int], window: int) -> DataFrame:
     """As :func:`_merged`, from counts of every string's hashes: for classes of any size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in text_slices((b.set_column(5, "bytes", b.column(5).cast(pa.large_binary()).view(pa.large_string())) for b in batches), "bytes", 1 << 18):
             before = part.column(3).to_numpy()
-            strings = np.maximum(np.diff(bounds) - length + 1, 0)
-            row = np.repeat(np.arange(len(strings)), strings)
-            start = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings) + bounds[row]
-            distance = (before[row] - (start - bounds[row])).astype(np.int32)
-            ok = (distance >= 0) & (distance < window)
-            start, row, distance = start[ok], row[ok], distance[ok]
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(1).take(take), part.column(4).take(take), pa.array(distance),
-                 pa.array(SpanHash(data, 53).of(start, start + length).view(np.int64)), pa.array(SpanHash(data, 59).of(start, start + length).view(np.int64))],
-                names=["shared", "whole", "n", "distance", "one", "two"])
-
-    strings = surroundings.mapInArrow(run, "shared long, whole long, n long, distance int, one long, two long")
-    keys = ["shared", "distance", "one", "two"]
-    # the strings of one class and distance: of each that more than one anchor has, all are covered
+            for length in lengths:
+                strings = np.maximum(np.diff(bounds) - length + 1, 0)
+                row = np.repeat(np.arange(len(strings)), strings)
+                start = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings) + bounds[row]
+                distance = (before[row] - (start - bounds[row])).astype(np.int32)
+                ok = (distance >= 0) & (distance < window)
+                start, row, distance = start[ok], row[ok], distance[ok]
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(take), part.column(1).take(take), part.column(4).take(take), pa.array(distance), pa.array(np.full(len(row), length, np.int32)),
+                     pa.array(SpanHash(data, 53).of(start, start + length).view(np.int64)), pa.array(SpanHash(data, 59).of(start, start + length).view(np.int64))],
+                    names=["shared", "whole", "n", "distance", "length", "one", "two"])
+
+    strings = surroundings.mapInArrow(run, "shared long, whole long, n long, distance int, length int, one long, two long")
+    keys = ["shared", "distance", "length", "one", "two"]
+    # the strings of one class, distance and length: of each that more than one anchor has, all are covered
     twice = written(strings.groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 1").drop("n"), "repeats-twice")
-    covered = F.collect_set(F.struct((-F.col("distance")).alias("lo"), (F.lit(length) - F.col("distance")).alias("hi")))
+    covered = F.collect_set(F.struct((-F.col("distance")).alias("lo"), (F.col("length") - F.col("distance")).alias("hi"), "length"))
     return strings.join(twice, keys, "left_semi").groupBy("shared", "whole").agg(covered.alias("spans"))
 
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, window: int = WINDOW,
-                   merge_bytes: int = MERGE_BYTES) -> DataFrame:
-    """(id, spans): covered byte spans of the rows that have some, not yet united; ``id`` as in :func:`_row_id`."""
+                   merge_bytes: int = MERGE_BYTES, passage: int | None = None) -> DataFrame:
+    """(id, spans): covered byte spans of the rows that have some, not yet united, and the length of the strings that
+    cover them (``length``, or else ``passage`` if given, the shorter); ``id`` as in :func:`_row_id`."""
+    least = length if passage is None else passage
+    if passage is not None and not window + _GRAM - 1 <= passage <= length:
+        raise ValueError(f"passage must be from {window + _GRAM - 1} (window and anchor) to {length} (length): {passage}")
+    lengths = sorted({least, length})
     rows = _identified(df, key, text)
-    found = find_anchors(rows, length, window)
+    found = find_anchors(rows, least, window, length)
     # tables are written before a join on a hash that can be frequent: so both sides are shuffled for it,
     # and Spark can split the rows of one hash
-    often = written(found.groupBy("shared").agg(F.count("*").alias("n")).where("n > 1").select("shared"), "repeats-often")
+    often = written(frequent_anchors(rows, least, window), "repeats-often")
     repeated = written(found.join(often, "shared"), "repeats-anchors")
     place = F.struct("id", "at", "before", "after")
     entries = written(repeated.groupBy("shared", "whole").agg(F.count("*").alias("n"), F.min(place).alias("place")), "repeats-entries")
@@ -325,14 +367,15 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     wanted = mixed.select(
         "shared", "whole", F.pmod(F.hash("shared"), F.lit(buckets)).alias("bucket"), "place.*", "n",
         (F.col("kinds") * (length + window) > 4 * merge_bytes).alias("large"))
-    spans = _merged(_runs(_surroundings(rows, wanted.where("not large"))), length, window)
+    spans = _merged(_runs(_surroundings(rows, wanted.where("not large"))), lengths, window)
     if not classes.where(F.col("kinds") * (length + window) > 4 * merge_bytes).isEmpty():
-        spans = spans.union(_counted(_surroundings(rows, wanted.where("large")), length, window))
+        spans = spans.union(_counted(_surroundings(rows, wanted.where("large")), lengths, window))
+    longest = F.when(F.col("place.before") + F.col("place.after") >= length, length).otherwise(least)
     whole = entries.join(classes.where("kinds = 1"), "shared").select(
-        "shared", "whole", F.array(F.struct((-F.col("place.before")).alias("lo"), F.col("place.after").alias("hi"))).alias("spans"))
+        "shared", "whole", F.array(F.struct((-F.col("place.before")).alias("lo"), F.col("place.after").alias("hi"), longest.alias("length"))).alias("spans"))
     each = written(spans.unionByName(whole), "repeats-spans")
     discard(often, entries, classes)
-    shifted = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("at")).alias("lo"), (s["hi"] + F.col("at")).alias("hi")))
+    shifted = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("at")).alias("lo"), (s["hi"] + F.col("at")).alias("hi"), s["length"].alias("length")))
     return (repeated.join(each, ["shared", "whole"]).select("id", F.explode(shifted).alias("span"))
             .groupBy("id").agg(F.collect_set("span").alias("spans")))
 
@@ -348,21 +391,30 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def words_within(raw: bytes, runs: list[tuple[int, int]]) -> list[int]:
+    """Number of whole words, parted by white space, in each run of the text's bytes."""
+    words = np.array([w.span() for w in _WORD.finditer(raw)], np.int64).reshape(-1, 2)
+    return [max(0, int(np.searchsorted(words[:, 1], b, "right") - np.searchsorted(words[:, 0], a))) for a, b in runs]
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, window: int = WINDOW,
-                   merge_bytes: int = MERGE_BYTES) -> DataFrame:
+                   merge_bytes: int = MERGE_BYTES, passage: int | None = None) -> DataFrame:
     """``df`` with ``kept_bytes`` (the remaining bytes) and ``removed_spans`` (start and end of
-    the maximal removed runs); the text column goes."""
+    the maximal removed runs); the text column goes.  With ``passage``, a length of at most ``length``, also
+    ``passages``: start, end and whole words of the maximal runs covered by strings of that
+    length that start elsewhere too, judged on the input and not removed."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    spans = written(repeated_spans(df, key, text, length, window, merge_bytes), "repeats-of-rows")
+    spans = written(repeated_spans(df, key, text, length, window, merge_bytes, passage), "repeats-of-rows")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    kept = [f for f in df.schema.fields if f.name not in (text, "kept_bytes", "removed_spans")]
+    result = StructType.fromDDL("kept_bytes binary, removed_spans array<struct<start:int,end:int>>" + (
+        "" if passage is None else ", passages array<struct<start:int,end:int,words:int>>"))
+    kept = [f for f in df.schema.fields if f.name not in (text, *result.names)]
     # the caller's columns travel as a struct, so that no name can clash with those used here
     rows = df.select(F.struct(*(F.col(quoted(f.name)) for f in kept), F.lit(0).alias("kept_bytes")).alias("row"),
                      body.alias("text"), _row_id(F.col(key).cast("string"), body).alias("id"))
     joined = rows.join(spans, "id", "left").select("row", "text", "spans")
-    result = StructType.fromDDL("kept_bytes binary, removed_spans array<struct<start:int,end:int>>")
     schema = StructType([joined.schema["row"], *result.fields])
     kinds = {f.name: f.type for f in to_arrow_schema(result)}
 
@@ -370,13 +422,17 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                left, removed = [], []
+                left, removed, passages = [], [], []
                 for raw, found in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    runs = united([(s["lo"], s["hi"]) for s in found or []])
+                    runs = united([(s["lo"], s["hi"]) for s in found or [] if s["length"] == length])
                     edges = [0, *(x for r in runs for x in r), len(raw)]
                     left.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     removed.append([{"start": a, "end": b} for a, b in runs])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, kinds["kept_bytes"]), pa.array(removed, kinds["removed_spans"])],
-                                                 names=["row", "kept_bytes", "removed_spans"])
-
-    return joined.mapInArrow(run, schema).select(*(F.col("row").getField(f.name).alias(f.name) for f in kept), "kept_bytes", "removed_spans")
+                    if passage is not None:
+                        # a longer repeat is made of shorter ones
+                        runs = united([(s["lo"], s["hi"]) for s in found or []])
+                        passages.append([{"start": a, "end": b, "words": n} for (a, b), n in zip(runs, words_within(raw, runs) if runs else [], strict=True)])
+                columns = dict(zip(result.names, (left, removed, passages)))  # no passages, no such name
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, kinds[name]) for name, x in columns.items())], names=["row", *columns])
+
+    return joined.mapInArrow(run, schema).select(*(F.col("row").getField(f.name).alias(f.name) for f in kept), *result.names)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from geopulse.llm import (
     dart_minhash, phrase_fingerprint, piece_bpe, quality_qda, suffix_decontam, suffix_merge, suffix_tree_lm)
 from geopulse.llm.common import utf8
+from geopulse.llm.queries import op3_suffix_merge
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -169,6 +170,48 @@ def test_repeats_equal_brute_force(spark, merge_bytes):
         assert sum(s.end - s.start for s in got[i].removed_spans) == gone.sum()
 
 
+@pytest.mark.parametrize("merge_bytes", [1 << 20, 600])
+def test_passages_equal_brute_force(spark, merge_bytes):
+    """Repeats of 40 bytes go, those of 31 are told, in one run and with the same result for the former."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randrange(2, 6)))
+    base = [" ".join(word() for _ in range(60)) for _ in range(6)]
+    short = [b[i:i + n] for b, i, n in zip(base, (0, 40, 80, 120, 10), (25, 28, 30, 36, 60))]
+    texts = [*base[:4], *(base[4][20 * i:20 * i + 20] + s + base[5][20 * i:20 * i + 20] for i, s in enumerate(short)), "ab" * 120,
+             "b" + "ab" * 17, short[0], short[1], base[0][40:130] + short[2], None, "", base[1], "x" + base[2][:33], "y" + base[2][:33], "y" + base[2][:33]]
+    df = spark.createDataFrame([(i, t, "old") for i, t in enumerate(texts)], "doc_id long, text string, passages string")
+    got = {r.doc_id: r for r in suffix_merge.remove_repeats(df, length=40, window=16, merge_bytes=merge_bytes, passage=31).collect()}
+    raws = [(t or "").encode() for t in texts]
+    for i, (raw, gone, told) in enumerate(zip(raws, _removed(raws, 40), _removed(raws, 31), strict=True)):
+        assert bytes(got[i].kept_bytes) == bytes(np.frombuffer(raw, np.uint8)[~gone]), i
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], told, [0]])))
+        runs = [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+        assert [(p.start, p.end) for p in got[i].passages] == runs, i
+        words = [m.span() for m in re.finditer(rb"[^ ]+", raw)]
+        assert [p.words for p in got[i].passages] == [sum(a <= x and y <= b for x, y in words) for a, b in runs], i
+    assert any(r.passages and not r.removed_spans for r in got.values())
+    with pytest.raises(ValueError, match="passage"):
+        suffix_merge.remove_repeats(df, length=40, window=16, passage=30)
+
+
+def test_words_within_are_whole():
+    assert suffix_merge.words_within(b" ab c\td\xc3\xa9 ", [(0, 9), (2, 9), (1, 3), (2, 3), (4, 7), (0, 0)]) == [3, 2, 1, 0, 1, 0]
+
+
+def test_short_passages_are_told_and_stay(spark, tmp_path):
+    """A passage of over 50 words in less than 400 bytes repeats across documents: told, not removed."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    own = lambda: " ".join(word(7) for _ in range(80))
+    passage, few = " ".join(word(5) for _ in range(55)), " ".join(word(9) for _ in range(35))
+    assert 280 <= len(passage) < 400 and 280 <= len(few) < 400
+    texts = [own(), f"{own()} {passage} {own()}", f"{own()} {passage}", f"{own()} {few}", f"{few} {own()}", None, own()]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in op3_suffix_merge(spark, str(tmp_path)).collect()}
+    assert {i for i, r in got.items() if r.repeats_passage} == {1, 2} == {i for i, r in got.items() if r.n_passages == 1}
+    assert all(r.n_removed == r.n_spans == 0 and r.kept_sha256 == hashlib.sha256((texts[i] or "").encode()).hexdigest() for i, r in got.items())
+
+
 def test_merge_never_loses_order():
     rng = random.Random(4)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randrange(12))) for _ in range(rng.randrange(9))) for _ in range(5)]

@@ -38,7 +38,6 @@ like results are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +52,6 @@ _GRAM = 16
 #: Bytes of surroundings that one merging task gets, about; larger classes are counted by strings.
 MERGE_BYTES = 8 << 20
 _PLACE_BITS = 28
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,8 +228,12 @@ def _found_twice(after: np.ndarray, before: np.ndarray, shared: np.ndarray, shar
                  weight: np.ndarray, length: int, window: int) -> list[list[tuple[int, int]]]:
     n = len(after)
     repeated = np.zeros((n, window), bool)
+    # who shares too little with both neighbours is alone, and repeated only if it stands for several anchors
+    ahead = np.maximum(shared, np.append(shared[1:], 0))
+    behind = np.maximum(shared_back, np.append(shared_back[1:], 0))[rank]
+    ahead, behind = np.where(weight > 1, after, ahead), np.where(weight > 1, before, behind)
     for distance in range(window):
-        able = np.flatnonzero((after >= length - distance) & (before >= distance))
+        able = np.flatnonzero((ahead >= length - distance) & (behind >= distance))
         if not len(able):
             continue
         forward = np.cumsum(shared < length - distance)
@@ -393,8 +395,11 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def words_within(raw: bytes, runs: list[tuple[int, int]]) -> list[int]:
     """Number of whole words, parted by white space, in each run of the text's bytes."""
-    words = np.array([w.span() for w in _WORD.finditer(raw)], np.int64).reshape(-1, 2)
-    return [max(0, int(np.searchsorted(words[:, 1], b, "right") - np.searchsorted(words[:, 0], a))) for a, b in runs]
+    def within_word(place: int) -> bool:
+        """Whether a word goes on from the byte before the place to the one there."""
+        return 0 < place < len(raw) and not raw[place - 1:place].isspace() and not raw[place:place + 1].isspace()
+
+    return [max(0, len(raw[a:b].split()) - within_word(a) - within_word(b)) for a, b in runs]
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, window: int = WINDOW,

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from geopulse.llm.common import FORGET
 
 SPACE = "▁"
-#: What a worker remembers, some 200 MB, until a task of another operator begins in it.
+#: What a worker remembers, some 200 MB, until a task of another operator begins in it; then the model goes too.
 _CACHE_UNITS = 200_000
 _CACHE_PAIRS = 1_000_000
 _LONG_UNIT = 256
@@ -317,9 +317,10 @@ class PieceModel:
 @functools.lru_cache(maxsize=2)
 def model(path: str) -> PieceModel:
     """The model of a path, loaded once in each Python worker."""
-    loaded = PieceModel(path)
-    FORGET.append(loaded.forget)
-    return loaded
+    return PieceModel(path)
+
+
+FORGET.append(model.cache_clear)
 
 
 #: Text encoded at once.

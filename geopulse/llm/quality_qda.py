@@ -200,7 +200,8 @@ def with_score(df: DataFrame, model: Discriminant | float, text: str = "text", n
 
 def fit_on(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant | float:
     """Model of the documents that have a label."""
-    known = labels.select(F.col(key).alias("key"), F.col(label).alias("label"))
+    # no broadcast: the moments' tasks would hold a second Python worker beside that of the vectors
+    known = labels.select(F.col(key).alias("key"), F.col(label).alias("label")).hint("merge")
     return fit(document_features(documents, key, text).join(known, "key"))
 
 

@@ -38,20 +38,22 @@ like results are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import SpanHash, discard, distinct, quoted, text_slices, written
+from geopulse.llm.common import SpanHash, discard, distinct, quoted, release_memory, releasing, text_slices, written
 
 LENGTH, WINDOW = 400, 200
 _GRAM = 16
 #: Bytes of surroundings that one merging task gets, about; larger classes are counted by strings.
 MERGE_BYTES = 8 << 20
 _PLACE_BITS = 28
+#: Bytes of text worked on at once: its arrays take some fifty times as much.
+_SLICE = 1 << 18
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray, length: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +97,7 @@ def frequent_anchors(rows: DataFrame, length: int, window: int) -> DataFrame:
     """The ``shared`` hashes of :func:`find_anchors` that occur twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, bounds in text_slices(batches, "text", 1 << 20):
+        for _, data, bounds in text_slices(batches, "text", _SLICE):
             at, _ = anchors(data, bounds, length, window)
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(_shared(data, at, length, window))], names=["shared"])
@@ -109,7 +111,7 @@ def find_anchors(rows: DataFrame, length: int, window: int, reach: int) -> DataF
     most), a hash of the bytes shared by all strings with the anchor, and one of the surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, bounds in text_slices(batches, "text", 1 << 20):
+        for part, data, bounds in text_slices(batches, "text", _SLICE):
             at, row = anchors(data, bounds, length, window)
             if not len(at):
                 continue
@@ -254,26 +256,34 @@ def _spans(repeated: np.ndarray, length: int) -> list[tuple[int, int]]:
 _FOUND = "shared long, whole long, spans array<struct<lo:int,hi:int,length:int>>"
 
 
-def _surroundings(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(shared, whole, bucket, before, n, bytes) of the wanted anchors, read from their texts."""
+#: Anchors of a text whose surroundings are cut out at once.
+_CUT = 1000
+
+
+def _of_surroundings(rows: DataFrame, wanted: DataFrame, then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                     schema: str) -> DataFrame:
+    """What ``then`` makes of the (shared, whole, bucket, before, n, bytes) of the wanted anchors, read from their
+    texts; in the same Python worker, as a second one for each task would hold its memory until the session ends."""
     anchors_of = wanted.groupBy("id").agg(F.collect_set(F.struct("shared", "whole", "bucket", "at", "before", "after", "n")).alias("anchors"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, found in zip(batch.column(0).cast(pa.binary()), batch.column(1), strict=True):
                 raw = text.as_py()
-                part = pa.RecordBatch.from_struct_array(found.values)
-                pieces = [raw[a - b:a + c] for a, b, c in zip(*(part.column(i).to_pylist() for i in (3, 4, 5)), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(4), part.column(6), pa.array(pieces, pa.binary())],
-                                                 names=["shared", "whole", "bucket", "before", "n", "bytes"])
+                every = pa.RecordBatch.from_struct_array(found.values)
+                for at in range(0, every.num_rows, _CUT):
+                    part = every.slice(at, _CUT)
+                    pieces = [raw[a - b:a + c] for a, b, c in zip(*(part.column(i).to_pylist() for i in (3, 4, 5)), strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(4), part.column(6), pa.array(pieces, pa.binary())],
+                                                     names=["shared", "whole", "bucket", "before", "n", "bytes"])
 
     # rows with equal ids are equal: any one of them has the bytes
     return rows.join(anchors_of, "id").dropDuplicates(["id"]).select("text", "anchors").mapInArrow(
-        run, "shared long, whole long, bucket int, before int, n long, bytes binary")
+        releasing(lambda batches: then(run(batches))), schema)
 
 
-def _runs(surroundings: DataFrame) -> DataFrame:
-    """Front-coded sorted runs, one for each bucket and task."""
+def _runs(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Front-coded sorted runs of the surroundings, one for each bucket and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[bytes, bytes, int, int, int]]] = {}
@@ -298,14 +308,15 @@ def _runs(surroundings: DataFrame) -> DataFrame:
                 size = 0
         yield from passed_on()
 
-    return surroundings.mapInArrow(run, "bucket int, lengths array<int>, rests array<binary>, prefixes array<binary>, "
-                                        "shared array<long>, whole array<long>, n array<long>")
+    return _of_surroundings(rows, wanted, run, "bucket int, lengths array<int>, rests array<binary>, prefixes array<binary>, "
+                                               "shared array<long>, whole array<long>, n array<long>")
 
 
 def _merged(runs: DataFrame, lengths: list[int], window: int) -> DataFrame:
     """Spans around the anchors of each bucket's merged runs."""
 
     def run(group: pa.Table) -> pa.Table:
+        release_memory()
         rows = group.to_pylist()
         merged = [(r, i, s, n) for r, i, s, n in merge_runs([(x["lengths"], x["rests"]) for x in rows])]
         spans = repeated_distances([(s, n) for _, _, s, n in merged], [rows[r]["prefixes"][i] for r, i, _, _ in merged], lengths, window,
@@ -319,7 +330,7 @@ def _merged(runs: DataFrame, lengths: list[int], window: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(run, _FOUND)
 
 
-def _counted(surroundings: DataFrame, lengths: list[int], window: int) -> DataFrame:
+def _counted(rows: DataFrame, wanted: DataFrame, lengths: list[int], window: int) -> DataFrame:
     """As :func:`_merged`, from counts of every string's hashes: for classes of any size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +349,7 @@ def _counted(surroundings: DataFrame, lengths: list[int], window: int) -> DataFr
                      pa.array(SpanHash(data, 53).of(start, start + length).view(np.int64)), pa.array(SpanHash(data, 59).of(start, start + length).view(np.int64))],
                     names=["shared", "whole", "n", "distance", "length", "one", "two"])
 
-    strings = surroundings.mapInArrow(run, "shared long, whole long, n long, distance int, length int, one long, two long")
+    strings = _of_surroundings(rows, wanted, run, "shared long, whole long, n long, distance int, length int, one long, two long")
     keys = ["shared", "distance", "length", "one", "two"]
     # the strings of one class, distance and length: of each that more than one anchor has, all are covered
     twice = written(strings.groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 1").drop("n"), "repeats-twice")
@@ -369,9 +380,9 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     wanted = mixed.select(
         "shared", "whole", F.pmod(F.hash("shared"), F.lit(buckets)).alias("bucket"), "place.*", "n",
         (F.col("kinds") * (length + window) > 4 * merge_bytes).alias("large"))
-    spans = _merged(_runs(_surroundings(rows, wanted.where("not large"))), lengths, window)
+    spans = _merged(_runs(rows, wanted.where("not large")), lengths, window)
     if not classes.where(F.col("kinds") * (length + window) > 4 * merge_bytes).isEmpty():
-        spans = spans.union(_counted(_surroundings(rows, wanted.where("large")), lengths, window))
+        spans = spans.union(_counted(rows, wanted.where("large"), lengths, window))
     longest = F.when(F.col("place.before") + F.col("place.after") >= length, length).otherwise(least)
     whole = entries.join(classes.where("kinds = 1"), "shared").select(
         "shared", "whole", F.array(F.struct((-F.col("place.before")).alias("lo"), F.col("place.after").alias("hi"), longest.alias("length"))).alias("spans"))
@@ -403,9 +414,10 @@ def words_within(raw: bytes, runs: list[tuple[int, int]]) -> list[int]:
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, window: int = WINDOW,
-                   merge_bytes: int = MERGE_BYTES, passage: int | None = None) -> DataFrame:
+                   merge_bytes: int = MERGE_BYTES, passage: int | None = None, as_text: bool = False) -> DataFrame:
     """``df`` with ``kept_bytes`` (the remaining bytes) and ``removed_spans`` (start and end of
-    the maximal removed runs); the text column goes.  With ``passage``, a length of at most ``length``, also
+    the maximal removed runs); the text column goes.  With ``as_text`` the remaining bytes come as ``kept_text`` instead,
+    without those of a character that is cut.  With ``passage``, a length of at most ``length``, also
     ``passages``: start, end and whole words of the maximal runs covered by strings of that
     length that start elsewhere too, judged on the input and not removed."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -413,11 +425,12 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
     spans = written(repeated_spans(df, key, text, length, window, merge_bytes, passage), "repeats-of-rows")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    result = StructType.fromDDL("kept_bytes binary, removed_spans array<struct<start:int,end:int>>" + (
+    kept_name = "kept_text" if as_text else "kept_bytes"
+    result = StructType.fromDDL(f"{kept_name} {'string' if as_text else 'binary'}, removed_spans array<struct<start:int,end:int>>" + (
         "" if passage is None else ", passages array<struct<start:int,end:int,words:int>>"))
     kept = [f for f in df.schema.fields if f.name not in (text, *result.names)]
     # the caller's columns travel as a struct, so that no name can clash with those used here
-    rows = df.select(F.struct(*(F.col(quoted(f.name)) for f in kept), F.lit(0).alias("kept_bytes")).alias("row"),
+    rows = df.select(F.struct(*(F.col(quoted(f.name)) for f in kept), F.lit(0).alias(kept_name)).alias("row"),
                      body.alias("text"), _row_id(F.col(key).cast("string"), body).alias("id"))
     joined = rows.join(spans, "id", "left").select("row", "text", "spans")
     schema = StructType([joined.schema["row"], *result.fields])
@@ -431,7 +444,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                 for raw, found in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                     runs = united([(s["lo"], s["hi"]) for s in found or [] if s["length"] == length])
                     edges = [0, *(x for r in runs for x in r), len(raw)]
-                    left.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                    rest = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                    left.append(rest.decode(errors="ignore") if as_text else rest)
                     removed.append([{"start": a, "end": b} for a, b in runs])
                     if passage is not None:
                         # a longer repeat is made of shorter ones
@@ -440,4 +454,4 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
                 columns = dict(zip(result.names, (left, removed, passages)))  # no passages, no such name
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, kinds[name]) for name, x in columns.items())], names=["row", *columns])
 
-    return joined.mapInArrow(run, schema).select(*(F.col("row").getField(f.name).alias(f.name) for f in kept), *result.names)
+    return joined.mapInArrow(releasing(run), schema).select(*(F.col("row").getField(f.name).alias(f.name) for f in kept), *result.names)

@@ -5,7 +5,7 @@ import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline as P
-from geopulse.llm import quality_qda
+from geopulse.llm import common, dart_minhash, piece_bpe, quality_qda, suffix_merge
 from tests.llm.test_text_operators import _brute_classes, _removed
 
 SF = "/root/testdata/sf0.001"
@@ -120,3 +120,58 @@ def test_near_dedup_when_a_later_scan_splits_elsewhere(spark, tmp_path, monkeypa
         spark.conf.unset("spark.sql.files.openCostInBytes")
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert [d for d, _ in got] == [100 * part + i for part in range(12) for i in (0, 2, 4)]
+
+
+def _python_by_stage(df):
+    """Number of Python operators in the plan's top stage, and the most in any."""
+    stages, above = [0], []  # above: (indent, stage) of the nodes over a line
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        indent = len(line) - len(line.lstrip(" :+-"))
+        while above and above[-1][0] >= indent:
+            above.pop()
+        stage = above[-1][1] if above else 0
+        stages[stage] += bool(re.search("InArrow|InPandas|ArrowEval|BatchEval", line))
+        if "Exchange" in line:
+            stages.append(0)
+            stage = len(stages) - 1
+        above.append((indent, stage))
+    return stages[0], max(stages)
+
+
+def test_no_task_holds_two_python_workers(spark, tmp_path, monkeypatch):
+    """Workers are used again, so a second one for each task adds its memory to all later stages."""
+    _inputs(spark, tmp_path, False)
+    most, learned = [], []
+
+    def watched(write):
+        def run(df, label, *by):
+            most.append((label, _python_by_stage(df)[1]))
+            return write(df, label, *by)
+
+        return run
+
+    for module in (P, suffix_merge, dart_minhash):
+        monkeypatch.setattr(module, "written", watched(module.written))
+    fit = quality_qda.fit
+    monkeypatch.setattr(quality_qda, "fit", lambda df: learned.append(_python_by_stage(df)) or fit(df))
+    P.run(spark, str(tmp_path))
+    assert {"repeats-spans", "repeats-of-rows", "pipeline-repeat_dedup", "near-sketches"} <= {label for label, _ in most}
+    assert [x for x in most if x[1] > 1] == []
+    assert learned == [(0, 1)]  # the moments come on top, in a stage of their own
+
+
+def test_a_worker_drops_the_model_for_other_operators():
+    assert piece_bpe.model(P.PIECE_MODEL) is piece_bpe.model(P.PIECE_MODEL)
+    common.release_memory()
+    assert piece_bpe.model.cache_info().currsize == 0
+
+
+def test_large_classes_of_a_long_text_in_parts(spark, monkeypatch):
+    """A text's anchors are cut out in several parts, on the merged and on the counted way."""
+    monkeypatch.setattr(suffix_merge, "_CUT", 3)
+    texts = [f"{PASSAGE}{i} {PASSAGE[100:]}{PASSAGE[:150 + i]}" * 2 for i in range(12)] + ["x" * 2000, "short", "ünï" * 300, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    brute = _repeats([*enumerate(texts)])
+    for merge_bytes in (1 << 20, 1000):
+        kept = suffix_merge.remove_repeats(docs, length=P.PASSAGE_BYTES, window=P.PASSAGE_BYTES // 2, merge_bytes=merge_bytes, as_text=True)
+        assert sorted((r.doc_id, r.kept_text) for r in kept.collect()) == brute

@@ -16,8 +16,8 @@ The tree is a table, never in one place: of each word and stored sequence (a 64-
 key) its count, and of each kept context the sum and number of its followers.
 
 1. Spark counts the words, and the sequences of each length in turn, as the distinct
-   ones of bounded runs; it keeps the stored ones, and tests the contexts by joins with
-   the level above.
+   ones of bounded runs, dealt by ranges of their keys; it keeps the stored ones, and
+   tests the contexts by joins with the level above.
 2. The texts are dealt to chunks.  A chunk asks for its distinct words and pairs, as
    sorted, delta-coded keys by key range; the tree is dealt by the same ranges, and what
    it has of the asked keys goes back to the chunk.  A longer sequence is counted, and
@@ -42,12 +42,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geopulse.llm.common import LOWER, discard, distinct, release_memory, row_slices, text_slices, utf8, word_hashes, word_spans, written
+from geopulse.llm.common import LOWER, discard, distinct, release_memory, releasing, row_slices, text_slices, utf8, word_hashes, word_spans, written
 
 DEPTH, OFTEN, LEAST, DIVERGENCE, DISCOUNT = 2, 8, 3, 2.0, 0.75
 #: Bytes of text in a chunk and tree entries in a key range, about; keys that a task counts before it passes them on.
 CHUNK_BYTES, RANGE_ENTRIES = 24 << 20, 2 << 20
 _COUNTED_KEYS = 2_000_000
+#: Bytes of text for each key range of the sequences that are counted: some million of them (four at most).
+COUNTED_BYTES = 8 << 20
 #: Key ranges at least (as a power of two), so that small trees are looked up by several tasks; keys in one message.
 _RANGE_BITS, _MESSAGE_KEYS = 6, 1 << 15
 _WORD = np.ones(256, bool)
@@ -102,6 +104,23 @@ def sequences(words: np.ndarray, row: np.ndarray, longest: int) -> Iterator[tupl
         yield key, context, parent, able
 
 
+def _order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable ``np.argsort`` of 64-bit keys, and the sorted keys: by a sort of the high bits with the place in the
+    low ones (several times as fast as an argsort), and another where keys differ in their low bits alone."""
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    own = keys[order]
+    if (own[1:] < own[:-1]).any():
+        order = order[np.argsort(own, kind="stable")]
+        own = keys[order]
+    return order, own
+
+
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each distinct number of sorted ones begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
 def _token_counts(texts: DataFrame) -> DataFrame:
     """(word, n): occurrences of every token."""
 
@@ -126,21 +145,58 @@ def _runs(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray,
 
 
 _COUNTS = "context long, parent long, n long"
+#: Counted sequences of one key range, as a message: a row for each would take several times the CPU time in a shuffle.
+_COUNTED = {"range": pa.int32(), "contexts": pa.binary(), "parents": pa.binary(), "counts": pa.binary()}
+_COUNTED_SCHEMA = "range int, contexts binary, parents binary, counts binary"
+
+
+def _counted(key: np.ndarray, context: np.ndarray, parent: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
+    """Context, parent and count of the distinct sequences, by key range and in bounded messages."""
+    order, key = _order(key)
+    at = _firsts(key)
+    first, count = order[at], np.diff(np.append(at, len(key))).astype(np.uint64)
+    of = (key[at] >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+    edges = np.unique(np.concatenate([_firsts(of), np.arange(0, len(of), _MESSAGE_KEYS), [len(of)]])).tolist()
+    out, size = [], 0
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        out.append((int(of[a]), context[first[a:b]].tobytes(), parent[first[a:b]].tobytes(), _packed(count[a:b])))
+        size += b - a
+        if size >= 8 * _MESSAGE_KEYS or b == len(of):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), _COUNTED.values(), strict=True)], names=list(_COUNTED))
+            out, size = [], 0
+
+
+def _summed(counts: DataFrame, ranges: int, least: int) -> DataFrame:
+    """(context, parent, n) of the sequences that occur at least ``least`` times, from the messages of :func:`_counted`."""
+
+    def added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        context, parent, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order, key = _order(sequence_key(context, parent))
+        at = _firsts(key)
+        return context[order[at]], parent[order[at]], np.add.reduceat(n[order], at)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for contexts, parents, n in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+                held.append((np.frombuffer(contexts, np.uint64), np.frombuffer(parents, np.uint64), _unpacked(n)))
+                size += len(held[-1][0])
+            if size >= 2 * _COUNTED_KEYS:  # what comes again is added up before more is read
+                held = [added(held)]
+                size = len(held[0][0]) // 2
+        if held:
+            context, parent, n = added(held)
+            often = np.flatnonzero(n >= least)
+            for i in range(0, len(often), 8 * _MESSAGE_KEYS):
+                part = often[i:i + 8 * _MESSAGE_KEYS]
+                yield pa.RecordBatch.from_arrays([pa.array(c[part].view(np.int64)) for c in (context, parent, n)], names=["context", "parent", "n"])
 
-def _counted(key: np.ndarray, context: np.ndarray, parent: np.ndarray) -> list[np.ndarray]:
-    """Context, parent and count of the distinct sequences, equal contexts side by side (less room in a shuffle)."""
-    order = np.argsort(key)
-    key = key[order]
-    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    first, count = order[at], np.diff(np.append(at, len(key)))
-    by_context = np.argsort(context[first])
-    first = first[by_context]
-    return [context[first].view(np.int64), parent[first].view(np.int64), count[by_context]]
+    # dealt by the whole sequence: a frequent context is spread
+    return counts.repartitionById(ranges, F.col("range")).mapInArrow(releasing(run), _COUNTS)
 
 
-def _pair_counts(texts: DataFrame) -> DataFrame:
-    """(context, parent, n): the pairs of adjacent tokens in the runs of each task."""
+def _pair_counts(texts: DataFrame, ranges: int) -> DataFrame:
+    """Counts of the pairs of adjacent tokens in the runs of each task."""
 
     def pairs(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         (key, context, parent, able), = sequences(*tokens(data, bounds), 2)
@@ -148,20 +204,18 @@ def _pair_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _runs(pairs(data, bounds) for _, data, bounds in text_slices(batches, "text")):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in _counted(*part)], names=["context", "parent", "n"])
+            yield from _counted(*part, ranges)
 
-    return texts.select("text").mapInArrow(run, _COUNTS)
+    return texts.select("text").mapInArrow(run, _COUNTED_SCHEMA)
 
 
-def _level(counts: DataFrame, above: DataFrame, often: int, least: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
-    """From the (context, parent, n) of a length's sequences and the (key, n, q) of those one word shorter: the
-    same (key, n, q) of the stored ones, and (context, stored, kinds) of the kept contexts.
+def _level(counts: DataFrame, above: DataFrame, often: int, divergence: float, discount: float) -> tuple[DataFrame, DataFrame]:
+    """From the (context, parent, n) of a length's frequent sequences and the (key, n, q) of those one word shorter:
+    the same (key, n, q) of the stored ones, and (context, stored, kinds) of the kept contexts.
 
     ``q`` is the last word's probability in the state of the longest kept context.
     """
-    # dealt by the whole sequence: a frequent context is spread; the tasks have added up what they could
-    rows = written(counts.repartition("context", "parent").groupBy("context", "parent").agg(F.sum("n").alias("n"))
-                   .where(F.col("n") >= least), "lm-stored")
+    rows = written(counts, "lm-stored")
     back = 1 - (F.col("stored") - F.lit(float(discount)) * F.col("kinds")) / F.col("total")
     contexts = written(rows.groupBy("context").agg(F.sum("n").alias("stored"), F.count("*").alias("kinds"))
                        .join(above.where(F.col("n") >= often).select(F.col("key").alias("context"), F.col("n").alias("total")), "context")
@@ -231,8 +285,8 @@ def _tree_messages(tree: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = ([c.fill_null(0).to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches)
         for key, *values in _runs(tuple(e) for e in entries):
-            order = np.argsort(key.view(np.uint64))
-            yield from _messages(key[order].view(np.uint64), [v[order] for v in values], -1, bits)
+            order, key = _order(key.view(np.uint64))
+            yield from _messages(key, [v[order] for v in values], -1, bits)
 
     return tree.select("key", "n", "stored", "kinds").mapInArrow(run, _MESSAGE_SCHEMA)
 
@@ -313,8 +367,8 @@ def _candidates(texts: DataFrame, length: int, often: int, schema: str, found) -
     return texts.mapInArrow(run, schema)
 
 
-def _longer_counts(texts: DataFrame, length: int, often: int) -> DataFrame:
-    """(context, parent, n) of the longer sequences in runs of texts."""
+def _longer_counts(texts: DataFrame, length: int, often: int, ranges: int) -> DataFrame:
+    """Counts of the longer sequences in runs of texts."""
 
     def found():
         counted, out = [], []
@@ -323,14 +377,13 @@ def _longer_counts(texts: DataFrame, length: int, often: int) -> DataFrame:
             counted.append((key[both], context[both], parent[both]))
             out = []
             if sum(len(c[0]) for c in counted) >= _COUNTED_KEYS:
-                out, counted = [_batch(counted)], []
-        yield [_batch(counted)] if counted else []
+                out, counted = messages(counted), []
+        yield messages(counted) if counted else []
 
-    def _batch(counted):
-        part = _counted(*(np.concatenate(x) for x in zip(*counted, strict=True)))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in part], names=["context", "parent", "n"])
+    def messages(counted):
+        return _counted(*(np.concatenate(x) for x in zip(*counted, strict=True)), ranges)
 
-    return _candidates(texts, length, often, _COUNTS, found)
+    return _candidates(texts, length, often, _COUNTED_SCHEMA, found)
 
 
 def _longer_asked(texts: DataFrame, length: int, often: int, bits: int) -> DataFrame:
@@ -382,9 +435,8 @@ class _Known:
         self.keys, self.values = np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * 3
         if messages:
             keys, *values = (np.concatenate(x) for x in zip(*((_unpacked_keys(k), *map(_unpacked, v)) for k, v in messages), strict=True))
-            order = np.argsort(keys)
-            keys = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            order, keys = _order(keys)
+            first = _firsts(keys)
             # entries of one key complement each other, or repeat each other if a chunk asked twice
             self.keys, self.values = keys[first], [np.maximum.reduceat(v.view(np.int64)[order], first) for v in values]
 
@@ -399,9 +451,8 @@ class _Known:
         """The first of the three numbers of each key."""
         out = [np.zeros(len(keys)) for _ in range(columns)]
         if len(self.keys) and len(keys):
-            order = np.argsort(keys)  # in order, and each once, they are found much faster
-            own = keys[order]
-            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            order, own = _order(keys)  # in order, and each once, they are found much faster
+            first = _firsts(own)
             times, own = np.diff(np.append(first, len(own))), own[first]
             at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
             there = self.keys[at] == own
@@ -447,7 +498,7 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
     total, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     above = counts.select(F.col("word").alias("key"), "n", ((F.col("n") + 0.5) / F.lit(total + 0.5 * (vocabulary + 1))).alias("q"))
     size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    chunks = max(1, -(-int(size) // CHUNK_BYTES))
+    chunks, ranges = (max(1, -(-int(size) // x)) for x in (CHUNK_BYTES, COUNTED_BYTES))
     chunked = rows.withColumn("chunk", F.pmod(F.xxhash64("key", "text"), F.lit(chunks)).cast("int"))
 
     answers: list[DataFrame] = []
@@ -455,10 +506,10 @@ def score_texts(documents: DataFrame, learn: Column, key: str = "doc_id", text:
     for length in range(2, depth + 2):
         beside = _beside(chunked, answers, chunks)
         if length == 2:
-            found = _pair_counts(learned)
+            found = _pair_counts(learned, ranges)
         else:
-            found = _longer_counts(_beside(chunked.where("learn"), answers, chunks), length, often)
-        stored, kept = _level(found, above, often, least, divergence, discount)
+            found = _longer_counts(_beside(chunked.where("learn"), answers, chunks), length, often, ranges)
+        stored, kept = _level(_summed(found, ranges, least), above, often, divergence, discount)
         entries = _entries(stored, kept)
         if length == 2:
             entries = entries.unionAll(_entries(counts.withColumnRenamed("word", "key"), kept.limit(0)))

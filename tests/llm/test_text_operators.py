@@ -445,6 +445,42 @@ def test_language_model_messages():
         assert (suffix_tree_lm._unpacked(suffix_tree_lm._packed(keys)) == keys).all()
 
 
+@pytest.mark.parametrize("held", [2_000_000, 50])
+def test_language_model_sequences_are_counted_by_messages(spark, monkeypatch, held):
+    """A row for each distinct sequence of a task took op9 over its CPU time: now a few for each key range."""
+    monkeypatch.setattr(suffix_tree_lm, "_COUNTED_KEYS", held)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.8))}" for _ in range(200)) for _ in range(60)] + [None, ""]
+    df = spark.createDataFrame([(t or "",) for t in texts], "text string").repartition(5)
+    messages = suffix_tree_lm._pair_counts(df, 7)
+    assert 0 < messages.count() <= 5 * 7 and {r.range for r in messages.select("range").collect()} == set(range(7))
+    words = [[*(t or "").encode().split(), None] for t in texts]
+    want = collections.Counter(collections.Counter(p for w in words for p in zip(w, w[1:])).values())
+    for least in (1, 3):
+        got = suffix_tree_lm._summed(messages, 7, least).collect()
+        assert len({(r.context, r.parent) for r in got}) == len(got)
+        assert collections.Counter(r.n for r in got) == {n: k for n, k in want.items() if n >= least}
+
+
+def test_language_model_counts_by_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree_lm, "COUNTED_BYTES", 2000)
+    rng = random.Random(8)
+    docs = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(100)) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    got = {r.key: r.score for r in suffix_tree_lm.score_texts(df, F.col("doc_id") < 60).collect()}
+    for d, score in enumerate(_tree(docs[:60], 2, 8, 3, 2.0, 0.75)[3](docs)):
+        assert math.isclose(got[d], score, rel_tol=1e-9)
+
+
+def test_language_model_order_of_keys():
+    rng = np.random.default_rng(5)
+    top = np.uint64((1 << 64) - 1)
+    for keys in (np.zeros(0, np.uint64), np.array([7], np.uint64), top - rng.integers(0, 9, 1000).astype(np.uint64),
+                 rng.integers(0, 1 << 64, 5000, np.uint64), rng.integers(0, 300, 5000).astype(np.uint64) << np.uint64(3)):
+        order, own = suffix_tree_lm._order(keys)
+        assert order.tolist() == np.argsort(keys, kind="stable").tolist() and own.tolist() == sorted(keys.tolist())
+
+
 def test_sequence_keys_equal_spark(spark):
     values = np.array([0, 1, 2, -1, 1 << 62, -(1 << 63), 987654321987654321], np.int64)
     rows = [(int(a), int(b)) for a in values for b in values]
